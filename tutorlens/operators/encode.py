@@ -4,8 +4,8 @@
 order; then, per category column in the given order, one boolean column per
 level, levels sorted ascending, named ``<column>_<level>``; a missing value is
 all-false; ``drop_first`` drops the smallest level.  The level list is the only
-data-dependent part of the schema: it comes from one bounded aggregate (a
-guarded ``collect_set``), or from ``levels=`` so that new data gets the same
+data-dependent part of the schema: it comes from one bounded job (a
+distributed distinct with a capped collect), or from ``levels=`` so that new data gets the same
 columns.  ``one_hot_vector`` is the same information as one sparse vector
 column, for wide vocabularies and MLlib.
 """
@@ -16,6 +16,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tutorlens.functions.lookup import TARGET_CODES, map_lookup
 
@@ -37,26 +38,47 @@ def encode_target(df: DataFrame, source: str = "final_result", target: str = "ta
     return df.withColumn(target, map_lookup(source, TARGET_CODES).cast("int"))
 
 
+def _from_text(text: str, dtype: T.DataType):
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return int(text)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return float(text)
+    if isinstance(dtype, T.BooleanType):
+        return text == "true"
+    return text
+
+
 def discover_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> dict[str, list]:
-    """Sorted distinct non-missing values per column (one small driver round trip).
+    """Sorted distinct non-missing values per column, in one bounded job.
 
-    A HyperLogLog pass first bounds the cardinality, so the exact set that is
-    collected next is known to be small; beyond ``max_levels`` use
-    :func:`one_hot_vector`.
+    (column, value) pairs are de-duplicated by a distributed aggregate; at most
+    ``max_levels * len(columns) + 1`` of them are collected, so the driver never
+    receives more than that bound.  A column beyond ``max_levels`` raises:
+    use :func:`one_hot_vector` for wide vocabularies.
     """
     cols = list(columns)
     if not cols:
         return {}
-    approx = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    wide = {c: approx[c] for c in cols if approx[c] > max_levels * 1.2}
-    if wide:
-        raise ValueError(f"too many levels for a wide one-hot (max {max_levels}): {wide}; use one_hot_vector")
-    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols]).first()
-    out = {c: list(row[c]) for c in cols}
-    for c, vals in out.items():
-        if len(vals) > max_levels:
-            raise ValueError(f"column {c} has {len(vals)} levels > {max_levels}; use one_hot_vector")
-    return out
+    pairs = (
+        df.select(
+            F.explode(
+                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(cols)])
+            ).alias("p")
+        )
+        .select("p.i", "p.v")
+        .where(F.col("v").isNotNull())
+        .distinct()
+    )
+    cap = max_levels * len(cols)
+    rows = pairs.limit(cap + 1).collect()
+    out: dict[str, list] = {c: [] for c in cols}
+    for r in rows:
+        c = cols[r["i"]]
+        out[c].append(_from_text(r["v"], df.schema[c].dataType))
+    wide = {c: len(v) for c, v in out.items() if len(v) > max_levels}
+    if len(rows) > cap or wide:
+        raise ValueError(f"too many levels for a wide one-hot (max {max_levels} per column): {wide or 'total over cap'}; use one_hot_vector")
+    return {c: sorted(v) for c, v in out.items()}
 
 
 def dummy_name(column: str, level) -> str:

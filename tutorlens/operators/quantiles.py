@@ -5,12 +5,13 @@ is unbounded for wide-ranged columns (ids, clicks).  Here the work is split:
 
 1. value counts ``(group, v, c)``: a distributed aggregate with map-side combine,
    so a hot group of a third of all rows is absorbed before the shuffle;
-2. per group ``n``, ``min``, ``max`` (one row per group);
-3. equal-width buckets over ``[min, max]``, counts per (group, bucket) and a
-   running total over the buckets (at most ``groups x buckets`` rows);
-4. the order statistics ``floor(p(n-1))`` and ``ceil(p(n-1))`` each fall in one
-   bucket; only the value counts of those buckets are ranked, by a window per
-   (group, bucket).
+2. per group ``min`` and ``max`` (one row per group, broadcast);
+3. ``buckets`` equal-width buckets over ``[min, max]``: counts per (group,
+   bucket), then one window over that compact table gives each bucket its
+   running offset and the group size ``n``, hence which order statistics
+   ``floor(p(n-1))`` / ``ceil(p(n-1))`` fall inside it;
+4. only the value counts of those few buckets are ranked, by a window per
+   (group, bucket), and one final aggregate interpolates.
 
 The per-group tables are broadcast: ``by`` is a report grouping (a label or a
 column name), whose size is fixed by the schema, not by the data.
@@ -53,73 +54,65 @@ def quantiles_from_counts(
     if not by:
         vc = vc.withColumn("_g", F.lit(0))
 
-    stats = vc.groupBy(*keys).agg(
-        F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
+    bounds = vc.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
     bucket = (
         F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets), F.lit(buckets - 1)))
         .otherwise(F.lit(0))
         .cast("int")
     )
-    vb = vc.join(F.broadcast(stats.select(*keys, "_lo", "_hi")), keys).select(*keys, "_v", "_c", bucket.alias("_b"))
+    vb = vc.join(F.broadcast(bounds), keys).select(*keys, "_v", "_c", bucket.alias("_b"))
 
     per_bucket = vb.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bn"))
-    running = per_bucket.withColumn(
-        "_before", F.sum("_bn").over(Window.partitionBy(*keys).orderBy("_b")) - F.col("_bn")
-    )
-
-    # Order statistics wanted per group: (_pi, _which, _k); _which 0/1 = floor/ceil.
-    plist = F.array(*[F.struct(F.lit(i).alias("_pi"), F.lit(float(p)).alias("_p")) for i, p in enumerate(probs)])
-    targets = stats.select(*keys, "_n", F.explode(plist).alias("t")).select(
-        *keys, F.col("t._pi").alias("_pi"), ((F.col("_n") - 1) * F.col("t._p")).alias("_pos")
-    )
-    ranks = targets.select(
+    group = Window.partitionBy(*keys)
+    running = per_bucket.select(
         *keys,
-        "_pi",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("_which"), F.floor("_pos").cast("long").alias("_k")),
-                F.struct(F.lit(1).alias("_which"), F.ceil("_pos").cast("long").alias("_k")),
-            )
-        ).alias("r"),
-    ).select(*keys, "_pi", "r._which", "r._k")
-    rank_lists = ranks.groupBy(*keys).agg(F.collect_list(F.struct("_pi", "_which", "_k")).alias("_ranks"))
-
-    hits = (
-        running.join(F.broadcast(rank_lists), keys)
-        .select(
-            *keys,
-            "_b",
-            "_before",
-            F.explode(
-                F.filter(
-                    "_ranks",
-                    lambda t: (t["_k"] >= F.col("_before")) & (t["_k"] < F.col("_before") + F.col("_bn")),
+        "_b",
+        "_bn",
+        (F.sum("_bn").over(group.orderBy("_b")) - F.col("_bn")).alias("_before"),
+        F.sum("_bn").over(group).alias("_n"),
+    )
+    # Every wanted order statistic as (_pi, _which, _k, _frac); _which 0/1 = floor/ceil.
+    wanted = []
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        frac = pos - F.floor(pos)
+        for which, k in ((0, F.floor(pos)), (1, F.ceil(pos))):
+            wanted.append(
+                F.struct(
+                    F.lit(i).alias("_pi"),
+                    F.lit(which).alias("_which"),
+                    k.cast("long").alias("_k"),
+                    frac.alias("_frac"),
                 )
-            ).alias("t"),
-        )
-        .select(*keys, "_b", "t._pi", "t._which", (F.col("t._k") - F.col("_before")).alias("_r"))
+            )
+    inside = F.filter(
+        F.array(*wanted),
+        lambda t: (t["_k"] >= F.col("_before")) & (t["_k"] < F.col("_before") + F.col("_bn")),
     )
+    # One row per bucket holding a wanted rank (a handful per group).
+    hits = running.select(*keys, "_b", "_before", inside.alias("_hits")).where(F.size("_hits") > 0)
 
-    target_buckets = hits.select(*keys, "_b").distinct()
-    inside = vb.join(F.broadcast(target_buckets), [*keys, "_b"])
-    inside = inside.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_v")))
-    picked = (
-        inside.join(F.broadcast(hits), [*keys, "_b"])
-        .where((F.col("_r") < F.col("_upto")) & (F.col("_r") >= F.col("_upto") - F.col("_c")))
-        .groupBy(*keys, "_pi")
-        .agg(
-            F.max(F.when(F.col("_which") == 0, F.col("_v"))).alias("_v0"),
-            F.max(F.when(F.col("_which") == 1, F.col("_v"))).alias("_v1"),
-        )
+    ranked = vb.join(F.broadcast(hits), [*keys, "_b"]).withColumn(
+        "_upto", F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_v"))
     )
-    frac = F.col("_pos") - F.floor("_pos")
-    valued = picked.join(F.broadcast(targets), [*keys, "_pi"]).select(
-        *keys, "_pi", (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac).alias("_q")
+    picked = ranked.select(*keys, "_v", "_c", "_upto", F.explode("_hits").alias("h")).where(
+        (F.col("h._k") < F.col("_upto")) & (F.col("h._k") >= F.col("_upto") - F.col("_c"))
     )
-    out = valued.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_pi") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
+    aggs = []
+    for i, n in enumerate(names):
+        sel = F.col("h._pi") == i
+        aggs += [
+            F.max(F.when(sel & (F.col("h._which") == 0), F.col("_v"))).alias(f"_lo{i}"),
+            F.max(F.when(sel & (F.col("h._which") == 1), F.col("_v"))).alias(f"_hi{i}"),
+            F.max(F.when(sel, F.col("h._frac"))).alias(f"_f{i}"),
+        ]
+    out = picked.groupBy(*keys).agg(*aggs).select(
+        *keys,
+        *[
+            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(n)
+            for i, n in enumerate(names)
+        ],
     )
     return out.drop("_g") if not by else out
 

@@ -18,6 +18,7 @@ from tutorlens.functions.lookup import CLASS_NAMES
 from tutorlens.functions.rounding import round_half_even
 from tutorlens.keys import K3
 from tutorlens.operators import clean, distributions, encode, features, profile, split
+from tutorlens.session import materialize
 
 DROP_WHOLE = ["id_student", "final_result"]
 DROP_EARLY = ["id_student", "final_result", "date_unregistration"]
@@ -113,9 +114,18 @@ def final_report(
     ).select("r.item", "r.value")
 
 
-def whole_course(tables: Mapping[str, DataFrame], levels: Mapping[str, Sequence] | None = None) -> dict[str, DataFrame]:
-    """processing, whole course: master, features, two encodings, report."""
+def whole_course(
+    tables: Mapping[str, DataFrame], levels: Mapping[str, Sequence] | None = None, checkpoint: bool = True
+) -> dict[str, DataFrame]:
+    """Whole course: master, features, two encodings, report.
+
+    The master table is checkpointed (to the shared checkpoint folder) before
+    level discovery and the report, so the click-log aggregation and the joins
+    run once, and a lost executor re-reads the checkpoint instead of the log.
+    """
     master = whole_course_master(tables)
+    if checkpoint:
+        master = materialize(master)
     feats = master.drop(*DROP_WHOLE)
     linear, tree = encoded_forms(feats, levels)
     return {
@@ -128,11 +138,16 @@ def whole_course(tables: Mapping[str, DataFrame], levels: Mapping[str, Sequence]
 
 
 def early_prediction(
-    tables: Mapping[str, DataFrame], cutoff: int = 90, levels: Mapping[str, Sequence] | None = None
+    tables: Mapping[str, DataFrame],
+    cutoff: int = 90,
+    levels: Mapping[str, Sequence] | None = None,
+    checkpoint: bool = True,
 ) -> dict[str, DataFrame]:
-    """processing, early prediction at ``cutoff``: as whole_course, plus the
-    filter effect and the duplicate check in the report."""
+    """Early prediction at ``cutoff``: as :func:`whole_course`, plus the filter
+    effect and the duplicate check.  The pre-filter master is checkpointed."""
     pre = early_master(tables, cutoff)
+    if checkpoint:
+        pre = materialize(pre)
     sample = encode.encode_target(features.active_at(pre, cutoff))
     feats = sample.drop(*DROP_EARLY)
     linear, tree = encoded_forms(feats, levels)
@@ -157,9 +172,10 @@ def training_splits(
 ) -> DataFrame:
     """The tree encoding with a 70/15/15 ``split`` column.
 
-    The split is drawn on the enrolment key, before the id is dropped.
+    The split is drawn on the enrolment key, before the id is dropped; the
+    split frame is checkpointed before the levels are learned from it.
     """
-    with_split = split.stratified_split(master, label=label, key=K3, seed=seed)
+    with_split = materialize(split.stratified_split(master, label=label, key=K3, seed=seed))
     feats = with_split.drop(*drop)
     lv = dict(levels) if levels is not None else encode.discover_levels(feats, encode.CATEGORY_COLUMNS)
     return encode.one_hot(feats, encode.CATEGORY_COLUMNS, drop_first=False, levels=lv)
