@@ -94,7 +94,12 @@ def stratified_split(
     checked = df.withColumn(
         label,
         F.when(ok, lab).otherwise(
-            F.raise_error(F.concat(F.lit(f"stratified_split: label {label} missing or not in {list(classes)}: "), lab.cast("string")))
+            F.raise_error(
+                F.concat(
+                    F.lit(f"stratified_split: label {label} missing or not in {list(classes)}: "),
+                    F.coalesce(lab.cast("string"), F.lit("null")),
+                )
+            )
         ).cast(df.schema[label].dataType),
     )
     h = split_hash(key, seed)
