@@ -135,3 +135,34 @@ def one_hot_vector(
     model = Pipeline(stages=stages).fit(df)
     kept = [c for c in df.columns if c not in cols]
     return model.transform(df).select(*kept, output)
+
+
+def feature_columns(df: DataFrame, label: str = "target", exclude: Sequence[str] = ("split",)) -> list[str]:
+    """P10: the feature columns (everything but the label and bookkeeping columns)."""
+    return [c for c in df.columns if c != label and c not in exclude]
+
+
+def split_views(df: DataFrame, output: str = "split") -> dict[str, DataFrame]:
+    """The three parts of a split frame as filtered views (no copies)."""
+    return {name: df.where(F.col(output) == name).drop(output) for name in ("train", "validation", "test")}
+
+
+def assemble_features(
+    df: DataFrame, label: str = "target", exclude: Sequence[str] = ("split",), output: str = "features"
+) -> DataFrame:
+    """P10 for an MLlib consumer: (features vector, label[, split]).
+
+    Boolean dummies are cast to 0/1; rows with a missing feature are kept
+    (``handleInvalid='keep'`` puts NaN in the vector), as the reference keeps
+    them.
+    """
+    from pyspark.ml.feature import VectorAssembler
+
+    cols = feature_columns(df, label, exclude)
+    numeric = df.select(
+        *[F.col(f"`{c}`").cast("double").alias(c) for c in cols],
+        *[F.col(f"`{c}`") for c in df.columns if c not in cols],
+    )
+    assembler = VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="keep")
+    keep = [c for c in df.columns if c not in cols]
+    return assembler.transform(numeric).select(output, *keep)

@@ -19,6 +19,8 @@ from tutorlens.functions.rounding import round_half_even
 from tutorlens.keys import K3
 from tutorlens.operators import clean, distributions, encode, features, profile, split
 from tutorlens.session import materialize
+from tutorlens.sources.readers import read_table, write_table
+from tutorlens.sources.schemas import STUDENT_VLE_SMALL
 
 DROP_WHOLE = ["id_student", "final_result"]
 DROP_EARLY = ["id_student", "final_result", "date_unregistration"]
@@ -256,3 +258,13 @@ def box_score_by_result(submissions: DataFrame, info: DataFrame, digits: int | N
         .agg(F.sum(F.col("_k") * F.col("_e")).alias("_w"))
     )
     return distributions.box_stats(weighted, "score", ["final_result"], weight="_w", digits=digits)
+
+
+def shrink_clicks(vle: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Write the per-student click totals once and read them back.
+
+    Later steps read this small table instead of the raw click log; ``fmt``
+    'csv' writes a header row and no index, as ``to_csv(index=False)``.
+    """
+    write_table(features.clicks_per_student(vle), path, fmt=fmt)
+    return read_table(vle.sparkSession, path, STUDENT_VLE_SMALL, fmt=fmt)

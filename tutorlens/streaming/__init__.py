@@ -1,0 +1,5 @@
+"""Incremental engagement features over an appended click log."""
+
+from tutorlens.streaming.engagement import click_stream, engagement_snapshot, start_engagement_stream
+
+__all__ = ["click_stream", "engagement_snapshot", "start_engagement_stream"]
