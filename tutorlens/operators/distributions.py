@@ -106,44 +106,46 @@ def box_stats_from_counts(vc: DataFrame, by: Sequence[str], whis: float = 1.5, d
 
     Columns: n, mean, q1, median, q3, iqr, whisker_low, whisker_high,
     n_outliers, min, max.  Whiskers are the most extreme values inside
-    [q1 - whis*iqr, q3 + whis*iqr] (never inside the box); outliers lie
-    beyond the whiskers.
+    [q1 - whis*iqr, q3 + whis*iqr] (never inside the box).  Outliers lie
+    beyond the whiskers, which are exactly the values beyond the fences: the
+    low whisker is the smallest value at or above the low fence, or q1 when that
+    value is above q1, and in both cases no value lies between the fence and
+    the whisker.  So whiskers and outliers come from one aggregate.
     """
     by = list(by)
-    qs = quantiles_from_counts(vc, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])
+    qs = quantiles_from_counts(vc, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"], moments=True)
     iqr = F.col("q3") - F.col("q1")
     fences = qs.select(
-        *by, "q1", "median", "q3", iqr.alias("iqr"),
+        *by, "n", "mean", "q1", "median", "q3", "min", "max", iqr.alias("iqr"),
         (F.col("q1") - F.lit(whis) * iqr).alias("_lo_fence"),
         (F.col("q3") + F.lit(whis) * iqr).alias("_hi_fence"),
     )
     v, c = F.col("_v"), F.col("_c")
     # One row per group (a label), so the fence table is broadcast.
-    joined = vc.join(F.broadcast(fences), by)
-    agg = joined.groupBy(*by, "q1", "median", "q3", "iqr").agg(
-        F.sum(c).alias("n"),
-        (F.sum(v * c) / F.sum(c)).alias("mean"),
+    # The fence columns are constant per group: grouping on them carries them.
+    carried = ["n", "mean", "q1", "median", "q3", "min", "max", "iqr", "_lo_fence", "_hi_fence"]
+    s = vc.join(F.broadcast(fences), by).groupBy(*by, *carried).agg(
         F.min(F.when(v >= F.col("_lo_fence"), v)).alias("_wlo"),
         F.max(F.when(v <= F.col("_hi_fence"), v)).alias("_whi"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
+        F.sum(F.when((v < F.col("_lo_fence")) | (v > F.col("_hi_fence")), c).otherwise(0)).alias("n_outliers"),
     )
     wlo = F.when(F.col("_wlo").isNull() | (F.col("_wlo") > F.col("q1")), F.col("q1")).otherwise(F.col("_wlo"))
     whi = F.when(F.col("_whi").isNull() | (F.col("_whi") < F.col("q3")), F.col("q3")).otherwise(F.col("_whi"))
-    whiskers = agg.select(*by, "n", "mean", "q1", "median", "q3", "iqr", wlo.alias("whisker_low"), whi.alias("whisker_high"), "min", "max")
-    outliers = (
-        vc.join(F.broadcast(whiskers.select(*by, "whisker_low", "whisker_high")), by)
-        .groupBy(*by)
-        .agg(F.sum(F.when((v < F.col("whisker_low")) | (v > F.col("whisker_high")), c).otherwise(0)).alias("n_outliers"))
+    r = (lambda x: F.round(x, digits)) if digits is not None else (lambda x: x)
+    return s.select(
+        *by,
+        F.col("n").cast("long").alias("n"),
+        r(F.col("mean")).alias("mean"),
+        r(F.col("q1")).alias("q1"),
+        r(F.col("median")).alias("median"),
+        r(F.col("q3")).alias("q3"),
+        r(F.col("iqr")).alias("iqr"),
+        r(wlo).alias("whisker_low"),
+        r(whi).alias("whisker_high"),
+        F.col("n_outliers").cast("long").alias("n_outliers"),
+        r(F.col("min")).alias("min"),
+        r(F.col("max")).alias("max"),
     )
-    out = whiskers.join(F.broadcast(outliers), by).select(
-        *by, "n", "mean", "q1", "median", "q3", "iqr", "whisker_low", "whisker_high",
-        F.col("n_outliers").cast("long").alias("n_outliers"), "min", "max",
-    )
-    if digits is not None:
-        num = ["mean", "q1", "median", "q3", "iqr", "whisker_low", "whisker_high", "min", "max"]
-        out = out.select(*by, "n", *[F.round(x, digits).alias(x) for x in num[:7]], "n_outliers", *[F.round(x, digits).alias(x) for x in num[7:]])
-    return out
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str], weight: str | None = None, digits: int | None = 6) -> DataFrame:

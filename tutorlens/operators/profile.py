@@ -79,34 +79,47 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits: int | None = 6) -> DataFrame:
-    """Count, mean, std, min, quartiles, max per numeric column.
-
-    The columns are stacked into (column_name, value) rows so that one grouped
-    aggregate and one exact-quantile plan serve all of them (ids included, as
-    in ``describe()``).  Quartiles are exact and interpolated.
-    """
+def _stacked_numeric(df: DataFrame, columns: Sequence[str] | None, table: str) -> DataFrame:
     cols = list(columns) if columns is not None else numeric_columns(df)
     pairs = ", ".join(f"'{c}', CAST({_q(c)} AS DOUBLE)" for c in cols)
-    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, value)")
-    basic = long.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    qs = quantiles(long, "value", [0.25, 0.5, 0.75], by=["column_name"], names=["p25", "p50", "p75"])
-    out = basic.join(qs, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    return df.selectExpr(f"'{table}' AS table_name", f"stack({len(cols)}, {pairs}) AS (column_name, value)")
+
+
+def describe_tables(
+    tables: Mapping[str, DataFrame],
+    columns: Mapping[str, Sequence[str]] | None = None,
+    digits: int | None = 6,
+) -> DataFrame:
+    """A13/A14 over several tables at once.
+
+    Every numeric column of every table is stacked into (table_name,
+    column_name, value) rows, so one grouped aggregate (count, std) and one
+    exact-quantile plan (quartiles, mean, min, max) serve all of them, ids
+    included as in ``describe()``.  Columns: table_name, column_name, count,
+    mean, std, min, p25, p50, p75, max.
+    """
+    long = None
+    for name, df in tables.items():
+        part = _stacked_numeric(df, (columns or {}).get(name), name)
+        long = part if long is None else long.unionByName(part)
+    keys = ["table_name", "column_name"]
+    basic = long.groupBy(*keys).agg(F.count("value").alias("count"), F.stddev_samp("value").alias("std"))
+    qs = quantiles(long, "value", [0.25, 0.5, 0.75], by=keys, names=["p25", "p50", "p75"], moments=True)
+    # Both sides have one row per (table, column).
+    out = basic.join(F.broadcast(qs), keys, "left").select(
+        *keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
     if digits is not None:
-        out = out.select(
-            "column_name", "count", *[F.round(c, digits).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]]
-        )
+        out = out.select(*keys, "count", *[F.round(c, digits).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
     return out
 
 
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits: int | None = 6) -> DataFrame:
+    """Count, mean, std, min, quartiles, max per numeric column of one table."""
+    cols = {"": list(columns)} if columns is not None else None
+    return describe_tables({"": df}, cols, digits).drop("table_name")
+
+
 def value_counts(df: DataFrame, column: str, normalize: str | None = None, digits: int = 3) -> DataFrame:
     """(value, count[, share]) with ``rank`` by count desc, value asc.
 
@@ -196,9 +209,9 @@ def multi_cross_counts(df: DataFrame, categories: Sequence[str], hue: str) -> Da
 def group_summary(df: DataFrame, value: str, by: str, digits: int | None = 6) -> DataFrame:
     """Mean and exact median of ``value`` per ``by`` (missing keys dropped)."""
     base = df.where(F.col(by).isNotNull())
-    means = base.groupBy(by).agg(F.avg(value).alias("mean_value"))
-    med = quantiles(base, value, [0.5], by=[by], names=["median_value"])
-    out = means.join(med, by, "left")
+    out = quantiles(base, value, [0.5], by=[by], names=["median_value"], moments=True).select(
+        by, F.col("mean").alias("mean_value"), "median_value"
+    )
     if digits is not None:
         out = out.select(by, F.round("mean_value", digits).alias("mean_value"), F.round("median_value", digits).alias("median_value"))
     return out

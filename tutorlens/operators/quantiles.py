@@ -46,8 +46,13 @@ def quantiles_from_counts(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     buckets: int = DEFAULT_BUCKETS,
+    moments: bool = False,
 ) -> DataFrame:
-    """Quantiles from value counts ``(by..., _v, _c)``; one row per group."""
+    """Quantiles from value counts ``(by..., _v, _c)``; one row per group.
+
+    With ``moments`` the row also carries ``n``, ``mean``, ``min`` and ``max``
+    of the group, folded through the same stages (no extra pass).
+    """
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     by = list(by)
     keys = by if by else ["_g"]
@@ -61,16 +66,22 @@ def quantiles_from_counts(
         .otherwise(F.lit(0))
         .cast("int")
     )
-    vb = vc.join(F.broadcast(bounds), keys).select(*keys, "_v", "_c", bucket.alias("_b"))
+    vb = vc.join(F.broadcast(bounds), keys).select(*keys, "_v", "_c", "_lo", "_hi", bucket.alias("_b"))
 
-    per_bucket = vb.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bn"))
+    # _lo and _hi are constant per group: grouping on them only carries them along.
+    per_bucket = vb.groupBy(*keys, "_b", "_lo", "_hi").agg(
+        F.sum("_c").alias("_bn"), F.sum(F.col("_v") * F.col("_c")).alias("_bs")
+    )
     group = Window.partitionBy(*keys)
     running = per_bucket.select(
         *keys,
         "_b",
         "_bn",
+        "_lo",
+        "_hi",
         (F.sum("_bn").over(group.orderBy("_b")) - F.col("_bn")).alias("_before"),
         F.sum("_bn").over(group).alias("_n"),
+        F.sum("_bs").over(group).alias("_sum"),
     )
     # Every wanted order statistic as (_pi, _which, _k, _frac); _which 0/1 = floor/ceil.
     wanted = []
@@ -91,15 +102,23 @@ def quantiles_from_counts(
         lambda t: (t["_k"] >= F.col("_before")) & (t["_k"] < F.col("_before") + F.col("_bn")),
     )
     # One row per bucket holding a wanted rank (a handful per group).
-    hits = running.select(*keys, "_b", "_before", inside.alias("_hits")).where(F.size("_hits") > 0)
+    hits = running.select(*keys, "_b", "_before", "_n", "_sum", "_lo", "_hi", inside.alias("_hits")).where(
+        F.size("_hits") > 0
+    )
 
-    ranked = vb.join(F.broadcast(hits), [*keys, "_b"]).withColumn(
+    ranked = vb.select(*keys, "_b", "_v", "_c").join(F.broadcast(hits), [*keys, "_b"])
+    ranked = ranked.withColumn(
         "_upto", F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_v"))
     )
-    picked = ranked.select(*keys, "_v", "_c", "_upto", F.explode("_hits").alias("h")).where(
+    picked = ranked.select(*keys, "_v", "_c", "_upto", "_n", "_sum", "_lo", "_hi", F.explode("_hits").alias("h")).where(
         (F.col("h._k") < F.col("_upto")) & (F.col("h._k") >= F.col("_upto") - F.col("_c"))
     )
-    aggs = []
+    aggs = [
+        F.max("_n").alias("_n"),
+        F.max("_sum").alias("_sum"),
+        F.max("_lo").alias("_lo"),
+        F.max("_hi").alias("_hi"),
+    ]
     for i, n in enumerate(names):
         sel = F.col("h._pi") == i
         aggs += [
@@ -107,12 +126,21 @@ def quantiles_from_counts(
             F.max(F.when(sel & (F.col("h._which") == 1), F.col("_v"))).alias(f"_hi{i}"),
             F.max(F.when(sel, F.col("h._frac"))).alias(f"_f{i}"),
         ]
+    extra = []
+    if moments:
+        extra = [
+            F.col("_n").alias("n"),
+            (F.col("_sum") / F.col("_n")).alias("mean"),
+            F.col("_lo").alias("min"),
+            F.col("_hi").alias("max"),
+        ]
     out = picked.groupBy(*keys).agg(*aggs).select(
         *keys,
         *[
             (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(n)
             for i, n in enumerate(names)
         ],
+        *extra,
     )
     return out.drop("_g") if not by else out
 
@@ -125,13 +153,14 @@ def quantiles(
     names: Sequence[str] | None = None,
     weight: str | None = None,
     buckets: int = DEFAULT_BUCKETS,
+    moments: bool = False,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group of ``by``.
 
     Missing values are skipped; a group with no value has no row.
     """
     vc = value_counts_of(df, value, by, weight)
-    return quantiles_from_counts(vc, probs, by, names, buckets)
+    return quantiles_from_counts(vc, probs, by, names, buckets, moments)
 
 
 def median_of(df: DataFrame, value: str) -> Column:

@@ -200,9 +200,9 @@ def explore(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "profile": profile.table_profile(registry),
         "null_counts": profile.registry_null_counts(registry),
-        "describe_info": profile.describe_numeric(info),
-        "describe_submissions": profile.describe_numeric(sub),
-        "describe_clicks": profile.describe_numeric(clicks),
+        "describe": profile.describe_tables(
+            {"studentInfo": info, "studentAssessment": sub, "studentVle_small": clicks}
+        ),
         "value_counts": profile.multi_value_counts(
             info, ["final_result", "age_band", "gender", "highest_education", "num_of_prev_attempts"]
         ),

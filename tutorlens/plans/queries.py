@@ -170,11 +170,7 @@ def preview(spark, sf_dir):
 
 def describe_numeric(spark, sf_dir):
     reg = _exploration_registry(_t(spark, sf_dir))
-    out = None
-    for name in ("studentInfo", "studentAssessment", "studentVle_small"):
-        part = profile.describe_numeric(reg[name]).select(F.lit(name).alias("table_name"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return profile.describe_tables({n: reg[n] for n in ("studentInfo", "studentAssessment", "studentVle_small")})
 
 
 def engagement_by_result(spark, sf_dir):
