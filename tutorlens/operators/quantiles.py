@@ -14,7 +14,8 @@ is unbounded for wide-ranged columns (ids, clicks).  Here the work is split:
    (group, bucket), and one final aggregate interpolates.
 
 The per-group tables are broadcast: ``by`` is a report grouping (a label or a
-column name), whose size is fixed by the schema, not by the data.
+column name), whose size is fixed by the schema, not by the data.  Without
+``by`` the bounds are one row, inlined as a scalar subquery (no join at all).
 """
 
 from __future__ import annotations
@@ -54,19 +55,23 @@ def quantiles_from_counts(
     of the group, folded through the same stages (no extra pass).
     """
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
-    by = list(by)
-    keys = by if by else ["_g"]
-    if not by:
-        vc = vc.withColumn("_g", F.lit(0))
+    keys = list(by)
 
     bounds = vc.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    if keys:
+        # One row per group: broadcast and joined on the group key.
+        vb = vc.join(F.broadcast(bounds), keys)
+    else:
+        # One row in all: a scalar subquery, inlined as literals (no join).
+        b = bounds.select(F.struct("_lo", "_hi")).scalar()
+        vb = vc.select("_v", "_c", b["_lo"].alias("_lo"), b["_hi"].alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
     bucket = (
         F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets), F.lit(buckets - 1)))
         .otherwise(F.lit(0))
         .cast("int")
     )
-    vb = vc.join(F.broadcast(bounds), keys).select(*keys, "_v", "_c", "_lo", "_hi", bucket.alias("_b"))
+    vb = vb.select(*keys, "_v", "_c", "_lo", "_hi", bucket.alias("_b"))
 
     # _lo and _hi are constant per group: grouping on them only carries them along.
     per_bucket = vb.groupBy(*keys, "_b", "_lo", "_hi").agg(
@@ -142,7 +147,7 @@ def quantiles_from_counts(
         ],
         *extra,
     )
-    return out.drop("_g") if not by else out
+    return out
 
 
 def quantiles(
