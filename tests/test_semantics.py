@@ -144,3 +144,21 @@ def test_schema_types(spark):
     sch = T.StructType([T.StructField("x", T.DoubleType())])
     df = spark.createDataFrame([(float("nan"),)], sch)
     assert df.select(nan_to_null("x")).first()[0] is None
+
+
+def test_sizing_for_large_inputs():
+    from tutorlens.session import sizing_for
+
+    big = sizing_for(100 * 10**12)
+    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * 2**20
+    assert sizing_for(10**9)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_explore_outputs_run(spark, sf001):
+    from tutorlens.plans import flows
+    from tutorlens.sources.fixtures import fixture_tables
+
+    out = flows.explore(fixture_tables(spark, sf001))
+    for name, df in out.items():
+        assert df.count() >= 1, name
