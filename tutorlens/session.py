@@ -78,14 +78,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests, the benchmark) a fresh scratch
     folder is created, so a cluster run always writes to its shared storage.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server reads spark.checkpoint.dir
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tutorlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
