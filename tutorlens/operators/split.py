@@ -12,9 +12,10 @@ Sizes follow scikit-learn's ``train_test_split(..., stratify=y)`` applied twice
 Membership: inside each class rows are ranked by ``md5(seed|key)`` then key;
 rank < train quota -> train, < train + validation -> validation, else test.
 The rank is computed in two levels so that no class is sorted in one task:
-rows are bucketed by the first hex digits of the hash (``n_buckets``), bucket
-sizes give running offsets (a table of at most classes x buckets rows), and a
-``row_number`` runs per (class, bucket).  Quotas are computed in Spark from the
+rows are bucketed by the first hex digits of the hash (``hex_digits``), a
+``row_number`` runs per (class, bucket) after the only shuffle of the input,
+and the bucket sizes from that same window give running offsets (a table of at
+most classes x buckets rows, broadcast back).  Quotas are computed in Spark from the
 class counts, so nothing but the final frame is produced, with no action.
 """
 
@@ -105,7 +106,13 @@ def stratified_split(
     h = split_hash(key, seed)
     x = checked.withColumn("_h", h).withColumn("_b", F.conv(F.substring("_h", 1, hex_digits), 16, 10).cast("int"))
 
-    per_bucket = x.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    # One shuffle of the input: rows are ranked inside their (class, bucket),
+    # and the same window partition gives the bucket size.
+    bucket = Window.partitionBy(label, "_b")
+    within = x.withColumn("_rn", F.row_number().over(bucket.orderBy("_h", *key))).withColumn(
+        "_bn", F.count(F.lit(1)).over(bucket)
+    )
+    per_bucket = within.where(F.col("_rn") == 1).select(label, "_b", "_bn")
     offsets = per_bucket.withColumn(
         "_off", F.sum("_bn").over(Window.partitionBy(label).orderBy("_b")) - F.col("_bn")
     )
@@ -113,9 +120,9 @@ def stratified_split(
     quotas = class_quotas(class_counts, label, test_size, val_size)
     lookup = offsets.join(quotas, label).select(label, "_b", "_off", "n_train", "n_validation")
 
-    rank_w = Window.partitionBy(label, "_b").orderBy("_h", *key)
-    ranked = x.join(F.broadcast(lookup), [label, "_b"]).withColumn(
-        "_rank", F.col("_off") + F.row_number().over(rank_w) - 1
+    # At most classes x 16^hex_digits rows; the ranked rows keep their partitioning.
+    ranked = within.join(F.broadcast(lookup), [label, "_b"]).withColumn(
+        "_rank", F.col("_off") + F.col("_rn") - 1
     )
     split = (
         F.when(F.col("_rank") < F.col("n_train"), "train")
