@@ -219,20 +219,20 @@ def box_score_by_result(spark, sf_dir):
 
 # --- encoding and split ---------------------------------------------------------
 
-def _whole_features(spark, sf_dir):
-    return flows.whole_course_master(_t(spark, sf_dir)).drop(*flows.DROP_WHOLE)
-
+# The encodings learn their levels with a small action first; going through the
+# flow checkpoints the master table, so its joins and aggregations run once.
 
 def one_hot_tree(spark, sf_dir):
-    return encode.one_hot(_whole_features(spark, sf_dir), drop_first=False)
+    return flows.whole_course(_t(spark, sf_dir))["encoded_tree"]
 
 
 def one_hot_linear(spark, sf_dir):
-    return encode.one_hot(_whole_features(spark, sf_dir), drop_first=True)
+    return flows.whole_course(_t(spark, sf_dir))["encoded_linear"]
 
 
 def one_hot_vector(spark, sf_dir):
-    return encode.one_hot_vector(_whole_features(spark, sf_dir), drop_first=False)
+    feats = flows.whole_course(_t(spark, sf_dir))["features"]
+    return encode.one_hot_vector(feats, drop_first=False)
 
 
 def _split(spark, sf_dir):
