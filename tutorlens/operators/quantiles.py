@@ -56,6 +56,7 @@ def quantiles_from_counts(
     """
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     keys = list(by)
+    keys_sql = "".join(f"`{k}`, " for k in keys)
 
     bounds = vc.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     if keys:
@@ -65,86 +66,75 @@ def quantiles_from_counts(
         # One row in all: a scalar subquery, inlined as literals (no join).
         b = bounds.select(F.struct("_lo", "_hi")).scalar()
         vb = vc.select("_v", "_c", b["_lo"].alias("_lo"), b["_hi"].alias("_hi"))
-    span = F.col("_hi") - F.col("_lo")
-    bucket = (
-        F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets), F.lit(buckets - 1)))
-        .otherwise(F.lit(0))
-        .cast("int")
+    vb = vb.selectExpr(
+        *[f"`{k}`" for k in keys],
+        "_v",
+        "_c",
+        "_lo",
+        "_hi",
+        f"CAST(IF(_hi > _lo, LEAST(FLOOR((_v - _lo) / (_hi - _lo) * {buckets}), {buckets - 1}), 0) AS INT) AS _b",
     )
-    vb = vb.select(*keys, "_v", "_c", "_lo", "_hi", bucket.alias("_b"))
 
     # _lo and _hi are constant per group: grouping on them only carries them along.
     per_bucket = vb.groupBy(*keys, "_b", "_lo", "_hi").agg(
-        F.sum("_c").alias("_bn"), F.sum(F.col("_v") * F.col("_c")).alias("_bs")
+        F.expr("SUM(_c) AS _bn"), F.expr("SUM(_v * _c) AS _bs")
     )
-    group = Window.partitionBy(*keys)
-    running = per_bucket.select(
-        *keys,
+    part = f"PARTITION BY {keys_sql[:-2]}" if keys else ""
+    running = per_bucket.selectExpr(
+        *[f"`{k}`" for k in keys],
         "_b",
         "_bn",
         "_lo",
         "_hi",
-        (F.sum("_bn").over(group.orderBy("_b")) - F.col("_bn")).alias("_before"),
-        F.sum("_bn").over(group).alias("_n"),
-        F.sum("_bs").over(group).alias("_sum"),
+        f"SUM(_bn) OVER ({part} ORDER BY _b) - _bn AS _before",
+        f"SUM(_bn) OVER ({part}) AS _n",
+        f"SUM(_bs) OVER ({part}) AS _sum",
     )
     # Every wanted order statistic as (_pi, _which, _k, _frac); _which 0/1 = floor/ceil.
     wanted = []
     for i, p in enumerate(probs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        frac = pos - F.floor(pos)
-        for which, k in ((0, F.floor(pos)), (1, F.ceil(pos))):
+        pos = f"(CAST(_n - 1 AS DOUBLE) * CAST({float(p)!r} AS DOUBLE))"
+        for which, k in ((0, f"FLOOR({pos})"), (1, f"CEIL({pos})")):
             wanted.append(
-                F.struct(
-                    F.lit(i).alias("_pi"),
-                    F.lit(which).alias("_which"),
-                    k.cast("long").alias("_k"),
-                    frac.alias("_frac"),
-                )
+                f"named_struct('_pi', {i}, '_which', {which}, '_k', CAST({k} AS BIGINT), '_frac', {pos} - FLOOR({pos}))"
             )
-    inside = F.filter(
-        F.array(*wanted),
-        lambda t: (t["_k"] >= F.col("_before")) & (t["_k"] < F.col("_before") + F.col("_bn")),
-    )
     # One row per bucket holding a wanted rank (a handful per group).
-    hits = running.select(*keys, "_b", "_before", "_n", "_sum", "_lo", "_hi", inside.alias("_hits")).where(
-        F.size("_hits") > 0
-    )
+    hits = running.selectExpr(
+        *[f"`{k}`" for k in keys],
+        "_b",
+        "_before",
+        "_n",
+        "_sum",
+        "_lo",
+        "_hi",
+        f"filter(array({', '.join(wanted)}), t -> t._k >= _before AND t._k < _before + _bn) AS _hits",
+    ).where("size(_hits) > 0")
 
     ranked = vb.select(*keys, "_b", "_v", "_c").join(F.broadcast(hits), [*keys, "_b"])
-    ranked = ranked.withColumn(
-        "_upto", F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_v"))
-    )
-    picked = ranked.select(*keys, "_v", "_c", "_upto", "_n", "_sum", "_lo", "_hi", F.explode("_hits").alias("h")).where(
-        (F.col("h._k") < F.col("_upto")) & (F.col("h._k") >= F.col("_upto") - F.col("_c"))
+    picked = ranked.selectExpr(
+        *[f"`{k}`" for k in keys],
+        "_v",
+        "_c",
+        f"_before + SUM(_c) OVER (PARTITION BY {keys_sql}_b ORDER BY _v) AS _upto",
+        "_n",
+        "_sum",
+        "_lo",
+        "_hi",
+        "_hits",
+    ).selectExpr(*[f"`{k}`" for k in keys], "_v", "_c", "_upto", "_n", "_sum", "_lo", "_hi", "explode(_hits) AS h").where(
+        "h._k < _upto AND h._k >= _upto - _c"
     )
-    aggs = [
-        F.max("_n").alias("_n"),
-        F.max("_sum").alias("_sum"),
-        F.max("_lo").alias("_lo"),
-        F.max("_hi").alias("_hi"),
-    ]
-    for i, n in enumerate(names):
-        sel = F.col("h._pi") == i
+    aggs = ["MAX(_n) AS _n", "MAX(_sum) AS _sum", "MAX(_lo) AS _lo", "MAX(_hi) AS _hi"]
+    for i in range(len(names)):
         aggs += [
-            F.max(F.when(sel & (F.col("h._which") == 0), F.col("_v"))).alias(f"_lo{i}"),
-            F.max(F.when(sel & (F.col("h._which") == 1), F.col("_v"))).alias(f"_hi{i}"),
-            F.max(F.when(sel, F.col("h._frac"))).alias(f"_f{i}"),
-        ]
-    extra = []
-    if moments:
-        extra = [
-            F.col("_n").alias("n"),
-            (F.col("_sum") / F.col("_n")).alias("mean"),
-            F.col("_lo").alias("min"),
-            F.col("_hi").alias("max"),
+            f"MAX(CASE WHEN h._pi = {i} AND h._which = 0 THEN _v END) AS _lo{i}",
+            f"MAX(CASE WHEN h._pi = {i} AND h._which = 1 THEN _v END) AS _hi{i}",
+            f"MAX(CASE WHEN h._pi = {i} THEN h._frac END) AS _f{i}",
         ]
-    out = picked.groupBy(*keys).agg(*aggs).select(
-        *keys,
-        *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(n)
-            for i, n in enumerate(names)
-        ],
+    extra = ["_n AS n", "_sum / _n AS mean", "_lo AS min", "_hi AS max"] if moments else []
+    out = picked.groupBy(*keys).agg(*[F.expr(a) for a in aggs]).selectExpr(
+        *[f"`{k}`" for k in keys],
+        *[f"_lo{i} + (_hi{i} - _lo{i}) * _f{i} AS `{n}`" for i, n in enumerate(names)],
         *extra,
     )
     return out

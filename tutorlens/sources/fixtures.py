@@ -57,25 +57,29 @@ def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _case_mod(c, mod: int, values: list[str]):
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(c % mod == i, v) if expr is None else expr.when(c % mod == i, v)
-    return expr
+def _case_mod(expr: str, mod: int, values: list[str]) -> str:
+    arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {expr} % {mod} {arms} END"
 
 
+def _case_by(expr: str, mapping: dict) -> str:
+    arms = " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items())
+    return f"CASE {expr} {arms} END"
+
+
+# The projections are Spark SQL expressions: one call per view instead of one
+# per expression node.
+
 def enrolments(customer: DataFrame) -> DataFrame:
     """Every customer once (``again`` = 0), every fourth once more (``again`` = 1)."""
-    key = F.col("c_custkey")
-    again = F.explode(F.when(key % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    base = customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", again.alias("again"))
-    presentation = (
-        F.when(F.col("again") == 1, "2014J").when(key % 2 == 0, "2013J").otherwise("2014B")
+    base = customer.selectExpr(
+        "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment",
+        "explode(IF(c_custkey % 4 = 0, array(0, 1), array(0))) AS again",
     )
-    return base.select(
-        F.col("c_mktsegment").alias("code_module"),
-        presentation.alias("code_presentation"),
-        key.alias("id_student"),
+    return base.selectExpr(
+        "c_mktsegment AS code_module",
+        "CASE WHEN again = 1 THEN '2014J' WHEN c_custkey % 2 = 0 THEN '2013J' ELSE '2014B' END AS code_presentation",
+        "c_custkey AS id_student",
         "again",
         "c_custkey",
         "c_nationkey",
@@ -84,102 +88,90 @@ def enrolments(customer: DataFrame) -> DataFrame:
 
 
 def student_info(enrol: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    n = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
-    r = region.select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    n = nation.selectExpr("n_nationkey AS c_nationkey", "n_regionkey")
+    r = region.selectExpr("r_regionkey AS n_regionkey", "r_name")
     x = enrol.join(F.broadcast(n), "c_nationkey").join(F.broadcast(r), "n_regionkey")
-    c, again = F.col("c_custkey"), F.col("again")
-    result_code = (c + 3 * again) % 10
-    return x.select(
+    result_code = "(c_custkey + 3 * again) % 10"
+    return x.selectExpr(
         "code_module",
         "code_presentation",
         "id_student",
-        F.when(c % 2 == 0, "F").otherwise("M").alias("gender"),
-        F.col("r_name").alias("region"),
-        _case_mod(c, 5, EDUCATION).alias("highest_education"),
-        F.when(c % 11 == 0, F.lit(None).cast("string"))
-        .when(F.col("c_acctbal") < 2000, "0-20%")
-        .when(F.col("c_acctbal") < 5000, "20-40%")
-        .otherwise("40-60%")
-        .alias("imd_band"),
-        _case_mod(c, 3, AGE_BAND).alias("age_band"),
-        (c % 4 + again).cast("int").alias("num_of_prev_attempts"),
-        (F.lit(30) * (c % 6 + 1)).cast("int").alias("studied_credits"),
-        F.when(c % 9 == 0, "Y").otherwise("N").alias("disability"),
-        F.when(result_code < 4, "Pass")
-        .when(result_code < 5, "Distinction")
-        .when(result_code < 7, "Fail")
-        .otherwise("Withdrawn")
-        .alias("final_result"),
+        "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender",
+        "r_name AS region",
+        f"{_case_mod('c_custkey', 5, EDUCATION)} AS highest_education",
+        "CASE WHEN c_custkey % 11 = 0 THEN CAST(NULL AS STRING) WHEN c_acctbal < 2000 THEN '0-20%' "
+        "WHEN c_acctbal < 5000 THEN '20-40%' ELSE '40-60%' END AS imd_band",
+        f"{_case_mod('c_custkey', 3, AGE_BAND)} AS age_band",
+        "CAST(c_custkey % 4 + again AS INT) AS num_of_prev_attempts",
+        "CAST(30 * (c_custkey % 6 + 1) AS INT) AS studied_credits",
+        "CASE WHEN c_custkey % 9 = 0 THEN 'Y' ELSE 'N' END AS disability",
+        f"CASE WHEN {result_code} < 4 THEN 'Pass' WHEN {result_code} < 5 THEN 'Distinction' "
+        f"WHEN {result_code} < 7 THEN 'Fail' ELSE 'Withdrawn' END AS final_result",
     )
 
 
 def courses(enrol: DataFrame) -> DataFrame:
-    length = None
-    for pres, days in COURSE_LENGTH.items():
-        cond = F.col("code_presentation") == pres
-        length = F.when(cond, days) if length is None else length.when(cond, days)
     return (
         enrol.select("code_module", "code_presentation")
         .distinct()
-        .select("code_module", "code_presentation", length.cast("int").alias("module_presentation_length"))
+        .selectExpr(
+            "code_module",
+            "code_presentation",
+            f"CAST({_case_by('code_presentation', COURSE_LENGTH)} AS INT) AS module_presentation_length",
+        )
     )
 
 
 def assessments(part: DataFrame) -> DataFrame:
-    k, size = F.col("p_partkey"), F.col("p_size")
-    date = (
-        F.when(k % 7 == 0, F.lit(None).cast("double"))
-        .when((k % 5 == 4) & (size % 4 == 2), (size + 20).cast("double"))
-        .otherwise(size.cast("double"))
-    )
-    return part.select(
-        _case_mod(k, 5, MODULE_BY_PART).alias("code_module"),
-        _case_mod(size, 4, PRESENTATION_BY_SIZE).alias("code_presentation"),
-        k.alias("id_assessment"),
-        F.col("p_type").alias("assessment_type"),
-        date.alias("date"),
+    return part.selectExpr(
+        f"{_case_mod('p_partkey', 5, MODULE_BY_PART)} AS code_module",
+        f"{_case_mod('p_size', 4, PRESENTATION_BY_SIZE)} AS code_presentation",
+        "p_partkey AS id_assessment",
+        "p_type AS assessment_type",
+        "CASE WHEN p_partkey % 7 = 0 THEN CAST(NULL AS DOUBLE) "
+        "WHEN p_partkey % 5 = 4 AND p_size % 4 = 2 THEN CAST(p_size + 20 AS DOUBLE) "
+        "ELSE CAST(p_size AS DOUBLE) END AS date",
     )
 
 
 def student_assessment(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_shipdate")
-    od = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-    x = li.join(od, "l_orderkey")
-    pk = F.col("l_partkey")
-    return x.select(
-        F.when((F.col("l_linenumber") == 7) & (pk % 10 == 0), pk + 1000000).otherwise(pk).alias("id_assessment"),
-        F.col("o_custkey").alias("id_student"),
-        (F.abs(F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))) % 40).cast("int").alias("date_submitted"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("int").alias("is_banked"),
-        F.when((F.col("l_tax") == 0.0) | (F.col("o_custkey") % 19 == 0), F.lit(None).cast("double"))
-        .otherwise(F.col("l_quantity") * 2)
-        .cast("double")
-        .alias("score"),
+    od = orders.selectExpr("o_orderkey AS l_orderkey", "o_custkey", "o_orderdate")
+    return li.join(od, "l_orderkey").selectExpr(
+        "CASE WHEN l_linenumber = 7 AND l_partkey % 10 = 0 THEN l_partkey + 1000000 ELSE l_partkey END AS id_assessment",
+        "o_custkey AS id_student",
+        "CAST(abs(datediff(to_date(l_shipdate), to_date(o_orderdate))) % 40 AS INT) AS date_submitted",
+        "CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS INT) AS is_banked",
+        "CASE WHEN l_tax = 0.0 OR o_custkey % 19 = 0 THEN CAST(NULL AS DOUBLE) "
+        "ELSE CAST(l_quantity * 2 AS DOUBLE) END AS score",
     )
 
 
 def student_vle(events: DataFrame, enrol: DataFrame) -> DataFrame:
-    ev = events.select("event_id", "ts", F.col("user_id").alias("id_student"), "value", "props")
+    ev = events.selectExpr("event_id", "ts", "user_id AS id_student", "value", "props")
     en = enrol.select("code_module", "code_presentation", "id_student", "again")
-    x = ev.join(en, "id_student").where((F.col("event_id") + F.col("again")) % 2 == 0)
-    return x.select(
-        "code_module",
-        "code_presentation",
-        "id_student",
-        F.get_json_object("props", "$.k").cast("long").alias("id_site"),
-        (F.datediff(F.to_date("ts"), F.lit(VLE_START).cast("date")) - VLE_DAY_SHIFT).cast("int").alias("date"),
-        F.floor("value").cast("long").alias("sum_click"),
+    return (
+        ev.join(en, "id_student")
+        .where("(event_id + again) % 2 = 0")
+        .selectExpr(
+            "code_module",
+            "code_presentation",
+            "id_student",
+            "CAST(get_json_object(props, '$.k') AS BIGINT) AS id_site",
+            f"CAST(datediff(to_date(ts), DATE'{VLE_START}') - {VLE_DAY_SHIFT} AS INT) AS date",
+            "CAST(floor(value) AS BIGINT) AS sum_click",
+        )
     )
 
 
 def student_registration(enrol: DataFrame) -> DataFrame:
-    c, again = F.col("c_custkey"), F.col("again")
-    return enrol.where(c % 17 != 0).select(
+    return enrol.where("c_custkey % 17 <> 0").selectExpr(
         "code_module",
         "code_presentation",
         "id_student",
-        F.when(c % 13 == 0, F.lit(None).cast("double")).otherwise((-(c % 200)).cast("double")).alias("date_registration"),
-        F.when((c + 3 * again) % 10 >= 7, (c % 60).cast("double")).alias("date_unregistration"),
+        "CASE WHEN c_custkey % 13 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(-(c_custkey % 200) AS DOUBLE) END "
+        "AS date_registration",
+        "CASE WHEN (c_custkey + 3 * again) % 10 >= 7 THEN CAST(c_custkey % 60 AS DOUBLE) END AS date_unregistration",
     )
 
 
