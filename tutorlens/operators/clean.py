@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tutorlens.functions.nulls import count_missing
+from tutorlens.functions.sqltext import ident
 from tutorlens.keys import K2
 from tutorlens.operators.quantiles import median_of
 
@@ -24,9 +25,13 @@ def fill_constant(df: DataFrame, column: str, value) -> DataFrame:
 
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Zero-fill after a left join, keeping each column's type."""
-    return df.select(
-        *[F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)).alias(c) if c in columns else F.col(c) for c in df.columns]
-    )
+    exprs = []
+    for c in df.columns:
+        if c in columns:
+            exprs.append(f"coalesce({ident(c)}, CAST(0 AS {df.schema[c].dataType.simpleString()})) AS {ident(c)}")
+        else:
+            exprs.append(ident(c))
+    return df.selectExpr(*exprs)
 
 
 def fill_median(df: DataFrame, column: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tutorlens.functions.lookup import TARGET_CODES, map_lookup
+from tutorlens.functions.sqltext import ident, literal
 
 # The category columns that are one-hot encoded.
 CATEGORY_COLUMNS = [
@@ -95,15 +96,15 @@ def one_hot(
     """E1 (all levels) / E2 (``drop_first=True``) as boolean columns."""
     cols = list(columns)
     lv = dict(levels) if levels is not None else discover_levels(df, cols, max_levels)
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    kept = [ident(c) for c in df.columns if c not in cols]
     dummies = []
     for c in cols:
         values = sorted(lv[c])
         if drop_first:
             values = values[1:]
         for v in values:
-            dummies.append(F.coalesce(F.col(f"`{c}`") == F.lit(v), F.lit(False)).alias(dummy_name(c, v)))
-    return df.select(*kept, *dummies)
+            dummies.append(f"coalesce({ident(c)} = {literal(v)}, FALSE) AS {ident(dummy_name(c, v))}")
+    return df.selectExpr(*kept, *dummies)
 
 
 def one_hot_vector(

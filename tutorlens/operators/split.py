@@ -33,22 +33,21 @@ from tutorlens.keys import K3
 SPLITS = ("train", "validation", "test")
 
 
-def split_hash(key: Sequence[str], seed: int):
-    parts = [F.lit(str(seed))] + [F.col(k).cast("string") for k in key]
-    return F.md5(F.concat_ws("|", *parts))
-
-
-def _largest_remainder(counts: DataFrame, label: str, count_col: str, draws, out: str) -> DataFrame:
-    """Allocate ``draws`` (a column) over classes in proportion to ``count_col``."""
-    total_w = Window.partitionBy()
-    cont = F.col(count_col).cast("double") / F.sum(count_col).over(total_w).cast("double") * draws.cast("double")
-    step = counts.withColumn("_cont", cont).withColumn("_floor", F.floor("_cont"))
-    step = step.withColumn("_need", draws.cast("long") - F.sum("_floor").over(total_w))
-    step = step.withColumn(
-        "_order", F.row_number().over(Window.orderBy(F.desc(F.col("_cont") - F.col("_floor")), F.col(label)))
+def _largest_remainder(counts: DataFrame, label: str, count_col: str, draws: str, out: str) -> DataFrame:
+    """Allocate ``draws`` (an SQL expression) over classes in proportion to ``count_col``.
+
+    ``counts`` has one row per class, so the global windows run on a tiny table.
+    """
+    cont = f"CAST({count_col} AS DOUBLE) / CAST(SUM({count_col}) OVER () AS DOUBLE) * CAST({draws} AS DOUBLE)"
+    step = counts.selectExpr("*", f"{cont} AS _cont").selectExpr("*", "FLOOR(_cont) AS _floor")
+    step = step.selectExpr(
+        "*",
+        f"CAST({draws} AS BIGINT) - SUM(_floor) OVER () AS _need",
+        f"ROW_NUMBER() OVER (ORDER BY _cont - _floor DESC, `{label}`) AS _order",
+    )
+    return step.selectExpr("*", f"CAST(_floor + IF(_order <= _need, 1, 0) AS BIGINT) AS {out}").drop(
+        "_cont", "_floor", "_need", "_order"
     )
-    alloc = F.col("_floor") + F.when(F.col("_order") <= F.col("_need"), 1).otherwise(0)
-    return step.withColumn(out, alloc.cast("long")).drop("_cont", "_floor", "_need", "_order")
 
 
 def class_quotas(class_counts: DataFrame, label: str, test_size: float, val_size: float) -> DataFrame:
@@ -57,19 +56,15 @@ def class_quotas(class_counts: DataFrame, label: str, test_size: float, val_size
     ``class_counts`` has one row per class (a handful), so the global windows
     here run over a tiny table.
     """
-    w = Window.partitionBy()
-    n = F.sum("n_class").over(w)
-    c = class_counts.withColumn("_n_test", F.ceil(F.lit(float(test_size)) * n.cast("double")))
-    c = _largest_remainder(c, label, "n_class", F.sum("n_class").over(w) - F.col("_n_test"), "_n_rest")
     val_ratio = float(val_size) / (1.0 - float(test_size))
-    c = c.withColumn("_n_val", F.ceil(F.lit(val_ratio) * F.sum("_n_rest").over(w).cast("double")))
-    c = _largest_remainder(c, label, "_n_rest", F.sum("_n_rest").over(w) - F.col("_n_val"), "n_train")
-    return c.select(
-        label,
-        "n_class",
-        "n_train",
-        (F.col("_n_rest") - F.col("n_train")).alias("n_validation"),
-        (F.col("n_class") - F.col("_n_rest")).alias("n_test"),
+    c = class_counts.selectExpr(
+        "*", f"CEIL(CAST({float(test_size)!r} AS DOUBLE) * CAST(SUM(n_class) OVER () AS DOUBLE)) AS _n_test"
+    )
+    c = _largest_remainder(c, label, "n_class", "SUM(n_class) OVER () - _n_test", "_n_rest")
+    c = c.selectExpr("*", f"CEIL(CAST({val_ratio!r} AS DOUBLE) * CAST(SUM(_n_rest) OVER () AS DOUBLE)) AS _n_val")
+    c = _largest_remainder(c, label, "_n_rest", "SUM(_n_rest) OVER () - _n_val", "n_train")
+    return c.selectExpr(
+        f"`{label}`", "n_class", "n_train", "_n_rest - n_train AS n_validation", "n_class - _n_rest AS n_test"
     )
 
 
@@ -90,46 +85,42 @@ def stratified_split(
     is the label domain; a missing or unknown label fails the job, which also
     bounds the per-class tables that are broadcast.
     """
-    lab = F.col(label)
-    ok = lab.isin(list(classes))
+    lab = f"`{label}`"
+    domain = ", ".join(repr(c) for c in classes)
+    message = f"stratified_split: label {label} missing or not in [{domain}]: "
     checked = df.withColumn(
         label,
-        F.when(ok, lab).otherwise(
-            F.raise_error(
-                F.concat(
-                    F.lit(f"stratified_split: label {label} missing or not in {list(classes)}: "),
-                    F.coalesce(lab.cast("string"), F.lit("null")),
-                )
-            )
-        ).cast(df.schema[label].dataType),
+        F.expr(
+            f"CAST(IF({lab} IN ({domain}), {lab}, raise_error(concat('{message}', coalesce(CAST({lab} AS STRING), 'null')))) "
+            f"AS {df.schema[label].dataType.simpleString()})"
+        ),
+    )
+    keys = ", ".join(f"CAST(`{k}` AS STRING)" for k in key)
+    order = ", ".join(f"`{k}`" for k in key)
+    x = checked.selectExpr("*", f"md5(concat_ws('|', '{seed}', {keys})) AS _h").selectExpr(
+        "*", f"CAST(conv(substring(_h, 1, {hex_digits}), 16, 10) AS INT) AS _b"
     )
-    h = split_hash(key, seed)
-    x = checked.withColumn("_h", h).withColumn("_b", F.conv(F.substring("_h", 1, hex_digits), 16, 10).cast("int"))
 
     # One shuffle of the input: rows are ranked inside their (class, bucket),
     # and the same window partition gives the bucket size.
-    bucket = Window.partitionBy(label, "_b")
-    within = x.withColumn("_rn", F.row_number().over(bucket.orderBy("_h", *key))).withColumn(
-        "_bn", F.count(F.lit(1)).over(bucket)
+    within = x.selectExpr(
+        "*",
+        f"ROW_NUMBER() OVER (PARTITION BY {lab}, _b ORDER BY _h, {order}) AS _rn",
+        f"COUNT(1) OVER (PARTITION BY {lab}, _b) AS _bn",
     )
-    per_bucket = within.where(F.col("_rn") == 1).select(label, "_b", "_bn")
-    offsets = per_bucket.withColumn(
-        "_off", F.sum("_bn").over(Window.partitionBy(label).orderBy("_b")) - F.col("_bn")
-    )
-    class_counts = per_bucket.groupBy(label).agg(F.sum("_bn").alias("n_class"))
+    per_bucket = within.where("_rn = 1").select(label, "_b", "_bn")
+    offsets = per_bucket.selectExpr("*", f"SUM(_bn) OVER (PARTITION BY {lab} ORDER BY _b) - _bn AS _off")
+    class_counts = per_bucket.groupBy(label).agg(F.expr("SUM(_bn) AS n_class"))
     quotas = class_quotas(class_counts, label, test_size, val_size)
     lookup = offsets.join(quotas, label).select(label, "_b", "_off", "n_train", "n_validation")
 
     # At most classes x 16^hex_digits rows; the ranked rows keep their partitioning.
-    ranked = within.join(F.broadcast(lookup), [label, "_b"]).withColumn(
-        "_rank", F.col("_off") + F.col("_rn") - 1
-    )
+    ranked = within.join(F.broadcast(lookup), [label, "_b"]).selectExpr("*", "_off + _rn - 1 AS _rank")
     split = (
-        F.when(F.col("_rank") < F.col("n_train"), "train")
-        .when(F.col("_rank") < F.col("n_train") + F.col("n_validation"), "validation")
-        .otherwise("test")
+        f"CASE WHEN _rank < n_train THEN 'train' WHEN _rank < n_train + n_validation THEN 'validation' "
+        f"ELSE 'test' END AS `{output}`"
     )
-    return ranked.withColumn(output, split).select(*df.columns, output)
+    return ranked.selectExpr(*[f"`{c}`" for c in df.columns], split)
 
 
 def split_sizes(split_df: DataFrame, output: str = "split") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tutorlens.functions.lookup import CLASS_NAMES
-from tutorlens.functions.rounding import round_half_even
+from tutorlens.functions.sqltext import ident, literal, null_cells
 from tutorlens.keys import K3
 from tutorlens.operators import clean, distributions, encode, features, profile, split
 from tutorlens.session import materialize
@@ -76,44 +76,35 @@ def final_report(
     linear: DataFrame,
     tree: DataFrame,
     label: str = "target",
-    extra: Mapping[str, F.Column] | None = None,
 ) -> DataFrame:
     """Shapes, class balance, null totals and verdict as (item, value) rows.
 
     One aggregate over the tree form (same rows as the master and the linear
     form; its columns include every linear column).
     """
-    null_cells = lambda cols: sum((F.count_if(F.col(f"`{c}`").isNull()) for c in cols), F.lit(0))
-    lab = F.col(f"`{label}`")
+    lab = ident(label)
     aggs = [
-        F.count(F.lit(1)).cast("double").alias("rows"),
-        null_cells(linear.columns).cast("double").alias("nulls_linear"),
-        null_cells(tree.columns).cast("double").alias("nulls_tree"),
-        F.count(lab).cast("double").alias("_labelled"),
-    ]
-    for code in CLASS_NAMES:
-        aggs.append(F.count_if(lab == code).cast("double").alias(f"_c{code}"))
-    for name, col in (extra or {}).items():
-        aggs.append(col.cast("double").alias(name))
-    one = tree.agg(*aggs)
+        "CAST(COUNT(1) AS DOUBLE) AS rows",
+        f"CAST({null_cells(linear.columns)} AS DOUBLE) AS nulls_linear",
+        f"CAST({null_cells(tree.columns)} AS DOUBLE) AS nulls_tree",
+        f"CAST(COUNT({lab}) AS DOUBLE) AS _labelled",
+    ] + [f"CAST(count_if({lab} = {code}) AS DOUBLE) AS _c{code}" for code in CLASS_NAMES]
+    one = tree.agg(*[F.expr(a) for a in aggs])
     items = [
-        ("master_rows", F.col("rows")),
-        ("master_cols", F.lit(float(len(master.columns)))),
-        ("linear_rows", F.col("rows")),
-        ("linear_cols", F.lit(float(len(linear.columns)))),
-        ("tree_rows", F.col("rows")),
-        ("tree_cols", F.lit(float(len(tree.columns)))),
-        ("nulls_linear", F.col("nulls_linear")),
-        ("nulls_tree", F.col("nulls_tree")),
-        ("all_clear", ((F.col("nulls_linear") == 0) & (F.col("nulls_tree") == 0)).cast("double")),
+        ("master_rows", "rows"),
+        ("master_cols", f"CAST({len(master.columns)} AS DOUBLE)"),
+        ("linear_rows", "rows"),
+        ("linear_cols", f"CAST({len(linear.columns)} AS DOUBLE)"),
+        ("tree_rows", "rows"),
+        ("tree_cols", f"CAST({len(tree.columns)} AS DOUBLE)"),
+        ("nulls_linear", "nulls_linear"),
+        ("nulls_tree", "nulls_tree"),
+        ("all_clear", "CAST(nulls_linear = 0 AND nulls_tree = 0 AS DOUBLE)"),
     ]
     for code, cname in CLASS_NAMES.items():
-        items.append((f"share {cname}", round_half_even(F.try_divide(F.col(f"_c{code}"), F.col("_labelled")), 3)))
-    for name in extra or {}:
-        items.append((name, F.col(name)))
-    return one.select(
-        F.explode(F.array(*[F.struct(F.lit(n).alias("item"), v.cast("double").alias("value")) for n, v in items])).alias("r")
-    ).select("r.item", "r.value")
+        items.append((f"share {cname}", f"bround(try_divide(_c{code}, _labelled), 3)"))
+    pairs = ", ".join(f"{literal(n)}, CAST({e} AS DOUBLE)" for n, e in items)
+    return one.selectExpr(f"stack({len(items)}, {pairs}) AS (item, value)")
 
 
 def whole_course(
