@@ -103,11 +103,15 @@ def describe_tables(
         part = _stacked_numeric(df, (columns or {}).get(name), name)
         long = part if long is None else long.unionByName(part)
     keys = ["table_name", "column_name"]
-    basic = long.groupBy(*keys).agg(F.count("value").alias("count"), F.stddev_samp("value").alias("std"))
+    # One pass: quartiles, count, mean, std, min and max all come out of the
+    # exact-quantile plan.  A column with no value at all has no row there, so
+    # it is completed from the list of stacked columns (count 0, rest null).
     qs = quantiles(long, "value", [0.25, 0.5, 0.75], by=keys, names=["p25", "p50", "p75"], moments=True)
-    # Both sides have one row per (table, column).
-    out = basic.join(F.broadcast(qs), keys, "left").select(
-        *keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    names = [(t, c) for t, df in tables.items() for c in ((columns or {}).get(t) or numeric_columns(df))]
+    spark = long.sparkSession
+    listing = spark.createDataFrame(names, "table_name string, column_name string")
+    out = listing.join(F.broadcast(qs), keys, "left").selectExpr(
+        *keys, "coalesce(CAST(n AS BIGINT), 0) AS count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
     if digits is not None:
         out = out.select(*keys, "count", *[F.round(c, digits).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])

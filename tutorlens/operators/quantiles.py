@@ -51,33 +51,54 @@ def quantiles_from_counts(
 ) -> DataFrame:
     """Quantiles from value counts ``(by..., _v, _c)``; one row per group.
 
-    With ``moments`` the row also carries ``n``, ``mean``, ``min`` and ``max``
-    of the group, folded through the same stages (no extra pass).
+    With ``moments`` the row also carries ``n``, ``mean``, ``std`` (sample),
+    ``min`` and ``max`` of the group, folded through the same stages (no extra
+    pass).
     """
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     keys = list(by)
     keys_sql = "".join(f"`{k}`, " for k in keys)
 
-    bounds = vc.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    # The bounds read every column of vc and count its rows (distinct values),
+    # which only the value-count level can answer: so the optimizer cannot fold
+    # this aggregate onto the raw input, both uses of vc are the same plan, and
+    # the input is scanned and shuffled once (exchange reuse).
+    bounds = vc.groupBy(*keys).agg(
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+        F.sum("_c").alias("_tot"),
+        F.count(F.lit(1)).alias("_nd"),
+    )
     if keys:
         # One row per group: broadcast and joined on the group key.
         vb = vc.join(F.broadcast(bounds), keys)
     else:
         # One row in all: a scalar subquery, inlined as literals (no join).
-        b = bounds.select(F.struct("_lo", "_hi")).scalar()
-        vb = vc.select("_v", "_c", b["_lo"].alias("_lo"), b["_hi"].alias("_hi"))
+        b = bounds.select(F.struct("_lo", "_hi", "_tot", "_nd")).scalar()
+        vb = vc.select(
+            "_v", "_c", b["_lo"].alias("_lo"), b["_hi"].alias("_hi"), b["_tot"].alias("_tot"), b["_nd"].alias("_nd")
+        )
     vb = vb.selectExpr(
         *[f"`{k}`" for k in keys],
         "_v",
         "_c",
         "_lo",
         "_hi",
+        "_tot",
+        "_nd",
         f"CAST(IF(_hi > _lo, LEAST(FLOOR((_v - _lo) / (_hi - _lo) * {buckets}), {buckets - 1}), 0) AS INT) AS _b",
     )
 
-    # _lo and _hi are constant per group: grouping on them only carries them along.
-    per_bucket = vb.groupBy(*keys, "_b", "_lo", "_hi").agg(
-        F.expr("SUM(_c) AS _bn"), F.expr("SUM(_v * _c) AS _bs")
+    # _lo, _hi, _tot and _nd are constant per group: grouping on them only carries them along.
+    # Deviations are taken from the bucket's own start (_o), so the sums of
+    # squares stay small and the variance is exact to double precision even
+    # for large values with a small spread (ids).
+    origin = f"IF(_hi > _lo, _lo + CAST(_b AS DOUBLE) * (_hi - _lo) / {buckets}, _lo)"
+    per_bucket = vb.groupBy(*keys, "_b", "_lo", "_hi", "_tot", "_nd").agg(
+        F.expr("SUM(_c) AS _bn"),
+        F.expr("SUM(_v * _c) AS _bs"),
+        F.expr(f"SUM((_v - {origin}) * _c) AS _d1"),
+        F.expr(f"SUM((_v - {origin}) * (_v - {origin}) * _c) AS _d2"),
     )
     part = f"PARTITION BY {keys_sql[:-2]}" if keys else ""
     running = per_bucket.selectExpr(
@@ -86,9 +107,16 @@ def quantiles_from_counts(
         "_bn",
         "_lo",
         "_hi",
+        "_nd",
         f"SUM(_bn) OVER ({part} ORDER BY _b) - _bn AS _before",
-        f"SUM(_bn) OVER ({part}) AS _n",
+        "_tot AS _n",
         f"SUM(_bs) OVER ({part}) AS _sum",
+        f"{origin} + _d1 / _bn AS _bmean",
+        "_d2 - _d1 * _d1 / _bn AS _bm2",
+    ).selectExpr(
+        "*",
+        # Chan et al.: within-bucket squares plus between-bucket spread.
+        f"SUM(_bm2 + _bn * (_bmean - _sum / _n) * (_bmean - _sum / _n)) OVER ({part}) AS _m2",
     )
     # Every wanted order statistic as (_pi, _which, _k, _frac); _which 0/1 = floor/ceil.
     wanted = []
@@ -105,12 +133,17 @@ def quantiles_from_counts(
         "_before",
         "_n",
         "_sum",
+        "_m2",
         "_lo",
         "_hi",
         f"filter(array({', '.join(wanted)}), t -> t._k >= _before AND t._k < _before + _bn) AS _hits",
-    ).where("size(_hits) > 0")
+    ).where("size(_hits) > 0 AND _nd > 0")
 
-    ranked = vb.select(*keys, "_b", "_v", "_c").join(F.broadcast(hits), [*keys, "_b"])
+    # Both branches over vb use the distinct-value count (_nd > 0 always holds),
+    # so neither copy of the bounds aggregate can be folded onto the raw input.
+    ranked = vb.selectExpr(*[f"`{k}`" for k in keys], "_b", "_v", "_c", "_nd AS _ndr").join(
+        F.broadcast(hits), [*keys, "_b"]
+    )
     picked = ranked.selectExpr(
         *[f"`{k}`" for k in keys],
         "_v",
@@ -118,20 +151,32 @@ def quantiles_from_counts(
         f"_before + SUM(_c) OVER (PARTITION BY {keys_sql}_b ORDER BY _v) AS _upto",
         "_n",
         "_sum",
+        "_m2",
         "_lo",
         "_hi",
+        "_ndr",
         "_hits",
-    ).selectExpr(*[f"`{k}`" for k in keys], "_v", "_c", "_upto", "_n", "_sum", "_lo", "_hi", "explode(_hits) AS h").where(
-        "h._k < _upto AND h._k >= _upto - _c"
-    )
-    aggs = ["MAX(_n) AS _n", "MAX(_sum) AS _sum", "MAX(_lo) AS _lo", "MAX(_hi) AS _hi"]
+    ).selectExpr(
+        *[f"`{k}`" for k in keys], "_v", "_c", "_upto", "_n", "_sum", "_m2", "_lo", "_hi", "_ndr", "explode(_hits) AS h"
+    ).where("h._k < _upto AND h._k >= _upto - _c AND _ndr > 0")
+    aggs = ["MAX(_n) AS _n", "MAX(_sum) AS _sum", "MAX(_m2) AS _m2", "MAX(_lo) AS _lo", "MAX(_hi) AS _hi"]
     for i in range(len(names)):
         aggs += [
             f"MAX(CASE WHEN h._pi = {i} AND h._which = 0 THEN _v END) AS _lo{i}",
             f"MAX(CASE WHEN h._pi = {i} AND h._which = 1 THEN _v END) AS _hi{i}",
             f"MAX(CASE WHEN h._pi = {i} THEN h._frac END) AS _f{i}",
         ]
-    extra = ["_n AS n", "_sum / _n AS mean", "_lo AS min", "_hi AS max"] if moments else []
+    extra = (
+        [
+            "_n AS n",
+            "_sum / _n AS mean",
+            "IF(_n > 1, SQRT(GREATEST(_m2, 0) / (_n - 1)), CAST(NULL AS DOUBLE)) AS std",
+            "_lo AS min",
+            "_hi AS max",
+        ]
+        if moments
+        else []
+    )
     out = picked.groupBy(*keys).agg(*[F.expr(a) for a in aggs]).selectExpr(
         *[f"`{k}`" for k in keys],
         *[f"_lo{i} + (_hi{i} - _lo{i}) * _f{i} AS `{n}`" for i, n in enumerate(names)],
