@@ -162,3 +162,12 @@ def test_explore_outputs_run(spark, sf001):
     out = flows.explore(fixture_tables(spark, sf001))
     for name, df in out.items():
         assert df.count() >= 1, name
+
+
+def test_null_summary_total_and_verdict(spark):
+    df = spark.createDataFrame([(1, None, "a"), (None, None, "b"), (3, 2.0, None)], "a int, b double, c string")
+    row = profile.null_summary(df).first()
+    pdf = pd.DataFrame({"a": [1, None, 3], "b": [None, None, 2.0], "c": ["a", "b", None]})
+    assert row.total_nulls == int(pdf.isnull().sum().sum()) == 4
+    assert row.all_clear is False
+    assert profile.null_summary(df.dropna()).first().all_clear is True
