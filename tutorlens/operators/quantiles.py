@@ -67,7 +67,9 @@ def quantiles_from_counts(
         F.min("_v").alias("_lo"),
         F.max("_v").alias("_hi"),
         F.sum("_c").alias("_tot"),
-        F.count(F.lit(1)).alias("_nd"),
+        # count(_c), not count(1): _c is never null, and reading it keeps the
+        # sum in every copy of vc, so the copies stay identical.
+        F.count("_c").alias("_nd"),
     )
     if keys:
         # One row per group: broadcast and joined on the group key.
