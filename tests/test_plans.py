@@ -73,3 +73,17 @@ def test_no_python_udf_and_no_cartesian(spark, sf001, name):
 def test_enrolment_key_unique_in_master(spark, stored):
     master = flows.early_master(stored, 14)
     assert master.groupBy(*K3).count().where("count > 1").count() == 0
+
+
+def test_quantile_plan_scans_its_input_once(spark):
+    """The value counts feed two branches; their exchange must be reused."""
+    from pyspark.sql import functions as F
+
+    from tutorlens.operators.quantiles import quantiles
+
+    df = spark.range(50000).select((F.col("id") % 3).cast("string").alias("g"), (F.col("id") % 997).cast("double").alias("v"))
+    for by in (["g"], []):
+        q = quantiles(df, "v", [0.25, 0.5], by=by, moments=True)
+        q.collect()
+        final = q._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("Range (") == 1, (by, final)
