@@ -26,7 +26,7 @@ from tutorlens.llm.common import staged, texts
 MAX_TOKENS = 1024
 END_ID = 2
 #: Gradient steps of one fit.
-FIT_STEPS = 200
+FIT_STEPS = 1500
 
 
 @lru_cache

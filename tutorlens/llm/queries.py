@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tutorlens.llm import exact_dedup, simhash_near_dedup
+from tutorlens.llm import best_fit_packing, byte_bpe, exact_dedup, simhash_near_dedup
 from tutorlens.llm.common import table
 
 
@@ -12,11 +13,21 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return best_fit_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), max_tokens=1024, end_id=2)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), width=4, max_distance=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op6_simhash_near_dedup)}
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op6_simhash_near_dedup, op7_byte_bpe)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
