@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,13 +66,14 @@ def held_out(doc_id="doc_id"):
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int], max_chars: int
-) -> list[tuple[str, int]]:
-    """(text, label) of a bounded training sample, collected to the driver.
+) -> tuple[list[str], list[int], dict[int, float]]:
+    """Texts and labels of a bounded training sample, and each label's weight in it.
 
     Only rows that are not held out count; null labels and null doc_ids do not.
     A doc_id labelled twice takes its largest label.  ``per_class`` bounds the
     documents of each class and ``max_chars`` the sum of their lengths; within
     these bounds the documents with the smallest md5(doc_id) are taken, whole.
+    The weights restore the share that each label has among all labelled rows.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -79,8 +81,9 @@ def labelled_sample(
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
         .where(~held_out())
-        .withColumn("rank_key", F.md5(F.col("doc_id").cast("string")))
+        .withColumn("rank_key", F.md5(F.col("doc_id").cast("string").cast("binary")))
     )
+    share = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     drawn = None
     for value, n in sorted(per_class.items()):
         part = known.where(F.col("label") == value).orderBy("rank_key", "doc_id").limit(n)
@@ -90,4 +93,38 @@ def labelled_sample(
     rows = rows.withColumn("size", F.length("text") + 1)
     rows = rows.selectExpr("*", "sum(size) OVER (ORDER BY rank_key, doc_id) AS so_far")
     got = rows.where(F.col("so_far") <= max_chars).orderBy("rank_key", "doc_id").select("text", "label").collect()
-    return [(r["text"], r["label"]) for r in got]
+    found = [r["label"] for r in got]
+    weights = {v: n / sum(share.values()) / (found.count(v) / len(found)) for v, n in share.items() if v in found}
+    return [r["text"] for r in got], found, weights
+
+
+def score_table(docs: DataFrame, score, fields: list[tuple[str, pa.DataType, str]]) -> DataFrame:
+    """doc_id, held_out and ``fields`` (name, Arrow type, SQL type) for each row of ``docs``.
+
+    ``score()`` gives a function from a list of texts to one column per field.
+    """
+    names = ["doc_id", *(name for name, _, _ in fields)]
+
+    def run(batches):
+        of = score()
+        for batch in batches:
+            columns = of([t.as_py() for t in batch.column(1)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(c, kind) for c, (_, kind, _) in zip(columns, fields))], names
+            )
+
+    scored = texts(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} {kind}" for n, _, kind in fields))
+    return scored.select("doc_id", held_out().alias("held_out"), *names[1:])
+
+
+def keep_rows(docs: DataFrame, score, keep) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose columns of scores pass ``keep``."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        of = score()
+        for batch in batches:
+            columns = of([t.as_py() or "" for t in batch.column(at)])
+            yield batch.filter(pa.array(keep(columns), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tutorlens.llm import best_fit_packing, byte_bpe, exact_dedup, simhash_near_dedup
+import corpus_pipeline
+from tutorlens.llm import best_fit_packing, byte_bpe, exact_dedup, quality_mil, simhash_near_dedup, toxicity_crf
 from tutorlens.llm.common import table
 
 
@@ -18,6 +19,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), max_tokens=1024, end_id=2)
 
 
+def op3_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_crf.score(docs, toxicity_crf.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), width=4, max_distance=4)
 
@@ -27,7 +33,27 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_best_fit_packing, op6_simhash_near_dedup, op7_byte_bpe)}
+def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_mil.score(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_best_fit_packing,
+        op3_toxicity_crf,
+        op6_simhash_near_dedup,
+        op7_byte_bpe,
+        op10_quality_mil,
+        pipeline,
+    )
+}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
