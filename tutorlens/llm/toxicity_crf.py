@@ -26,9 +26,9 @@ SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 2500, 12_000_000
 BUCKETS = 1 << 18
 #: Steps of the gradient ascent, and the ridge penalty of its likelihood.
 STEPS, RIDGE = 25, 1e-6
-#: Share of toxic documents' lines among the different lines with a feature that labels a token, and the least
-#: number of them: a rare word of clean prose is hardly ever in that many lines of the sample, all of them toxic.
-PURITY, SUPPORT = 0.9, 12
+#: Share of toxic documents' lines among the different lines with a feature that labels a token; and the number of
+#: features that may reach their least number of such lines by chance.
+PURITY, BY_CHANCE = 0.9, 0.01
 #: One in so many documents of the sample is kept from the chain's training to calibrate the scores.
 CALIBRATION = 3
 #: Characters scored at once, and tokens remembered between.
@@ -220,7 +220,10 @@ def train(texts: list[str], labels: list[int], weight: dict[int, float]) -> Toxi
         for c in (0, 1):
             lines_with[c] += np.bincount(seen[of_toxic[seen // BUCKETS] == bool(c)] % BUCKETS, minlength=BUCKETS)
     share = weight.get(1, 0) * lines_with[1]
-    pure = (lines_with[1] >= SUPPORT) & (share >= PURITY * (share + weight.get(0, 0) * lines_with[0]))
+    # a rare word of clean prose stands in n lines of the sample, all of toxic documents, with chance rate^n
+    rate = min(max(of_toxic.mean(), 1e-3), 0.999) if len(of_toxic) else 0.5
+    support = max(3, np.log(max(1, len(kinds)) / BY_CHANCE) / -np.log(rate))
+    pure = (lines_with[1] >= support) & (share >= PURITY * (share + weight.get(0, 0) * lines_with[0]))
     y = (pure[features].any(axis=1)[kind] & toxic[doc]).astype(float)
 
     chain = Chain(lines.start, lines.size)
