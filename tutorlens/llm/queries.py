@@ -6,10 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tutorlens.llm import best_fit_packing, byte_bpe, exact_dedup, quality_mil, simhash_near_dedup, toxicity_crf
+from tutorlens.llm import (
+    best_fit_packing,
+    byte_bpe,
+    exact_dedup,
+    extendible_sharding,
+    license_scan,
+    quality_mil,
+    simhash_near_dedup,
+    toxicity_crf,
+)
 from tutorlens.llm.common import table
 
 
+#: Bytes of text in a shard: small files that a loader reads ahead whole.
+SHARD_BYTES = 2 << 20
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -24,6 +37,14 @@ def op3_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_crf.score(docs, toxicity_crf.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible_sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup.near_dedup(table(spark, sf_dir, "documents"), width=4, max_distance=4)
 
@@ -48,6 +69,8 @@ QUERIES = {
         op1_exact_dedup,
         op2_best_fit_packing,
         op3_toxicity_crf,
+        op4_extendible_sharding,
+        op5_license_scan,
         op6_simhash_near_dedup,
         op7_byte_bpe,
         op10_quality_mil,
@@ -64,5 +87,58 @@ WITH n AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
 FROM n JOIN g USING (norm)
+""",
+    "op4_extendible_sharding": f"""
+WITH d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), e AS (
+  SELECT doc_id, bytes, CAST(depth AS INTEGER) AS depth, h >> (60 - depth) AS prefix FROM d, range(0, 61) t(depth)
+), buckets AS (
+  SELECT depth, prefix, CAST(sum(bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_docs FROM e GROUP BY ALL
+), leaves AS (
+  SELECT doc_id, bytes, depth, prefix, shard_bytes, shard_docs FROM e JOIN buckets USING (depth, prefix)
+  WHERE shard_bytes <= {SHARD_BYTES} OR shard_docs = 1
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+)
+SELECT doc_id, bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth, '0') END AS shard,
+       depth, shard_bytes, shard_docs
+FROM leaves
+""",
+    "op5_license_scan": f"""
+WITH d AS (
+  SELECT doc_id, regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g') AS lines
+  FROM documents
+), w AS (
+  SELECT doc_id, list_filter(string_split_regex(lines, '[ \\n]+'), x -> x <> '') AS words FROM d
+), phrases(phrase, label) AS (VALUES {", ".join(f"({p.split()!r}, '{v}')" for p, v in license_scan.BASE_PHRASES.items())}),
+templates(label, words) AS (VALUES {", ".join(f"('{k}', {sorted({*v.split()})!r})" for k, v in license_scan.TEMPLATES.items())}),
+places AS (
+  SELECT doc_id, label, unnest(list_filter(range(0, len(words)), i -> words[i + 1:i + len(phrase)] = phrase)) AS place
+  FROM w, phrases
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM places GROUP BY doc_id
+), blocks AS (
+  SELECT doc_id, generate_subscripts(string_split(lines, chr(10)), 1) AS line,
+         unnest(string_split(lines, chr(10))) AS block FROM d
+), met AS (
+  SELECT doc_id, line, label,
+         len(list_intersect(string_split(trim(block), ' '), words)) / len(words) AS containment
+  FROM blocks, templates WHERE len(list_intersect(string_split(trim(block), ' '), words)) >= ceil(round({license_scan.THRESHOLD} * len(words), 9))
+), more AS (
+  SELECT doc_id, max(containment) AS containment, count(DISTINCT line) AS n_blocks FROM met GROUP BY doc_id
+), every_label AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM met) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       greatest(coalesce(containment, 0.0), CASE WHEN coalesce(n_base, 0) > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS score,
+       coalesce(n_blocks, 0) AS n_blocks
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id) LEFT JOIN every_label USING (doc_id)
 """,
 }
