@@ -112,11 +112,11 @@ WITH d AS (
                                 '[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g') AS lines
   FROM documents
 ), w AS (
-  SELECT doc_id, list_filter(string_split_regex(lines, '[ \\n]+'), x -> x <> '') AS words FROM d
+  SELECT doc_id, list_filter(string_split_regex(lines, '[ \\n]+'), lambda x: x <> '') AS words FROM d
 ), phrases(phrase, label) AS (VALUES {", ".join(f"({p.split()!r}, '{v}')" for p, v in license_scan.BASE_PHRASES.items())}),
 templates(label, words) AS (VALUES {", ".join(f"('{k}', {sorted({*v.split()})!r})" for k, v in license_scan.TEMPLATES.items())}),
 places AS (
-  SELECT doc_id, label, unnest(list_filter(range(0, len(words)), i -> words[i + 1:i + len(phrase)] = phrase)) AS place
+  SELECT doc_id, label, unnest(list_filter(range(0, len(words)), lambda i: words[i + 1:i + len(phrase)] = phrase)) AS place
   FROM w, phrases
 ), base AS (
   SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
