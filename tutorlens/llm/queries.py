@@ -12,7 +12,9 @@ from tutorlens.llm import (
     exact_dedup,
     extendible_sharding,
     license_scan,
+    projected_neighbours,
     quality_mil,
+    quotation_linking,
     simhash_near_dedup,
     toxicity_crf,
 )
@@ -54,6 +56,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation_linking.link(table(spark, sf_dir, "conversations"))
+
+
+def op9_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
 def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_mil.score(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
@@ -73,6 +83,8 @@ QUERIES = {
         op5_license_scan,
         op6_simhash_near_dedup,
         op7_byte_bpe,
+        op8_quotation_linking,
+        op9_projected_neighbours,
         op10_quality_mil,
         pipeline,
     )
@@ -140,5 +152,50 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_b
        greatest(coalesce(containment, 0.0), CASE WHEN coalesce(n_base, 0) > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS score,
        coalesce(n_blocks, 0) AS n_blocks
 FROM w LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id) LEFT JOIN every_label USING (doc_id)
+""",
+    "op8_quotation_linking": r"""
+WITH m AS (
+  SELECT row_number() OVER () AS row_id, conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+), l AS (
+  SELECT row_id, generate_subscripts(string_split_regex(text, '\r?\n'), 1) AS at,
+         unnest(string_split_regex(text, '\r?\n')) AS line FROM m
+), s AS (
+  SELECT row_id, at, length(regexp_replace(regexp_extract(line, '^[ \t]*((?:>[ \t]*)+)', 1), '[^>]', '', 'g')) AS level,
+         regexp_replace(line, '^[ \t]*((?:>[ \t]*)+)', '') AS content FROM l
+), b AS (
+  SELECT *, level <> lag(level, 1, -1) OVER w OR trim(content) = '' OR lag(trim(content) = '', 1, false) OVER w AS new
+  FROM s WINDOW w AS (PARTITION BY row_id ORDER BY at)
+), p AS (
+  SELECT row_id, run, any_value(level) AS level, string_agg(content, chr(10) ORDER BY at) AS passage
+  FROM (SELECT *, sum(new::INT) OVER (PARTITION BY row_id ORDER BY at) AS run FROM b) WHERE trim(content) <> ''
+  GROUP BY row_id, run
+), own AS (
+  SELECT row_id, passage FROM p WHERE level = 0
+  UNION ALL SELECT row_id, unnest(string_split(passage, chr(10))) FROM p WHERE level = 0
+  UNION ALL SELECT row_id, string_agg(passage, chr(10) ORDER BY run) FROM p WHERE level = 0 GROUP BY row_id
+), originals AS (
+  SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(passage), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS words
+  FROM own JOIN m USING (row_id)
+), quotes AS (
+  SELECT row_id, run, level, conv_id, turn, trim(regexp_replace(lower(passage), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS words
+  FROM p JOIN m USING (row_id) WHERE level > 0
+), found AS (
+  SELECT q.row_id, q.run, q.level, max(o.turn) AS before
+  FROM quotes q LEFT JOIN originals o ON q.conv_id = o.conv_id AND q.words = o.words AND o.turn < q.turn GROUP BY ALL
+), q AS (
+  SELECT row_id, count(*) AS n_quotes, count(before) AS n_linked, max(level) AS quote_depth,
+         first(before ORDER BY level, before DESC) FILTER (before IS NOT NULL) AS quoted
+  FROM found GROUP BY row_id
+), t AS (
+  SELECT conv_id, turn, lag(turn) OVER w AS previous, row_number() OVER w AS position
+  FROM (SELECT DISTINCT conv_id, turn FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL)
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+), c AS (
+  SELECT row_id, trim(string_agg(passage, chr(10) || chr(10) ORDER BY run)) AS clean_text FROM p WHERE level = 0 GROUP BY row_id
+)
+SELECT m.conv_id, m.turn, m.role, coalesce(quoted, previous) AS reply_to, quoted IS NOT NULL AS linked,
+       coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, coalesce(quote_depth, 0) AS quote_depth,
+       coalesce(position, 1) AS position, coalesce(clean_text, '') AS clean_text
+FROM m LEFT JOIN q USING (row_id) LEFT JOIN c USING (row_id) LEFT JOIN t ON m.conv_id = t.conv_id AND m.turn = t.turn
 """,
 }
