@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from conftest import rows
 
 from tutorlens.llm import extendible_sharding as X
 from tutorlens.llm import license_scan as L
@@ -148,4 +147,3 @@ def test_recall_on_the_table(spark, sf001):
     for r in N.nearest(emb, "vec_id % 20 = 0").collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     assert sum(len(got[q] & {*want[q]}) for q in want) >= 0.9 * sum(map(len, want.values()))
-    assert rows is not None

@@ -157,17 +157,17 @@ FROM w LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id) LEFT JOIN eve
 WITH m AS (
   SELECT row_number() OVER () AS row_id, conv_id, turn, role, coalesce(text, '') AS text FROM conversations
 ), l AS (
-  SELECT row_id, generate_subscripts(string_split_regex(text, '\r?\n'), 1) AS at,
+  SELECT row_id, generate_subscripts(string_split_regex(text, '\r?\n'), 1) AS place,
          unnest(string_split_regex(text, '\r?\n')) AS line FROM m
 ), s AS (
-  SELECT row_id, at, length(regexp_replace(regexp_extract(line, '^[ \t]*((?:>[ \t]*)+)', 1), '[^>]', '', 'g')) AS level,
+  SELECT row_id, place, length(regexp_replace(regexp_extract(line, '^[ \t]*((?:>[ \t]*)+)', 1), '[^>]', '', 'g')) AS level,
          regexp_replace(line, '^[ \t]*((?:>[ \t]*)+)', '') AS content FROM l
 ), b AS (
   SELECT *, level <> lag(level, 1, -1) OVER w OR trim(content) = '' OR lag(trim(content) = '', 1, false) OVER w AS new
-  FROM s WINDOW w AS (PARTITION BY row_id ORDER BY at)
+  FROM s WINDOW w AS (PARTITION BY row_id ORDER BY place)
 ), p AS (
-  SELECT row_id, run, any_value(level) AS level, string_agg(content, chr(10) ORDER BY at) AS passage
-  FROM (SELECT *, sum(new::INT) OVER (PARTITION BY row_id ORDER BY at) AS run FROM b) WHERE trim(content) <> ''
+  SELECT row_id, run, any_value(level) AS level, string_agg(content, chr(10) ORDER BY place) AS passage
+  FROM (SELECT *, sum(new::INT) OVER (PARTITION BY row_id ORDER BY place) AS run FROM b) WHERE trim(content) <> ''
   GROUP BY row_id, run
 ), own AS (
   SELECT row_id, passage FROM p WHERE level = 0

@@ -66,8 +66,9 @@ class Chain:
     """Marginals of a two-state chain; state 0 scores zero, state 1 the token's score."""
 
     def __init__(self, start, size):
-        order = np.argsort(-np.asarray(size), kind="stable")
-        self.first, self.size = np.asarray(start)[order], np.asarray(size)[order]
+        start, size = np.asarray(start, dtype=np.int64), np.asarray(size, dtype=np.int64)
+        order = np.argsort(-size, kind="stable")
+        self.first, self.size = start[order], size[order]
         longest = int(self.size[0]) if len(self.size) else 0
         #: lines that have a t-th token (they stand first)
         self.live = np.searchsorted(-self.size, -np.arange(longest), side="left")
@@ -138,7 +139,7 @@ class ToxicityModel:
         scores = np.clip(np.fromiter(scores, dtype=float, count=len(lines.tokens)), -30, 30)
         forward, backward = Chain(lines.start, lines.size).messages(scores, self.move, self.begin)
         p = 1 / (1 + np.exp(-np.clip(forward + backward, -60, 60)))
-        return lines, p, np.repeat(lines.doc, lines.size).astype(int)
+        return lines, p, np.repeat(np.asarray(lines.doc, dtype=np.int64), lines.size).astype(int)
 
     def scorer(self):
         """A function from texts to (score, predicted, n_toxic, spans)."""
@@ -179,7 +180,7 @@ def aggregates(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
 def offending(texts, lines: Lines, toxic: np.ndarray):
     """[(start, end)] character offsets of the toxic tokens of each text; neighbours join."""
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-    of_line = np.searchsorted(np.asarray(lines.start) + np.asarray(lines.size), toxic, side="right")
+    of_line = np.searchsorted(np.asarray(lines.start, dtype=np.int64) + np.asarray(lines.size, dtype=np.int64), toxic, side="right")
     first_line = np.searchsorted(lines.doc, np.arange(len(texts)))
     for number in np.unique(of_line):
         k = lines.doc[number]
@@ -209,7 +210,7 @@ def train(texts: list[str], labels: list[int], weight: dict[int, float]) -> Toxi
     kinds = {t: i for i, t in enumerate(dict.fromkeys(lines.tokens))}
     kind = np.fromiter(map(kinds.__getitem__, lines.tokens), dtype=np.int64, count=len(lines.tokens))
     features = np.array([token_features(t) for t in kinds], dtype=np.int64).reshape(-1, 6)
-    doc = np.repeat(lines.doc, lines.size).astype(np.int64)
+    doc = np.repeat(np.asarray(lines.doc, dtype=np.int64), lines.size).astype(np.int64)
     # lines that several documents share count once, so that copies prove nothing
     number: dict[tuple, int] = {}
     own = [number.setdefault((toxic[d], *lines.tokens[a : a + n]), len(number)) for d, a, n in zip(lines.doc, lines.start, lines.size)]
@@ -227,7 +228,7 @@ def train(texts: list[str], labels: list[int], weight: dict[int, float]) -> Toxi
     y = (pure[features].any(axis=1)[kind] & toxic[doc]).astype(float)
 
     chain = Chain(lines.start, lines.size)
-    starts = np.asarray(lines.start)[np.asarray(lines.size) > 0]
+    starts = np.asarray(lines.start, dtype=np.int64)[np.asarray(lines.size, dtype=np.int64) > 0]
     inner = np.ones(len(kind), dtype=bool)
     inner[starts] = False
     at = np.flatnonzero(inner)
