@@ -10,10 +10,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
-    from tutorlens.session import ensure_checkpoint_dir, local_session
+    from tutorlens.session import local_session, shared_folder
 
     s = local_session(cores="*", shuffle_partitions=8, app="tutorlens-tests")
-    ensure_checkpoint_dir(s)
+    shared_folder(s)
     yield s
     s.stop()
 

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_compare import compare, duckdb_conn
+from tutorlens.plans import oracle, queries
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = queries.QUERIES
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -7,10 +7,9 @@ import tempfile
 
 import pytest
 
-import __spark_entry__ as entry
 from tutorlens.keys import K3
 from tutorlens.operators import features
-from tutorlens.plans import flows
+from tutorlens.plans import flows, queries
 from tutorlens.sources import read_table, write_table
 from tutorlens.sources import schemas
 from tutorlens.sources.fixtures import fixture_tables
@@ -63,9 +62,9 @@ def test_master_shuffles_each_input_once(spark, stored):
     assert len(k3) == 4, text
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_no_python_udf_and_no_cartesian(spark, sf001, name):
-    text = _plan(entry.queries()[name](spark, sf001))
+    text = _plan(queries.QUERIES[name](spark, sf001))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text, (name, bad)
 
@@ -84,6 +83,78 @@ def test_quantile_plan_scans_its_input_once(spark):
     df = spark.range(50000).select((F.col("id") % 3).cast("string").alias("g"), (F.col("id") % 997).cast("double").alias("v"))
     for by in (["g"], []):
         q = quantiles(df, "v", [0.25, 0.5], by=by, moments=True)
-        q.collect()
-        final = q._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        assert final.count("Range (") == 1, (by, final)
+        assert _count(_nodes(q), "Range") == 1, by
+
+
+def _nodes(df) -> list:
+    """Nodes of the plan that ran, subqueries included; what is reused counts once."""
+    df.collect()
+    out, stack, seen = [], [df._jdf.queryExecution().executedPlan()], set()
+    while stack:
+        n = stack.pop()
+        name = n.nodeName()
+        if name.startswith("Reused") or n.id() in seen:
+            continue
+        seen.add(n.id())
+        for i in range(n.subqueries().size()):
+            stack.append(n.subqueries().apply(i))
+        if name.startswith("AdaptiveSparkPlan"):
+            stack.append(n.executedPlan())
+        elif "QueryStage" in name:
+            stack.append(n.plan())
+        else:
+            out.append(n)
+            for i in range(n.children().size()):
+                stack.append(n.children().apply(i))
+    return out
+
+
+def _count(nodes, start: str) -> int:
+    return sum(n.nodeName().startswith(start) for n in nodes)
+
+
+def test_split_shuffles_its_rows_once(spark):
+    from tutorlens.operators.split import stratified_split
+
+    path = os.path.join(tempfile.mkdtemp(prefix="tutorlens-split-"), "t")
+    spark.range(20000).selectExpr("id", "CAST(id % 4 AS INT) AS target", "repeat('x', 20) AS wide").write.parquet(path)
+    nodes = _nodes(stratified_split(spark.read.parquet(path), key=["id"]))
+    assert _count(nodes, "Scan parquet") == 2  # for the counts by class and bucket, and for the rows
+    wide = [n for n in nodes if n.nodeName() == "Exchange" and "wide" in n.output().toString()]
+    assert len(wide) == 1
+
+
+@pytest.mark.parametrize("name", ["histogram", "density"])
+def test_charts_read_their_input_once(spark, name):
+    from tutorlens.operators import distributions
+
+    path = os.path.join(tempfile.mkdtemp(prefix="tutorlens-chart-"), "t")
+    spark.range(5000).selectExpr("CAST(id % 321 AS DOUBLE) AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    out = distributions.histogram(df, "v") if name == "histogram" else distributions.density_curve(df, "v")
+    assert _count(_nodes(out), "Scan parquet") == 1
+
+
+def test_an_outlier_leaves_no_heavy_window(spark):
+    """200,000 different values and one of 1e12: the values ranked in one window stay few."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tutorlens.operators import quantiles as Q
+
+    for low in (0.0, 1e9):
+        df = spark.range(200000).select((F.col("id") + low).cast("double").alias("v")).unionAll(spark.range(1).select(F.lit(1e12).alias("v")))
+        got = Q.quantiles(df, "v", [0.25, 0.5, 0.75])
+        values = np.append(np.arange(200000) + low, 1e12)
+        assert list(got.first()) == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.75])), rel=1e-15)
+        nodes = _nodes(got)
+        assert _count(nodes, "Range") == 2  # the two branches of the union
+        sizes = [_rows_into(n) for n in nodes if n.nodeName() == "Window"]
+        assert sizes and max(sizes) <= 3 * 4096, sizes
+
+
+def _rows_into(node) -> int:
+    """Rows that the nearest counting node below has given out."""
+    while not node.metrics().contains("numOutputRows"):
+        node = node.plan() if "QueryStage" in node.nodeName() else node.children().apply(0)
+    return node.metrics().apply("numOutputRows").value()

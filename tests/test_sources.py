@@ -102,3 +102,35 @@ def test_job_entry_point(spark, sf001):
     assert set(frame.select("split").distinct().toPandas()["split"]) == {"train", "validation", "test"}
     report = {r.item: r.value for r in spark.read.parquet(os.path.join(out, "report")).collect()}
     assert report["tree_rows"] == frame.count()
+
+
+def test_parquet_keeps_the_text_none_and_pushes_filters(spark):
+    import contextlib
+    import io
+
+    import pytest
+
+    out = os.path.join(tempfile.mkdtemp(prefix="tutorlens-typed-"), "studentVle.parquet")
+    rows = [("None", "2013J", 1, 2, 3, 4), (None, "2014B", 1, 2, 3, 4)]
+    spark.createDataFrame(rows, schemas.STUDENT_VLE).write.parquet(out)
+    df = read_table(spark, out, schemas.STUDENT_VLE, fmt="parquet")
+    assert sorted(r.code_module or "" for r in df.collect()) == ["", "None"]
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.where("code_module = 'None'").explain()
+    assert "EqualTo(code_module,None)" in text.getvalue()
+    spark.createDataFrame(rows, schemas.STUDENT_VLE).drop("code_presentation").write.parquet(out + "2")
+    with pytest.raises(ValueError, match="code_presentation"):
+        read_table(spark, out + "2", schemas.STUDENT_VLE, fmt="parquet")
+
+
+def test_explore_reads_the_click_log_once(spark, sf001):
+    from tutorlens.plans import flows
+    from tutorlens.sources.fixtures import fixture_tables
+
+    folder = tempfile.mkdtemp(prefix="tutorlens-small-")
+    reports = flows.explore(fixture_tables(spark, sf001), folder)
+    raw = [n for n, df in reports.items() if any(f.endswith("events.parquet") for f in df.inputFiles())]
+    # the site table comes from the log too; no other report reads it
+    assert raw and set(raw) <= {"profile", "previews", "null_counts"}
+    assert any(folder in f for f in reports["describe"].inputFiles())

@@ -6,14 +6,17 @@
 
 ``--input`` holds the course tables under their published file names
 (studentInfo, courses, assessments, studentAssessment, studentRegistration,
-studentVle); every output is written as Parquet under ``--output``.  On a
-cluster the session and its checkpoint folder come from the platform; run
+studentVle, vle); every output is written as Parquet under ``--output``,
+intermediate tables under ``--output``/tables.  ``--levels`` is a JSON file with
+the categories of each encoded column.  On a
+cluster the session comes from the platform; run
 locally, a local session is started.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 import os
 
 from pyspark.sql import SparkSession
@@ -40,32 +43,38 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--cutoff", type=int, default=90)
     ap.add_argument("--seed", type=int, default=42)
     ap.add_argument("--na-token", action="append", default=[], help="extra text read as missing, e.g. '?'")
+    ap.add_argument("--levels", help="JSON file: {column: [levels]} of the encoded columns")
     ap.add_argument("--local", action="store_true", help="start a local session (tests, laptops)")
     args = ap.parse_args(argv)
 
     spark = _session(args.local)
     names = ["student_info", "courses", "assessments", "student_assessment", "student_registration", "student_vle"]
+    names += ["vle"] if args.flow == "explore" else []
+    levels = None
+    if args.levels:
+        with open(args.levels, encoding="utf-8") as f:
+            levels = json.load(f)
     tables = load_tables(spark, args.input, fmt=args.format, names=names, extra_na_tokens=tuple(args.na_token))
 
     def out(name: str) -> str:
         return os.path.join(args.output, name)
 
     if args.flow == "explore":
-        for name, df in flows.explore(tables).items():
-            write_table(df.coalesce(1), out(name))
+        for name, df in flows.explore(tables, out("tables/student_vle_small")).items():
+            write_table(df, out(name))
         return
 
     if args.flow == "whole":
-        res = flows.whole_course(tables)
+        res = flows.whole_course(tables, levels, out("tables/master"))
         drop = flows.DROP_WHOLE
     else:
-        res = flows.early_prediction(tables, cutoff=args.cutoff)
+        res = flows.early_prediction(tables, args.cutoff, levels, out("tables/master"))
         drop = flows.DROP_EARLY
         write_table(res["filter_effect"], out("filter_effect"))
     write_table(res["encoded_linear"], out("encoded_linear"))
     write_table(res["encoded_tree"], out("encoded_tree"))
-    write_table(flows.training_splits(res["master"], drop, seed=args.seed), out("training_frame"))
-    write_table(res["report"].coalesce(1), out("report"))
+    write_table(flows.training_splits(res["master"], drop, levels, seed=args.seed), out("training_frame"))
+    write_table(res["report"], out("report"))
     res["report"].show(50, truncate=False)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tutorlens.functions.nulls import count_missing
-from tutorlens.functions.sqltext import ident
+from tutorlens.functions.sqltext import ident, literal
 from tutorlens.keys import K2
 from tutorlens.operators.quantiles import median_of
 
@@ -85,8 +85,8 @@ def clean_registration(registration: DataFrame, add_unregistered: bool = True) -
 
 
 def _stack(df: DataFrame, table: str, names: Sequence[str]) -> DataFrame:
-    pairs = ", ".join(f"'{n}', CAST(`{n}` AS BIGINT)" for n in names)
-    return df.selectExpr(f"'{table}' AS table_name", f"stack({len(names)}, {pairs}) AS (metric, value)")
+    pairs = ", ".join(f"{literal(n)}, CAST({ident(n)} AS BIGINT)" for n in names)
+    return df.selectExpr(f"{literal(table)} AS table_name", f"stack({len(names)}, {pairs}) AS (metric, value)")
 
 
 def cleaning_report(

@@ -30,8 +30,10 @@ def _edge(i, lo, hi, step, bins: int):
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """(bin, bin_start, bin_end, count) for ``bins`` equal-width bins."""
-    x = df.select(F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    st = x.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi")).alias("s")).scalar()
+    # Bounds and bins both come from the value counts, whose exchange is reused:
+    # the input is read once.
+    x = value_counts_of(df, value).withColumnRenamed("_v", "_x")
+    st = x.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.count("_c").alias("nd")).alias("s")).scalar()
     lo = F.when(st["lo"] == st["hi"], st["lo"] - 0.5).otherwise(st["lo"])
     hi = F.when(st["lo"] == st["hi"], st["hi"] + 0.5).otherwise(st["hi"])
     step = (hi - lo) / F.lit(float(bins))
@@ -44,9 +46,9 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     )
     counts = (
         x.withColumn("_i0", raw)
-        .select(F.coalesce(lower, upper, F.col("_i0")).alias("bin"))
+        .select(F.coalesce(lower, upper, F.col("_i0")).alias("bin"), "_c")
         .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("_c").alias("count"))
     )
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
@@ -68,21 +70,16 @@ def density_curve(df: DataFrame, value: str, grid: int = 200, bins: int = 30, di
     rows (the curve is skipped, as seaborn does for a singular sample).
     """
     vc = value_counts_of(df, value)
-    st = (
-        df.select(F.col(value).cast("double").alias("_x"))
-        .where(F.col("_x").isNotNull())
-        .agg(
-            F.struct(
-                F.count(F.lit(1)).alias("n"),
-                F.stddev_samp("_x").alias("sd"),
-                F.min("_x").alias("lo"),
-                F.max("_x").alias("hi"),
-            ).alias("s")
-        )
-        .scalar()
-    )
+    # All from the value counts, whose exchange is reused: the input is read once.
+    v, c = F.col("_v"), F.col("_c")
+    st = vc.agg(
+        F.struct(F.sum("_c").alias("n"), F.sum(v * c).alias("total"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("s")
+    ).scalar()
     n = st["n"].cast("double")
-    bw = st["sd"] * F.pow(n, F.lit(-0.2))
+    apart = v - st["total"] / n
+    squares = vc.agg(F.sum(apart * apart * c).alias("s")).scalar()
+    sd = F.when(n > 1, F.sqrt(squares / (n - 1)))
+    bw = sd * F.pow(n, F.lit(-0.2))
     lo, hi = st["lo"], st["hi"]
     step = (hi - lo) / F.lit(float(grid - 1))
     j = F.col("point")
@@ -121,10 +118,9 @@ def box_stats_from_counts(vc: DataFrame, by: Sequence[str], whis: float = 1.5, d
         (F.col("q3") + F.lit(whis) * iqr).alias("_hi_fence"),
     )
     v, c = F.col("_v"), F.col("_c")
-    # One row per group (a label), so the fence table is broadcast.
     # The fence columns are constant per group: grouping on them carries them.
     carried = ["n", "mean", "q1", "median", "q3", "min", "max", "iqr", "_lo_fence", "_hi_fence"]
-    s = vc.join(F.broadcast(fences), by).groupBy(*by, *carried).agg(
+    s = vc.join(fences, by).groupBy(*by, *carried).agg(
         F.min(F.when(v >= F.col("_lo_fence"), v)).alias("_wlo"),
         F.max(F.when(v <= F.col("_hi_fence"), v)).alias("_whi"),
         F.sum(F.when((v < F.col("_lo_fence")) | (v > F.col("_hi_fence")), c).otherwise(0)).alias("n_outliers"),

@@ -3,11 +3,11 @@
 ``one_hot`` reproduces ``pandas.get_dummies``: the other columns first, in their
 order; then, per category column in the given order, one boolean column per
 level, levels sorted ascending, named ``<column>_<level>``; a missing value is
-all-false; ``drop_first`` drops the smallest level.  The level list is the only
-data-dependent part of the schema: it comes from one bounded job (a
-distributed distinct with a capped collect), or from ``levels=`` so that new data gets the same
-columns.  ``one_hot_vector`` is the same information as one sparse vector
-column, for wide vocabularies and MLlib.
+all-false; ``drop_first`` drops the smallest level.  The levels are the schema of
+the result, so the wide form takes them as declared; ``discover_levels`` lists
+those of a table for a caller that has no declaration.  ``one_hot_positions``
+holds the same information as an array of set positions, for vocabularies of any
+size: its level index is ranked and joined in Spark.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tutorlens.functions.lookup import TARGET_CODES, map_lookup
 from tutorlens.functions.sqltext import ident, literal
+from tutorlens.session import materialize
 
 # The category columns that are one-hot encoded.
 CATEGORY_COLUMNS = [
@@ -49,36 +50,22 @@ def _from_text(text: str, dtype: T.DataType):
     return text
 
 
-def discover_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> dict[str, list]:
-    """Sorted distinct non-missing values per column, in one bounded job.
+def _level_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct (i, v): the i-th column's non-missing values as text, in one distributed aggregate."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(ident(c)).cast("string").alias("v")) for i, c in enumerate(columns)])
+    return df.select(F.explode(pairs).alias("p")).select("p.i", "p.v").where(F.col("v").isNotNull()).distinct()
 
-    (column, value) pairs are de-duplicated by a distributed aggregate; at most
-    ``max_levels * len(columns) + 1`` of them are collected, so the driver never
-    receives more than that bound.  A column beyond ``max_levels`` raises:
-    use :func:`one_hot_vector` for wide vocabularies.
+
+def discover_levels(df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS) -> dict[str, list]:
+    """Sorted distinct non-missing values per column.
+
+    The driver receives one value for each column of the wide form, that is the
+    form's own schema.  Where that is too wide, use :func:`one_hot_positions`.
     """
     cols = list(columns)
-    if not cols:
-        return {}
-    pairs = (
-        df.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(cols)])
-            ).alias("p")
-        )
-        .select("p.i", "p.v")
-        .where(F.col("v").isNotNull())
-        .distinct()
-    )
-    cap = max_levels * len(cols)
-    rows = pairs.limit(cap + 1).collect()
     out: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
-        c = cols[r["i"]]
-        out[c].append(_from_text(r["v"], df.schema[c].dataType))
-    wide = {c: len(v) for c, v in out.items() if len(v) > max_levels}
-    if len(rows) > cap or wide:
-        raise ValueError(f"too many levels for a wide one-hot (max {max_levels} per column): {wide or 'total over cap'}; use one_hot_vector")
+    for r in _level_pairs(df, cols).collect() if cols else []:
+        out[cols[r["i"]]].append(_from_text(r["v"], df.schema[cols[r["i"]]].dataType))
     return {c: sorted(v) for c, v in out.items()}
 
 
@@ -88,54 +75,58 @@ def dummy_name(column: str, level) -> str:
 
 def one_hot(
     df: DataFrame,
+    levels: Mapping[str, Sequence],
     columns: Sequence[str] = CATEGORY_COLUMNS,
     drop_first: bool = False,
-    levels: Mapping[str, Sequence] | None = None,
-    max_levels: int = 1000,
 ) -> DataFrame:
-    """E1 (all levels) / E2 (``drop_first=True``) as boolean columns."""
+    """E1 (all levels) / E2 (``drop_first=True``) as boolean columns of the declared ``levels``."""
     cols = list(columns)
-    lv = dict(levels) if levels is not None else discover_levels(df, cols, max_levels)
     kept = [ident(c) for c in df.columns if c not in cols]
     dummies = []
     for c in cols:
-        values = sorted(lv[c])
-        if drop_first:
-            values = values[1:]
-        for v in values:
+        for v in sorted(levels[c])[1 if drop_first else 0 :]:
             dummies.append(f"coalesce({ident(c)} = {literal(v)}, FALSE) AS {ident(dummy_name(c, v))}")
     return df.selectExpr(*kept, *dummies)
 
 
-def one_hot_vector(
+def level_index(df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS, drop_first: bool = False) -> DataFrame:
+    """(i, v, position): every level's place in the wide form, ranked without one big task.
+
+    The distinct levels are range-partitioned by (column, value) and written;
+    ranks run within a part, and one row per part carries over what came before.
+    """
+    levels = _level_pairs(df, columns)
+    if drop_first:
+        first = levels.groupBy("i").agg(F.min("v").alias("v"))
+        levels = levels.join(first, ["i", "v"], "left_anti")
+    parts = materialize(levels.repartitionByRange("i", "v").withColumn("part", F.spark_partition_id()))
+    before = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).selectExpr("part", "sum(n) OVER (ORDER BY part) - n AS before")
+    nth = parts.selectExpr("i", "v", "part", "row_number() OVER (PARTITION BY part ORDER BY i, v) - 1 AS nth")
+    return nth.join(before, "part").selectExpr("i", "v", "CAST(before + nth AS INT) AS position")
+
+
+def one_hot_positions(
     df: DataFrame,
     columns: Sequence[str] = CATEGORY_COLUMNS,
     drop_first: bool = False,
-    output: str = "categories",
+    output: str = "positions",
 ) -> DataFrame:
-    """The one-hot information as one sparse vector column (MLlib).
+    """The one-hot information as the ascending positions that are set.
 
-    All levels: indexes in ascending order with a 'keep' slot for missing
-    values, and ``dropLast`` removes that slot, so a missing value is all
-    zeros.  Reference level dropped: descending order, so ``dropLast`` removes
-    the smallest level; missing values must be filled before.
+    Position p stands for the p-th dummy column of :func:`one_hot` (levels in
+    text order).  A missing value, or the dropped first level, sets none.  Each
+    column is joined to its part of the level index; the planner broadcasts
+    that part where it is small and splits hot levels where it is not.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-
     cols = list(columns)
-    idx = [f"_{c}_idx" for c in cols]
-    vec = [f"_{c}_vec" for c in cols]
-    order = "alphabetDesc" if drop_first else "alphabetAsc"
-    invalid = "error" if drop_first else "keep"
-    stages = [
-        StringIndexer(inputCols=cols, outputCols=idx, stringOrderType=order, handleInvalid=invalid),
-        OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True),
-        VectorAssembler(inputCols=vec, outputCol=output),
-    ]
-    model = Pipeline(stages=stages).fit(df)
-    kept = [c for c in df.columns if c not in cols]
-    return model.transform(df).select(*kept, output)
+    index = materialize(level_index(df, cols, drop_first))
+    out = df
+    for i, c in enumerate(cols):
+        part = index.where(F.col("i") == i).select(F.col("v").alias(f"_v{i}"), F.col("position").alias(f"_p{i}"))
+        out = out.join(part, F.col(ident(c)).cast("string") == F.col(f"_v{i}"), "left")
+    kept = [ident(c) for c in df.columns if c not in cols]
+    found = ", ".join(f"_p{i}" for i in range(len(cols)))
+    return out.selectExpr(*kept, f"array_compact(array({found})) AS {ident(output)}")
 
 
 def feature_columns(df: DataFrame, label: str = "target", exclude: Sequence[str] = ("split",)) -> list[str]:
@@ -146,24 +137,3 @@ def feature_columns(df: DataFrame, label: str = "target", exclude: Sequence[str]
 def split_views(df: DataFrame, output: str = "split") -> dict[str, DataFrame]:
     """The three parts of a split frame as filtered views (no copies)."""
     return {name: df.where(F.col(output) == name).drop(output) for name in ("train", "validation", "test")}
-
-
-def assemble_features(
-    df: DataFrame, label: str = "target", exclude: Sequence[str] = ("split",), output: str = "features"
-) -> DataFrame:
-    """P10 for an MLlib consumer: (features vector, label[, split]).
-
-    Boolean dummies are cast to 0/1; rows with a missing feature are kept
-    (``handleInvalid='keep'`` puts NaN in the vector), as the reference keeps
-    them.
-    """
-    from pyspark.ml.feature import VectorAssembler
-
-    cols = feature_columns(df, label, exclude)
-    numeric = df.select(
-        *[F.col(f"`{c}`").cast("double").alias(c) for c in cols],
-        *[F.col(f"`{c}`") for c in df.columns if c not in cols],
-    )
-    assembler = VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="keep")
-    keep = [c for c in df.columns if c not in cols]
-    return assembler.transform(numeric).select(output, *keep)

@@ -33,12 +33,18 @@ def engagement_features(vle: DataFrame, cutoff: int | None = None) -> DataFrame:
     Whole course: ``total_clicks``.  With a cutoff (clicks on days <= cutoff):
     ``total_clicks``, ``active_days`` (distinct days), ``unique_resources``
     (distinct sites), ``clicks_per_day`` (total / cutoff, whatever day the
-    student started) and ``days_since_last_click`` (cutoff - last day).
+    student started) and ``days_since_last_click`` (cutoff - last day).  The
+    cutoff must be a positive day.
+
+    The early form first sums the log by enrolment, day and site: the distinct
+    counts then expand that smaller table, not the log.
     """
+    if cutoff is not None and cutoff <= 0:
+        raise ValueError(f"cutoff must be a positive day, not {cutoff}")
     log = drop_null_keys(vle, K3)
     if cutoff is None:
         return log.groupBy(*K3).agg(sum_or_zero("sum_click").alias("total_clicks"))
-    early = log.where(F.col("date") <= F.lit(cutoff))
+    early = log.where(F.col("date") <= F.lit(cutoff)).groupBy(*K3, "date", "id_site").agg(F.sum("sum_click").alias("sum_click"))
     agg = early.groupBy(*K3).agg(
         sum_or_zero("sum_click").alias("total_clicks"),
         F.count_distinct("date").alias("active_days"),

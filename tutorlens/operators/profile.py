@@ -9,39 +9,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tutorlens.functions.rounding import percent_of, round_half_even
+from tutorlens.functions.sqltext import ident, literal
 from tutorlens.operators.quantiles import quantiles
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def null_counts(df: DataFrame, only_missing: bool = False) -> DataFrame:
     """M6 (and F9 with ``only_missing``): (column, null_count) in column order."""
     cols = df.columns
-    wide = df.agg(*[F.count_if(F.col(_q(c)).isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
-    pairs = ", ".join(f"{i}, '{c}', c{i}" for i, c in enumerate(cols))
+    wide = df.agg(*[F.count_if(F.col(ident(c)).isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
+    pairs = ", ".join(f"{i}, {literal(c)}, c{i}" for i, c in enumerate(cols))
     out = wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (position, column_name, null_count)")
     if only_missing:
         out = out.where(F.col("null_count") > 0)
     return out
 
 
-def null_summary(df: DataFrame) -> DataFrame:
-    """M7: total missing cells and the all-clear verdict, one row."""
-    total = None
-    for c in df.columns:
-        term = F.count_if(F.col(_q(c)).isNull())
-        total = term if total is None else total + term
-    total = total if total is not None else F.lit(0)
-    return df.agg(total.cast("long").alias("total_nulls")).withColumn("all_clear", F.col("total_nulls") == 0)
-
-
 def registry_null_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """S4 + M6: null counts of every column of every table in the registry."""
     out = None
@@ -65,6 +52,21 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def previews(tables: Mapping[str, DataFrame], n: int = 5) -> DataFrame:
+    """O3 for every registered table: (table_name, row, content) of its first ``n`` rows by all its columns.
+
+    content is the row as JSON, missing values included.
+    """
+    out = None
+    for name, df in tables.items():
+        head = df.orderBy(*[ident(c) for c in df.columns]).limit(n)
+        part = head.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("content"))
+        # at most n rows: the window is as small as the preview
+        part = part.selectExpr(f"{literal(name)} AS table_name", "CAST(monotonically_increasing_id() AS INT) + 1 AS row", "content")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     """O3: the first ``n`` rows by an explicit order (``head()`` has file order)."""
     if not order_by:
@@ -81,8 +83,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def _stacked_numeric(df: DataFrame, columns: Sequence[str] | None, table: str) -> DataFrame:
     cols = list(columns) if columns is not None else numeric_columns(df)
-    pairs = ", ".join(f"'{c}', CAST({_q(c)} AS DOUBLE)" for c in cols)
-    return df.selectExpr(f"'{table}' AS table_name", f"stack({len(cols)}, {pairs}) AS (column_name, value)")
+    pairs = ", ".join(f"{literal(c)}, CAST({ident(c)} AS DOUBLE)" for c in cols)
+    return df.selectExpr(f"{literal(table)} AS table_name", f"stack({len(cols)}, {pairs}) AS (column_name, value)")
 
 
 def describe_tables(
@@ -110,7 +112,7 @@ def describe_tables(
     names = [(t, c) for t, df in tables.items() for c in ((columns or {}).get(t) or numeric_columns(df))]
     spark = long.sparkSession
     listing = spark.createDataFrame(names, "table_name string, column_name string")
-    out = listing.join(F.broadcast(qs), keys, "left").selectExpr(
+    out = listing.join(qs, keys, "left").selectExpr(
         *keys, "coalesce(CAST(n AS BIGINT), 0) AS count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
     if digits is not None:
@@ -125,51 +127,63 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits
 
 
 def value_counts(df: DataFrame, column: str, normalize: str | None = None, digits: int = 3) -> DataFrame:
-    """(value, count[, share]) with ``rank`` by count desc, value asc.
+    """(value, count[, share or percent]), sorted by count descending, value ascending.
 
     Missing values are not counted; ``normalize`` = 'share' gives
     count / non-missing total rounded half-even to ``digits``, 'percent' gives
     100 * count / total unrounded.
     """
     counts = (
-        df.where(F.col(_q(column)).isNotNull())
-        .groupBy(F.col(_q(column)).alias("value"))
+        df.where(F.col(ident(column)).isNotNull())
+        .groupBy(F.col(ident(column)).alias("value"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    # One row per distinct value of a report column: the windows below run on
-    # that small table only.
-    total = F.sum("count").over(Window.partitionBy())
-    ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("count"), F.asc("value"))))
+    # the total is one row, inlined as a scalar subquery; the sort is Spark's distributed one
+    total = counts.agg(F.sum("count")).scalar()
     if normalize == "share":
-        ranked = ranked.withColumn("share", round_half_even(F.col("count") / total, digits))
+        counts = counts.withColumn("share", round_half_even(F.col("count") / total, digits))
     elif normalize == "percent":
-        ranked = ranked.withColumn("percent", percent_of(F.col("count"), total))
-    return ranked
+        counts = counts.withColumn("percent", percent_of(F.col("count"), total))
+    return counts.orderBy(F.desc("count"), F.asc("value"))
 
 
 def multi_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """A15/A16 for several columns in one scan: (variable, value, count, percent, rank)."""
+    """A15/A16 for several columns in one scan: (variable, value, count, percent).
+
+    Sorted by variable, count descending, then the value in its own type's
+    order (2 before 10).
+    """
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)}
     stacked = df.select(
         F.explode(
-            F.array(*[F.struct(F.lit(c).alias("variable"), F.col(_q(c)).cast("string").alias("value")) for c in columns])
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("variable"),
+                        F.col(ident(c)).cast("string").alias("value"),
+                        (F.col(ident(c)) if c in numeric else F.lit(None)).cast("double").alias("number"),
+                    )
+                    for c in columns
+                ]
+            )
         ).alias("s")
-    ).select("s.variable", "s.value")
+    ).select("s.*")
     counts = (
-        stacked.where(F.col("value").isNotNull()).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("count"))
+        stacked.where(F.col("value").isNotNull())
+        .groupBy("variable", "value", "number")
+        .agg(F.count(F.lit(1)).alias("count"))
     )
-    w = Window.partitionBy("variable")
-    return counts.select(
-        "variable",
-        "value",
-        "count",
-        percent_of(F.col("count"), F.sum("count").over(w)).alias("percent"),
-        F.row_number().over(w.orderBy(F.desc("count"), F.asc("value"))).alias("rank"),
+    totals = counts.groupBy("variable").agg(F.sum("count").alias("total"))  # a row for each column
+    return (
+        counts.join(totals, "variable")
+        .orderBy("variable", F.desc("count"), "number", "value")
+        .select("variable", "value", "count", percent_of(F.col("count"), F.col("total")).alias("percent"))
     )
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows, distinct keys and rows repeating an earlier key (missing = equal)."""
-    per_key = df.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = df.groupBy(*[F.col(ident(k)) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     return per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows"),
         F.count(F.lit(1)).alias("n_keys"),
@@ -180,7 +194,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def duplicate_key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The offending keys with their row counts (count > 1)."""
     return (
-        df.groupBy(*[F.col(_q(k)) for k in keys])
+        df.groupBy(*[F.col(ident(k)) for k in keys])
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)
     )
@@ -200,7 +214,7 @@ def multi_cross_counts(df: DataFrame, categories: Sequence[str], hue: str) -> Da
     stacked = df.select(
         F.col(hue),
         F.explode(
-            F.array(*[F.struct(F.lit(c).alias("variable"), F.col(_q(c)).cast("string").alias("level")) for c in categories])
+            F.array(*[F.struct(F.lit(c).alias("variable"), F.col(ident(c)).cast("string").alias("level")) for c in categories])
         ).alias("s"),
     ).select("s.variable", "s.level", hue)
     return (
@@ -211,9 +225,12 @@ def multi_cross_counts(df: DataFrame, categories: Sequence[str], hue: str) -> Da
 
 
 def group_summary(df: DataFrame, value: str, by: str, digits: int | None = 6) -> DataFrame:
-    """Mean and exact median of ``value`` per ``by`` (missing keys dropped)."""
+    """Mean and exact median of ``value`` per ``by`` (missing keys dropped).
+
+    A label whose values are all missing keeps its row, with nulls.
+    """
     base = df.where(F.col(by).isNotNull())
-    out = quantiles(base, value, [0.5], by=[by], names=["median_value"], moments=True).select(
+    out = quantiles(base, value, [0.5], by=[by], names=["median_value"], moments=True, keep_groups=True).select(
         by, F.col("mean").alias("mean_value"), "median_value"
     )
     if digits is not None:
@@ -224,6 +241,6 @@ def group_summary(df: DataFrame, value: str, by: str, digits: int | None = 6) ->
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cond = None
     for c in columns:
-        t = F.col(_q(c)).isNotNull()
+        t = F.col(ident(c)).isNotNull()
         cond = t if cond is None else cond & t
     return df.where(cond) if cond is not None else df

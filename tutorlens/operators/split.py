@@ -12,11 +12,11 @@ Sizes follow scikit-learn's ``train_test_split(..., stratify=y)`` applied twice
 Membership: inside each class rows are ranked by ``md5(seed|key)`` then key;
 rank < train quota -> train, < train + validation -> validation, else test.
 The rank is computed in two levels so that no class is sorted in one task:
-rows are bucketed by the first hex digits of the hash (``hex_digits``), a
-``row_number`` runs per (class, bucket) after the only shuffle of the input,
-and the bucket sizes from that same window give running offsets (a table of at
-most classes x buckets rows, broadcast back).  Quotas are computed in Spark from the
-class counts, so nothing but the final frame is produced, with no action.
+rows are bucketed by the first hex digits of the hash (``hex_digits``); a
+group-by, combined before its shuffle, counts each (class, bucket), and these at
+most classes x buckets counts give running offsets and the classes' quotas.  The
+rows themselves are read once more and shuffled once, for the ``row_number``
+within (class, bucket).  No action runs.
 """
 
 from __future__ import annotations
@@ -101,14 +101,10 @@ def stratified_split(
         "*", f"CAST(conv(substring(_h, 1, {hex_digits}), 16, 10) AS INT) AS _b"
     )
 
-    # One shuffle of the input: rows are ranked inside their (class, bucket),
-    # and the same window partition gives the bucket size.
-    within = x.selectExpr(
-        "*",
-        f"ROW_NUMBER() OVER (PARTITION BY {lab}, _b ORDER BY _h, {order}) AS _rn",
-        f"COUNT(1) OVER (PARTITION BY {lab}, _b) AS _bn",
-    )
-    per_bucket = within.where("_rn = 1").select(label, "_b", "_bn")
+    # (the label is never null here; saying so keeps both uses alike, and the exchange is reused)
+    per_bucket = x.where(f"{lab} IS NOT NULL").groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    # the only shuffle of rows
+    within = x.selectExpr("*", f"ROW_NUMBER() OVER (PARTITION BY {lab}, _b ORDER BY _h, {order}) AS _rn")
     offsets = per_bucket.selectExpr("*", f"SUM(_bn) OVER (PARTITION BY {lab} ORDER BY _b) - _bn AS _off")
     class_counts = per_bucket.groupBy(label).agg(F.expr("SUM(_bn) AS n_class"))
     quotas = class_quotas(class_counts, label, test_size, val_size)

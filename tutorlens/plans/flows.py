@@ -2,9 +2,10 @@
 
 ``tables`` is the registry of source tables (see ``tutorlens.sources``):
 student_info, courses, assessments, student_assessment,
-student_registration, student_vle.  Everything returned is a lazy DataFrame,
-except that wide one-hot encoding first learns the category levels (one small
-bounded collect) unless ``levels`` is given.
+student_registration, student_vle, vle.  A flow writes its master table once
+(``materialize``: to ``path``, or to the shared checkpoint folder) and everything
+it returns reads that table.  ``levels`` declares the categories of the wide
+encodings; without them they are listed from the written table.
 """
 
 from __future__ import annotations
@@ -66,18 +67,20 @@ def encoded_forms(
 ) -> tuple[DataFrame, DataFrame]:
     """C11: (linear, tree) one-hot forms sharing one level list."""
     lv = dict(levels) if levels is not None else encode.discover_levels(feats, categories)
-    linear = encode.one_hot(feats, categories, drop_first=True, levels=lv)
-    tree = encode.one_hot(feats, categories, drop_first=False, levels=lv)
-    return linear, tree
+    return encode.one_hot(feats, lv, categories, drop_first=True), encode.one_hot(feats, lv, categories)
 
 
 def final_report(
     master: DataFrame,
     linear: DataFrame,
     tree: DataFrame,
+    feats: DataFrame,
     label: str = "target",
 ) -> DataFrame:
-    """Shapes, class balance, null totals and verdict as (item, value) rows.
+    """Shapes, class balance, null totals and verdict as (item, value) rows, and the features.
+
+    ``feature <name>`` gives the place of each column of ``feats`` before the
+    encoding, ``feature_cols`` their number.
 
     One aggregate over the tree form (same rows as the master and the linear
     form; its columns include every linear column).
@@ -93,6 +96,8 @@ def final_report(
     items = [
         ("master_rows", "rows"),
         ("master_cols", f"CAST({len(master.columns)} AS DOUBLE)"),
+        ("feature_rows", "rows"),
+        ("feature_cols", f"CAST({len(feats.columns)} AS DOUBLE)"),
         ("linear_rows", "rows"),
         ("linear_cols", f"CAST({len(linear.columns)} AS DOUBLE)"),
         ("tree_rows", "rows"),
@@ -103,22 +108,20 @@ def final_report(
     ]
     for code, cname in CLASS_NAMES.items():
         items.append((f"share {cname}", f"bround(try_divide(_c{code}, _labelled), 3)"))
+    items += [(f"feature {c}", str(i)) for i, c in enumerate(feats.columns)]
     pairs = ", ".join(f"{literal(n)}, CAST({e} AS DOUBLE)" for n, e in items)
     return one.selectExpr(f"stack({len(items)}, {pairs}) AS (item, value)")
 
 
 def whole_course(
-    tables: Mapping[str, DataFrame], levels: Mapping[str, Sequence] | None = None, checkpoint: bool = True
+    tables: Mapping[str, DataFrame], levels: Mapping[str, Sequence] | None = None, path: str | None = None
 ) -> dict[str, DataFrame]:
     """Whole course: master, features, two encodings, report.
 
-    The master table is checkpointed (to the shared checkpoint folder) before
-    level discovery and the report, so the click-log aggregation and the joins
-    run once, and a lost executor re-reads the checkpoint instead of the log.
+    The master table is written once, so the click-log aggregation and the joins
+    run once, and a lost executor re-reads the files instead of the log.
     """
-    master = whole_course_master(tables)
-    if checkpoint:
-        master = materialize(master)
+    master = materialize(whole_course_master(tables), path)
     feats = master.drop(*DROP_WHOLE)
     linear, tree = encoded_forms(feats, levels)
     return {
@@ -126,7 +129,7 @@ def whole_course(
         "features": feats,
         "encoded_linear": linear,
         "encoded_tree": tree,
-        "report": final_report(master, linear, tree),
+        "report": final_report(master, linear, tree, feats),
     }
 
 
@@ -134,13 +137,11 @@ def early_prediction(
     tables: Mapping[str, DataFrame],
     cutoff: int = 90,
     levels: Mapping[str, Sequence] | None = None,
-    checkpoint: bool = True,
+    path: str | None = None,
 ) -> dict[str, DataFrame]:
     """Early prediction at ``cutoff``: as :func:`whole_course`, plus the filter
-    effect and the duplicate check.  The pre-filter master is checkpointed."""
-    pre = early_master(tables, cutoff)
-    if checkpoint:
-        pre = materialize(pre)
+    effect and the duplicate check.  The pre-filter master is written once."""
+    pre = materialize(early_master(tables, cutoff), path)
     sample = encode.encode_target(features.active_at(pre, cutoff))
     feats = sample.drop(*DROP_EARLY)
     linear, tree = encoded_forms(feats, levels)
@@ -152,7 +153,7 @@ def early_prediction(
         "encoded_tree": tree,
         "filter_effect": features.filter_effect(pre, cutoff),
         "duplicates": profile.duplicate_keys(pre, K3),
-        "report": final_report(sample, linear, tree),
+        "report": final_report(sample, linear, tree, feats),
     }
 
 
@@ -165,35 +166,46 @@ def training_splits(
 ) -> DataFrame:
     """The tree encoding with a 70/15/15 ``split`` column.
 
-    The split is drawn on the enrolment key, before the id is dropped; the
-    split frame is checkpointed before the levels are learned from it.
+    The split is drawn on the enrolment key, before the id is dropped.
     """
-    with_split = materialize(split.stratified_split(master, label=label, key=K3, seed=seed))
-    feats = with_split.drop(*drop)
-    lv = dict(levels) if levels is not None else encode.discover_levels(feats, encode.CATEGORY_COLUMNS)
-    return encode.one_hot(feats, encode.CATEGORY_COLUMNS, drop_first=False, levels=lv)
-
-
-def explore(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The exploration reports (no charts; their data)."""
-    clicks = features.clicks_per_student(tables["student_vle"])
-    info = tables["student_info"]
-    sub = tables["student_assessment"]
-    registry = {
-        "studentInfo": info,
-        "studentAssessment": sub,
+    lv = dict(levels) if levels is not None else encode.discover_levels(master)
+    with_split = split.stratified_split(master, label=label, key=K3, seed=seed)
+    return encode.one_hot(with_split.drop(*drop), lv)
+
+
+def registry(tables: Mapping[str, DataFrame], clicks: DataFrame) -> dict[str, DataFrame]:
+    """The seven tables of the exploration under their published names; ``clicks`` stands for the click log."""
+    return {
+        "studentInfo": tables["student_info"],
+        "studentAssessment": tables["student_assessment"],
         "assessments": tables["assessments"],
         "studentVle_small": clicks,
         "courses": tables["courses"],
         "studentRegistration": tables["student_registration"],
+        "vle": tables["vle"],
     }
-    engaged = info.join(clicks, "id_student", "left").fillna(0, subset=["sum_click"])
+
+
+def engaged(info: DataFrame, clicks: DataFrame) -> DataFrame:
+    """J8 + M2: enrolments with their student's clicks, 0 where there are none."""
+    return info.join(clicks, "id_student", "left").fillna(0, subset=["sum_click"])
+
+
+def explore(tables: Mapping[str, DataFrame], path: str | None = None) -> dict[str, DataFrame]:
+    """The exploration reports (no charts; their data).
+
+    The click log is read once: its totals by student are written (to ``path``)
+    and all reports read those.
+    """
+    clicks = shrink_clicks(tables["student_vle"], path)
+    info, sub = tables["student_info"], tables["student_assessment"]
+    tables_ = registry(tables, clicks)
+    with_clicks = engaged(info, clicks)
     return {
-        "profile": profile.table_profile(registry),
-        "null_counts": profile.registry_null_counts(registry),
-        "describe": profile.describe_tables(
-            {"studentInfo": info, "studentAssessment": sub, "studentVle_small": clicks}
-        ),
+        "profile": profile.table_profile(tables_),
+        "previews": profile.previews(tables_),
+        "null_counts": profile.registry_null_counts(tables_),
+        "describe": profile.describe_tables({n: tables_[n] for n in ("studentInfo", "studentAssessment", "studentVle_small")}),
         "value_counts": profile.multi_value_counts(
             info, ["final_result", "age_band", "gender", "highest_education", "num_of_prev_attempts"]
         ),
@@ -202,8 +214,8 @@ def explore(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "histogram_clicks": distributions.histogram(clicks, "sum_click"),
         "density_score": distributions.density_curve(sub, "score"),
         "density_clicks": distributions.density_curve(clicks, "sum_click"),
-        "engagement_by_result": profile.group_summary(engaged, "sum_click", "final_result"),
-        "box_clicks_by_result": distributions.box_stats(engaged, "sum_click", ["final_result"]),
+        "engagement_by_result": profile.group_summary(with_clicks, "sum_click", "final_result"),
+        "box_clicks_by_result": distributions.box_stats(with_clicks, "sum_click", ["final_result"]),
         "score_by_result": score_by_result(sub, info),
         "box_score_by_result": box_score_by_result(sub, info),
         "category_by_result": profile.multi_cross_counts(info, ["highest_education", "age_band"], "final_result"),
@@ -251,11 +263,14 @@ def box_score_by_result(submissions: DataFrame, info: DataFrame, digits: int | N
     return distributions.box_stats(weighted, "score", ["final_result"], weight="_w", digits=digits)
 
 
-def shrink_clicks(vle: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+def shrink_clicks(vle: DataFrame, path: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Write the per-student click totals once and read them back.
 
     Later steps read this small table instead of the raw click log; ``fmt``
     'csv' writes a header row and no index, as ``to_csv(index=False)``.
     """
-    write_table(features.clicks_per_student(vle), path, fmt=fmt)
+    clicks = features.clicks_per_student(vle)
+    if fmt == "parquet":
+        return materialize(clicks, path)
+    write_table(clicks, path, fmt=fmt)
     return read_table(vle.sparkSession, path, STUDENT_VLE_SMALL, fmt=fmt)

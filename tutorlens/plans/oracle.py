@@ -9,7 +9,7 @@ float aggregates whose summation order differs are rounded to 6 places.
 
 from __future__ import annotations
 
-from tutorlens.sources.fixtures import CUTOFF_DAY, FIXTURE_CTES
+from tutorlens.sources.fixtures import CUTOFF_DAY, FIXTURE_CTES, LEVELS
 
 C = CUTOFF_DAY
 K3_ON = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in ("code_module", "code_presentation", "id_student"))
@@ -33,18 +33,6 @@ INFO_COLS = [
 CATEGORIES = [
     "code_module", "code_presentation", "gender", "region", "highest_education", "imd_band", "age_band", "disability",
 ]
-# Levels of the category columns in the fixture tables (after the imd fill),
-# fixed by the fixture rules and the generated dimension tables.
-FIXTURE_LEVELS = {
-    "code_module": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
-    "code_presentation": ["2013J", "2014B", "2014J"],
-    "gender": ["F", "M"],
-    "region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
-    "highest_education": ["A Level", "HE", "Lower", "None", "PG"],
-    "imd_band": ["0-20%", "20-40%", "40-60%", "Unknown"],
-    "age_band": ["0-35", "35-55", "55<="],
-    "disability": ["N", "Y"],
-}
 MASTER_WHOLE_COLS = INFO_COLS + ["total_clicks", "mean_score", "num_submissions", "date_registration", "unregistered", "target"]
 MASTER_EARLY_COLS = INFO_COLS + [
     "total_clicks", "active_days", "unique_resources", "clicks_per_day", "days_since_last_click",
@@ -196,6 +184,7 @@ REGISTRY = [
         "student_registration",
         ["code_module", "code_presentation", "id_student", "date_registration", "date_unregistration"],
     ),
+    ("vle", "vle", ["id_site", "code_module", "code_presentation", "activity_type", "week_from", "week_to"]),
 ]
 NUMERIC = {
     "studentInfo": ["id_student", "num_of_prev_attempts", "studied_credits"],
@@ -232,10 +221,10 @@ def _table_profile_sql() -> str:
     return _with() + _stack_union(parts)
 
 
-def _describe_sql() -> str:
+def _describe_sql(numeric: dict[str, list[str]] = NUMERIC) -> str:
     views = {t: v for t, v, _ in REGISTRY}
     parts = []
-    for tname, cols in NUMERIC.items():
+    for tname, cols in numeric.items():
         for c in cols:
             parts.append(
                 f"SELECT {_lit(tname)} AS table_name, {_lit(c)} AS column_name, COUNT(x) AS count, "
@@ -315,7 +304,7 @@ def _one_hot_select(source: str, feature_cols: list[str], drop_first: bool) -> s
     kept = [_q(c) for c in feature_cols if c not in CATEGORIES]
     dummies = []
     for c in CATEGORIES:
-        levels = sorted(FIXTURE_LEVELS[c])
+        levels = sorted(LEVELS[c])
         if drop_first:
             levels = levels[1:]
         for v in levels:
@@ -323,34 +312,68 @@ def _one_hot_select(source: str, feature_cols: list[str], drop_first: bool) -> s
     return f"SELECT {', '.join(kept + dummies)} FROM {source}"
 
 
+def _one_hot_positions_sql() -> str:
+    """Positions over the levels that the table holds, ranked in text order."""
+    pairs = _stack_union([f"SELECT {i} AS i, CAST({_q(c)} AS VARCHAR) AS v FROM master_whole WHERE {_q(c)} IS NOT NULL" for i, c in enumerate(CATEGORIES)])
+    joins = " ".join(f"LEFT JOIN idx p{i} ON p{i}.i = {i} AND p{i}.v = m.{_q(c)}" for i, c in enumerate(CATEGORIES))
+    found = ", ".join(f"p{i}.position" for i in range(len(CATEGORIES)))
+    return _with(f"idx AS (SELECT i, v, CAST(ROW_NUMBER() OVER (ORDER BY i, v) - 1 AS INTEGER) AS position FROM (SELECT DISTINCT i, v FROM ({pairs}) u) d)") + (
+        "SELECT concat_ws('|', m.code_module, m.code_presentation) AS run, m.id_student, m.target, "
+        f"array_to_string(list_filter([{found}], lambda x: x IS NOT NULL), ',') AS positions FROM master_whole m {joins}"
+    )
+
+
+def _encoded_null_columns_sql() -> str:
+    """The dummies are never missing; the other columns keep their gaps."""
+    kept = [c for c in WHOLE_FEATURES if c not in CATEGORIES]
+    parts = [
+        f"SELECT CAST({i} AS INTEGER) AS position, {_lit(c)} AS column_name, COUNT(*) - COUNT({_q(c)}) AS null_count FROM master_whole"
+        for i, c in enumerate(kept)
+    ]
+    return _with() + "SELECT * FROM (" + _stack_union(parts) + ") t WHERE null_count > 0"
+
+
+def _previews_sql(n: int = 5) -> str:
+    parts = []
+    for tname, view, cols in REGISTRY:
+        order = ", ".join(f"{_q(c)} NULLS FIRST" for c in cols)
+        content = ", ".join(f"{_lit(c)}, {_q(c)}" for c in cols)
+        parts.append(
+            f"SELECT {_lit(tname)} AS table_name, CAST(row AS INTEGER) AS row, CAST(json_object({content}) AS VARCHAR) AS content "
+            f"FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS row FROM {view}) t WHERE row <= {n}"
+        )
+    return _with() + _stack_union(parts)
+
+
 def _n_cols(feature_cols: list[str], drop_first: bool) -> int:
     kept = [c for c in feature_cols if c not in CATEGORIES]
-    n = sum(len(FIXTURE_LEVELS[c]) - (1 if drop_first else 0) for c in CATEGORIES)
+    n = sum(len(LEVELS[c]) - (1 if drop_first else 0) for c in CATEGORIES)
     return len(kept) + n
 
 
-SPLIT_CTES = [
-    "sb AS (SELECT code_module, code_presentation, id_student, target, "
-    "md5(concat_ws('|', '42', code_module, code_presentation, CAST(id_student AS VARCHAR))) AS h FROM master_whole)",
-    "cls AS (SELECT target, COUNT(*) AS n_class FROM sb GROUP BY target)",
-    "t1 AS (SELECT target, n_class, SUM(n_class) OVER () AS n, "
-    "CAST(CEIL(CAST(0.15 AS DOUBLE) * CAST(SUM(n_class) OVER () AS DOUBLE)) AS BIGINT) AS n_test FROM cls)",
-    "t2 AS (SELECT *, CAST(n_class AS DOUBLE) / CAST(n AS DOUBLE) * CAST(n - n_test AS DOUBLE) AS cont FROM t1)",
-    "t3 AS (SELECT *, (n - n_test) - SUM(FLOOR(cont)) OVER () AS need, "
-    "ROW_NUMBER() OVER (ORDER BY cont - FLOOR(cont) DESC, target) AS ord FROM t2)",
-    "t4 AS (SELECT target, n_class, CAST(FLOOR(cont) + CASE WHEN ord <= need THEN 1 ELSE 0 END AS BIGINT) AS n_rest FROM t3)",
-    "t5 AS (SELECT *, SUM(n_rest) OVER () AS m, "
-    f"CAST(CEIL(CAST({0.15 / (1 - 0.15)!r} AS DOUBLE) * CAST(SUM(n_rest) OVER () AS DOUBLE)) AS BIGINT) AS n_val FROM t4)",
-    "t6 AS (SELECT *, CAST(n_rest AS DOUBLE) / CAST(m AS DOUBLE) * CAST(m - n_val AS DOUBLE) AS cont2 FROM t5)",
-    "t7 AS (SELECT *, (m - n_val) - SUM(FLOOR(cont2)) OVER () AS need2, "
-    "ROW_NUMBER() OVER (ORDER BY cont2 - FLOOR(cont2) DESC, target) AS ord2 FROM t6)",
-    "quota AS (SELECT target, n_class, n_rest, "
-    "CAST(FLOOR(cont2) + CASE WHEN ord2 <= need2 THEN 1 ELSE 0 END AS BIGINT) AS n_train FROM t7)",
-    "ranked AS (SELECT sb.*, ROW_NUMBER() OVER (PARTITION BY sb.target ORDER BY h, code_module, code_presentation, id_student) - 1 AS rnk FROM sb)",
-    "sp AS (SELECT r.code_module, r.code_presentation, r.id_student, r.target, "
-    "CASE WHEN rnk < q.n_train THEN 'train' WHEN rnk < q.n_rest THEN 'validation' ELSE 'test' END AS split "
-    "FROM ranked r JOIN quota q ON r.target = q.target)",
-]
+def _split_ctes(source: str) -> list[str]:
+    return [
+        f"sb AS (SELECT *, "
+        f"md5(concat_ws('|', '42', code_module, code_presentation, CAST(id_student AS VARCHAR))) AS h FROM {source})",
+        "cls AS (SELECT target, COUNT(*) AS n_class FROM sb GROUP BY target)",
+        "t1 AS (SELECT target, n_class, SUM(n_class) OVER () AS n, "
+        "CAST(CEIL(CAST(0.15 AS DOUBLE) * CAST(SUM(n_class) OVER () AS DOUBLE)) AS BIGINT) AS n_test FROM cls)",
+        "t2 AS (SELECT *, CAST(n_class AS DOUBLE) / CAST(n AS DOUBLE) * CAST(n - n_test AS DOUBLE) AS cont FROM t1)",
+        "t3 AS (SELECT *, (n - n_test) - SUM(FLOOR(cont)) OVER () AS need, "
+        "ROW_NUMBER() OVER (ORDER BY cont - FLOOR(cont) DESC, target) AS ord FROM t2)",
+        "t4 AS (SELECT target, n_class, CAST(FLOOR(cont) + CASE WHEN ord <= need THEN 1 ELSE 0 END AS BIGINT) AS n_rest FROM t3)",
+        "t5 AS (SELECT *, SUM(n_rest) OVER () AS m, "
+        f"CAST(CEIL(CAST({0.15 / (1 - 0.15)!r} AS DOUBLE) * CAST(SUM(n_rest) OVER () AS DOUBLE)) AS BIGINT) AS n_val FROM t4)",
+        "t6 AS (SELECT *, CAST(n_rest AS DOUBLE) / CAST(m AS DOUBLE) * CAST(m - n_val AS DOUBLE) AS cont2 FROM t5)",
+        "t7 AS (SELECT *, (m - n_val) - SUM(FLOOR(cont2)) OVER () AS need2, "
+        "ROW_NUMBER() OVER (ORDER BY cont2 - FLOOR(cont2) DESC, target) AS ord2 FROM t6)",
+        "quota AS (SELECT target, n_class, n_rest, "
+        "CAST(FLOOR(cont2) + CASE WHEN ord2 <= need2 THEN 1 ELSE 0 END AS BIGINT) AS n_train FROM t7)",
+        "ranked AS (SELECT sb.*, ROW_NUMBER() OVER (PARTITION BY sb.target ORDER BY h, code_module, code_presentation, id_student) - 1 AS rnk FROM sb)",
+        "sp AS (SELECT r.* EXCLUDE (h, rnk), "
+        "CASE WHEN rnk < q.n_train THEN 'train' WHEN rnk < q.n_rest THEN 'validation' ELSE 'test' END AS split "
+        "FROM ranked r JOIN quota q ON r.target = q.target)",
+    ]
 
 
 def _report_sql(master: str, master_cols: list[str], feature_cols: list[str], extra: list[str] = ()) -> str:
@@ -364,6 +387,8 @@ def _report_sql(master: str, master_cols: list[str], feature_cols: list[str], ex
     items = [
         ("master_rows", "n_rows"),
         ("master_cols", str(len(master_cols))),
+        ("feature_rows", "n_rows"),
+        ("feature_cols", str(len(feature_cols))),
         ("linear_rows", "n_rows"),
         ("linear_cols", str(_n_cols(feature_cols, True))),
         ("tree_rows", "n_rows"),
@@ -375,6 +400,7 @@ def _report_sql(master: str, master_cols: list[str], feature_cols: list[str], ex
     names = ["Pass (0)", "Distinction (1)", "Fail (2)", "Withdrawn (3)"]
     for k, name in enumerate(names):
         items.append((f"share {name}", f"round_even(CAST(c{k} AS DOUBLE) / CAST(labelled AS DOUBLE), 3)"))
+    items += [(f"feature {c}", str(i)) for i, c in enumerate(feature_cols)]
     parts = [f"SELECT {_lit(n)} AS item, CAST({e} AS DOUBLE) AS value FROM agg" for n, e in items]
     return _with(agg) + _stack_union(parts + list(extra))
 
@@ -418,8 +444,7 @@ def oracle_sql() -> dict[str, str]:
         "target_encoded": _with() + f"SELECT {k3}, final_result, {target_info} FROM student_info",
         "class_balance": _with("vc AS (SELECT target, COUNT(*) AS count FROM master_whole WHERE target IS NOT NULL GROUP BY target)")
         + f"SELECT target, {CLASS_NAME_CASE.format(c='target')} AS class_name, count, "
-        "round_even(CAST(count AS DOUBLE) / CAST(SUM(count) OVER () AS DOUBLE), 3) AS share, "
-        "CAST(ROW_NUMBER() OVER (ORDER BY count DESC, target ASC) AS INTEGER) AS rank FROM vc",
+        "round_even(CAST(count AS DOUBLE) / CAST(SUM(count) OVER () AS DOUBLE), 3) AS share FROM vc",
         "value_counts_percent": _with(
             "st AS ("
             + _stack_union(
@@ -432,8 +457,7 @@ def oracle_sql() -> dict[str, str]:
             "c AS (SELECT variable, value, COUNT(*) AS count FROM st WHERE value IS NOT NULL GROUP BY variable, value)",
         )
         + "SELECT variable, value, count, "
-        "CAST(count AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(SUM(count) OVER (PARTITION BY variable) AS DOUBLE) AS percent, "
-        "CAST(ROW_NUMBER() OVER (PARTITION BY variable ORDER BY count DESC, value ASC) AS INTEGER) AS rank FROM c",
+        "CAST(count AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(SUM(count) OVER (PARTITION BY variable) AS DOUBLE) AS percent FROM c",
         "null_counts": _null_counts_sql(),
         "master_null_columns": _master_null_columns_sql(),
         "duplicate_keys": "SELECT CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) AS n_keys, CAST(SUM(n - 1) AS BIGINT) AS n_duplicates "
@@ -475,12 +499,25 @@ def oracle_sql() -> dict[str, str]:
         ),
         "one_hot_tree": _with() + _one_hot_select("master_whole", WHOLE_FEATURES, drop_first=False),
         "one_hot_linear": _with() + _one_hot_select("master_whole", WHOLE_FEATURES, drop_first=True),
-        "stratified_split": _with(*SPLIT_CTES) + "SELECT * FROM sp",
-        "split_sizes": _with(*SPLIT_CTES)
+        "one_hot_tree_early": _with() + _one_hot_select("active", EARLY_FEATURES, drop_first=False),
+        "one_hot_linear_early": _with() + _one_hot_select("active", EARLY_FEATURES, drop_first=True),
+        "one_hot_vector": _one_hot_positions_sql(),
+        "training_frame_whole": _with(*_split_ctes("master_whole")) + _one_hot_select("sp", [*WHOLE_FEATURES, "split"], drop_first=False),
+        "training_frame_early": _with(*_split_ctes("active")) + _one_hot_select("sp", [*EARLY_FEATURES, "split"], drop_first=False),
+        "training_part_early": _with(*_split_ctes("active")) + _one_hot_select("sp", EARLY_FEATURES, drop_first=False) + " WHERE split = 'train'",
+        "encoded_null_columns": _encoded_null_columns_sql(),
+        "previews": _previews_sql(),
+        "describe_clicks": "SELECT * EXCLUDE (table_name) FROM (" + _describe_sql({"studentVle_small": ["sum_click"]}) + ") t",
+        "education_by_result": _with()
+        + "SELECT highest_education, "
+        + ", ".join(f"COUNT(*) FILTER (WHERE final_result = {_lit(v)}) AS {_q(v)}" for v in ("Pass", "Distinction", "Fail", "Withdrawn"))
+        + " FROM student_info WHERE highest_education IS NOT NULL AND final_result IS NOT NULL GROUP BY highest_education",
+        "stratified_split": _with(*_split_ctes("master_whole")) + f"SELECT {k3}, target, split FROM sp",
+        "split_sizes": _with(*_split_ctes("master_whole"))
         + "SELECT split, COUNT(*) AS n_rows, "
         "round_even(CAST(COUNT(*) AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 1) AS percent "
         "FROM sp GROUP BY split",
-        "split_class_shares": _with(*SPLIT_CTES)
+        "split_class_shares": _with(*_split_ctes("master_whole"))
         + f"SELECT split, {CLASS_LABEL_CASE.format(c='target')} AS class_name, COUNT(*) AS n_rows, "
         "round_even(CAST(COUNT(*) AS DOUBLE) / CAST(SUM(COUNT(*)) OVER (PARTITION BY split) AS DOUBLE), 3) AS share "
         "FROM sp GROUP BY split, target",
@@ -496,4 +533,5 @@ def oracle_sql() -> dict[str, str]:
             ],
         ),
     }
+    qs["explore_clicks"] = qs["engagement_by_result"]
     return qs

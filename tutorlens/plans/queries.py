@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutorlens.functions.lookup import CLASS_NAMES, map_lookup
+from tutorlens.functions.lookup import CLASS_LABELS, CLASS_NAMES, map_lookup
+from tutorlens.functions.sqltext import ident
 from tutorlens.keys import K3
 from tutorlens.operators import clean, distributions, encode, features, profile, split
 from tutorlens.plans import flows
-from tutorlens.sources.fixtures import CUTOFF_DAY, fixture_tables, read_raw
+from tutorlens.session import materialize
+from tutorlens.sources.fixtures import CUTOFF_DAY, LEVELS, fixture_tables, read_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,20 +27,16 @@ def _t(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return fixture_tables(spark, sf_dir)
 
 
+def _clicks(t: dict[str, DataFrame]) -> DataFrame:
+    return features.clicks_per_student(t["student_vle"])
+
+
 def _engaged(t: dict[str, DataFrame]) -> DataFrame:
-    clicks = features.clicks_per_student(t["student_vle"])
-    return t["student_info"].join(clicks, "id_student", "left").fillna(0, subset=["sum_click"])
+    return flows.engaged(t["student_info"], _clicks(t))
 
 
 def _exploration_registry(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "studentInfo": t["student_info"],
-        "studentAssessment": t["student_assessment"],
-        "assessments": t["assessments"],
-        "studentVle_small": features.clicks_per_student(t["student_vle"]),
-        "courses": t["courses"],
-        "studentRegistration": t["student_registration"],
-    }
+    return flows.registry(t, _clicks(t))
 
 
 # --- cleaning -------------------------------------------------------------
@@ -123,7 +121,6 @@ def class_balance(spark, sf_dir):
         map_lookup(F.col("value"), CLASS_NAMES).alias("class_name"),
         "count",
         "share",
-        "rank",
     )
 
 
@@ -168,6 +165,19 @@ def preview(spark, sf_dir):
     return profile.preview(_t(spark, sf_dir)["student_info"], K3, 5)
 
 
+def previews(spark, sf_dir):
+    return profile.previews(_exploration_registry(_t(spark, sf_dir)), 5)
+
+
+def describe_clicks(spark, sf_dir):
+    return profile.describe_numeric(_clicks(_t(spark, sf_dir)), ["sum_click"])
+
+
+def education_by_result(spark, sf_dir):
+    info = _t(spark, sf_dir)["student_info"]
+    return profile.cross_counts(info, "highest_education", "final_result", list(CLASS_LABELS.values()))
+
+
 def describe_numeric(spark, sf_dir):
     reg = _exploration_registry(_t(spark, sf_dir))
     return profile.describe_tables({n: reg[n] for n in ("studentInfo", "studentAssessment", "studentVle_small")})
@@ -219,20 +229,47 @@ def box_score_by_result(spark, sf_dir):
 
 # --- encoding and split ---------------------------------------------------------
 
-# The encodings learn their levels with a small action first; going through the
-# flow checkpoints the master table, so its joins and aggregations run once.
-
 def one_hot_tree(spark, sf_dir):
-    return flows.whole_course(_t(spark, sf_dir))["encoded_tree"]
+    return flows.whole_course(_t(spark, sf_dir), LEVELS)["encoded_tree"]
 
 
 def one_hot_linear(spark, sf_dir):
-    return flows.whole_course(_t(spark, sf_dir))["encoded_linear"]
+    return flows.whole_course(_t(spark, sf_dir), LEVELS)["encoded_linear"]
+
+
+def one_hot_tree_early(spark, sf_dir):
+    return flows.early_prediction(_t(spark, sf_dir), CUTOFF_DAY, LEVELS)["encoded_tree"]
+
+
+def one_hot_linear_early(spark, sf_dir):
+    return flows.early_prediction(_t(spark, sf_dir), CUTOFF_DAY, LEVELS)["encoded_linear"]
 
 
 def one_hot_vector(spark, sf_dir):
-    feats = flows.whole_course(_t(spark, sf_dir))["features"]
-    return encode.one_hot_vector(feats, drop_first=False)
+    master = materialize(flows.whole_course_master(_t(spark, sf_dir)))
+    wide = encode.one_hot_positions(master.withColumn("run", F.concat_ws("|", *K3[:2])))
+    return wide.select("run", "id_student", "target", F.array_join("positions", ",").alias("positions"))
+
+
+def training_frame_whole(spark, sf_dir):
+    master = materialize(flows.whole_course_master(_t(spark, sf_dir)))
+    return flows.training_splits(master, flows.DROP_WHOLE, LEVELS)
+
+
+def training_frame_early(spark, sf_dir):
+    sample = materialize(flows.early_sample(_t(spark, sf_dir), CUTOFF_DAY))
+    return flows.training_splits(sample, flows.DROP_EARLY, LEVELS)
+
+
+def training_part_early(spark, sf_dir):
+    """The features and label of the early training rows (P10)."""
+    part = encode.split_views(training_frame_early(spark, sf_dir))["train"]
+    return part.select(*[ident(c) for c in encode.feature_columns(part)], "target")
+
+
+def encoded_null_columns(spark, sf_dir):
+    """Missing values of the encoded frame, column by column."""
+    return profile.null_counts(one_hot_tree(spark, sf_dir), only_missing=True)
 
 
 def _split(spark, sf_dir):
@@ -255,11 +292,11 @@ def split_class_shares(spark, sf_dir):
 # --- reports of the two end-to-end flows ----------------------------------------
 
 def report_whole_course(spark, sf_dir):
-    return flows.whole_course(_t(spark, sf_dir))["report"]
+    return flows.whole_course(_t(spark, sf_dir), LEVELS)["report"]
 
 
 def report_early(spark, sf_dir):
-    out = flows.early_prediction(_t(spark, sf_dir), CUTOFF_DAY)
+    out = flows.early_prediction(_t(spark, sf_dir), CUTOFF_DAY, LEVELS)
     effect = out["filter_effect"].select(
         F.explode(
             F.array(
@@ -272,6 +309,12 @@ def report_early(spark, sf_dir):
     return out["report"].unionByName(effect).unionByName(dups)
 
 
+def explore_clicks(spark, sf_dir):
+    """Clicks by result over the written click totals, as the exploration flow reads them (S3)."""
+    t = _t(spark, sf_dir)
+    return profile.group_summary(flows.engaged(t["student_info"], flows.shrink_clicks(t["student_vle"])), "sum_click", "final_result")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -284,6 +327,7 @@ QUERIES: dict[str, Query] = {
         category_by_result, histogram_score, histogram_clicks, histogram_credits, density_score,
         density_clicks, box_clicks_by_result, box_score_by_result, one_hot_tree, one_hot_linear,
         one_hot_vector, stratified_split, split_sizes, split_class_shares, report_whole_course,
-        report_early,
+        report_early, previews, describe_clicks, education_by_result, one_hot_tree_early, one_hot_linear_early,
+        training_frame_whole, training_frame_early, training_part_early, encoded_null_columns, explore_clicks,
     ]
 }

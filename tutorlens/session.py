@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,38 +21,10 @@ SQL_DEFAULTS = {
 }
 
 
-MB = 1 << 20
-
-
-def sizing_for(input_bytes: int) -> dict[str, str]:
-    """Partition sizing for a job that reads ``input_bytes`` (spill-aware).
-
-    * scan splits of 256 MB (100 TB -> about 400k read tasks);
-    * the initial shuffle partition count from the input at 1 GB each, since
-      map-side partial aggregation shrinks every shuffle here well below the
-      input, clamped to [200, 50000]; AQE then coalesces towards 256 MB
-      partitions and splits any partition five times the median and over
-      512 MB (a hot key holding a third of the rows).
-    """
-    shuffle = min(50000, max(200, input_bytes // (1024 * MB)))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(256 * MB),
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
-    }
-
-
-def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Set the SQL behaviour the library relies on; with ``input_bytes`` also
-    size partitions for that input (otherwise the platform's sizing stays)."""
+def configure(spark: SparkSession) -> SparkSession:
+    """Set the SQL behaviour the library relies on; partition sizing stays the platform's."""
     for key, value in SQL_DEFAULTS.items():
         spark.conf.set(key, value)
-    if input_bytes is not None:
-        for key, value in sizing_for(input_bytes).items():
-            spark.conf.set(key, value)
     return spark
 
 
@@ -72,34 +45,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only when the session names none (local tests, the benchmark) a fresh scratch
-    folder is created, so a cluster run always writes to its shared storage.
+    Only a ``local`` session that names none gets a scratch folder of its own.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server reads spark.checkpoint.dir
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tutorlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if sc is None:
-        return configured
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss).
-
-    Used before a frame feeds several actions (level discovery, quotas), so the
-    upstream joins and aggregations run once.
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="tutorlens-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to shared storage and read it back.
+
+    Cuts lineage (a lost executor re-reads the files), runs the upstream work
+    once for several actions, and later reads prune columns.  Without ``path``
+    a new folder below :func:`shared_folder` is used.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = path or f"{shared_folder(spark)}/tutorlens/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

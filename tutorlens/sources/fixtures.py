@@ -70,6 +70,20 @@ def _case_by(expr: str, mapping: dict) -> str:
 # The projections are Spark SQL expressions: one call per view instead of one
 # per expression node.
 
+# Levels of the category columns in the fixture tables (after the imd fill),
+# fixed by the fixture rules and the generated dimension tables.
+LEVELS = {
+    "code_module": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "code_presentation": ["2013J", "2014B", "2014J"],
+    "gender": ["F", "M"],
+    "region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
+    "highest_education": ["A Level", "HE", "Lower", "None", "PG"],
+    "imd_band": ["0-20%", "20-40%", "40-60%", "Unknown"],
+    "age_band": ["0-35", "35-55", "55<="],
+    "disability": ["N", "Y"],
+}
+
+
 def enrolments(customer: DataFrame) -> DataFrame:
     """Every customer once (``again`` = 0), every fourth once more (``again`` = 1)."""
     base = customer.selectExpr(
@@ -148,11 +162,13 @@ def student_assessment(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def student_vle(events: DataFrame, enrol: DataFrame) -> DataFrame:
-    ev = events.selectExpr("event_id", "ts", "user_id AS id_student", "value", "props")
+    """One row for each event of a known student; the two enrolments of a student take turns."""
+    ev = events.selectExpr(
+        "ts", "user_id AS id_student", "value", "props", "CAST(IF(user_id % 4 = 0, event_id % 2, 0) AS INT) AS again"
+    )
     en = enrol.select("code_module", "code_presentation", "id_student", "again")
     return (
-        ev.join(en, "id_student")
-        .where("(event_id + again) % 2 = 0")
+        ev.join(en, ["id_student", "again"])
         .selectExpr(
             "code_module",
             "code_presentation",
@@ -164,6 +180,15 @@ def student_vle(events: DataFrame, enrol: DataFrame) -> DataFrame:
     )
 
 
+def vle(clicks: DataFrame) -> DataFrame:
+    """The sites of each course run, with the weeks of their first and last click (weeks before the start: missing)."""
+    return clicks.groupBy("id_site", "code_module", "code_presentation").agg(
+        F.lit("resource").alias("activity_type"),
+        F.expr("CAST(nullif(floor(min(date) / 7D), -1) AS INT)").alias("week_from"),
+        F.expr("CAST(floor(max(date) / 7D) AS INT)").alias("week_to"),
+    )
+
+
 def student_registration(enrol: DataFrame) -> DataFrame:
     return enrol.where("c_custkey % 17 <> 0").selectExpr(
         "code_module",
@@ -182,7 +207,7 @@ class FixtureTables(Mapping):
     table is read once per registry.
     """
 
-    NAMES = ("student_info", "courses", "assessments", "student_assessment", "student_registration", "student_vle")
+    NAMES = ("student_info", "courses", "assessments", "student_assessment", "student_registration", "student_vle", "vle")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
@@ -212,6 +237,8 @@ class FixtureTables(Mapping):
             return student_registration(self._enrol())
         if name == "student_vle":
             return student_vle(self.raw("events"), self._enrol())
+        if name == "vle":
+            return vle(self["student_vle"])
         raise KeyError(name)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -295,8 +322,12 @@ student_vle AS (
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS id_site,
          CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) - 5 AS INTEGER) AS date,
          CAST(floor(value) AS BIGINT) AS sum_click
-  FROM events JOIN enrol e ON user_id = e.id_student
-  WHERE (event_id + again) % 2 = 0
+  FROM events JOIN enrol e ON user_id = e.id_student AND again = CASE WHEN user_id % 4 = 0 THEN event_id % 2 ELSE 0 END
+),
+vle AS (
+  SELECT id_site, code_module, code_presentation, 'resource' AS activity_type,
+         CAST(NULLIF(floor(MIN(date) / 7.0), -1) AS INTEGER) AS week_from, CAST(floor(MAX(date) / 7.0) AS INTEGER) AS week_to
+  FROM student_vle GROUP BY id_site, code_module, code_presentation
 ),
 student_registration AS (
   SELECT code_module, code_presentation, id_student,

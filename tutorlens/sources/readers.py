@@ -2,9 +2,9 @@
 
 CSV files are read with every column as text, then missing-value tokens are
 mapped to null and each column is cast to its schema type, which is how
-pandas' ``read_csv`` treats them; doubles get NaN -> null.  Parquet goes through
-the same cast so both formats produce one schema.  Column pruning and filters
-still reach the scan, since the cast is a plain projection.
+pandas' ``read_csv`` treats them; doubles get NaN -> null.  Typed formats such as
+Parquet have real nulls: their columns are selected as they are, and cast only
+where the type differs, so column pruning and filters reach the scan.
 """
 
 from __future__ import annotations
@@ -26,8 +26,15 @@ PANDAS_NA_TOKENS = (
 )
 
 
-def _conform(df: DataFrame, schema: T.StructType, na_tokens: Iterable[str] | None) -> DataFrame:
-    tokens = list(na_tokens) if na_tokens is not None else None
+#: Columns that a source may lack (no operator reads them).
+OPTIONAL = ("weight",)
+
+
+def _conform(df: DataFrame, schema: T.StructType, na_tokens: Iterable[str]) -> DataFrame:
+    tokens = list(na_tokens)
+    missing = [f.name for f in schema.fields if f.name not in df.columns and f.name not in OPTIONAL]
+    if missing:
+        raise ValueError(f"input lacks the columns {missing}; it has {df.columns}")
     cols = []
     for field in schema.fields:
         if field.name not in df.columns:
@@ -36,7 +43,8 @@ def _conform(df: DataFrame, schema: T.StructType, na_tokens: Iterable[str] | Non
         c = F.col(field.name)
         if tokens and isinstance(df.schema[field.name].dataType, T.StringType):
             c = F.when(~c.isin(tokens), c)
-        c = c.cast(field.dataType)
+        if df.schema[field.name].dataType != field.dataType:
+            c = c.cast(field.dataType)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             c = nan_to_null(c)
         cols.append(c.alias(field.name))
@@ -51,13 +59,13 @@ def read_table(
     na_tokens: Iterable[str] | None = PANDAS_NA_TOKENS,
     extra_na_tokens: Iterable[str] = (),
 ) -> DataFrame:
-    """Read one table into its fixed schema.
+    """Read one table into its fixed schema; a missing column raises, but for ``OPTIONAL``.
 
-    ``na_tokens`` are the text values read as missing (pandas' defaults);
-    ``extra_na_tokens`` adds more, e.g. ``("?",)``, which pandas does not treat
-    as missing.
+    For CSV, ``na_tokens`` are the text values read as missing (pandas'
+    defaults); ``extra_na_tokens`` adds more, e.g. ``("?",)``, which pandas does
+    not treat as missing.  Typed formats take neither.
     """
-    tokens = list(na_tokens or ()) + list(extra_na_tokens)
+    tokens = [*(na_tokens or ()), *extra_na_tokens] if fmt == "csv" else []
     if fmt == "csv":
         raw = (
             spark.read.option("header", True)
