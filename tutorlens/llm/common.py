@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Runs of these bytes separate words (space, tab, LF, VT, FF, CR).
-WHITESPACE = r"[\x20\x09-\x0D]"
+from tutorlens.session import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,18 +24,6 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; own one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        master = spark.conf.get("spark.master", "")
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="tutorlens-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
