@@ -1,7 +1,7 @@
 """Registered corpus queries against their SQL, and their shared edge cases."""
 
 import pytest
-from conftest import oracle_rows, rows
+from exact_rows import oracle_rows, rows
 from pyspark.sql import functions as F
 
 from tutorlens.llm import queries
