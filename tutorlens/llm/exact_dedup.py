@@ -128,15 +128,26 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns, each document once."""
-    _, groups = copy_groups(docs)
+    """The rows of ``docs`` that stay, with all their columns, each document once.
+
+    What goes is decided on narrow rows; the texts are joined with it by their
+    own keys, which no hot group shares, in one shuffle whatever the size.
+    """
+    found, groups = copy_groups(docs)
+    key = ["doc_id", "fingerprint", "sha"]
+    judged = found.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).join(groups, ["fingerprint", "sha"])
+    judged = staged(judged.select(*key, "n", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("stays")), "dedup-judged")
     norm = normalised("row.text")
-    rows = docs.select(F.struct("*").alias("row")).withColumns(
-        {"fingerprint": F.xxhash64(norm), "sha": F.unhex(F.sha2(norm, 256))}
-    )
-    kept = rows.join(groups, ["fingerprint", "sha"], "left").where(
-        F.col("group_size").isNull() | F.col("row.doc_id").cast("long").eqNullSafe(F.col("keep_id"))
+    rows = docs.select(F.struct("*").alias("row")).select(
+        "row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(norm).alias("fingerprint"), F.unhex(F.sha2(norm, 256)).alias("sha")
     )
-    once = kept.where("group_size IS NULL").select("row.*")
-    # of several rows with the same doc_id and text, one
-    return once.unionByName(kept.where("group_size IS NOT NULL").dropDuplicates(["fingerprint", "sha"]).select("row.*"))
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["fingerprint"] == b["fingerprint"]) & (a["sha"] == b["sha"])
+    gone = judged.where("NOT stays").hint("merge")
+    kept = rows.join(gone, same(rows, gone), "left_anti")
+    again = judged.where("stays AND n > 1")
+    if again.isEmpty():
+        return kept.select("row.*")
+    # rows that repeat doc_id and text: one of them
+    once = kept.join(again, same(kept, again), "left_anti")
+    repeated = kept.join(again, same(kept, again), "left_semi").dropDuplicates(key)
+    return once.unionByName(repeated).select("row.*")
