@@ -53,9 +53,12 @@ class Lines:
     size: list = field(default_factory=list)
     doc: list = field(default_factory=list)
 
-    def add(self, doc: int, text: str) -> None:
+    def add(self, doc: int, text: str, own=None) -> None:
+        """``own`` gives the one string to keep of equal tokens."""
         for line in text.split("\n"):
             words = line.split()
+            if own is not None:
+                words = [own.setdefault(w, w) for w in words]
             self.start.append(len(self.tokens))
             self.size.append(len(words))
             self.doc.append(doc)
@@ -101,11 +104,12 @@ class Chain:
         inner[ends] = False
         at = np.flatnonzero(inner)
         after = np.clip(score[at + 1] + backward[at + 1], -30, 30)
-        # state pairs (i, j): i times the forward odds, j times what follows
-        logs = np.stack([move[0, 0] + 0 * after, move[0, 1] + after, move[1, 0] + forward[at], move[1, 1] + forward[at] + after])
-        logs -= logs.max(axis=0)
-        p = np.exp(logs)
-        total += (p / p.sum(axis=0)).sum(axis=1)
+        for lo in range(0, len(at), 1 << 18):  # in blocks, for the memory
+            f, a = forward[at[lo : lo + (1 << 18)]], after[lo : lo + (1 << 18)]
+            # state pairs (i, j): i times the forward odds, j times what follows
+            logs = np.stack([move[0, 0] + 0 * a, move[0, 1] + a, move[1, 0] + f, move[1, 1] + f + a])
+            p = np.exp(logs - logs.max(axis=0))
+            total += (p / p.sum(axis=0)).sum(axis=1)
         return total.reshape(2, 2)
 
 
@@ -204,16 +208,17 @@ def train(texts: list[str], labels: list[int], weight: dict[int, float]) -> Toxi
     held, held_labels = [t for t, a in zip(texts, apart) if a], [v for v, a in zip(labels, apart) if a]
     texts, labels = [t for t, a in zip(texts, apart) if not a], [v for v, a in zip(labels, apart) if not a]
     toxic = np.array(labels, dtype=bool)
-    lines = Lines()
+    lines, strings = Lines(), {}
     for k, text in enumerate(texts):
-        lines.add(k, text)
+        lines.add(k, text, strings)
     kinds = {t: i for i, t in enumerate(dict.fromkeys(lines.tokens))}
     kind = np.fromiter(map(kinds.__getitem__, lines.tokens), dtype=np.int64, count=len(lines.tokens))
     features = np.array([token_features(t) for t in kinds], dtype=np.int64).reshape(-1, 6)
     doc = np.repeat(np.asarray(lines.doc, dtype=np.int64), lines.size).astype(np.int64)
     # lines that several documents share count once, so that copies prove nothing
     number: dict[tuple, int] = {}
-    own = [number.setdefault((toxic[d], *lines.tokens[a : a + n]), len(number)) for d, a, n in zip(lines.doc, lines.start, lines.size)]
+    keys = ((bool(toxic[d]), hash(tuple(lines.tokens[a : a + n]))) for d, a, n in zip(lines.doc, lines.start, lines.size))
+    own = [number.setdefault(key, len(number)) for key in keys]
     line, of_toxic = np.repeat(own, lines.size).astype(np.int64), np.array([k[0] for k in number], dtype=bool)
     lines_with = np.zeros((2, BUCKETS))
     for column in range(features.shape[1]):
@@ -227,6 +232,8 @@ def train(texts: list[str], labels: list[int], weight: dict[int, float]) -> Toxi
     pure = (lines_with[1] >= support) & (share >= PURITY * (share + weight.get(0, 0) * lines_with[0]))
     y = (pure[features].any(axis=1)[kind] & toxic[doc]).astype(float)
 
+    del line, number, own, strings
+    lines.tokens = []
     chain = Chain(lines.start, lines.size)
     starts = np.asarray(lines.start, dtype=np.int64)[np.asarray(lines.size, dtype=np.int64) > 0]
     inner = np.ones(len(kind), dtype=bool)
