@@ -172,7 +172,9 @@ def stars(fps: DataFrame, max_distance: int = 4, blocks: int = 3) -> DataFrame:
                 for u, v in _links(*ready, max_distance):
                     yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
-    members = fps.select("fp").mapInArrow(place, "anchor long, fp long, home boolean")
+    # each fingerprint becomes some forty rows: spread them first
+    spread = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    members = spread.mapInArrow(place, "anchor long, fp long, home boolean")
     # Anchors are codewords: their number is fixed by the code, whatever the input.
     load = members.groupBy("anchor").agg(F.count_if("home").alias("homes"), F.count(F.lit(1)).alias("members"))
     grid = staged(
@@ -213,14 +215,17 @@ def components(edges: DataFrame) -> DataFrame:
     now = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
     mark = None
     while True:
+        # The minima are written before they are joined: both sides of a join are
+        # then plain exchanges, of which the rows of a hub can be split.
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "links-low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = staged(large.where("u <> v").distinct(), "links-large")
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "links-least")
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
         after = staged(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct(), "links")
-        discard(now)
+        for done in (now, low, large, least):
+            discard(done)
         now = after
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
@@ -245,7 +250,7 @@ def near_dedup(docs: DataFrame, width: int = 4, max_distance: int = 4, blocks: i
     of_root = distinct.join(root.withColumnRenamed("u", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    smallest = of_root.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    smallest = staged(of_root.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-roots")
     named = staged(of_root.join(smallest, "root").select("fp", "component_id"), "simhash-components")
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
