@@ -43,6 +43,9 @@ def summarize(text: str) -> str:
     scan = None
     for line in lines:
         if in_tree:
+            if line.strip() == "+- == Initial Plan ==" and len(line) - len(line.lstrip()) <= 3:
+                in_tree = False
+                continue
             if line.strip() == "" and tree:
                 in_tree = False
                 continue
@@ -66,7 +69,7 @@ def main() -> None:
         "# Physical plans of the headline queries",
         "",
         f"Generated by `scripts/explain_plans.py` at `{sf_dir}` on local Spark {spark.version} with AQE on,",
-        "after running each query: the final plan stands first, the initial plan below it.",
+        "after running each query (the final plan; scans below it).",
         "",
     ]
     for name in HEADLINE:

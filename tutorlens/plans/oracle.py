@@ -534,4 +534,6 @@ def oracle_sql() -> dict[str, str]:
         ),
     }
     qs["explore_clicks"] = qs["engagement_by_result"]
+    qs["clicks_written"] = qs["clicks_per_student"]
+    qs["registrations_through_csv"] = _with() + "SELECT * FROM student_registration"
     return qs

@@ -7,6 +7,7 @@ data (no id subsets, no row caps); the SQL twins live in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,10 @@ from tutorlens.functions.sqltext import ident
 from tutorlens.keys import K3
 from tutorlens.operators import clean, distributions, encode, features, profile, split
 from tutorlens.plans import flows
-from tutorlens.session import materialize
+from tutorlens.session import materialize, shared_folder
+from tutorlens.sources import read_table, write_table
 from tutorlens.sources.fixtures import CUTOFF_DAY, LEVELS, fixture_tables, read_raw
+from tutorlens.sources.schemas import STUDENT_REGISTRATION
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -309,6 +312,18 @@ def report_early(spark, sf_dir):
     return out["report"].unionByName(effect).unionByName(dups)
 
 
+def registrations_through_csv(spark, sf_dir):
+    """Written as CSV (header, no index) and read back into the schema."""
+    path = f"{shared_folder(spark)}/tutorlens/{uuid.uuid4().hex}"
+    write_table(_t(spark, sf_dir)["student_registration"], path, fmt="csv")
+    return read_table(spark, path, STUDENT_REGISTRATION, fmt="csv")
+
+
+def clicks_written(spark, sf_dir):
+    """C14/S3: the click totals as later steps read them."""
+    return flows.shrink_clicks(_t(spark, sf_dir)["student_vle"])
+
+
 def explore_clicks(spark, sf_dir):
     """Clicks by result over the written click totals, as the exploration flow reads them (S3)."""
     t = _t(spark, sf_dir)
@@ -329,5 +344,6 @@ QUERIES: dict[str, Query] = {
         one_hot_vector, stratified_split, split_sizes, split_class_shares, report_whole_course,
         report_early, previews, describe_clicks, education_by_result, one_hot_tree_early, one_hot_linear_early,
         training_frame_whole, training_frame_early, training_part_early, encoded_null_columns, explore_clicks,
+        registrations_through_csv, clicks_written,
     ]
 }
