@@ -29,8 +29,10 @@ CONFIDENCE = 0.97
 CELL_ROWS, SAMPLE_ROWS, BOX_ROWS = 16384, 32768, 64
 #: Queries that search one copy of a cell.
 QUERIES_AT_ONCE = 16384
-#: Boxes taken at once.
+#: Boxes that a query takes first; each further step takes twice as many, as far as the test allows.
 BOXES_AT_ONCE = 16
+#: Query and box pairs measured at once, and the relative slack of scores before their exact form.
+PAIRS_AT_ONCE, SLACK = 1 << 22, 1e-9
 
 
 def chi_square_limit(confidence: float = CONFIDENCE, dimensions: int = DIMENSIONS) -> float:
@@ -122,36 +124,39 @@ def search_cell(x, projected, ids, q, q_projected, start, k, limit, projection):
     ends = np.r_[starts[1:], len(box)]
     low, high = np.minimum.reduceat(projected, starts), np.maximum.reduceat(projected, starts)
     copies = np.array([len(i) for i in ids])
+    far_boxes = boxes_apart(q_projected, low, high) if len(q) * len(low) <= PAIRS_AT_ONCE else None
     for n, (one, floor) in enumerate(zip(q, start)):
-        apart = boxes_apart(q_projected[n : n + 1], low, high)[0]
+        apart = far_boxes[n] if far_boxes is not None else boxes_apart(q_projected[n : n + 1], low, high)[0]
         by_distance = np.argsort(apart, kind="stable")
+        apart = apart[by_distance]
+        first, last = starts[by_distance], ends[by_distance]
         norm = float(np.linalg.norm(one))
-        seen, scores, kth = [], [], floor
-        for lo in range(0, len(by_distance), BOXES_AT_ONCE):
-            some = by_distance[lo : lo + BOXES_AT_ONCE]
-            if not np.isneginf(kth):
-                far = max(0.0, float(projection.squared_distance(np.float64(kth), norm)))
-                if apart[some[0]] > limit * far:  # the stopping test
+        rows, scores, kth = np.zeros(0, dtype=np.int64), np.zeros(0), floor
+        lo, step = 0, BOXES_AT_ONCE
+        while lo < len(apart):
+            hi = min(lo + step, len(apart))
+            if kth > -np.inf:
+                # the stopping test: no box beyond this distance
+                far = max(0.0, float(projection.squared_distance(kth, norm)))
+                hi = min(hi, int(np.searchsorted(apart, limit * far, side="right")))
+                if hi <= lo:
                     break
-            rows = np.concatenate([np.arange(starts[b], ends[b]) for b in some])
-            got = x[rows] @ one
-            seen.append(rows)
-            scores.append(got)
-            every = np.concatenate(scores)
-            # each vector counts as often as rows hold it
-            best = np.argsort(-every, kind="stable")[:k]
-            held = np.cumsum(copies[np.concatenate(seen)[best]])
-            if held[-1] >= k:
-                kth = max(floor, every[best[np.searchsorted(held, k)]])
-        if not seen:
-            continue
-        rows, every = np.concatenate(seen), np.concatenate(scores)
-        # k and what ties with it; the exact scores decide
-        bound = np.sort(every)[-min(k, len(every))]
-        rows = rows[every >= bound - 1e-9 * max(1.0, abs(bound))]
-        exact = (x[rows] * one).sum(axis=1)
-        pairs = sorted((-s, i) for s, r in zip(exact.tolist(), rows) for i in ids[r])[:k]
-        yield n, [i for _, i in pairs], [-s for s, _ in pairs]
+            got = np.concatenate([x[a:b] @ one for a, b in zip(first[lo:hi], last[lo:hi])])
+            at = np.concatenate([np.arange(a, b) for a, b in zip(first[lo:hi], last[lo:hi])])
+            # what may still be among the k best, with room for rounding; the exact scores decide
+            near = got >= kth - SLACK * abs(kth) if kth > -np.inf else np.ones(len(got), dtype=bool)
+            rows, scores = np.concatenate([rows, at[near]]), np.concatenate([scores, got[near]])
+            order = np.argsort(-scores, kind="stable")
+            held = np.cumsum(copies[rows[order]])  # each vector counts as often as rows hold it
+            if len(held) and held[-1] >= k:
+                kth = max(floor, float(scores[order[np.searchsorted(held, k)]]))
+                order = order[scores[order] >= kth - SLACK * abs(kth)]
+            rows, scores = rows[order], scores[order]
+            lo, step = hi, 2 * step
+        if len(rows):
+            exact = (x[rows] * one).sum(axis=1)
+            pairs = sorted((-s, i) for s, r in zip(exact.tolist(), rows) for i in ids[r])[:k]
+            yield n, [i for _, i in pairs], [-s for s, _ in pairs]
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
