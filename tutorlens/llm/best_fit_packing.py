@@ -197,8 +197,8 @@ def placements(packed: list[tuple[tuple[int, ...], int]]):
     return [np.array(c, dtype=np.int64) for c in zip(*sorted(rows))] if rows else [np.zeros(0, np.int64)] * 3
 
 
-def ranked_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int) -> DataFrame:
-    """The staged pieces with their rank among all pieces of their length."""
+def ranked_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int) -> tuple[DataFrame, DataFrame]:
+    """The staged pieces, and the same with their rank among all pieces of their length."""
     pieces = staged(tokenised_pieces(docs, tokenizer, max_tokens, end_id), "packing-pieces")
     # a row for each part and length: the ranks of a frequent length never meet in one task
     before = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")).selectExpr(
