@@ -125,3 +125,30 @@ def test_passage_gradients():
     model = Q.train(list(texts), list(labels), {0: 1.0, 1: 1.0})
     score, count, top = model.scores(list(texts))
     assert np.isfinite(score).all() and (count >= 1).all() and (top <= 1 + 1e-9).all()
+
+
+SYLLABLES = ["réeux", "ère", "ment", "è", "aux", "que", "ou", "tion", "pa", "chi"]
+
+
+def joined_words(n=1000, seed=3):
+    """Marked words have a common first part and many endings; clean texts hold a few of them too."""
+    draw, rows = random.Random(seed), []
+    for i in range(n):
+        toxic = draw.random() < 0.15
+        words = ["".join(draw.choice(SYLLABLES[1:]) for _ in range(draw.randint(1, 3))) for _ in range(100)]
+        marks = 3 if toxic else int(draw.random() < 0.08)
+        for at in draw.sample(range(100), marks):
+            words[at] = SYLLABLES[0] + "".join(draw.choice(SYLLABLES[1:]) for _ in range(draw.randint(1, 2)))
+        rows.append((" ".join(words[:50]) + "\n" + " ".join(words[50:]), int(toxic)))
+    return rows
+
+
+def test_markers_that_clean_texts_hold_too():
+    train, test = joined_words(), joined_words(seed=4)
+    toxic = np.mean([y for _, y in train])
+    model = C.train([t for t, _ in train], [y for _, y in train], {0: 1.0, 1: 1.0})
+    score, predicted, n_toxic, spans = model.scorer()([t for t, _ in test])
+    truth = np.array([y for _, y in test])
+    assert 0.1 < toxic < 0.2 and np.mean(np.array(predicted)[truth == 1]) > 0.9
+    assert np.mean(np.array(predicted)[truth == 0]) < 0.01
+    assert np.mean([t[s["start"] : s["end"]].startswith(SYLLABLES[0]) for (t, _), x in zip(test, spans) for s in x]) > 0.95

@@ -2,8 +2,8 @@
 
 Documents are labelled, tokens are not: a token of a toxic training document is
 labelled toxic when one of its features (the word, its first or last letters)
-occurs almost only in toxic documents.  A two-state chain over the tokens of
-each line is trained on these labels.  Forward-backward marginals then give the
+is much more frequent in toxic documents than in clean ones, by a likelihood-ratio
+test against the class prior.  A two-state chain over the tokens of each line is trained on these labels.  Forward-backward marginals then give the
 offending spans, and their aggregates, calibrated on the document labels, the
 document's score.
 """
@@ -26,9 +26,11 @@ SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 2500, 12_000_000
 BUCKETS = 1 << 18
 #: Steps of the gradient ascent, and the ridge penalty of its likelihood.
 STEPS, RIDGE = 25, 1e-6
-#: Share of toxic documents' lines among the different lines with a feature that labels a token; and the number of
-#: features that may reach their least number of such lines by chance.
+#: Share of a labelling feature's tokens in toxic documents that its rate in clean ones does not explain; and the share
+#: of the labelling features that may pass the likelihood-ratio test by chance.
 PURITY, BY_CHANCE = 0.9, 0.01
+#: Letters of the prefixes and suffixes that are features.
+PREFIXES, SUFFIXES = (3, 4, 5, 6, 7, 8), (4, 6)
 #: One in so many documents of the sample is kept from the chain's training to calibrate the scores.
 CALIBRATION = 3
 #: Characters scored at once, and tokens remembered between.
@@ -39,9 +41,35 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 def token_features(token: str) -> tuple[int, ...]:
     """Hashed features of a token: the word without marks at its edges, its first and its last letters."""
-    word = _EDGES.sub("", token.lower()).encode("utf-8", "surrogatepass")
-    last = zlib.crc32(word[-4:], 99) % BUCKETS
-    return (zlib.crc32(word, 1) % BUCKETS, last, *(zlib.crc32(word[:k], 10 + k) % BUCKETS for k in (3, 4, 5, 6)))
+    word = _EDGES.sub("", token.lower())
+    whole = word.encode("utf-8", "surrogatepass")
+    if len(whole) == len(word):
+        parts = [(whole[:k], 10 + k) for k in PREFIXES] + [(whole[-k:], 90 + k) for k in SUFFIXES]
+    else:  # letters of several bytes
+        parts = [(word[:k].encode("utf-8", "surrogatepass"), 10 + k) for k in PREFIXES]
+        parts += [(word[-k:].encode("utf-8", "surrogatepass"), 90 + k) for k in SUFFIXES]
+    return (zlib.crc32(whole, 1) % BUCKETS, *(zlib.crc32(part, seed) % BUCKETS for part, seed in parts))
+
+
+def marking(n: np.ndarray, docs: np.ndarray, total: np.ndarray, rate: float) -> np.ndarray:
+    """Whether each feature labels the tokens of toxic documents that have it.
+
+    ``n`` and ``docs`` count the tokens and documents with a feature (row 0 clean,
+    row 1 toxic), ``total`` all tokens of each class; ``rate`` is the share of
+    documents with a feature without meaning that are toxic.  The likelihood-ratio
+    statistic bounds the chance of so many toxic ones; Benjamini and Hochberg's
+    step-up rule allows for the number of features.
+    """
+    seen = docs.sum(axis=0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        q = docs[1] / seen
+        fit = np.where(q > 0, q * np.log(q / rate), 0) + np.where(q < 1, (1 - q) * np.log((1 - q) / (1 - rate)), 0)
+    log_chance = np.where((seen > 0) & (q > rate), -seen * fit, 0.0)
+    tested = np.sort(log_chance[seen > 0])
+    passed = np.flatnonzero(tested <= np.log(BY_CHANCE * np.arange(1, len(tested) + 1) / max(1, len(tested))))
+    bound = tested[passed[-1]] if len(passed) else -np.inf
+    clean = (n[0] + 0.5) / (total[0] + 1)
+    return (log_chance <= bound) & (clean <= (1 - PURITY) * n[1] / max(1, total[1]))
 
 
 @dataclass
@@ -213,26 +241,33 @@ def train(texts: list[str], labels: list[int], weight: dict[int, float]) -> Toxi
         lines.add(k, text, strings)
     kinds = {t: i for i, t in enumerate(dict.fromkeys(lines.tokens))}
     kind = np.fromiter(map(kinds.__getitem__, lines.tokens), dtype=np.int64, count=len(lines.tokens))
-    features = np.array([token_features(t) for t in kinds], dtype=np.int64).reshape(-1, 6)
+    features = np.array([token_features(t) for t in kinds], dtype=np.int32).reshape(-1, 1 + len(PREFIXES) + len(SUFFIXES))
     doc = np.repeat(np.asarray(lines.doc, dtype=np.int64), lines.size).astype(np.int64)
     # lines that several documents share count once, so that copies prove nothing
     number: dict[tuple, int] = {}
     keys = ((bool(toxic[d]), hash(tuple(lines.tokens[a : a + n]))) for d, a, n in zip(lines.doc, lines.start, lines.size))
-    own = [number.setdefault(key, len(number)) for key in keys]
-    line, of_toxic = np.repeat(own, lines.size).astype(np.int64), np.array([k[0] for k in number], dtype=bool)
-    lines_with = np.zeros((2, BUCKETS))
+    own = np.array([number.setdefault(key, len(number)) for key in keys], dtype=np.int64)
+    # the first of equal lines stands for them, in its document
+    once = np.zeros(len(number), dtype=np.int64)
+    once[own[::-1]] = np.arange(len(own))[::-1]
+    counted = np.zeros(len(own), dtype=bool)
+    counted[once] = True
+    counted = np.repeat(counted, lines.size).astype(bool)
+    kind_once, doc_once = kind[counted], doc[counted]
+    total = np.bincount(toxic[doc_once].astype(int), minlength=2)
+    with_feature, docs_with = np.zeros((2, BUCKETS)), np.zeros((2, BUCKETS))
+    by_class = [np.bincount(kind_once[toxic[doc_once] == c], minlength=len(kinds)) for c in (False, True)]
     for column in range(features.shape[1]):
-        seen = np.unique(line * BUCKETS + features[kind, column])
+        seen = np.unique(doc_once * BUCKETS + features[kind_once, column])
         for c in (0, 1):
-            lines_with[c] += np.bincount(seen[of_toxic[seen // BUCKETS] == bool(c)] % BUCKETS, minlength=BUCKETS)
-    share = weight.get(1, 0) * lines_with[1]
-    # a rare word of clean prose stands in n lines of the sample, all of toxic documents, with chance rate^n
-    rate = min(max(of_toxic.mean(), 1e-3), 0.999) if len(of_toxic) else 0.5
-    support = max(3, np.log(max(1, len(kinds)) / BY_CHANCE) / -np.log(rate))
-    pure = (lines_with[1] >= support) & (share >= PURITY * (share + weight.get(0, 0) * lines_with[0]))
-    y = (pure[features].any(axis=1)[kind] & toxic[doc]).astype(float)
-
-    del line, number, own, strings
+            with_feature[c] += np.bincount(features[:, column], by_class[c], minlength=BUCKETS)
+            docs_with[c] += np.bincount(seen[toxic[seen // BUCKETS] == bool(c)] % BUCKETS, minlength=BUCKETS)
+    # the longer documents have more of the rare features
+    rate = max(toxic.mean(), total[1] / max(1, total.sum())) if len(toxic) else 0.5
+    marks = marking(with_feature, docs_with, total, min(max(rate, 1e-3), 0.999))
+    y = (marks[features].any(axis=1)[kind] & toxic[doc]).astype(float)
+
+    del number, own, once, counted, kind_once, doc_once, seen, strings
     lines.tokens = []
     chain = Chain(lines.start, lines.size)
     starts = np.asarray(lines.start, dtype=np.int64)[np.asarray(lines.size, dtype=np.int64) > 0]
