@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 import zlib
@@ -127,6 +128,28 @@ def test_passage_gradients():
     assert np.isfinite(score).all() and (count >= 1).all() and (top <= 1 + 1e-9).all()
 
 
+def test_long_documents_do_not_end_the_sample(spark, table_of, data):
+    docs, labels, label_table = data
+    train = sorted((i for i, _, _ in labels if not held(i)), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    label = {i: t for i, _, t in labels}
+    first = {v: next(i for i in train if label[i] == v) for v in (0, 1)}
+    # the first of each class is over the bound, the next fills half of its class's share; other ids are not in the input
+    second = {v: [i for i in train if label[i] == v][1] for v in (0, 1)}
+    size = {first[0]: 100_001, first[1]: 100_001, second[0]: 40_000, second[1]: 10_000}
+    long = [(i, "x" * size[i] if i in size else t) for i, t in docs]
+    strange = spark.createDataFrame([(i, 1, i % 2) for i in range(10**6, 10**6 + 2000)], label_table.schema)
+    texts, found, weight = labelled_sample(table_of(long), label_table.unionAll(strange), "toxic", {0: 80, 1: 20}, 100_000)
+    assert (found.count(0), found.count(1)) == (80, 20) and sum(map(len, texts)) <= 100_000
+    assert weight[1] * 0.2 == pytest.approx(np.mean([label[i] for i in train]))
+
+
+@pytest.mark.parametrize("docs", [[(0, "x" * 1000), (2, "x" * 1000)], [(1_000_000, "a")]])
+def test_an_empty_class_is_an_error(table_of, data, docs):
+    with pytest.raises(ValueError, match="no document of class"):
+        labelled_sample(table_of(docs), data[2], "toxic", {0: 80, 1: 20}, 500)
+    assert labelled_sample(table_of([]), data[2], "toxic", {0: 80, 1: 20}, 500) == ([], [], {})
+
+
 SYLLABLES = ["réeux", "ère", "ment", "è", "aux", "que", "ou", "tion", "pa", "chi"]
 
 

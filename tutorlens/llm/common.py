@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from tutorlens.session import shared_folder
 
 
+#: A document of a training sample is long when it has more than one in so many characters of its class's bound.
+LONG = 50
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read by Spark only (any store Spark can open)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -55,33 +59,53 @@ def labelled_sample(
 ) -> tuple[list[str], list[int], dict[int, float]]:
     """Texts and labels of a bounded training sample, and each label's weight in it.
 
-    Only rows that are not held out count; null labels and null doc_ids do not.
-    A doc_id labelled twice takes its largest label.  ``per_class`` bounds the
-    documents of each class and ``max_chars`` the sum of their lengths; within
-    these bounds the documents with the smallest md5(doc_id) are taken, whole.
-    The weights restore the share that each label has among all labelled rows.
+    Only rows of ``docs`` that are not held out count; null labels and null
+    doc_ids do not.  A doc_id labelled twice takes its largest label, one with
+    several texts the smallest text.  ``per_class`` bounds the documents of each
+    class and ``max_chars`` the sum of their lengths, of which each class has its
+    share and what others leave.  Documents are taken whole, by md5(doc_id); one
+    that does not fit is skipped, and those longer than one in ``LONG`` of their
+    class's characters come last, so that a few cannot fill the sample.  The
+    weights restore the share that each label has among all labelled rows that
+    count.  Raises ValueError when labelled rows exist but a class has none in
+    the sample; without any labelled row, or without documents, it is empty.
     """
-    known = (
+    marked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .where("doc_id IS NOT NULL AND label IN (0, 1)")
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
-        .where(~held_out())
-        .withColumn("rank_key", F.md5(F.col("doc_id").cast("string").cast("binary")))
     )
+    rows = texts(docs).where(F.col("doc_id").isNotNull() & ~held_out())
+    # the labelled documents of this input, each with its length
+    sizes = rows.groupBy("doc_id").agg(F.max(F.length("text") + 1).cast("long").alias("size"))
+    known = staged(marked.join(sizes, "doc_id").withColumn("rank_key", F.md5(F.col("doc_id").cast("string").cast("binary"))), "labelled")
     share = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    drawn = None
-    for value, n in sorted(per_class.items()):
-        part = known.where(F.col("label") == value).orderBy("rank_key", "doc_id").limit(n)
-        drawn = part if drawn is None else drawn.unionAll(part)
-    # at most sum(per_class) rows of 50 bytes: the bound of the broadcast
-    rows = texts(docs).join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
-    rows = rows.withColumn("size", F.length("text") + 1)
-    rows = rows.selectExpr("*", "sum(size) OVER (ORDER BY rank_key, doc_id) AS so_far")
-    got = rows.where(F.col("so_far") <= max_chars).orderBy("rank_key", "doc_id").select("text", "label").collect()
-    found = [r["label"] for r in got]
+    drawn, part = {}, {v: n / sum(per_class.values()) for v, n in per_class.items()}
+    for value, n in per_class.items():
+        fits = known.where((F.col("label") == value) & (F.col("size") <= max_chars))
+        late = F.col("size") > max_chars * part[value] / LONG
+        drawn[value] = fits.orderBy(late, "rank_key", "doc_id").limit(n).select("doc_id", "size", "rank_key").collect()
+    discard(known)
+    chosen, left, parts = [], max_chars, 1.0
+    for value in sorted(drawn, key=lambda v: sum(r["size"] for r in drawn[v]) / part[v]):
+        bound, used = left * part[value] / parts, 0
+        for r in drawn[value]:
+            if used + r["size"] <= bound:
+                used += r["size"]
+                chosen.append((r["rank_key"], r["doc_id"], value))
+        left, parts = left - used, parts - part[value]
+    found = [value for _, _, value in sorted(chosen)]
+    if {*found} != {*per_class} and not docs.isEmpty() and not marked.isEmpty():
+        raise ValueError(f"{label}: the training sample has no document of class {sorted({*per_class} - {*found})}; labelled rows that count: {share}")
+    if not found:
+        return [], [], {}
+    # at most sum(per_class) ids: the bound of the broadcast
+    ids = docs.sparkSession.createDataFrame([(i,) for _, i, _ in chosen], "doc_id long")
+    got = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
+    text = {r["doc_id"]: r["text"] for r in got}
     weights = {v: n / sum(share.values()) / (found.count(v) / len(found)) for v, n in share.items() if v in found}
-    return [r["text"] for r in got], found, weights
+    return [text[i] for _, i, _ in sorted(chosen)], found, weights
 
 
 def score_table(docs: DataFrame, score, fields: list[tuple[str, pa.DataType, str]]) -> DataFrame:
