@@ -147,3 +147,24 @@ def test_recall_on_the_table(spark, sf001):
     for r in N.nearest(emb, "vec_id % 20 = 0").collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     assert sum(len(got[q] & {*want[q]}) for q in want) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_notices_over_line_ends(table_of):
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted"
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\r\npurpose with or without fee is hereby granted"
+    docs = [
+        (1, f"text\n{bsd} provided\n\n{bsd}"),
+        (2, f"{isc}, provided"),
+        (3, "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated\ndocumentation files"),
+        (4, "the terms of the Mozilla Public\nLicense, v. 2.0. This Source Code Form is subject to the"),
+        (5, bsd.replace("without\n", "without\n\n")),  # two paragraphs
+        (6, bsd.replace("without\n", "without\n" + "other words here " * 5)),  # too far apart
+        (7, "the\nReleased under the MIT License.\nunder the"),  # one line meets it alone
+        (8, "Released under\nthe MIT License. Released under the\nMIT License"),
+        (None, f"{bsd}"),
+    ]
+    got = {r["doc_id"]: (r["labels"], r["score"], r["n_blocks"]) for r in L.scan(table_of(docs)).collect()}
+    assert got[1] == ("bsd", 1.0, 2) and got[None] == ("bsd", 1.0, 1)
+    assert got[2] == ("isc", 1.0, 1) and got[3] == ("mit-text", 1.0, 1) and got[4] == ("mpl-2.0", 1.0, 1)
+    assert got[5] == got[6] == ("", 0.0, 0)
+    assert got[7] == ("mit", 1.0, 1) and got[8][:2] == ("mit", 1.0)

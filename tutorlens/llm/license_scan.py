@@ -6,6 +6,9 @@ ordered by their frequency in the whole corpus, rarest first.  A match shares a
 word of the template's prefix (prefix filter), has enough words (length filter)
 and enough of them after the shared word (positional filter); what passes is
 verified.  All filters are lossless.
+
+Notices wrapped over several lines are found by windows: as many words of a
+paragraph as the notice has, divided by ``threshold``, from any of its words on.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 import math
 import string
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tutorlens.llm.common import staged
@@ -94,11 +97,11 @@ def word_order(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (n.get(w, 0), w)))}
 
 
-def matches(docs: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """doc_id, digest, line, label, containment of every block that meets a template."""
+def matches(docs: DataFrame, templates: dict[str, str], threshold: float, rank: dict[str, int] | None = None) -> DataFrame:
+    """doc_id, digest, line, label, containment of every line that meets a template."""
     spark = docs.sparkSession
     sets = {label: sorted({*notice.split()}) for label, notice in templates.items()}
-    rank = word_order(docs, sorted({w for words in sets.values() for w in words}))
+    rank = rank or word_order(docs, sorted({w for words in sets.values() for w in words}))
     least = {label: math.ceil(round(threshold * len(words), 9)) for label, words in sets.items()}
     ranked = {label: sorted(rank[w] for w in words) for label, words in sets.items()}
     index = spark.createDataFrame(
@@ -127,17 +130,75 @@ def matches(docs: DataFrame, templates: dict[str, str], threshold: float) -> Dat
     return met.select("doc_id", "digest", "line", "label", (F.col("common") / F.size("template")).alias("containment")).distinct()
 
 
+def wrapped(docs: DataFrame, templates: dict[str, str], threshold: float, rank: dict[str, int]) -> DataFrame:
+    """doc_id, digest, line, last, label, containment of every window over line ends that meets a template.
+
+    A window begins and ends with words of the template, on the lines ``line``
+    and ``last``, and stays within a paragraph (lines with words).
+    """
+    sets = {label: sorted({*notice.split()}, key=rank.get) for label, notice in templates.items()}
+    least = {label: math.ceil(round(threshold * len(words), 9)) for label, words in sets.items()}
+    width = {label: math.floor(round(len(notice.split()) / threshold, 9)) for label, notice in templates.items()}
+    index = docs.sparkSession.createDataFrame(
+        [(label, sets[label], least[label], width[label]) for label in sets], "label string, template array<string>, least int, width int"
+    )
+    # Prefix filter and containment on whole texts first; of explode_outer no filter is inferred, which would fold again.
+    near = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("digest"),
+        folded("text").alias("lines"),
+    )
+    near = near.select("*", F.concat(F.lit(" "), F.translate("lines", "\n", " "), F.lit(" ")).alias("words"))
+    here = lambda w: f"contains(words, ' {w} ')"
+    held = {
+        label: f"({' OR '.join(map(here, words[: len(words) - least[label] + 1]))})"
+        f" AND {' + '.join(f'CAST({here(w)} AS INT)' for w in words)} >= {least[label]}"
+        for label, words in sets.items()
+    }
+    labels = ", ".join(f"IF({test}, '{label}', NULL)" for label, test in held.items())
+    near = near.select("doc_id", "digest", "lines", F.explode_outer(F.expr(f"array_compact(array({labels}))")).alias("label"))
+    near = near.where("label IS NOT NULL").join(F.broadcast(index), "label")
+    # Words with their line; a gap as wide as any window stands for blank lines.
+    rows = near.withColumn("lines", F.expr("transform(split(lines, '\n'), (x, i) -> struct(i AS line, filter(split(x, ' '), w -> w <> '') AS words))"))
+    rows = rows.withColumn("kept", F.expr("filter(lines, (x, i) -> size(x.words) > 0 OR i > 0 AND size(lines[i - 1].words) > 0)"))
+    gap = "array_repeat(struct(x.line AS line, CAST(NULL AS STRING) AS word), width)"
+    rows = rows.withColumn("tokens", F.expr(f"flatten(transform(kept, x -> IF(size(x.words) = 0, {gap}, transform(x.words, w -> struct(x.line AS line, w AS word)))))"))
+    rows = rows.withColumn("hits", F.expr("filter(transform(tokens, (t, i) -> struct(i AS at, t.line AS line, t.word AS word)), h -> array_contains(template, h.word))"))
+    rows = rows.withColumn("windows", F.expr("transform(hits, (h, a) -> filter(slice(hits, a + 1, width), y -> y.at < h.at + width))"))
+    met = F.expr("transform(windows, w -> struct(w[0].line AS line, element_at(w, -1).line AS last, size(array_distinct(w.word)) AS common))")
+    met = rows.select("doc_id", "digest", "label", "least", F.size("template").alias("size"), F.explode_outer(met).alias("w")).where("w.last > w.line AND w.common >= least")
+    return met.select("doc_id", "digest", "w.line", "w.last", "label", (F.col("w.common") / F.col("size")).alias("containment")).distinct()
+
+
+def wrapped_blocks(met: DataFrame, over: DataFrame) -> DataFrame:
+    """doc_id, digest, line, label, containment: overlapping windows as one block, without those on a line that meets the template itself."""
+    keys = ["doc_id", "digest", "label"]
+    m, w = met.select(*keys, "line").alias("m"), over.alias("w")
+    same = F.expr("w.doc_id <=> m.doc_id AND w.digest = m.digest AND w.label = m.label AND m.line BETWEEN w.line AND w.last")
+    left = w.join(m, same, "left_anti")
+    before = Window.partitionBy(*keys).orderBy("line", "last").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*keys).orderBy("line", "last").rowsBetween(Window.unboundedPreceding, 0)
+    left = left.withColumn("new", (F.col("line") > F.coalesce(F.max("last").over(before), F.lit(-1))).cast("int"))
+    blocks = left.withColumn("block", F.sum("new").over(upto)).groupBy(*keys, "block")
+    return blocks.agg(F.min("line").alias("line"), F.max("containment").alias("containment")).select("doc_id", "digest", "line", "label", "containment")
+
+
 def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks.
 
     One row for each row of ``docs``.  score is the largest containment found, or
-    1 where a base phrase stands, else 0; n_blocks counts the lines that meet a
-    template.  A null text is empty: no words, no labels.  Rows that repeat
+    1 where a base phrase stands, else 0; n_blocks counts the lines on which a
+    block that meets a template begins: a line, or a notice over several lines of
+    a paragraph, none of which meets it alone.  A null text is empty: no words, no labels.  Rows that repeat
     doc_id and text repeat their results; an empty table gives no rows; extra
     columns are never read.
     """
     base = base_scan(docs, phrases or BASE_PHRASES)
-    found = matches(docs, templates or TEMPLATES, threshold).groupBy("doc_id", "digest").agg(
+    templates = templates or TEMPLATES
+    rank = word_order(docs, sorted({w for notice in templates.values() for w in notice.split()}))
+    met = staged(matches(docs, templates, threshold, rank), "license-lines")
+    over = staged(wrapped(docs, templates, threshold, rank), "license-windows")
+    found = met.unionByName(wrapped_blocks(met, over)).groupBy("doc_id", "digest").agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("containment"), F.count_distinct("line").alias("n_blocks")
     )
     found = staged(found.withColumnsRenamed({"doc_id": "found_id", "digest": "found_digest"}), "license-blocks")
