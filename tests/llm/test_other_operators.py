@@ -4,6 +4,7 @@ import pytest
 from tutorlens.llm import extendible_sharding as X
 from tutorlens.llm import license_scan as L
 from tutorlens.llm import projected_neighbours as N
+from tutorlens.llm import quotation_linking as K
 
 
 def test_shards_fit_and_only_full_buckets_split(table_of):
@@ -149,6 +150,31 @@ def test_recall_on_the_table(spark, sf001):
     assert sum(len(got[q] & {*want[q]}) for q in want) >= 0.9 * sum(map(len, want.values()))
 
 
+def test_quotes_of_some_lines_of_a_paragraph(spark):
+    rows = [
+        (1, 0, "One.\nTwo  words.\nThree.\nFour.\n\nOther"),
+        (1, 1, "Two words.\nFour.\nFive."),
+        (1, 2, "nothing"),
+        (1, 3, "> two words.\n> Three.\nyes"),  # two of four lines of turn 0
+        (1, 4, "> Two words.\n> Four.\nno\n\n> Three.\n> Five."),  # the latest that wrote both; no turn wrote these two
+        (1, 5, "> Four.\n> Other\nlines of two paragraphs"),
+        (1, 6, "Two words.\nThree.\n> Two words.\n> Three."),  # its own lines do not count
+        (2, 7, "> Two words.\n> Three."),  # another conversation
+    ]
+    df = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: (r["reply_to"], r["linked"], r["n_quotes"], r["n_linked"]) for r in K.link(df).collect()}
+    assert got[3] == (0, True, 1, 1) and got[4] == (1, True, 2, 1)
+    assert got[5] == (0, True, 1, 1) and got[6] == (0, True, 1, 1)
+    assert got[7] == (None, False, 1, 0) and got[2] == (1, False, 0, 0)
+
+
+def test_lines_quoted_and_written_many_times(spark):
+    rows = [(1, t, "u", "> again\n> and again\nsure" if t % 2 else "again\nand again\nmore") for t in range(400)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = K.link(df).where("turn % 2 = 1").collect()
+    assert len(got) == 200 and all(r["linked"] and r["reply_to"] == r["turn"] - 1 for r in got)
+
+
 def test_notices_over_line_ends(table_of):
     bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted"
     isc = "Permission to use, copy, modify, and/or distribute this software for any\r\npurpose with or without fee is hereby granted"

@@ -1,8 +1,8 @@
 """Operator 8: chat formatting by quotation linking (native).
 
 A line's quote level is its number of leading ``>``.  Neighbouring lines of one
-level are a passage; passages are normalised, hashed and joined to the messages
-of the same conversation that wrote them.  A message answers the latest earlier
+level are a passage; passages and their lines are normalised, hashed and joined
+to the messages of the same conversation that wrote them.  A message answers the latest earlier
 message that one of its outermost linked quotes comes from, and otherwise the
 turn before it.  Since every answer follows what it answers, the order by turn
 within a conversation is a reply order; quotes leave the text.
@@ -68,14 +68,36 @@ def _latest_before(events: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+def _by_lines(several: DataFrame, lines: DataFrame, originals: DataFrame) -> DataFrame:
+    """row_id, run, by_lines: the latest earlier turn that wrote every line of the quote, if any.
+
+    several: row_id, run, conv_id, turn, question; lines: those of each question;
+    originals: conv_id, turn, digest.  Only the turns that wrote a question's
+    rarest line (fewest turns of the conversation) are asked for the others.
+    """
+    wrote = originals.select("conv_id", "digest", "wrote")
+    writers = wrote.groupBy("conv_id", "digest").agg(F.count(F.lit(1)).alias("writers"))
+    rarest = lines.join(writers, ["conv_id", "digest"]).groupBy("conv_id", "question", "needed").agg(
+        F.count(F.lit(1)).alias("known"), F.min_by("digest", F.struct("writers", "digest")).alias("digest")
+    )
+    asked = rarest.where("known = needed").join(wrote, ["conv_id", "digest"]).select("conv_id", "question", "wrote")
+    met = asked.join(lines, ["conv_id", "question"]).join(wrote, ["conv_id", "digest", "wrote"])
+    met = met.groupBy("conv_id", "question", "wrote").agg(F.count(F.lit(1)).alias("met"), F.first("needed").alias("needed")).where("met = needed")
+    events = met.select("conv_id", "question", F.col("wrote").alias("turn"), "wrote")
+    events = events.unionByName(several.select("conv_id", "question", "turn").distinct(), allowMissingColumns=True)
+    events = events.groupBy("conv_id", "question", "turn").agg(F.max("wrote").alias("wrote"))
+    found = _latest_before(events, ["conv_id", "question"], "wrote").select("conv_id", "question", "turn", F.col("before").alias("by_lines"))
+    return several.join(found, ["conv_id", "question", "turn"]).select("row_id", "run", "by_lines")
+
+
 def link(conversations: DataFrame) -> DataFrame:
     """conv_id, turn, role, reply_to, linked, n_quotes, n_linked, quote_depth, position, clean_text.
 
     One row for each row of ``conversations``.  reply_to is the turn that the
     message answers (null for the first); linked says that a quote told so.
     n_quotes counts the message's quoted passages, n_linked those written by an
-    earlier message of the conversation (own lines, or one of its paragraphs or
-    its whole own text); quote_depth is the deepest quote level.  position
+    earlier message of the conversation (one of its paragraphs, its whole own
+    text, or each quoted line as a line of its own); quote_depth is the deepest quote level.  position
     counts the conversation's turns from 1; rows that share a turn share it.
     clean_text is the message's own passages, a blank line between them, trimmed.  A null text is empty;
     rows without conv_id or turn stand alone: no reply_to, position 1.
@@ -98,12 +120,21 @@ def link(conversations: DataFrame) -> DataFrame:
     key = F.xxhash64(normalised(F.col("passage"))).alias("hash"), F.sha2(normalised(F.col("passage")), 256).alias("digest")
     originals = written.join(ids, "row_id").select("conv_id", "turn", *key).distinct().withColumn("wrote", F.col("turn"))
     quotes = staged(parts.where("level > 0").join(ids, "row_id").select("row_id", "run", "level", "conv_id", "turn", *key), "chat-quotes")
-    # Only passages that someone quotes in the conversation take part.
-    originals = originals.join(quotes.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi")
+    # Quotes of several lines, by their lines; equal ones of a conversation are one question.
+    each = F.transform(F.split("passage", "\n"), normalised)
+    several = parts.where("level > 0 AND contains(passage, '\n')").join(ids, "row_id")
+    several = several.select("row_id", "run", "conv_id", "turn", F.array_sort(F.array_distinct(F.filter(each, lambda x: x != ""))).alias("lines"))
+    several = staged(several.withColumn("question", F.sha2(F.array_join("lines", "\n"), 256)), "chat-quotes-of-lines")
+    lines = several.select("conv_id", "question", F.size("lines").alias("needed"), F.explode("lines").alias("line"))
+    lines = lines.select("conv_id", "question", "needed", F.xxhash64("line").alias("hash"), F.sha2("line", 256).alias("digest")).distinct()
+    # Only what someone quotes in the conversation takes part.
+    quoted = quotes.select("conv_id", "hash").unionAll(lines.select("conv_id", "hash")).distinct()
+    originals = staged(originals.join(quoted, ["conv_id", "hash"], "left_semi"), "chat-originals")
     asked = quotes.select("conv_id", "turn", "hash", "digest").distinct()
     events = originals.unionByName(asked, allowMissingColumns=True).groupBy("conv_id", "turn", "hash", "digest").agg(F.max("wrote").alias("wrote"))
     found = _latest_before(events, ["conv_id", "hash", "digest"], "wrote").select("conv_id", "turn", "hash", "digest", "before")
     linked = quotes.join(found, ["conv_id", "turn", "hash", "digest"], "left")
+    linked = linked.join(_by_lines(several, lines, originals), ["row_id", "run"], "left").withColumn("before", F.greatest("before", "by_lines"))
     counts = parts.where("level > 0").groupBy("row_id").agg(F.count(F.lit(1)).alias("n_quotes"), F.max("level").alias("quote_depth"))
     of_message = linked.groupBy("row_id").agg(
         F.count("before").alias("n_linked"),
