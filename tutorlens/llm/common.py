@@ -36,12 +36,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
+    write_table(df, path)
+    back = read_back(spark, path, df.schema)
     back._staged_path = path
     return back
 
 
+def write_table(df: DataFrame, path: str, compression: str = "snappy") -> None:
+    """Write ``df`` as Parquet to a new folder."""
+    df.write.option("compression", compression).parquet(path)
+
+
+def read_back(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table that ``write_table`` wrote."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a staged table that no later plan reads."""
     spark = df.sparkSession

@@ -11,12 +11,15 @@ from tutorlens.llm import (
     byte_bpe,
     exact_dedup,
     extendible_sharding,
+    feast_whitening,
+    filter_audit,
     license_scan,
     projected_neighbours,
     quality_mil,
     quotation_linking,
     simhash_near_dedup,
     toxicity_crf,
+    warc_archive,
 )
 from tutorlens.llm.common import table
 
@@ -69,6 +72,19 @@ def op10_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mil.score(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc_archive.archive(table(spark, sf_dir, "pages"), min_bytes=0)
+    return warc_archive.record_facts(warc_archive.restore(spark, folder))
+
+
+def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feast_whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -86,6 +102,9 @@ QUERIES = {
         op8_quotation_linking,
         op9_projected_neighbours,
         op10_quality_mil,
+        op11_warc_archive,
+        op12_feast_whitening,
+        op13_filter_audit,
         pipeline,
     )
 }
@@ -197,5 +216,66 @@ SELECT m.conv_id, m.turn, m.role, coalesce(quoted, previous) AS reply_to, quoted
        coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, coalesce(quote_depth, 0) AS quote_depth,
        coalesce(position, 1) AS position, coalesce(clean_text, '') AS clean_text
 FROM m LEFT JOIN q USING (row_id) LEFT JOIN c USING (row_id) LEFT JOIN t ON m.conv_id = t.conv_id AND m.turn = t.turn
+""",
+    "op11_warc_archive": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, html, strlen(html) AS payload_bytes, sha1(html) AS hex, min(page_id) OVER (PARTITION BY html) AS response_id FROM p
+), digits AS (
+  SELECT *, list_transform(range(0, 32), lambda k: (CAST('0x' || substr(hex, CAST(5 * (k // 4) + 1 AS INT), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31) AS digits
+  FROM d
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(digits, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v + 1 AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM response_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM response_id THEN response_id END AS refers_to
+FROM digits
+""",
+    "op13_filter_audit": r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM t
+), f AS (
+  SELECT doc_id, part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+  FROM w
+), l AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, a, b, c, d, e, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT p.x || q.x || r.x || s.x || u.x AS filter_order FROM letters p, letters q, letters r, letters s, letters u
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, u.x])) = 5
+), steps AS (
+  SELECT m.*, filter_order, least(
+    CASE WHEN a THEN strpos(filter_order, 'A') ELSE 9 END, CASE WHEN b THEN strpos(filter_order, 'B') ELSE 9 END,
+    CASE WHEN c THEN strpos(filter_order, 'C') ELSE 9 END, CASE WHEN d THEN strpos(filter_order, 'D') ELSE 9 END,
+    CASE WHEN e THEN strpos(filter_order, 'E') ELSE 9 END) AS gone
+  FROM m, orders
+), each AS (
+  SELECT *, CAST(step AS INTEGER) AS place, substr(filter_order, CAST(step AS INTEGER), 1) AS letter FROM steps, range(1, 6) s(step)
+), marked AS (
+  SELECT *, CASE letter WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS fails,
+         a::INT + b::INT + c::INT + d::INT + e::INT AS n_fails
+  FROM each
+), counted AS (
+  SELECT part, filter_order, place, letter, sum(CASE WHEN gone > place THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN gone = place THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone < place AND fails THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN gone = place THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN gone = place THEN bad ELSE 0 END) AS toxic_lost
+  FROM marked GROUP BY ALL
+)
+SELECT part, filter_order, place AS step, letter, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
 """,
 }
