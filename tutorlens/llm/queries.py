@@ -179,8 +179,8 @@ WITH m AS (
   SELECT row_id, generate_subscripts(string_split_regex(text, '\r?\n'), 1) AS place,
          unnest(string_split_regex(text, '\r?\n')) AS line FROM m
 ), s AS (
-  SELECT row_id, place, length(regexp_replace(regexp_extract(line, '^[ \t]*((?:>[ \t]*)+)', 1), '[^>]', '', 'g')) AS level,
-         regexp_replace(line, '^[ \t]*((?:>[ \t]*)+)', '') AS content FROM l
+  SELECT row_id, place, length(regexp_replace(regexp_extract(line, '^[ \t]*(>[> \t]*)', 1), '[^>]', '', 'g')) AS level,
+         regexp_replace(line, '^[ \t]*(>[> \t]*)', '') AS content FROM l
 ), b AS (
   SELECT *, level <> lag(level, 1, -1) OVER w OR trim(content) = '' OR lag(trim(content) = '', 1, false) OVER w AS new
   FROM s WINDOW w AS (PARTITION BY row_id ORDER BY place)
@@ -198,9 +198,20 @@ WITH m AS (
 ), quotes AS (
   SELECT row_id, run, level, conv_id, turn, trim(regexp_replace(lower(passage), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS words
   FROM p JOIN m USING (row_id) WHERE level > 0
+), quoted_lines AS (
+  SELECT DISTINCT row_id, run, conv_id, turn, trim(regexp_replace(lower(line), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS words
+  FROM (SELECT row_id, run, unnest(string_split(passage, chr(10))) AS line FROM p WHERE level > 0 AND contains(passage, chr(10))) JOIN m USING (row_id)
+), needed AS (
+  SELECT row_id, run, count(*) AS n FROM quoted_lines WHERE words <> '' GROUP BY ALL
+), wrote_all AS (
+  SELECT l.row_id, l.run, o.turn AS before FROM quoted_lines l JOIN needed n USING (row_id, run)
+  JOIN originals o ON l.conv_id = o.conv_id AND l.words = o.words AND o.turn < l.turn
+  WHERE l.words <> '' GROUP BY l.row_id, l.run, o.turn, n.n HAVING count(*) = n.n
 ), found AS (
-  SELECT q.row_id, q.run, q.level, max(o.turn) AS before
-  FROM quotes q LEFT JOIN originals o ON q.conv_id = o.conv_id AND q.words = o.words AND o.turn < q.turn GROUP BY ALL
+  SELECT q.row_id, q.run, q.level, greatest(max(o.turn), max(a.before)) AS before
+  FROM quotes q LEFT JOIN originals o ON q.conv_id = o.conv_id AND q.words = o.words AND o.turn < q.turn
+  LEFT JOIN (SELECT row_id, run, max(before) AS before FROM wrote_all GROUP BY ALL) a ON q.row_id = a.row_id AND q.run = a.run
+  GROUP BY ALL
 ), q AS (
   SELECT row_id, count(*) AS n_quotes, count(before) AS n_linked, max(level) AS quote_depth,
          first(before ORDER BY level, before DESC) FILTER (before IS NOT NULL) AS quoted

@@ -7,6 +7,10 @@ message that one of its outermost linked quotes comes from, and otherwise the
 turn before it.  Since every answer follows what it answers, the order by turn
 within a conversation is a reply order; quotes leave the text.
 
+Passages are cut inside the row by higher-order functions, so a text never meets
+another row's.  Only conversations in which someone quotes are hashed, and the
+texts are shuffled once, to meet the narrow table of what was found.
+
 Windows never span a conversation: they work on ranges of ``SPAN`` turns, and
 one row per range carries over what came before.
 """
@@ -20,7 +24,9 @@ from tutorlens.llm.common import staged
 
 #: Turns that one window sees.
 SPAN = 4096
-_MARKS = r"^[ \t]*((?:>[ \t]*)+)"
+#: The quote marks of a line (one class after the first mark: nothing for a pattern to recurse on), and of a text with some.
+_MARKS = r"^[ \t]*(>[> \t]*)"
+_SOME = r"(?:^|\n)[ \t]*>"
 
 
 def normalised(text: Column) -> Column:
@@ -28,26 +34,39 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[ \t\n\x0B\f\r]+", " "))
 
 
-def passages(messages: DataFrame) -> DataFrame:
-    """row_id, run, level, passage: the runs of lines of one quote level, numbered in order.
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def passages(text: Column) -> Column:
+    """array(level, lines): the runs of lines of one quote level, in order; quote marks are taken off.
 
-    A blank line ends a passage; quote marks are taken off.
+    A blank line ends a passage.
     """
-    line = F.struct(
-        F.length(F.regexp_replace(F.regexp_extract("line", _MARKS, 1), "[^>]", "")).alias("level"),
-        F.regexp_replace("line", _MARKS, "").alias("content"),
-    )
-    lines = messages.select("*", F.posexplode(F.split("text", r"\r?\n")).alias("at", "line")).select("*", line.alias("l"))
-    # a run is numbered by the changes of level, and the blank lines, before it; windows stay within one message
-    message = Window.partitionBy("row_id").orderBy("at")
-    blank = F.trim("l.content") == ""
-    new = (F.col("l.level") != F.lag("l.level", 1, -1).over(message)) | blank | F.lag(blank, 1, False).over(message)
-    lines = lines.withColumn("blank", blank).withColumn("run", F.sum(new.cast("int")).over(message))
-    kept = lines.where(~F.col("blank")).groupBy("row_id", "run").agg(
-        F.first("l.level").alias("level"),
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "l.content"))), lambda x: x["content"]).alias("lines"),
-    )
-    return kept.select("row_id", "run", "level", F.array_join("lines", "\n").alias("passage"))
+
+    def leveled(line: Column) -> Column:
+        marks = F.regexp_extract(line, _MARKS, 1)
+        content = F.regexp_replace(line, _MARKS, "")
+        quoted = F.struct((F.length(marks) - F.length(F.replace(marks, F.lit(">"), F.lit("")))).alias("level"), content.alias("content"))
+        return F.when(F.contains(line, F.lit(">")), quoted).otherwise(F.struct(F.lit(0).alias("level"), line.alias("content")))
+
+    def cut(lines: Column) -> Column:
+        blank = lambda i: F.trim(F.element_at(lines, i)["content"]) == ""
+        level = lambda i: F.element_at(lines, i)["level"]
+        fresh = lambda i: F.when(i == 1, True).otherwise(blank(i) | blank(i - 1) | (level(i) != level(i - 1)))
+        starts = F.filter(F.sequence(F.lit(1), F.size(lines)), fresh)
+
+        def runs(starts: Column) -> Column:
+            def run(start: Column, k: Column) -> Column:
+                end = F.coalesce(F.get(starts, k + 1), F.size(lines) + 1)
+                return F.struct(level(start).alias("level"), F.transform(F.slice(lines, start, end - start), lambda x: x["content"]).alias("lines"))
+
+            return F.filter(F.transform(starts, run), lambda p: F.trim(F.get(p["lines"], F.lit(0))) != "")
+
+        return let(starts, runs)
+
+    return let(F.transform(F.split(text, r"\r?\n"), leveled), cut)
 
 
 def _latest_before(events: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -68,10 +87,22 @@ def _latest_before(events: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+def _places(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, previous, position: the turn before, and the place among the conversation's turns."""
+    spans = turns.withColumn("span", F.floor(F.col("turn") / SPAN))
+    inner, outer = Window.partitionBy("conv_id", "span").orderBy("turn"), Window.partitionBy("conv_id").orderBy("span")
+    sizes = spans.groupBy("conv_id", "span").agg(F.count(F.lit(1)).alias("n"), F.max("turn").alias("last"))
+    sizes = sizes.select("conv_id", "span", (F.sum("n").over(outer) - F.col("n")).alias("earlier"), F.lag("last").over(outer).alias("carried"))
+    placed = spans.withColumn("nth", F.row_number().over(inner)).withColumn("inside", F.lag("turn").over(inner))
+    return placed.join(sizes, ["conv_id", "span"]).select(
+        "conv_id", "turn", F.coalesce("inside", "carried").alias("previous"), (F.col("earlier") + F.col("nth")).alias("position")
+    )
+
+
 def _by_lines(several: DataFrame, lines: DataFrame, originals: DataFrame) -> DataFrame:
-    """row_id, run, by_lines: the latest earlier turn that wrote every line of the quote, if any.
+    """conv_id, turn, question, by_lines: the latest earlier turn that wrote every line of the quote, if any.
 
-    several: row_id, run, conv_id, turn, question; lines: those of each question;
+    several: conv_id, turn, question; lines: those of each question;
     originals: conv_id, turn, digest.  Only the turns that wrote a question's
     rarest line (fewest turns of the conversation) are asked for the others.
     """
@@ -86,45 +117,43 @@ def _by_lines(several: DataFrame, lines: DataFrame, originals: DataFrame) -> Dat
     events = met.select("conv_id", "question", F.col("wrote").alias("turn"), "wrote")
     events = events.unionByName(several.select("conv_id", "question", "turn").distinct(), allowMissingColumns=True)
     events = events.groupBy("conv_id", "question", "turn").agg(F.max("wrote").alias("wrote"))
-    found = _latest_before(events, ["conv_id", "question"], "wrote").select("conv_id", "question", "turn", F.col("before").alias("by_lines"))
-    return several.join(found, ["conv_id", "question", "turn"]).select("row_id", "run", "by_lines")
+    return _latest_before(events, ["conv_id", "question"], "wrote").select("conv_id", "question", "turn", F.col("before").alias("by_lines"))
 
 
-def link(conversations: DataFrame) -> DataFrame:
-    """conv_id, turn, role, reply_to, linked, n_quotes, n_linked, quote_depth, position, clean_text.
-
-    One row for each row of ``conversations``.  reply_to is the turn that the
-    message answers (null for the first); linked says that a quote told so.
-    n_quotes counts the message's quoted passages, n_linked those written by an
-    earlier message of the conversation (one of its paragraphs, its whole own
-    text, or each quoted line as a line of its own); quote_depth is the deepest quote level.  position
-    counts the conversation's turns from 1; rows that share a turn share it.
-    clean_text is the message's own passages, a blank line between them, trimmed.  A null text is empty;
-    rows without conv_id or turn stand alone: no reply_to, position 1.
-    """
-    base = conversations.select(
+def _messages(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text: a null text is empty."""
+    return conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    base = staged(base.withColumn("row_id", F.monotonically_increasing_id()), "chat-messages")
-    parts = staged(passages(base.select("row_id", "text")), "chat-passages")
-    ids = base.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("row_id", "conv_id", "turn")
 
+
+def _key(text: Column) -> list[Column]:
+    words = normalised(text)
+    return [F.xxhash64(words).alias("hash"), F.sha2(words, 256).alias("digest")]
+
+
+def _links(messages: DataFrame) -> DataFrame:
+    """conv_id, turn, sha, n_linked, quoted: for each quoting text of a turn, its linked quotes and the turn it answers.
+
+    messages: conv_id, turn, text of the conversations that quote.
+    """
+    parts = messages.select("conv_id", "turn", F.sha2("text", 256).alias("sha"), passages(F.col("text")).alias("parts"))
+    parts = staged(parts.distinct(), "chat-passages")
+    joined = lambda lines: F.array_join(lines, "\n")
     # What a message wrote itself: its paragraphs, its lines, and all of it.
-    own = parts.where("level = 0")
-    whole = own.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("run", "passage"))).alias("all"))
-    whole = whole.select("row_id", F.explode(F.array(F.expr("array_join(transform(all, x -> x.passage), '\n')"))).alias("passage"))
-    written = own.select("row_id", "passage").unionAll(own.select("row_id", F.explode(F.split("passage", "\n")))).unionAll(whole)
-    key = F.xxhash64(normalised(F.col("passage"))).alias("hash"), F.sha2(normalised(F.col("passage")), 256).alias("digest")
-    originals = written.join(ids, "row_id").select("conv_id", "turn", *key).distinct().withColumn("wrote", F.col("turn"))
-    quotes = staged(parts.where("level > 0").join(ids, "row_id").select("row_id", "run", "level", "conv_id", "turn", *key), "chat-quotes")
+    own = parts.select("conv_id", "turn", F.filter("parts", lambda p: p["level"] == 0)["lines"].alias("own")).where("size(own) > 0")
+    texts = F.concat(F.transform("own", joined), F.flatten("own"), F.array(joined(F.flatten("own"))))
+    written = own.select("conv_id", "turn", F.explode(texts).alias("passage"))
+    originals = written.select("conv_id", "turn", *_key(F.col("passage"))).distinct().withColumn("wrote", F.col("turn"))
+    quotes = parts.select("conv_id", "turn", "sha", F.posexplode("parts").alias("run", "p")).where("p.level > 0")
+    quotes = quotes.select("conv_id", "turn", "sha", "run", "p.level", *_key(joined(F.col("p.lines"))), F.col("p.lines").alias("lines"))
+    quotes = staged(quotes, "chat-quotes")
     # Quotes of several lines, by their lines; equal ones of a conversation are one question.
-    each = F.transform(F.split("passage", "\n"), normalised)
-    several = parts.where("level > 0 AND contains(passage, '\n')").join(ids, "row_id")
-    several = several.select("row_id", "run", "conv_id", "turn", F.array_sort(F.array_distinct(F.filter(each, lambda x: x != ""))).alias("lines"))
-    several = staged(several.withColumn("question", F.sha2(F.array_join("lines", "\n"), 256)), "chat-quotes-of-lines")
+    several = quotes.where("size(lines) > 1").select("conv_id", "turn", "sha", "run", F.filter(F.array_sort(F.array_distinct(F.transform("lines", normalised))), lambda x: x != "").alias("lines"))
+    several = staged(several.withColumn("question", F.sha2(joined(F.col("lines")), 256)), "chat-quotes-of-lines")
     lines = several.select("conv_id", "question", F.size("lines").alias("needed"), F.explode("lines").alias("line"))
     lines = lines.select("conv_id", "question", "needed", F.xxhash64("line").alias("hash"), F.sha2("line", 256).alias("digest")).distinct()
     # Only what someone quotes in the conversation takes part.
@@ -133,35 +162,56 @@ def link(conversations: DataFrame) -> DataFrame:
     asked = quotes.select("conv_id", "turn", "hash", "digest").distinct()
     events = originals.unionByName(asked, allowMissingColumns=True).groupBy("conv_id", "turn", "hash", "digest").agg(F.max("wrote").alias("wrote"))
     found = _latest_before(events, ["conv_id", "hash", "digest"], "wrote").select("conv_id", "turn", "hash", "digest", "before")
-    linked = quotes.join(found, ["conv_id", "turn", "hash", "digest"], "left")
-    linked = linked.join(_by_lines(several, lines, originals), ["row_id", "run"], "left").withColumn("before", F.greatest("before", "by_lines"))
-    counts = parts.where("level > 0").groupBy("row_id").agg(F.count(F.lit(1)).alias("n_quotes"), F.max("level").alias("quote_depth"))
-    of_message = linked.groupBy("row_id").agg(
+    by_lines = _by_lines(several, lines, originals)
+    by_lines = several.drop("lines").join(by_lines, ["conv_id", "question", "turn"]).select("conv_id", "turn", "sha", "run", "by_lines")
+    linked = quotes.join(found, ["conv_id", "turn", "hash", "digest"], "left").join(by_lines, ["conv_id", "turn", "sha", "run"], "left")
+    linked = linked.withColumn("before", F.greatest("before", "by_lines"))
+    return linked.groupBy("conv_id", "turn", "sha").agg(
         F.count("before").alias("n_linked"),
         F.min_by(F.struct("before"), F.when(F.col("before").isNotNull(), F.struct("level", -F.col("before")))).getField("before").alias("quoted"),
     )
 
-    # The turn before, and the place among the conversation's turns.
-    turns = ids.select("conv_id", "turn").distinct()
-    places = _latest_before(turns.withColumn("value", F.col("turn")), ["conv_id"], "value").select("conv_id", "turn", F.col("before").alias("previous"))
-    spans = turns.withColumn("span", F.floor(F.col("turn") / SPAN))
-    sizes = spans.groupBy("conv_id", "span").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.select("conv_id", "span", (F.sum("n").over(Window.partitionBy("conv_id").orderBy("span")) - F.col("n")).alias("earlier"))
-    rank = spans.withColumn("nth", F.row_number().over(Window.partitionBy("conv_id", "span").orderBy("turn")))
-    rank = rank.join(sizes, ["conv_id", "span"]).select("conv_id", "turn", (F.col("earlier") + F.col("nth")).alias("position"))
-
-    clean = parts.where("level = 0").groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("run", "passage"))).alias("all"))
-    clean = clean.select("row_id", F.trim(F.expr("array_join(transform(all, x -> x.passage), '\n\n')")).alias("clean_text"))
-    rows = base.drop("text").join(clean, "row_id", "left").join(counts, "row_id", "left").join(of_message, "row_id", "left")
-    rows = rows.join(places.join(rank, ["conv_id", "turn"]), ["conv_id", "turn"], "left")
+
+def link(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, reply_to, linked, n_quotes, n_linked, quote_depth, position, clean_text.
+
+    One row for each row of ``conversations``.  reply_to is the turn that the
+    message answers (null for the first); linked says that a quote told so.
+    n_quotes counts the message's quoted passages, n_linked those written by an
+    earlier message of the conversation (one of its paragraphs, its whole own
+    text, or each quoted line as a line of its own); quote_depth is the deepest quote level.  position
+    counts the conversation's turns from 1; rows that share a turn share it.
+    clean_text is the message's own passages, a blank line between them, trimmed.  A null text is empty;
+    rows without conv_id or turn stand alone: no reply_to, position 1.  Rows that repeat a message repeat its
+    results; an empty table gives no rows; extra columns are not read.
+    """
+    messages = _messages(conversations)
+    placed = messages.where("conv_id IS NOT NULL AND turn IS NOT NULL")
+    # Conversations in which someone quotes; the others have nothing to link.
+    quoting = staged(placed.where(F.col("text").rlike(_SOME)).select("conv_id").distinct(), "chat-quoting")
+    links = staged(_links(placed.select("conv_id", "turn", "text").join(quoting, "conv_id", "left_semi")), "chat-links")
+    turns = staged(placed.select("conv_id", "turn").distinct(), "chat-turns")
+    # What is known of a turn, and of its quoting texts: the one narrow table that the texts meet.
+    places = staged(_places(turns), "chat-places")
+    plain = places.withColumn("sha", F.lit(""))
+    facts = staged(plain.unionByName(places.join(links, ["conv_id", "turn"]), allowMissingColumns=True), "chat-facts")
+
+    rows = messages.withColumn("parts", passages(F.col("text")))
+    levels = F.filter(F.col("parts")["level"], lambda v: v > 0)
+    paragraphs = F.transform(F.filter("parts", lambda p: p["level"] == 0)["lines"], lambda lines: F.array_join(lines, "\n"))
+    rows = rows.select(
+        "conv_id", "turn", "role",
+        F.when(F.size(levels) > 0, F.sha2("text", 256)).otherwise("").alias("sha"),
+        F.size(levels).alias("n_quotes"), F.array_max(levels).alias("quote_depth"), F.trim(F.array_join(paragraphs, "\n\n")).alias("clean_text"),
+    )
     zero = lambda name: F.coalesce(name, F.lit(0)).cast("long").alias(name)
-    return rows.select(
+    return rows.join(facts, ["conv_id", "turn", "sha"], "left").select(
         "conv_id", "turn", "role",
         F.coalesce("quoted", "previous").alias("reply_to"),
         F.col("quoted").isNotNull().alias("linked"),
         zero("n_quotes"), zero("n_linked"), zero("quote_depth"),
         F.coalesce("position", F.lit(1)).cast("long").alias("position"),
-        F.coalesce("clean_text", F.lit("")).alias("clean_text"),
+        "clean_text",
     )
 
 
