@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 
+from tutorlens.llm import exact_dedup as exact_dedup_module
 from tutorlens.llm.exact_dedup import drop_copies, exact_dedup, fingerprint_counts
 from tutorlens.llm.quotient_filter import CountingQuotientFilter
 
@@ -50,6 +51,29 @@ def test_one_text_with_most_rows(spark):
     assert tuple(got) == (1, 1, 3333, 3333)
 
 
+def test_hot_text_without_broadcast(spark):
+    docs = spark.range(0, 5000, 1, 16).selectExpr("id AS doc_id", "IF(id % 3 = 0, concat('row ', id), 'hot text') AS text")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        seen, write = [], exact_dedup_module.staged
+
+        def watched(df, name):
+            seen.append((name, df._jdf.queryExecution().sparkPlan().toString(), df._jdf.queryExecution().executedPlan().toString()))
+            return write(df, name)
+
+        exact_dedup_module.staged = watched
+        got = exact_dedup(docs).where("group_size > 1").selectExpr("min(keep_id)", "count(*)").first()
+    finally:
+        exact_dedup_module.staged = write
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert tuple(got) == (1, 3333)
+    (plan,) = [p for name, _, p in seen if name == "dedup-groups"]
+    # from the top: final aggregate, exchange of the texts, partial aggregate, join
+    places = [plan.index(x) for x in ("Exchange hashpartitioning(norm", "partial_min", "SortMergeJoin")]
+    assert places == sorted(places)
+
+
 def test_filter_round_trip_and_merge():
     draw = np.random.default_rng(3)
     pool = draw.integers(0, 1 << 62, 4000, dtype=np.uint64)
@@ -63,6 +87,17 @@ def test_filter_round_trip_and_merge():
     assert np.array_equal(merged.fingerprints(), want) and np.array_equal(merged.counts, counts)
 
 
+def test_merge_tree(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup_module, "FILTER_ROWS", 500)
+    monkeypatch.setattr(exact_dedup_module, "FAN_BITS", 2)
+    assert exact_dedup_module.levels_of(7) == [2, 2, 2, 1] and exact_dedup_module.levels_of(0) == [0]
+    df = spark.range(0, 40000, 1, 16).selectExpr("IF(id % 3 = 0, 12345, xxhash64(id % 15000)) AS fingerprint")
+    want = {r[0]: r[1] for r in df.groupBy("fingerprint").count().where("count > 1").collect()}
+    for block_bits in (0, 2, 5, 7):
+        got = {r["fingerprint"]: r["n"] for r in fingerprint_counts(df, block_bits).collect()}
+        assert got == want
+
+
 def test_counts_over_partitions(spark):
     df = spark.range(0, 20000, 1, 7).selectExpr("xxhash64(id % 15000) AS fingerprint")
     got = {r["fingerprint"]: r["n"] for r in fingerprint_counts(df, 3).collect()}

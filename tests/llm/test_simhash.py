@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from tutorlens.llm import simhash_near_dedup as S
@@ -86,10 +87,31 @@ def test_fingerprints_and_edge_rows(table_of):
     assert {by_id[i]["component_id"] for i in (2, 4, 9)} == {2} and by_id[6]["component_id"] == 5 == by_id[None]["component_id"]
     assert S.near_dedup(table_of([])).collect() == []
     kept = S.keep_representatives(table_of(texts))
-    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([2, 5, 7, 8, 8, None, 30], key=repr)
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([2, 5, 7, 8, 30], key=repr)
     assert kept.columns == table_of([]).columns
 
 
+A, B, C = "one two three four five six", "red green blue cyan grey pink", "sun moon star sky rain snow"
+
+
+@pytest.mark.parametrize(
+    ("pairs", "want"),
+    [
+        ([(1, A), (2, A), (2, B), (3, B)], [(1, A), (2, B)]),
+        ([(None, A), (None, A), (None, B)], [(None, A), (None, B)]),
+        ([(None, A), (7, A), (7, A), (7, B)], [(7, A), (7, B)]),
+        ([(1, A), (1, A.upper()), (1, B), (None, ""), (None, None)], [(1, None), (1, B), (None, "")]),
+        ([(5, A), (4, A + "\n"), (4, A), (5, C), (5, C)], [(4, None), (5, C)]),
+    ],
+)
+def test_one_row_of_each_group_stays(table_of, pairs, want):
+    got = [(r["doc_id"], r["text"]) for r in S.keep_representatives(table_of(pairs)).collect()]
+    # None in ``want``: either text of the component
+    key = lambda rows: sorted(((i, A if t is None or t.strip().lower() == A else t) for i, t in rows), key=repr)
+    empty = lambda rows: [(i, "" if t is None else t) for i, t in rows]
+    assert key(empty(got)) == key(want)
+
+
 def test_whole_table_matches_brute_force(spark, sf001):
     docs = spark.read.parquet(f"{sf001}/documents.parquet")
     local = sorted((r["doc_id"], S.fingerprint(r["text"] or "")) for r in docs.collect())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,30 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def keep_judged(docs: DataFrame, key, judged: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but those that ``judged`` sends away, and one of each repeated key.
+
+    ``key(row)`` gives the named key columns of a struct column; judged has them,
+    ``n`` (rows of the key) and ``stays``.  Keys that it does not hold stay.  The
+    texts are shuffled by a key of their own, which no hot group shares.
+    """
+    keyed = key(F.col("row"))
+    rows = docs.select(F.struct("*").alias("row")).select("row", *(c.alias(name) for name, c in keyed.items()))
+
+    def same(a: DataFrame, b: DataFrame):
+        tests = [a[name].eqNullSafe(b[name]) for name in keyed]
+        return reduce(lambda x, y: x & y, tests)
+
+    gone = judged.where("NOT stays").hint("merge")
+    kept = rows.join(gone, same(rows, gone), "left_anti")
+    again = judged.where("stays AND n > 1")
+    if again.isEmpty():
+        return kept.select("row.*")
+    once = kept.join(again, same(kept, again), "left_anti")
+    repeated = kept.join(again, same(kept, again), "left_semi").dropDuplicates(list(keyed))
+    return once.unionByName(repeated).select("row.*")
+
+
 def held_out(doc_id="doc_id"):
     """True where crc32(doc_id as text) mod 3 is 1; a null doc_id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tutorlens.llm.common import discard, staged, texts
+from tutorlens.llm.common import discard, keep_judged, staged, texts
 
 SEED = 42
 #: Shingles hashed at once (bounds the memory of a long text).
@@ -48,15 +48,15 @@ def fingerprint(text: str, width: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed long."""
+    """(doc_id, fp, sha): the fingerprint of every row as a signed long, and the SHA-256 of its text."""
 
     def run(batches):
         for batch in batches:
             # one text at a time: whole batches as Python strings would double the memory
             found = np.fromiter((fingerprint(t.as_py(), width) for t in batch.column(1)), dtype=np.uint64, count=len(batch))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), batch.column(2)], ["doc_id", "fp", "sha"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return texts(docs).withColumn("sha", F.unhex(F.sha2("text", 256))).mapInArrow(run, "doc_id long, fp long, sha binary")
 
 
 @lru_cache
@@ -233,6 +233,17 @@ def components(edges: DataFrame) -> DataFrame:
         mark = seen
 
 
+def grouped(rows: DataFrame, max_distance: int, blocks: int) -> DataFrame:
+    """fp, root, component_id of each different fingerprint of ``rows`` (doc_id, fp): its component, and the smallest doc_id there."""
+    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+    root = components(stars(distinct, max_distance, blocks))
+    of_root = distinct.join(root.withColumnRenamed("u", "fp"), "fp", "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    )
+    smallest = staged(of_root.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-roots")
+    return staged(of_root.join(smallest, "root").select("fp", "root", "component_id"), "simhash-components")
+
+
 def near_dedup(docs: DataFrame, width: int = 4, max_distance: int = 4, blocks: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: one row for each row of ``docs``.
 
@@ -245,25 +256,30 @@ def near_dedup(docs: DataFrame, width: int = 4, max_distance: int = 4, blocks: i
     and larger cells, fewer blocks the reverse.
     """
     rows = staged(fingerprints(docs, width), "simhash-rows")
-    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    root = components(stars(distinct, max_distance, blocks))
-    of_root = distinct.join(root.withColumnRenamed("u", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = staged(of_root.groupBy("root").agg(F.min("first_id").alias("component_id")), "simhash-roots")
-    named = staged(of_root.join(smallest, "root").select("fp", "component_id"), "simhash-components")
+    named = grouped(rows, max_distance, blocks)
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_representatives(docs: DataFrame, width: int = 4, max_distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component.
+def keep_representatives(docs: DataFrame, width: int = 4, max_distance: int = 4, blocks: int = 3) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each component.
 
-    A doc_id names a document: rows that share one stay or go together, and rows
-    without one stay.
+    The first by doc_id (rows without one last), fingerprint and digest of the
+    text stays; of rows that repeat its doc_id and text, one.  So a component
+    keeps a row whatever its doc_ids are called elsewhere, and copies without
+    doc_id go like others.
     """
-    found = near_dedup(docs, width, max_distance)
-    gone = staged(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "simhash-gone")
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(gone, F.col("row.doc_id").cast("long") == F.col("gone"), "left_anti").select("row.*")
+    rows = staged(fingerprints(docs, width), "simhash-rows")
+    roots = grouped(rows, max_distance, blocks).select("fp", "root")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "fp", "sha")
+    placed = staged(rows.join(roots, "fp").select("root", "doc_id", "sha", place.alias("place")), "simhash-placed")
+    first = placed.groupBy("root").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("of_root")).where("of_root > 1")
+    first = staged(first.drop("of_root"), "simhash-first")
+    judged = placed.join(first, "root").groupBy("doc_id", "sha").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("place") == F.col("first")).alias("stays"))
+
+    def of_row(row):
+        text = F.coalesce(row["text"].cast("string"), F.lit(""))
+        return {"doc_id": row["doc_id"].cast("long"), "sha": F.unhex(F.sha2(text, 256))}
+
+    return keep_judged(docs, of_row, staged(judged, "simhash-judged"))
