@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -93,12 +94,14 @@ def test_sample_is_bounded_and_never_held_out(table_of, data):
     assert weight[1] * found.count(1) / len(found) == pytest.approx(np.mean(train))
 
 
-def test_marginals_match_enumeration():
+@pytest.mark.parametrize("block", [512, 3, 2, 1])
+def test_marginals_match_enumeration(monkeypatch, block):
     import itertools
 
+    monkeypatch.setattr(C, "BLOCK", block)
     draw = np.random.default_rng(0)
     move, begin = draw.normal(size=(2, 2)), 0.4
-    sizes = [4, 1, 0, 3]
+    sizes = [4, 1, 0, 3, 9]
     score = draw.normal(size=sum(sizes))
     starts = np.cumsum([0, *sizes])[:-1]
     chain = C.Chain(starts, sizes)
@@ -121,11 +124,124 @@ def test_marginals_match_enumeration():
     assert chain.pairs(score, move, forward, backward) == pytest.approx(pairs)
 
 
-def test_passage_gradients():
-    texts, labels = zip(*[(t, int(k % 2)) for k, (_, t) in enumerate(corpus(40)[0])])
+def test_blocks_of_a_line_are_one_chain(monkeypatch):
+    draw = np.random.default_rng(1)
+    sizes = [5000, 1, 700, 512, 513, 1024, 0, 20]
+    starts = np.cumsum([0, *sizes])[:-1]
+    for spread, move in ((2.0, draw.normal(size=(2, 2))), (12.0, np.array([[1.0, -5.0], [-5.0, 1.0]]))):
+        score = np.clip(draw.normal(size=sum(sizes), scale=spread), -30, 30)
+        found = {}
+        for block in (7, 512, 100_000):
+            monkeypatch.setattr(C, "BLOCK", block)
+            found[block] = C.Chain(starts, sizes).messages(score, move, 0.3)
+        for block in (7, 512):
+            for got, want in zip(found[block], found[100_000]):
+                assert np.abs(got - want).max() < 1e-6
+
+
+def plain_spans(text, marked):
+    """Spans of the tokens that ``marked`` names, by walking every line."""
+    out, base = [], 0
+    for line in text.split("\n"):
+        near = False
+        for m in re.finditer(r"\S+", line):
+            if marked(m.group()):
+                if near:
+                    out[-1]["end"] = base + m.end()
+                else:
+                    out.append({"start": base + m.start(), "end": base + m.end()})
+            near = marked(m.group())
+        base += len(line) + 1
+    return out
+
+
+def test_spans_match_a_plain_walk():
+    draw = random.Random(2)
+    pieces = ["bad", "ok", " ", "  ", "\t", "\n", "\r\n", "\x0b", "\u2003", "é", "bad bad", "\x1c", "\x85"]
+    texts = ["".join(draw.choice(pieces) + draw.choice(["", " "]) for _ in range(draw.randint(0, 60))) for _ in range(300)]
+    lines = C.Lines()
+    for k, text in enumerate(texts):
+        lines.add(k, text)
+    toxic = np.flatnonzero([t == "bad" for t in lines.tokens])
+    assert C.offending(texts, lines, toxic) == [plain_spans(t, lambda w: w == "bad") for t in texts]
+    none = C.Lines()
+    none.add(0, "")
+    assert C.offending([""], none, np.zeros(0, dtype=np.int64)) == [[]]
+
+
+def test_many_toxic_lines_and_a_very_long_one():
+    train = joined_words(300)
+    model = C.train([t for t, _ in train], [y for _, y in train], {0: 1.0, 1: 1.0})
+    word = "réeuxment"
+    of = model.scorer()
+    for text in ("\n".join(f"ère {word} chi" for _ in range(80_000)), " ".join(["ère chi ou"] * 333_333 + [word]), "que " * 600 + word + " pa" * 600):
+        began = time.monotonic()
+        ((score,), _, (n_toxic,), (spans,)) = of([text])
+        assert time.monotonic() - began < 15
+        assert n_toxic == text.count(word) == len(spans) and all(text[s["start"] : s["end"]] == word for s in spans)
+
+
+def plain_quality(model, text):
+    """The score of one text, passage by passage, in plain Python."""
+    kinds = {**{b: 0 for b in range(97, 123)}, **{b: 1 for b in range(65, 91)}, **{b: 2 for b in range(48, 58)}}
+    kinds |= {b: 3 for b in b" \t\x0b\x0c"} | {b: 4 for b in b"\n\r"} | {b: 5 for b in b".,;:'\"?()-"}
+    kind = [7 if b > 127 else kinds.get(b, 6) for b in text.encode() + b"\n"]
+    data = text.encode() + b"\n"
+    words = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t\x0b\x0c\n\r]+", data)]
+    heads = [0, *(a for k, (a, _) in enumerate(words) if k and k % Q.PASSAGE_WORDS == 0), len(data)]
+    codes, weights = [], []
+    for lo, hi in zip(heads, heads[1:]):
+        pairs = [0.0] * 64
+        for i in range(lo, hi):
+            pairs[8 * kind[i] + (kind[i + 1] if i + 1 < len(kind) else 0)] += 1 / (hi - lo)
+        own = [(a, b) for a, b in words if lo <= a < hi]
+        names = [(b - a, data[a : min(b, a + 8)], data[max(a, b - 8) : b]) for a, b in own]
+        n = max(1, len(own))
+        lengths = [b - a for a, b in own]
+        mean = sum(lengths) / n
+        spread = max(0.0, sum(v * v for v in lengths) / n - mean**2) ** 0.5
+        rest = [
+            np.log1p(len(own)), min(mean, 50) / 10, min(spread, 50) / 10,
+            sum(x == y for x, y in zip(names, names[1:])) / n, sum(x == y for x, y in zip(names, names[2:])) / n,
+            len(set(names)) / n, sum(kind[b - 1] == 6 for _, b in own) / n, sum(kind[a] == 1 for a, _ in own) / n,
+        ]
+        p, x = model.layers, np.clip((np.array(pairs + rest) - model.centre) / model.scale, -8, 8)
+        code = np.array([np.tanh(sum(x * p["W"][:, j]) + p["b"][j]) for j in range(Q.CODE)])
+        gate = [np.tanh(code @ p["V"][:, j]) / (1 + np.exp(-code @ p["U"][:, j])) for j in range(Q.ATTENTION)]
+        codes.append(code)
+        weights.append(np.exp(sum(g * a for g, a in zip(gate, p["a"]))))
+    pooled = sum(w * c for w, c in zip(weights, codes)) / sum(weights)
+    return 1 / (1 + np.exp(-(pooled @ p["c"] + p["d"][0]))), len(codes), max(weights) / sum(weights)
+
+
+def test_quality_scores_match_plain_python():
+    texts, labels = zip(*[(t, int(k % 2)) for k, (_, t) in enumerate(corpus(60)[0])])
     model = Q.train(list(texts), list(labels), {0: 1.0, 1: 1.0})
-    score, count, top = model.scores(list(texts))
-    assert np.isfinite(score).all() and (count >= 1).all() and (top <= 1 + 1e-9).all()
+    odd = ["", " \n\t ", "word", "a" * 300, "x y " * 500, "É ß.\r\n%% 12 " * 90, *texts[:20], ("long passage, " * 3 + "end\n") * 200]
+    got = list(zip(*model.scores(odd)))
+    for text, (score, count, top) in zip(odd, got):
+        assert (score, count, top) == pytest.approx(plain_quality(model, text), abs=1e-5)
+    # the score of a text does not depend on the others beside it
+    assert np.abs(model.scores(odd[::-1])[0][::-1] - model.scores(odd)[0]).max() < 1e-6
+
+
+def test_quality_gradients_match_differences():
+    draw = np.random.default_rng(4)
+    doc = np.repeat(np.arange(7), [1, 4, 2, 1, 3, 5, 1])
+    first = np.searchsorted(doc, np.arange(7))
+    x, y = draw.normal(size=(len(doc), Q.FEATURES)), draw.integers(0, 2, 7).astype(float)
+    weight = draw.random(7)
+    layers = {k: v + draw.normal(scale=0.3, size=v.shape) for k, v in Q.new_layers().items()}
+    slopes = Q.loss_slopes(layers, x, doc, first, y, weight)[1]
+    for name, value in layers.items():
+        for _ in range(12):
+            at = tuple(draw.integers(0, n) for n in value.shape)
+            loss = []
+            for step in (1e-5, -1e-5):
+                moved = {**layers, name: value.copy()}
+                moved[name][at] += step
+                loss.append(Q.loss_slopes(moved, x, doc, first, y, weight)[0])
+            assert slopes[name][at] == pytest.approx((loss[0] - loss[1]) / 2e-5, abs=1e-7, rel=1e-5)
 
 
 def test_long_documents_do_not_end_the_sample(spark, table_of, data):

@@ -52,6 +52,8 @@ def passage_features(segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
     n = len(heads)
     pairs = kinds.astype(np.int64) * 8
     pairs[:-1] += kinds[1:]
+    last = np.r_[begins[1:], len(data)] - 1  # nothing follows the end of a segment
+    pairs[last] = kinds[last].astype(np.int64) * 8
     pairs += np.repeat(np.arange(n) * 64, sizes)
     shape = np.bincount(pairs, minlength=n * 64).reshape(n, 64) / sizes[:, None]
 
@@ -166,12 +168,39 @@ def pool(code, weight, doc, first):
     return share, np.add.reduceat(share[:, None] * code, first, axis=0)
 
 
-def train(texts: list[str], labels: list[int], weight: dict[int, float], seed: int = 7) -> QualityModel:
-    """Fit all layers together with Adam; without labels every score is near one half."""
+def loss_slopes(p: dict[str, np.ndarray], x: np.ndarray, doc: np.ndarray, first: np.ndarray, y: np.ndarray, row_weight: np.ndarray):
+    """The weighted log loss of the documents, and its slope by each layer.
+
+    x: scaled features of the passages; doc: their documents; first: each document's first passage.
+    """
+    code = np.tanh(x @ p["W"] + p["b"])
+    t, s = np.tanh(code @ p["V"]), sigmoid(code @ p["U"])
+    share, pooled = pool(code, (t * s) @ p["a"], doc, first)
+    odds = pooled @ p["c"] + p["d"][0]
+    loss = row_weight @ (np.logaddexp(0, odds) - y * odds)
+    slope = row_weight * (sigmoid(odds) - y)
+    to_pooled = slope[:, None] * p["c"]
+    to_share = (to_pooled[doc] * code).sum(axis=1)
+    to_weight = share * (to_share - np.add.reduceat(share * to_share, first)[doc])
+    to_t, to_s = to_weight[:, None] * p["a"] * s * (1 - t**2), to_weight[:, None] * p["a"] * t * s * (1 - s)
+    to_code = share[:, None] * to_pooled[doc] + to_t @ p["V"].T + to_s @ p["U"].T
+    to_code *= 1 - code**2
+    return loss, {
+        "W": x.T @ to_code, "b": to_code.sum(axis=0), "V": code.T @ to_t, "U": code.T @ to_s,
+        "a": (t * s).T @ to_weight, "c": pooled.T @ slope, "d": np.array([slope.sum()]),
+    }
+
+
+def new_layers(seed: int = 7) -> dict[str, np.ndarray]:
     draw = np.random.default_rng(seed)
     spread = lambda *shape: draw.normal(0, shape[0] ** -0.5, shape)
     layers = {"W": spread(FEATURES, CODE), "b": np.zeros(CODE), "V": spread(CODE, ATTENTION), "U": spread(CODE, ATTENTION)}
-    layers |= {"a": spread(ATTENTION), "c": np.zeros(CODE), "d": np.zeros(1)}
+    return layers | {"a": spread(ATTENTION), "c": np.zeros(CODE), "d": np.zeros(1)}
+
+
+def train(texts: list[str], labels: list[int], weight: dict[int, float], seed: int = 7) -> QualityModel:
+    """Fit all layers together with Adam; without labels every score is near one half."""
+    layers = new_layers(seed)
     if not texts:
         return QualityModel(np.zeros(FEATURES), np.ones(FEATURES), layers)
     parts = list(passages(texts))
@@ -183,26 +212,11 @@ def train(texts: list[str], labels: list[int], weight: dict[int, float], seed: i
     row_weight /= row_weight.sum()
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in layers.items()}
     for step in range(1, STEPS + 1):
-        p = layers
-        code = np.tanh(x @ p["W"] + p["b"])
-        t, s = np.tanh(code @ p["V"]), sigmoid(code @ p["U"])
-        share, pooled = pool(code, (t * s) @ p["a"], doc, first)
-        slope = row_weight * (sigmoid(pooled @ p["c"] + p["d"][0]) - y)
-        to_pooled = slope[:, None] * p["c"]
-        to_share = (to_pooled[doc] * code).sum(axis=1)
-        to_weight = share * (to_share - np.add.reduceat(share * to_share, first)[doc])
-        to_t, to_s = to_weight[:, None] * p["a"] * s * (1 - t**2), to_weight[:, None] * p["a"] * t * s * (1 - s)
-        to_code = share[:, None] * to_pooled[doc] + to_t @ p["V"].T + to_s @ p["U"].T
-        to_code *= 1 - code**2
-        slopes = {
-            "W": x.T @ to_code, "b": to_code.sum(axis=0), "V": code.T @ to_t, "U": code.T @ to_s,
-            "a": (t * s).T @ to_weight, "c": pooled.T @ slope, "d": np.array([slope.sum()]),
-        }
-        for k, g in slopes.items():
-            g = g + 1e-5 * p[k]
+        for k, g in loss_slopes(layers, x, doc, first, y, row_weight)[1].items():
+            g = g + 1e-5 * layers[k]
             m, v = moments[k]
             moments[k] = m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-            p[k] = p[k] - 0.03 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+            layers[k] = layers[k] - 0.03 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return model
 
 

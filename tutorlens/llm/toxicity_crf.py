@@ -10,6 +10,7 @@ document's score.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from dataclasses import dataclass, field
@@ -36,6 +37,9 @@ CALIBRATION = 3
 #: Characters scored at once, and tokens remembered between.
 CHARS_AT_ONCE, REMEMBERED = 2_000_000, 400_000
 THRESHOLD = 0.7
+#: Tokens of a line that are passed one by one; longer lines go on in further blocks beside them.
+BLOCK = 512
+_TOKEN = re.compile(r"\S+")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -94,30 +98,84 @@ class Lines:
 
 
 class Chain:
-    """Marginals of a two-state chain; state 0 scores zero, state 1 the token's score."""
+    """Marginals of a two-state chain; state 0 scores zero, state 1 the token's score.
+
+    Lines are cut into blocks of ``BLOCK`` tokens at most.  All blocks go on side
+    by side; from block to block of a line the messages pass through the product
+    of the block's transfer matrices, so that the number of steps does not grow
+    with the longest line.
+    """
 
     def __init__(self, start, size):
         start, size = np.asarray(start, dtype=np.int64), np.asarray(size, dtype=np.int64)
-        order = np.argsort(-size, kind="stable")
-        self.first, self.size = start[order], size[order]
+        start, size = start[size > 0], size[size > 0]
+        self.line_ends = start + size - 1
+        blocks = -(-size // BLOCK)
+        of_line = np.repeat(np.arange(len(size)), blocks)
+        nth = np.arange(len(of_line)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        first = start[of_line] + nth * BLOCK
+        length = np.minimum(BLOCK, size[of_line] - nth * BLOCK)
+        order = np.argsort(-length, kind="stable")
+        self.first, self.size = first[order], length[order]
+        head, tail = (nth == 0)[order], (nth == blocks[of_line] - 1)[order]
+        self.head, self.tail = head, tail
         longest = int(self.size[0]) if len(self.size) else 0
-        #: lines that have a t-th token (they stand first)
+        #: blocks that have a t-th token (they stand first)
         self.live = np.searchsorted(-self.size, -np.arange(longest), side="left")
+        # blocks of cut lines in their order: (block before, block) as numbers in the sorted order
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        later = np.flatnonzero(nth > 0)
+        self.joints = list(zip(place[later - 1].tolist(), place[later].tolist()))
+
+    def _transfer(self, score: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """For each block the product of its tokens' transfer matrices (state before x state at its end), scaled."""
+        needed = np.flatnonzero(~self.head)  # sorted by size, like all blocks
+        product = np.repeat(np.eye(2)[None], len(needed), axis=0)
+        for t in range(int(self.size[needed[0]])):
+            k = int(np.searchsorted(-self.size[needed], -t, side="left"))
+            step = m[None] * np.stack([np.ones(k), np.exp(score[self.first[needed[:k]] + t])], axis=1)[:, None, :]
+            got = product[:k] @ step
+            product[:k] = got / got.max(axis=(1, 2), keepdims=True)
+        out = np.zeros((len(self.first), 2, 2))
+        out[needed] = product
+        return out
+
+    def _pass_forward(self, score, m, begin, forward, blocks, before) -> None:
+        """Forward messages of the given blocks; ``before`` is the message of the token before each (heads need none)."""
+        m00, m01, m10, m11 = m.ravel()
+        size = self.size[blocks]
+        for t in range(int(size[0]) if len(size) else 0):
+            k = int(np.searchsorted(-size, -t, side="left"))
+            at = self.first[blocks[:k]] + t
+            x = np.exp(before[:k])
+            now = score[at] + np.log((x * m11 + m01) / (x * m10 + m00))
+            if t == 0:
+                now = np.where(self.head[blocks[:k]], score[at] + begin, now)
+            before = np.clip(now, -30, 30)
+            forward[at] = before
 
     def messages(self, score: np.ndarray, move: np.ndarray, begin: float):
         """Forward and backward log odds of state 1 at each token."""
-        (m00, m01), (m10, m11) = np.exp(move)
+        m = np.exp(move)
+        m00, m01, m10, m11 = m.ravel()
         forward, backward = np.empty_like(score), np.zeros_like(score)
-        before = None
-        for t, k in enumerate(self.live):
-            at = self.first[:k] + t
-            if t == 0:
-                now = score[at] + begin
-            else:
-                x = np.exp(before[:k])
-                now = score[at] + np.log((x * m11 + m01) / (x * m10 + m00))
-            before = np.clip(now, -30, 30)
-            forward[at] = before
+        last = self.first + self.size - 1
+        heads = np.flatnonzero(self.head)
+        self._pass_forward(score, m, begin, forward, heads, np.zeros(len(heads)))
+        odds = lambda v: min(30.0, max(-30.0, math.log(max(v[1], 1e-300) / max(v[0], 1e-300))))
+        if self.joints:
+            transfer = self._transfer(score, m)
+            arriving = np.zeros(len(self.first))
+            leaving = {}
+            for before, block in self.joints:
+                arriving[block] = leaving[before] if before in leaving else forward[last[before]]
+                leaving[block] = odds(np.array([1.0, math.exp(arriving[block])]) @ transfer[block])
+            rest = np.flatnonzero(~self.head)
+            self._pass_forward(score, m, begin, forward, rest, arriving[rest])
+            # what follows a block's last token: the blocks after it, from the end of the line
+            for before, block in reversed(self.joints):
+                backward[last[before]] = odds(transfer[block] @ np.array([1.0, math.exp(backward[last[block]])]))
         for t in range(len(self.live) - 2, -1, -1):
             at = self.first[: self.live[t + 1]] + t
             x = np.exp(np.clip(score[at + 1] + backward[at + 1], -30, 30))
@@ -128,8 +186,7 @@ class Chain:
         """Expected number of each of the four moves."""
         total = np.zeros(4)
         inner = np.ones(len(score), dtype=bool)
-        ends = (self.first + self.size - 1)[self.size > 0]
-        inner[ends] = False
+        inner[self.line_ends] = False
         at = np.flatnonzero(inner)
         after = np.clip(score[at + 1] + backward[at + 1], -30, 30)
         for lo in range(0, len(at), 1 << 18):  # in blocks, for the memory
@@ -210,23 +267,33 @@ def aggregates(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
 
 
 def offending(texts, lines: Lines, toxic: np.ndarray):
-    """[(start, end)] character offsets of the toxic tokens of each text; neighbours join."""
+    """[(start, end)] character offsets of the toxic tokens of each text; neighbours join.
+
+    Each text with a toxic token is walked once, line by line.
+    """
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-    of_line = np.searchsorted(np.asarray(lines.start, dtype=np.int64) + np.asarray(lines.size, dtype=np.int64), toxic, side="right")
-    first_line = np.searchsorted(lines.doc, np.arange(len(texts)))
-    for number in np.unique(of_line):
-        k = lines.doc[number]
-        line = texts[k].split("\n")[number - first_line[k]]
-        # the line's place: the lines before it and their ends
-        base = sum(len(x) + 1 for x in texts[k].split("\n")[: number - first_line[k]])
-        words = [(base + m.start(), base + m.end()) for m in re.finditer(r"\S+", line)]
-        last = None
-        for t in toxic[of_line == number] - lines.start[number]:
-            if last is not None and t == last + 1:
-                spans[k][-1] = (spans[k][-1][0], words[t][1])
-            else:
-                spans[k].append(words[t])
-            last = t
+    starts, docs = np.asarray(lines.start, dtype=np.int64), np.asarray(lines.doc, dtype=np.int64)
+    of_line = np.searchsorted(starts + np.asarray(lines.size, dtype=np.int64), toxic, side="right")
+    first_line = np.searchsorted(docs, np.arange(len(texts)))
+    numbers, cuts = np.unique(of_line, return_index=True)
+    tokens = (toxic - starts[of_line]).tolist()
+    marked = {int(n): tokens[lo:hi] for n, lo, hi in zip(numbers, cuts, [*cuts[1:], len(toxic)])}
+    for k in np.unique(docs[numbers]).tolist():
+        base = 0
+        for number, line in enumerate(texts[k].split("\n"), int(first_line[k])):
+            last = None
+            wanted = iter(marked.get(number, ()))
+            t = next(wanted, None)
+            for n, m in enumerate(_TOKEN.finditer(line) if t is not None else ()):
+                if n == t:
+                    if last is not None and t == last + 1:
+                        spans[k][-1] = (spans[k][-1][0], base + m.end())
+                    else:
+                        spans[k].append((base + m.start(), base + m.end()))
+                    last, t = t, next(wanted, None)
+                    if t is None:
+                        break
+            base += len(line) + 1
     return [[{"start": a, "end": b} for a, b in x] for x in spans]
 
 
