@@ -106,9 +106,10 @@ def brute(x, ids, k=20):
     return out
 
 
-@pytest.mark.parametrize("cell, queries", [(16384, 16384), (100, 10)])
-def test_neighbours_against_brute_force(spark, monkeypatch, cell, queries):
+@pytest.mark.parametrize("cell, queries, sample", [(16384, 16384, 32768), (100, 10, 32768), (60, 10, 32)])
+def test_neighbours_against_brute_force(spark, monkeypatch, cell, queries, sample):
     monkeypatch.setattr(N, "CELL_ROWS", cell)
+    monkeypatch.setattr(N, "SAMPLE_ROWS", sample)
     monkeypatch.setattr(N, "QUERIES_AT_ONCE", queries)
     x = vectors()
     ids = np.arange(len(x))
@@ -136,6 +137,23 @@ def test_few_or_no_vectors(spark):
     assert N.nearest(df.limit(0), "vec_id % 20 = 0").collect() == []
 
 
+def test_lengths_and_ids_of_several_vectors(spark):
+    draw = np.random.default_rng(3)
+    rows = [(i, draw.normal(size=5 if i % 3 else 9).round(2).tolist()) for i in range(240)]
+    rows += [(20, [1.0] * 5), (20, [1.0] * 5), (20, [2.0] * 9), (21, [3.0] * 5), (40, rows[100][1]), (7, rows[40][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = {}
+    for r in N.nearest(df, "vec_id % 20 = 0", k=6).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    want, distinct = {}, sorted({(i, tuple(v)) for i, v in rows})
+    for i, v in distinct:
+        if i % 20 == 0:
+            others = [(-sum(a * b for a, b in zip(v, w)), j) for j, w in distinct if len(w) == len(v) and (j, w) != (i, v)]
+            want.setdefault(i, []).extend((n, j, -s) for n, (s, j) in enumerate(sorted(others)[:6], 1))
+    key = lambda rows: sorted((n, j, round(s, 9)) for n, j, s in rows)
+    assert {i: key(x) for i, x in found.items()} == {i: key(x) for i, x in want.items()}
+
+
 def rows_in_order(df):
     return [tuple(r) for r in df.orderBy("query_id", "rank").collect()]
 

@@ -3,8 +3,9 @@
 Largest inner product becomes smallest distance by one more dimension, which
 lifts all vectors to the same length.  A Gaussian (2-stable) projection to
 ``DIMENSIONS`` numbers keeps squared distances up to a chi-square factor.  The
-projections are cut into cells by a kd-tree fitted on a bounded sample, and each
-cell has its own kd-tree.  A query takes projected neighbours box by box, nearest
+projections are cut into cells by a kd-tree fitted on a bounded sample (cells that
+come out too large are cut again, each by a sample of its own), and each cell has
+its own kd-tree, built once.  A query takes projected neighbours box by box, nearest
 box first, and verifies them with true inner products, until the chi-square test
 says that a vector nearer than its k-th best would have been projected closer
 than the next box with probability ``CONFIDENCE``.  The same test decides which
@@ -111,13 +112,13 @@ def matrix_of(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, size)
 
 
-def search_cell(x, projected, ids, q, q_projected, start, k, limit, projection):
-    """For each query the k best (score, id) of the cell's vectors; ``start`` is its k-th best score so far.
+def search_cell(x, projected, box, ids, q, q_projected, start, k, limit, projection):
+    """For each query its number, and ids, scores and sameness of the k best of the cell's vectors.
 
-    ids[i] are the smallest ids of the rows that hold vector i.
+    ``start`` is its k-th best score so far; ``box`` the leaf of each vector in
+    the cell's tree; ids[i] are the smallest ids of the rows that hold vector i;
+    sameness says that a vector equals the query.
     """
-    cuts = kd_cells(projected, BOX_ROWS)
-    box = cell_of(projected, cuts)
     order = np.argsort(box, kind="stable")
     x, projected, box, ids = x[order], projected[order], box[order], [ids[i] for i in order]
     starts = np.flatnonzero(np.r_[True, box[1:] != box[:-1]])
@@ -155,45 +156,56 @@ def search_cell(x, projected, ids, q, q_projected, start, k, limit, projection):
             lo, step = hi, 2 * step
         if len(rows):
             exact = (x[rows] * one).sum(axis=1)
-            pairs = sorted((-s, i) for s, r in zip(exact.tolist(), rows) for i in ids[r])[:k]
-            yield n, [i for _, i in pairs], [-s for s, _ in pairs]
+            same = (x[rows] == one).all(axis=1)
+            found = sorted((-s, i, e) for s, r, e in zip(exact.tolist(), rows, same.tolist()) for i in ids[r])[:k]
+            yield n, [i for _, i, _ in found], [-s for s, _, _ in found], [e for _, _, e in found]
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, vec): one finite, non-zero vector for each vec_id, all of the most frequent length.
+    """(vec_id, vec): the different rows that take part.
 
-    Rows without vec_id, and vectors that are null, zero, hold null or non-finite
-    components or have another length, take no part; of several vectors of one
-    vec_id the smallest does.
+    Rows without vec_id, and vectors that are null, empty or zero, or hold null or
+    non-finite components, do not; rows that repeat vec_id and vector are one.
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec"))
     rows = rows.where(
         "vec_id IS NOT NULL AND vec IS NOT NULL AND size(vec) > 0 AND exists(vec, x -> coalesce(x, 0D) <> 0D) "
         "AND forall(vec, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
     )
-    size = rows.groupBy(F.size("vec").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("size")).limit(1)
-    got = size.collect()
-    if not got:
-        return rows.limit(0)
-    return rows.where(F.size("vec") == got[0]["size"]).groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    return rows.distinct()
 
 
 def nearest(embeddings: DataFrame, queries, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for each vector that ``queries`` (a condition) selects.
 
     Nearness is the inner product in double precision, ties to the smaller
-    vec_id; a query is not its own neighbour, but its copies are.  Equal vectors
-    are searched and indexed once, whatever the number of their copies: only the
-    k + 1 smallest ids of a vector can be among any k nearest.  An empty table
-    gives no rows.  See ``usable`` for the vectors that take part.
+    vec_id; a query is not its own neighbour, but its copies are.  Only vectors
+    of one length have an inner product: each length is searched by itself.
+    Equal vectors are searched and indexed once, whatever the number of their
+    copies: only the k + 1 smallest ids of a vector can be among any k nearest.
+    A vec_id with several vectors is a query, and a candidate, with each.  An
+    empty table gives no rows.  See ``usable`` for the vectors that take part.
     """
     spark = embeddings.sparkSession
     rows = staged(usable(embeddings), "ann-rows")
-    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("size"), F.max(F.expr("aggregate(vec, 0D, (a, x) -> a + x * x)")).alias("square")).first()
-    if not facts["n"]:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size, projection, limit, most = facts["size"], Projection(facts["size"], math.sqrt(facts["square"])), chi_square_limit(), k + 1
+    facts = rows.groupBy(F.size("vec").alias("size")).agg(F.max(F.expr("aggregate(vec, 0D, (a, x) -> a + x * x)")).alias("square"))
+    out = None
+    for r in facts.orderBy("size").collect():  # a row for each length of vector
+        found = _nearest_of_size(rows.where(F.size("vec") == r["size"]), queries, k, Projection(r["size"], math.sqrt(r["square"])))
+        out = found if out is None else out.unionAll(found)
+    return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double") if out is None else out
 
+
+_INDEX = "vec array<double>, ids array<long>, projected array<double>, cell long, sub int"
+
+
+def _index(rows: DataFrame, most: int, projection: Projection) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray, bool]:
+    """The index (vec, ids, projected, cell, sub, box), the cells with their boxes' corners, and whether any cell is cut again.
+
+    The driver holds the cuts of at most SAMPLE_ROWS / 8 cells; those with more
+    than twice ``CELL_ROWS`` vectors are cut into subs in Spark.
+    """
+    size = projection.matrix.shape[0] - 1
     nth = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
     few = rows.withColumn("nth", nth).where(F.col("nth") <= most)
     distinct = few.groupBy("vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
@@ -214,19 +226,70 @@ def nearest(embeddings: DataFrame, queries, k: int = 20) -> DataFrame:
             cell = cell_of(matrix_of(batch.column(2), DIMENSIONS), cuts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], ["vec", "ids", "projected", "cell"])
 
-    index = staged(index.mapInArrow(place, "vec array<double>, ids array<long>, projected array<double>, cell long"), "ann-cells")
-    edges = index.groupBy("cell").agg(*(f(F.col("projected")[d]).alias(f"{f.__name__}{d}") for d in range(DIMENSIONS) for f in (F.min, F.max)))
-    corner = {r["cell"]: r for r in edges.collect()}  # at most SAMPLE_ROWS / 8 cells
+    index = index.mapInArrow(place, "vec array<double>, ids array<long>, projected array<double>, cell long")
+    index = staged(index, "ann-placed")
+    edges = index.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *(f(F.col("projected")[d]).alias(f"{f.__name__}{d}") for d in range(DIMENSIONS) for f in (F.min, F.max)))
+    corner = {r["cell"]: r for r in edges.collect()}
     cells = np.array(sorted(corner))
     low, high = (np.array([[corner[c][f"{f}{d}"] for d in range(DIMENSIONS)] for c in cells.tolist()]) for f in ("min", "max"))
+    large = [(c, corner[c]["n"]) for c in cells.tolist() if corner[c]["n"] > 2 * CELL_ROWS]
+    index = _cut_again(index, large) if large else index.withColumn("sub", F.lit(0))
+
+    def tree(vectors: pa.Table) -> pa.Table:
+        projected = matrix_of(vectors["projected"], DIMENSIONS)
+        return vectors.append_column("box", pa.array(cell_of(projected, kd_cells(projected, BOX_ROWS)), pa.int64()))
+
+    index = index.groupBy("cell", "sub").applyInArrow(tree, f"{_INDEX}, box long")
+    return staged(index, "ann-cells"), cells, low, high, bool(large)
+
 
+def _cut_again(index: DataFrame, large: list[tuple[int, int]]) -> DataFrame:
+    """``index`` with ``sub``: the leaf of a vector in the cuts of its cell, 0 in cells that are not ``large`` (cell, vectors).
+
+    Each large cell is cut by a sample of about SAMPLE_ROWS of its own vectors;
+    its vectors meet the cuts in shares of bounded size.
+    """
+    spark = index.sparkSession
+    sizes = spark.createDataFrame(large, "cell long, n long")  # at most SAMPLE_ROWS / 8 rows
+    chance = (F.xxhash64("projected", F.lit(1)) % 1000003 + 1000003) % 1000003 / 1000003
+
+    def cut(sample: pa.Table) -> pa.Table:
+        n, points = sample["n"][0].as_py(), matrix_of(sample["projected"], DIMENSIONS)
+        cuts = kd_cells(points, max(8, int(CELL_ROWS * len(points) / n)))
+        return pa.table({"cell": sample["cell"][:1], "dims": pa.array([[d for d, _ in cuts]], pa.list_(pa.int32())), "edges": pa.array([[v for _, v in cuts]], pa.list_(pa.float64()))})
+
+    within = index.join(F.broadcast(sizes), "cell")
+    sample = within.where(chance * F.col("n") < SAMPLE_ROWS).select("cell", "n", "projected")
+    cuts = staged(sample.groupBy("cell").applyInArrow(cut, "cell long, dims array<int>, edges array<double>"), "ann-cuts")
+    shares = F.ceil(F.col("n") / (4 * CELL_ROWS)).cast("int")
+    each = cuts.join(F.broadcast(sizes), "cell").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("n")
+
+    def place(vectors: pa.Table, cut: pa.Table) -> pa.Table:
+        known = list(zip(cut["dims"][0].as_py(), cut["edges"][0].as_py())) if len(cut) else []
+        sub = cell_of(matrix_of(vectors["projected"], DIMENSIONS), known)
+        return vectors.select(["vec", "ids", "projected", "cell"]).append_column("sub", pa.array(sub, pa.int32()))
+
+    dealt = within.withColumn("share", F.pmod(F.xxhash64("projected"), shares).cast("int")).drop("n")
+    placed = dealt.groupBy("cell", "share").cogroup(each.groupBy("cell", "share")).applyInArrow(place, _INDEX)
+    return index.join(F.broadcast(sizes), "cell", "left_anti").withColumn("sub", F.lit(0)).unionByName(placed)
+
+
+def _nearest_of_size(rows: DataFrame, queries, k: int, projection: Projection) -> DataFrame:
+    """The result of ``nearest`` for vectors of one length."""
+    size, limit, most = projection.matrix.shape[0] - 1, chi_square_limit(), k + 1
+    index, cells, low, high, cut_again = _index(rows, most, projection)
     asking = staged(rows.where(queries), "ann-asking")
-    # one search for all copies of a query, under the smallest of their ids
-    unique = staged(asking.groupBy("vec").agg(F.min("vec_id").alias("qid")), "ann-queries")
-    shares = max(1, math.ceil(unique.count() / QUERIES_AT_ONCE))
+    # one search for all copies of a query; its name holds the vector, as a vec_id may have several
+    unique = asking.groupBy("vec").agg(F.min("vec_id").alias("first"))
+    unique = staged(unique.select(F.concat_ws(":", "first", F.hex(F.xxhash64("vec"))).alias("qid"), "vec"), "ann-queries")
+
+    def reach(q, kth):
+        """Squared distance at which the stopping test holds, for queries with the k-th best scores ``kth``."""
+        far = np.maximum(0, 2 * projection.longest**2 - 2 * kth * projection.longest / np.linalg.norm(q, axis=1))
+        return limit * np.where(np.isneginf(kth), np.inf, far)
 
     def routes(visit_others: bool):
-        """(cell, share, qid, vec, kth): the cell that a query's projection is in or nearest to, or all others that pass the test."""
+        """The cell that a query's projection is in or nearest to; or all others that pass the test, the first one again if it has subs."""
 
         def run(batches):
             for batch in batches:
@@ -235,47 +298,86 @@ def nearest(embeddings: DataFrame, queries, k: int = 20) -> DataFrame:
                 home = apart.argmin(axis=1)
                 kth = batch.column(2).to_numpy(zero_copy_only=False)
                 if visit_others:
-                    far = np.maximum(0, 2 * projection.longest**2 - 2 * kth * projection.longest / np.linalg.norm(q, axis=1))
-                    go = apart <= limit * np.where(np.isneginf(kth), np.inf, far)[:, None]
-                    go[np.arange(len(q)), home] = False
+                    go = apart <= reach(q, kth)[:, None]
+                    go[np.arange(len(q)), home] = cut_again
                     at, to = np.nonzero(go)
                 else:
                     at, to = np.arange(len(q)), home
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells[to]), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(kth[at])],
-                    ["cell", "qid", "vec", "kth"],
+                    [pa.array(cells[to]), *(batch.column(n).take(pa.array(at)) for n in (0, 1)), pa.array(kth[at]), pa.array(to == home[at])],
+                    ["cell", "qid", "vec", "kth", "home"],
                 )
 
         return run
 
+    def sub_routes(visit_others: bool):
+        """The same for the subs of a cell."""
+
+        def run(asked: pa.Table, boxes: pa.Table) -> pa.Table:
+            if not len(asked):
+                return pa.table({c: pa.array([], t) for c, t in (("cell", pa.int64()), ("sub", pa.int32()), ("qid", pa.string()), ("vec", pa.list_(pa.float64())), ("kth", pa.float64()))})
+            q, kth, home = matrix_of(asked["vec"], size), asked["kth"].to_numpy(), asked["home"].to_numpy()
+            apart = boxes_apart(projection.of_queries(q), matrix_of(boxes["low"], DIMENSIONS), matrix_of(boxes["high"], DIMENSIONS))
+            nearest_sub = apart.argmin(axis=1)
+            if visit_others:
+                go = apart <= reach(q, kth)[:, None]
+                go[np.flatnonzero(home), nearest_sub[home]] = False
+                at, to = np.nonzero(go)
+            else:
+                at, to = np.arange(len(q)), nearest_sub
+            got = asked.select(["cell", "qid", "vec", "kth"]).take(pa.array(at))
+            return got.add_column(1, "sub", boxes["sub"].take(pa.array(to))).combine_chunks()
+
+        return run
+
+    boxes = None
+    if cut_again:
+        ends = lambda f: F.array(*(f(F.col("projected")[d]) for d in range(DIMENSIONS)))
+        boxes = staged(index.groupBy("cell", "sub").agg(ends(F.min).alias("low"), ends(F.max).alias("high")), "ann-boxes")
+
+    def routed(asked: DataFrame, visit_others: bool) -> DataFrame:
+        """cell, sub, qid, vec, kth."""
+        out = asked.select("qid", "vec", "kth").mapInArrow(routes(visit_others), "cell long, qid string, vec array<double>, kth double, home boolean")
+        if boxes is None:
+            return out.select("cell", F.lit(0).alias("sub"), "qid", "vec", "kth")
+        # queries meet the boxes of a cell in shares, each with a copy of those few boxes
+        n = max(1, math.ceil(unique.count() / QUERIES_AT_ONCE))
+        out = out.withColumn("share", F.pmod(F.xxhash64("qid", F.lit(2)), F.lit(n)).cast("int")).groupBy("cell", "share")
+        each = boxes.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).groupBy("cell", "share")
+        return out.cogroup(each).applyInArrow(sub_routes(visit_others), "cell long, sub int, qid string, vec array<double>, kth double")
+
     def search(vectors: pa.Table, asked: pa.Table) -> pa.Table:
-        out = {"qid": [], "vec_id": [], "score": []}
+        out = {"qid": [], "vec_id": [], "score": [], "same": []}
         if len(vectors) and len(asked):
             q, qids = matrix_of(asked["vec"], size), asked["qid"].to_pylist()
             found = search_cell(
-                matrix_of(vectors["vec"], size), matrix_of(vectors["projected"], DIMENSIONS), vectors["ids"].to_pylist(),
+                matrix_of(vectors["vec"], size), matrix_of(vectors["projected"], DIMENSIONS), vectors["box"].to_numpy(), vectors["ids"].to_pylist(),
                 q, projection.of_queries(q), asked["kth"].to_numpy(), most, limit, projection,
             )
-            for n, ids, scores in found:
-                out["qid"] += [qids[n]] * len(ids)
-                out["vec_id"] += ids
-                out["score"] += scores
-        return pa.table({"qid": pa.array(out["qid"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
-
-    copies = index.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))).groupBy("cell", "share")
+            for n, *columns in found:
+                out["qid"] += [qids[n]] * len(columns[0])
+                for name, column in zip(("vec_id", "score", "same"), columns):
+                    out[name] += column
+        kinds = {"qid": pa.string(), "vec_id": pa.int64(), "score": pa.float64(), "same": pa.bool_()}
+        return pa.table({c: pa.array(out[c], kind) for c, kind in kinds.items()})
 
     def searched(asked: DataFrame, visit_others: bool) -> DataFrame:
-        routed = asked.select("qid", "vec", "kth").mapInArrow(routes(visit_others), "cell long, qid long, vec array<double>, kth double")
-        routed = routed.withColumn("share", F.pmod(F.xxhash64("qid"), F.lit(shares)).cast("int"))
-        return copies.cogroup(routed.groupBy("cell", "share")).applyInArrow(search, "qid long, vec_id long, score double")
+        # a cell is copied as often as its own queries need, and not at all without any
+        loads = routed(asked, visit_others).groupBy("cell", "sub").agg(F.ceil(F.count(F.lit(1)) / QUERIES_AT_ONCE).cast("int").alias("shares"))
+        loads = staged(loads, "ann-loads")
+        copies = index.join(loads, ["cell", "sub"]).withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+        dealt = routed(asked, visit_others).join(loads, ["cell", "sub"]).withColumn("share", F.pmod(F.xxhash64("qid"), "shares").cast("int")).drop("shares")
+        keys = ["cell", "sub", "share"]
+        return copies.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(search, "qid string, vec_id long, score double, same boolean")
 
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
     first = staged(searched(unique.withColumn("kth", F.lit(float("-inf"))), False), "ann-home")
     ranked = first.withColumn("nth", F.row_number().over(best))
     kth = ranked.where(F.col("nth") == most).select("qid", F.col("score").alias("kth"))
-    known = unique.join(kth, "qid", "left").withColumn("kth", F.coalesce("kth", F.lit(float("-inf"))))
+    known = staged(unique.join(kth, "qid", "left").withColumn("kth", F.coalesce("kth", F.lit(float("-inf")))), "ann-known")
     both = first.unionAll(searched(known, True)).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= most)
     named = asking.join(unique, "vec").select("qid", F.col("vec_id").alias("query_id"))
-    pairs = named.join(both.select("qid", "vec_id", "score"), "qid").where("vec_id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    # a query's own row is the one with its id and its vector
+    pairs = named.join(both.select("qid", "vec_id", "score", "same"), "qid").where("NOT (vec_id = query_id AND same)")
+    rank = F.row_number().over(Window.partitionBy("query_id", "qid").orderBy(F.desc("score"), "vec_id"))
     return pairs.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
