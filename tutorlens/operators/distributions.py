@@ -7,9 +7,9 @@
   scaled by ``n * bin width`` to sit on the count histogram.
 * :func:`box_stats`: quartiles, 1.5-IQR whiskers and outlier counts per group.
 
-Each works on value counts (a distributed aggregate with map-side combine),
-never on rows gathered in one place; global parameters (min, max, n, std) are
-scalar subqueries inlined as literals.
+Each works on counts and sums that combine before the shuffle, never on rows
+gathered in one place; global parameters (min, max, n, std) are scalar subqueries
+inlined as literals.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tutorlens.operators.quantiles import quantiles_from_counts, value_counts_of
+from tutorlens.operators.selection import MAX_GROUPS, selected_quantiles
+
+#: Width of a density cell and how far it reaches, in bandwidths; terms of its series.
+CELL, REACH, TERMS = 0.25, 9, 12
 
 
 def _edge(i, lo, hi, step, bins: int):
@@ -62,44 +66,86 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     )
 
 
+def _hermite(terms: int) -> list[list[int]]:
+    """Coefficients, lowest power first, of the first Hermite polynomials (those of exp(-z^2/2))."""
+    rows = [[1], [0, 1]]
+    for k in range(1, terms - 1):
+        up = [0, *rows[k]]
+        down = rows[k - 1] + [0] * (len(up) - len(rows[k - 1]))
+        rows.append([a - k * b for a, b in zip(up, down)])
+    return rows[:terms]
+
+
 def density_curve(df: DataFrame, value: str, grid: int = 200, bins: int = 30, digits: int | None = 6) -> DataFrame:
     """(point, x, density, scaled) of the Gaussian KDE on ``grid`` points.
 
     ``density`` integrates to 1; ``scaled`` = density * n * bin width matches a
     ``bins``-bin count histogram.  Fewer than 2 values or zero spread give no
     rows (the curve is skipped, as seaborn does for a singular sample).
+
+    A fast Gauss sum: one pass for n, spread and range; one that sums, for each
+    cell of ``CELL`` bandwidths, the first ``TERMS`` powers of the values'
+    distances from its middle; then each cell gives its Hermite series to the
+    points within ``REACH`` bandwidths.  By Cramer's bound the rest of a series
+    is below 1.09 (CELL/2)^TERMS / sqrt(TERMS!) < 1e-15 of a value's own peak,
+    and what lies beyond the reach below exp(-REACH^2/2) < 3e-18.  The work after
+    the passes is cells x grid, whatever the number of distinct values.
     """
-    vc = value_counts_of(df, value)
-    # All from the value counts, whose exchange is reused: the input is read once.
-    v, c = F.col("_v"), F.col("_c")
-    st = vc.agg(
-        F.struct(F.sum("_c").alias("n"), F.sum(v * c).alias("total"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("s")
+    x = df.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    st = x.agg(
+        F.struct(F.count("_v").alias("n"), F.stddev_samp("_v").alias("sd"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("s")
     ).scalar()
-    n = st["n"].cast("double")
-    apart = v - st["total"] / n
-    squares = vc.agg(F.sum(apart * apart * c).alias("s")).scalar()
-    sd = F.when(n > 1, F.sqrt(squares / (n - 1)))
-    bw = sd * F.pow(n, F.lit(-0.2))
-    lo, hi = st["lo"], st["hi"]
+    n, lo, hi = st["n"].cast("double"), st["lo"], st["hi"]
+    bw = F.nullif(st["sd"] * F.pow(n, F.lit(-0.2)), F.lit(0.0))  # none where there is no spread
     step = (hi - lo) / F.lit(float(grid - 1))
+
+    cells = x.select("_v", F.floor((F.col("_v") - lo) / (bw * CELL)).alias("_cell"), bw.alias("_bw"), lo.alias("_lo"), step.alias("_step"))
+    cells = cells.where("_bw > 0").withColumn("_mid", F.expr(f"_lo + (_cell + 0.5D) * {CELL}D * _bw")).withColumn("_t", F.expr("(_v - _mid) / _bw"))
+    powers = ["1D"]
+    for _ in range(TERMS - 1):
+        powers.append(f"{powers[-1]} * _t" if len(powers) > 1 else "_t")
+    sums = cells.groupBy("_mid", "_bw", "_lo", "_step").agg(*[F.expr(f"SUM({p}) AS _s{k}") for k, p in enumerate(powers)])
+    # the series as one polynomial in z: its coefficients, lowest power first
+    hermite = _hermite(TERMS)
+    power = [
+        " + ".join(f"_s{k} * {h[j] / math.factorial(k)!r}D" for k, h in enumerate(hermite) if j < len(h) and h[j])
+        for j in range(TERMS)
+    ]
+    near = (
+        f"greatest(0, ceil((_mid - {REACH}D * _bw - _lo) / _step))",
+        f"least({grid - 1}, floor((_mid + {REACH}D * _bw - _lo) / _step))",
+    )
+    points = sums.selectExpr("_mid", "_bw", "_lo", "_step", *[f"{p} AS _c{j}" for j, p in enumerate(power)], f"{near[0]} AS _from", f"{near[1]} AS _to")
+    points = points.where("_from <= _to").selectExpr("*", "explode(sequence(_from, _to)) AS point")
+    points = points.withColumn("_z", F.expr("(_lo + point * _step - _mid) / _bw"))
+    series = f"_c{TERMS - 1}"
+    for j in range(TERMS - 2, -1, -1):
+        series = f"({series}) * _z + _c{j}"
+    found = points.groupBy(F.col("point").cast("int").alias("point")).agg(F.expr(f"SUM(exp(-0.5D * _z * _z) * ({series})) AS _s"))
+
     j = F.col("point")
     gx = F.when(j == F.lit(grid - 1), hi).otherwise(j.cast("double") * step + lo)
-    z = (gx - F.col("_v")) / bw
-    sums = (
-        vc.select("_v", "_c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
-        .groupBy("point")
-        .agg(F.sum(F.col("_c") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
-    )
-    density = F.col("_s") / (n * bw * F.lit(math.sqrt(2.0 * math.pi)))
+    density = F.coalesce("_s", F.lit(0.0)) / (n * bw * F.lit(math.sqrt(2.0 * math.pi)))
     scaled = density * n * ((hi - lo) / F.lit(float(bins)))
-    out = sums.where((st["n"] >= 2) & (bw > 0)).select("point", gx.alias("x"), density.alias("density"), scaled.alias("scaled"))
+    every = df.sparkSession.range(grid).select(F.col("id").cast("int").alias("point"))
+    # both sides have at most ``grid`` rows
+    out = every.join(F.broadcast(found), "point", "left").where((st["n"] >= 2) & (bw > 0))
+    out = out.select("point", gx.alias("x"), density.alias("density"), scaled.alias("scaled"))
     if digits is not None:
         out = out.select("point", *[F.round(c, digits).alias(c) for c in ["x", "density", "scaled"]])
     return out
 
 
-def box_stats_from_counts(vc: DataFrame, by: Sequence[str], whis: float = 1.5, digits: int | None = 6) -> DataFrame:
-    """A24 from value counts ``(by..., _v, _c)``: one row per group.
+def box_stats(
+    df: DataFrame,
+    value: str,
+    by: Sequence[str],
+    weight: str | None = None,
+    whis: float = 1.5,
+    digits: int | None = 6,
+    many_groups: bool = False,
+) -> DataFrame:
+    """A24 over rows (optionally weighted): one row per group, missing values and keys dropped.
 
     Columns: n, mean, q1, median, q3, iqr, whisker_low, whisker_high,
     n_outliers, min, max.  Whiskers are the most extreme values inside
@@ -107,20 +153,35 @@ def box_stats_from_counts(vc: DataFrame, by: Sequence[str], whis: float = 1.5, d
     beyond the whiskers, which are exactly the values beyond the fences: the
     low whisker is the smallest value at or above the low fence, or q1 when that
     value is above q1, and in both cases no value lies between the fence and
-    the whisker.  So whiskers and outliers come from one aggregate.
+    the whisker.  So whiskers and outliers come from one aggregate over the rows,
+    or with ``many_groups`` over their value counts.
     """
     by = list(by)
-    qs = quantiles_from_counts(vc, [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"], moments=True)
+    base = df
+    for b in by:
+        base = base.where(F.col(b).isNotNull())
+    names = ["q1", "median", "q3"]
+    if many_groups:
+        rows = value_counts_of(base, value, by, weight)
+        qs = quantiles_from_counts(rows, [0.25, 0.5, 0.75], by, names=names, moments=True)
+    else:
+        rows = base.select(*by, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("_c")).where("_v IS NOT NULL")
+        qs = selected_quantiles(rows, "_v", [0.25, 0.5, 0.75], by, names=names, weight="_c", moments=True)
     iqr = F.col("q3") - F.col("q1")
     fences = qs.select(
         *by, "n", "mean", "q1", "median", "q3", "min", "max", iqr.alias("iqr"),
         (F.col("q1") - F.lit(whis) * iqr).alias("_lo_fence"),
         (F.col("q3") + F.lit(whis) * iqr).alias("_hi_fence"),
     )
+    if not many_groups:
+        # a row for each group, of which there are at most MAX_GROUPS
+        many = f"raise_error('more than {MAX_GROUPS} groups: use many_groups=True')"
+        fences = fences.limit(MAX_GROUPS + 1).selectExpr("*", "COUNT(1) OVER () AS _groups").where(f"IF(_groups > {MAX_GROUPS}, {many}, TRUE)").drop("_groups")
+        fences = F.broadcast(fences)
     v, c = F.col("_v"), F.col("_c")
     # The fence columns are constant per group: grouping on them carries them.
     carried = ["n", "mean", "q1", "median", "q3", "min", "max", "iqr", "_lo_fence", "_hi_fence"]
-    s = vc.join(fences, by).groupBy(*by, *carried).agg(
+    s = rows.join(fences, by).groupBy(*by, *carried).agg(
         F.min(F.when(v >= F.col("_lo_fence"), v)).alias("_wlo"),
         F.max(F.when(v <= F.col("_hi_fence"), v)).alias("_whi"),
         F.sum(F.when((v < F.col("_lo_fence")) | (v > F.col("_hi_fence")), c).otherwise(0)).alias("n_outliers"),
@@ -142,11 +203,3 @@ def box_stats_from_counts(vc: DataFrame, by: Sequence[str], whis: float = 1.5, d
         r(F.col("min")).alias("min"),
         r(F.col("max")).alias("max"),
     )
-
-
-def box_stats(df: DataFrame, value: str, by: Sequence[str], weight: str | None = None, digits: int | None = 6) -> DataFrame:
-    """A24 over rows (optionally weighted): missing values and keys are dropped."""
-    base = df
-    for b in by:
-        base = base.where(F.col(b).isNotNull())
-    return box_stats_from_counts(value_counts_of(base, value, by, weight), by, digits=digits)

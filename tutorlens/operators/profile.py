@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tutorlens.functions.rounding import percent_of, round_half_even
 from tutorlens.functions.sqltext import ident, literal
 from tutorlens.operators.quantiles import quantiles
+from tutorlens.operators.selection import selected_quantiles
 
 
 def null_counts(df: DataFrame, only_missing: bool = False) -> DataFrame:
@@ -81,12 +82,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
 
 
-def _stacked_numeric(df: DataFrame, columns: Sequence[str] | None, table: str) -> DataFrame:
-    cols = list(columns) if columns is not None else numeric_columns(df)
-    pairs = ", ".join(f"{literal(c)}, CAST({ident(c)} AS DOUBLE)" for c in cols)
-    return df.selectExpr(f"{literal(table)} AS table_name", f"stack({len(cols)}, {pairs}) AS (column_name, value)")
-
-
 def describe_tables(
     tables: Mapping[str, DataFrame],
     columns: Mapping[str, Sequence[str]] | None = None,
@@ -94,25 +89,24 @@ def describe_tables(
 ) -> DataFrame:
     """A13/A14 over several tables at once.
 
-    Every numeric column of every table is stacked into (table_name,
-    column_name, value) rows, so one grouped aggregate (count, std) and one
-    exact-quantile plan (quartiles, mean, min, max) serve all of them, ids
-    included as in ``describe()``.  Columns: table_name, column_name, count,
-    mean, std, min, p25, p50, p75, max.
+    Every numeric column of every table is stacked into (slot, value) rows, a
+    slot for each column, so that one rank selection (quartiles, count, mean,
+    std, min, max) serves all of them, ids included as in ``describe()``.
+    Columns: table_name, column_name, count, mean, std, min, p25, p50, p75, max.
+    A column with no value at all has count 0 and nulls.
     """
-    long = None
+    long, names = None, []
     for name, df in tables.items():
-        part = _stacked_numeric(df, (columns or {}).get(name), name)
+        cols = (columns or {}).get(name) or numeric_columns(df)
+        pairs = ", ".join(f"{len(names) + i}, CAST({ident(c)} AS DOUBLE)" for i, c in enumerate(cols))
+        part = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (slot, value)")
+        names += [(len(names) + i, name, c) for i, c in enumerate(cols)]
         long = part if long is None else long.unionByName(part)
+    # the groups are the columns listed here, so their number needs no check
+    qs = selected_quantiles(long, "value", [0.25, 0.5, 0.75], by=["slot"], names=["p25", "p50", "p75"], moments=True, max_groups=None)
+    listing = long.sparkSession.createDataFrame(names, "slot int, table_name string, column_name string")
     keys = ["table_name", "column_name"]
-    # One pass: quartiles, count, mean, std, min and max all come out of the
-    # exact-quantile plan.  A column with no value at all has no row there, so
-    # it is completed from the list of stacked columns (count 0, rest null).
-    qs = quantiles(long, "value", [0.25, 0.5, 0.75], by=keys, names=["p25", "p50", "p75"], moments=True)
-    names = [(t, c) for t, df in tables.items() for c in ((columns or {}).get(t) or numeric_columns(df))]
-    spark = long.sparkSession
-    listing = spark.createDataFrame(names, "table_name string, column_name string")
-    out = listing.join(qs, keys, "left").selectExpr(
+    out = listing.join(qs, "slot", "left").selectExpr(
         *keys, "coalesce(CAST(n AS BIGINT), 0) AS count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
     if digits is not None:
@@ -147,32 +141,40 @@ def value_counts(df: DataFrame, column: str, normalize: str | None = None, digit
     return counts.orderBy(F.desc("count"), F.asc("value"))
 
 
+def column_counts(df: DataFrame, columns: Sequence[str], hue: str | None = None) -> DataFrame:
+    """(variable, value, number[, hue], count): rows by each value of each column, in one aggregate.
+
+    Grouping sets over the rows as they are, a set for each column (with
+    ``hue``, each column beside it): the counts combine before the one shuffle.
+    ``number`` is the value of a numeric column.  Missing values are not counted.
+    """
+    cols, numeric = list(columns), set(numeric_columns(df))
+    # a column counted beside itself, or twice, needs a name of its own
+    x = df.selectExpr(*[f"{ident(c)} AS _c{i}" for i, c in enumerate(cols)], *([f"{ident(hue)} AS _hue"] if hue else []))
+    names = [f"_c{i}" for i in range(len(cols))] + (["_hue"] if hue else [])
+    sets = [[F.col(f"_c{i}")] + ([F.col("_hue")] if hue else []) for i in range(len(cols))]
+    # the bits of the grouping id say which columns are not in the set, the first column highest
+    every = (1 << len(names)) - 1
+    ids = [every - (1 << (len(names) - 1 - i)) - (1 if hue else 0) for i in range(len(cols))]
+    grouped = x.groupingSets(sets, *[F.col(n) for n in names]).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("count"))
+    pick = lambda f: "CASE " + " ".join(f"WHEN _set = {ids[i]} THEN {f(i, c)}" for i, c in enumerate(cols)) + " END"
+    out = grouped.selectExpr(
+        f"{pick(lambda i, c: literal(c))} AS variable",
+        f"{pick(lambda i, c: f'CAST(_c{i} AS STRING)')} AS value",
+        f"{pick(lambda i, c: f'CAST(_c{i} AS DOUBLE)' if c in numeric else 'CAST(NULL AS DOUBLE)')} AS number",
+        *([f"_hue AS {ident(hue)}"] if hue else []),
+        "count",
+    )
+    return drop_missing(out, ["value", *([hue] if hue else [])])
+
+
 def multi_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A15/A16 for several columns in one scan: (variable, value, count, percent).
 
     Sorted by variable, count descending, then the value in its own type's
     order (2 before 10).
     """
-    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)}
-    stacked = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("variable"),
-                        F.col(ident(c)).cast("string").alias("value"),
-                        (F.col(ident(c)) if c in numeric else F.lit(None)).cast("double").alias("number"),
-                    )
-                    for c in columns
-                ]
-            )
-        ).alias("s")
-    ).select("s.*")
-    counts = (
-        stacked.where(F.col("value").isNotNull())
-        .groupBy("variable", "value", "number")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    counts = column_counts(df, columns)
     totals = counts.groupBy("variable").agg(F.sum("count").alias("total"))  # a row for each column
     return (
         counts.join(totals, "variable")
@@ -201,41 +203,32 @@ def duplicate_key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def cross_counts(df: DataFrame, category: str, hue: str, hue_levels: Sequence[str] | None = None) -> DataFrame:
-    """Counts per (category, hue); wide by hue when ``hue_levels`` is given."""
+    """Counts per (category, hue), sorted by both; wide by hue when ``hue_levels`` is given, sorted by category."""
     base = drop_missing(df, [category, hue])
     if hue_levels is None:
-        return base.groupBy(category, hue).agg(F.count(F.lit(1)).alias("n_rows"))
+        return base.groupBy(category, hue).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(category, hue)
     wide = base.groupBy(category).pivot(hue, list(hue_levels)).agg(F.count(F.lit(1)))
-    return wide.fillna(0, subset=list(hue_levels))
+    return wide.fillna(0, subset=list(hue_levels)).orderBy(category)
 
 
 def multi_cross_counts(df: DataFrame, categories: Sequence[str], hue: str) -> DataFrame:
-    """A21 for several category columns in one scan: (variable, level, hue, n_rows)."""
-    stacked = df.select(
-        F.col(hue),
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("variable"), F.col(ident(c)).cast("string").alias("level")) for c in categories])
-        ).alias("s"),
-    ).select("s.variable", "s.level", hue)
-    return (
-        drop_missing(stacked, ["level", hue])
-        .groupBy("variable", "level", hue)
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    """A21/O2 for several category columns in one scan: (variable, level, hue, n_rows), sorted by the first three."""
+    counts = column_counts(df, categories, hue)
+    return counts.orderBy("variable", "number", "value", hue).select("variable", F.col("value").alias("level"), hue, F.col("count").alias("n_rows"))
 
 
-def group_summary(df: DataFrame, value: str, by: str, digits: int | None = 6) -> DataFrame:
-    """Mean and exact median of ``value`` per ``by`` (missing keys dropped).
+def group_summary(df: DataFrame, value: str, by: str, digits: int | None = 6, many_groups: bool = False) -> DataFrame:
+    """Mean and exact median of ``value`` per ``by``, sorted by it (missing keys dropped).
 
     A label whose values are all missing keeps its row, with nulls.
+    ``many_groups`` is for keys that are not a bounded set of labels.
     """
     base = df.where(F.col(by).isNotNull())
-    out = quantiles(base, value, [0.5], by=[by], names=["median_value"], moments=True, keep_groups=True).select(
-        by, F.col("mean").alias("mean_value"), "median_value"
-    )
+    out = quantiles(base, value, [0.5], by=[by], names=["median_value"], moments=True, keep_groups=True, many_groups=many_groups)
+    mean, median = F.col("mean"), F.col("median_value")
     if digits is not None:
-        out = out.select(by, F.round("mean_value", digits).alias("mean_value"), F.round("median_value", digits).alias("median_value"))
-    return out
+        mean, median = F.round(mean, digits), F.round(median, digits)
+    return out.select(by, mean.alias("mean_value"), median.alias("median_value")).orderBy(by)
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

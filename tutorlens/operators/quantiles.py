@@ -1,7 +1,10 @@
 """Exact quantiles (linear interpolation, as pandas and numpy) without one big task.
 
 ``F.percentile`` keeps a value -> count map of the whole group in one task, which
-is unbounded for wide-ranged columns (ids, clicks).  Here the work is split:
+is unbounded for wide-ranged columns (ids, clicks).  ``quantiles`` selects by rank
+with counts only (:mod:`tutorlens.operators.selection`).  That broadcasts a few
+rows for each group, so the number of groups is bounded there; for any number of
+groups (``many_groups=True``) the work is split without a broadcast:
 
 1. value counts ``(group, v, c)``: a distributed aggregate with map-side combine,
    so a hot group of a third of all rows is absorbed before the shuffle;
@@ -13,8 +16,6 @@ is unbounded for wide-ranged columns (ids, clicks).  Here the work is split:
    their own smallest and largest value;
 4. only the value counts of the sub-buckets that hold a wanted rank are ranked,
    by a window per sub-bucket, and one final aggregate interpolates.
-
-No table is broadcast by force: ``by`` may have any number of groups.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tutorlens.functions.sqltext import ident
+from tutorlens.operators.selection import selected_quantiles
 
 DEFAULT_BUCKETS = 1 << 12
 
@@ -177,12 +179,15 @@ def quantiles(
     buckets: int = DEFAULT_BUCKETS,
     moments: bool = False,
     keep_groups: bool = False,
+    many_groups: bool = False,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group of ``by``.
 
     Missing values are skipped; a group with no value has no row, or with
-    ``keep_groups`` a row of nulls.
+    ``keep_groups`` a row of nulls.  ``buckets`` is for ``many_groups``.
     """
+    if not many_groups:
+        return selected_quantiles(df, value, probs, by, names, weight, moments, keep_groups)
     vc = value_counts_of(df, value, by, weight, keep_missing=keep_groups)
     out = quantiles_from_counts(vc, probs, by, names, buckets, moments)
     if keep_groups:

@@ -9,14 +9,15 @@ Sizes follow scikit-learn's ``train_test_split(..., stratify=y)`` applied twice
   code first, where scikit-learn draws at random); the class rest is the test
   share.
 
-Membership: inside each class rows are ranked by ``md5(seed|key)`` then key;
-rank < train quota -> train, < train + validation -> validation, else test.
-The rank is computed in two levels so that no class is sorted in one task:
-rows are bucketed by the first hex digits of the hash (``hex_digits``); a
-group-by, combined before its shuffle, counts each (class, bucket), and these at
-most classes x buckets counts give running offsets and the classes' quotas.  The
-rows themselves are read once more and shuffled once, for the ``row_number``
-within (class, bucket).  No action runs.
+Membership: inside each class rows are ordered by ``md5(seed|key)`` then key;
+the first train quota is train, the next validation quota validation, the rest
+test.  No row is ranked, sorted or shuffled for it: a part ends at one (hash, key)
+of each class, its threshold, and these are found by selection.  Counts by class
+and the first 16 bits of the hash (combined before their shuffle) say which
+bucket a threshold is in, counts of those few buckets by the next 20 bits which
+sub-bucket, and the handful of rows there which row.  Then every row is compared
+with the thresholds of its class where it stands.  No action runs; the input is
+read four times, so it should be a written table.
 """
 
 from __future__ import annotations
@@ -76,14 +77,15 @@ def stratified_split(
     val_size: float = 0.15,
     seed: int = 42,
     classes: Sequence[int] = tuple(CLASS_LABELS),
-    hex_digits: int = 3,
+    hex_digits: int = 4,
     output: str = "split",
 ) -> DataFrame:
     """Add ``output`` in {'train', 'validation', 'test'} to every row.
 
     ``key`` must identify a row (split before dropping the id).  ``classes``
     is the label domain; a missing or unknown label fails the job, which also
-    bounds the per-class tables that are broadcast.
+    bounds what is broadcast: two thresholds for each class.  ``hex_digits`` of
+    the hash make a bucket, five more a sub-bucket.
     """
     lab = f"`{label}`"
     domain = ", ".join(repr(c) for c in classes)
@@ -96,27 +98,39 @@ def stratified_split(
         ),
     )
     keys = ", ".join(f"CAST(`{k}` AS STRING)" for k in key)
-    order = ", ".join(f"`{k}`" for k in key)
-    x = checked.selectExpr("*", f"md5(concat_ws('|', '{seed}', {keys})) AS _h").selectExpr(
-        "*", f"CAST(conv(substring(_h, 1, {hex_digits}), 16, 10) AS INT) AS _b"
-    )
-
-    # (the label is never null here; saying so keeps both uses alike, and the exchange is reused)
-    per_bucket = x.where(f"{lab} IS NOT NULL").groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    # the only shuffle of rows
-    within = x.selectExpr("*", f"ROW_NUMBER() OVER (PARTITION BY {lab}, _b ORDER BY _h, {order}) AS _rn")
-    offsets = per_bucket.selectExpr("*", f"SUM(_bn) OVER (PARTITION BY {lab} ORDER BY _b) - _bn AS _off")
-    class_counts = per_bucket.groupBy(label).agg(F.expr("SUM(_bn) AS n_class"))
-    quotas = class_quotas(class_counts, label, test_size, val_size)
-    lookup = offsets.join(quotas, label).select(label, "_b", "_off", "n_train", "n_validation")
-
-    # At most classes x 16^hex_digits rows; the ranked rows keep their partitioning.
-    ranked = within.join(F.broadcast(lookup), [label, "_b"]).selectExpr("*", "_off + _rn - 1 AS _rank")
+    place = f"struct(md5(concat_ws('|', '{seed}', {keys})) AS h, {', '.join(f'`{k}`' for k in key)})"
+    bits = lambda start, n: f"CAST(conv(substring(_place.h, {start}, {n}), 16, 10) AS INT)"
+    # the label is never null here; saying so keeps all uses alike
+    x = checked.selectExpr(f"{lab} AS _y", f"{place} AS _place").where("_y IS NOT NULL")
+    x = x.selectExpr("_y", "_place", f"{bits(1, hex_digits)} AS _b1", f"{bits(hex_digits + 1, 5)} AS _b2")
+
+    # The class quotas, and the bucket in which the train part and the validation part of each class end.
+    per_bucket = x.groupBy("_y", "_b1").agg(F.count(F.lit(1)).alias("_bn"))
+    class_counts = per_bucket.groupBy("_y").agg(F.expr("SUM(_bn) AS n_class"))
+    quotas = class_quotas(class_counts, "_y", test_size, val_size)
+    ends = quotas.selectExpr("_y", "explode(array(struct(0 AS part, n_train AS rank), struct(1 AS part, n_train + n_validation AS rank))) AS e")
+    ends = ends.selectExpr("_y", "e.part", "e.rank")
+    inside = "rank >= _before AND rank < _before + _bn"
+    before = lambda counts, within, order: counts.selectExpr("*", f"SUM(_bn) OVER (PARTITION BY {within} ORDER BY {order}) - _bn AS _before")
+    in1 = before(per_bucket, "_y", "_b1").join(F.broadcast(ends), "_y").where(inside).selectExpr("_y", "_b1", "part", "rank - _before AS rank")
+    # The sub-bucket, by counting the rows of those buckets alone.
+    buckets = in1.select("_y", "_b1").distinct()
+    per_sub = x.join(F.broadcast(buckets), ["_y", "_b1"]).groupBy("_y", "_b1", "_b2").agg(F.count(F.lit(1)).alias("_bn"))
+    in2 = before(per_sub, "_y, _b1", "_b2").join(F.broadcast(in1), ["_y", "_b1"]).where(inside)
+    in2 = in2.selectExpr("_y", "_b1", "_b2", "part", "rank - _before AS rank")
+    # The row: a sub-bucket is one of 16^(hex_digits + 5) shares of a class.
+    subs = in2.select("_y", "_b1", "_b2").distinct()
+    rows = x.join(F.broadcast(subs), ["_y", "_b1", "_b2"]).groupBy("_y", "_b1", "_b2").agg(F.array_sort(F.collect_list("_place")).alias("_places"))
+    cut = rows.join(F.broadcast(in2), ["_y", "_b1", "_b2"]).selectExpr("_y", "part", "_places[CAST(rank AS INT)] AS _cut")
+    cuts = cut.groupBy("_y").agg(F.expr("MAX(IF(part = 0, _cut, NULL)) AS _train_end"), F.expr("MAX(IF(part = 1, _cut, NULL)) AS _validation_end"))
+
+    # A part without a threshold takes the rest of its class; a class may have none at all.
+    marked = checked.selectExpr("*", f"{lab} AS _y", f"{place} AS _place").join(F.broadcast(cuts), "_y", "left")
     split = (
-        f"CASE WHEN _rank < n_train THEN 'train' WHEN _rank < n_train + n_validation THEN 'validation' "
-        f"ELSE 'test' END AS `{output}`"
+        "CASE WHEN coalesce(_place < _train_end, TRUE) THEN 'train' "
+        f"WHEN coalesce(_place < _validation_end, TRUE) THEN 'validation' ELSE 'test' END AS `{output}`"
     )
-    return ranked.selectExpr(*[f"`{c}`" for c in df.columns], split)
+    return marked.selectExpr(*[f"`{c}`" for c in df.columns], split)
 
 
 def split_sizes(split_df: DataFrame, output: str = "split") -> DataFrame:

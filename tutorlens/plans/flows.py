@@ -231,7 +231,7 @@ def _enrolments_per_student(info: DataFrame) -> DataFrame:
 
 
 def score_by_result(submissions: DataFrame, info: DataFrame, digits: int | None = 6) -> DataFrame:
-    """J9 + A9: mean score per final result over submissions x enrolments of the
+    """J9 + A9 + O2: mean score per final result, sorted by it, over submissions x enrolments of the
     same student (a student with k enrolments counts k times).
 
     The fan-out is never built: scores are summed per student first, then
@@ -245,7 +245,7 @@ def score_by_result(submissions: DataFrame, info: DataFrame, digits: int | None
     )
     if digits is not None:
         out = out.select("final_result", F.round("mean_score", digits).alias("mean_score"))
-    return out
+    return out.orderBy("final_result")
 
 
 def box_score_by_result(submissions: DataFrame, info: DataFrame, digits: int | None = 6) -> DataFrame:

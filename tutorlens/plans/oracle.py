@@ -533,6 +533,9 @@ def oracle_sql() -> dict[str, str]:
             ],
         ),
     }
+    from tutorlens.plans.queries import EXPLORED
+
+    qs |= {f"explored_{report}": qs[name] for report, name in EXPLORED.items()}
     qs["explore_clicks"] = qs["engagement_by_result"]
     qs["clicks_written"] = qs["clicks_per_student"]
     qs["registrations_through_csv"] = _with() + "SELECT * FROM student_registration"

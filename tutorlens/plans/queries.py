@@ -276,7 +276,7 @@ def encoded_null_columns(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
-    master = flows.whole_course_master(_t(spark, sf_dir))
+    master = materialize(flows.whole_course_master(_t(spark, sf_dir)).select(*K3, "target"))
     return split.stratified_split(master, label="target", key=K3, seed=42)
 
 
@@ -330,6 +330,36 @@ def explore_clicks(spark, sf_dir):
     return profile.group_summary(flows.engaged(t["student_info"], flows.shrink_clicks(t["student_vle"])), "sum_click", "final_result")
 
 
+def _explored(report: str) -> Query:
+    """One report of the exploration flow, as the flow itself makes it (from the written click totals)."""
+
+    def query(spark, sf_dir):
+        return flows.explore(_t(spark, sf_dir))[report]
+
+    query.__name__ = f"explored_{report}"
+    return query
+
+
+#: The reports of the exploration flow, each with the query that has the same SQL.
+EXPLORED = {
+    "profile": "table_profile",
+    "previews": "previews",
+    "null_counts": "null_counts",
+    "describe": "describe_numeric",
+    "value_counts": "value_counts_percent",
+    "histogram_credits": "histogram_credits",
+    "histogram_score": "histogram_score",
+    "histogram_clicks": "histogram_clicks",
+    "density_score": "density_score",
+    "density_clicks": "density_clicks",
+    "engagement_by_result": "engagement_by_result",
+    "box_clicks_by_result": "box_clicks_by_result",
+    "score_by_result": "score_by_result",
+    "box_score_by_result": "box_score_by_result",
+    "category_by_result": "category_by_result",
+}
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -345,5 +375,6 @@ QUERIES: dict[str, Query] = {
         report_early, previews, describe_clicks, education_by_result, one_hot_tree_early, one_hot_linear_early,
         training_frame_whole, training_frame_early, training_part_early, encoded_null_columns, explore_clicks,
         registrations_through_csv, clicks_written,
+        *map(_explored, EXPLORED),
     ]
 }
