@@ -84,6 +84,29 @@ def test_split_is_deterministic(spark):
     assert len(ids) == len(set(ids)) == sum(counts.values())
 
 
+def test_buckets_of_many_rows_are_narrowed(spark, monkeypatch):
+    df = spark.range(0, 30000, 1, 8).selectExpr("'M' AS code_module", "'P' AS code_presentation", "id AS id_student", "CAST(pmod(hash(id), 4) AS INT) AS target")
+    whole = {(r.id_student, r.split) for r in split.stratified_split(df).collect()}
+    monkeypatch.setattr(split, "CANDIDATES", 3)
+    assert {(r.id_student, r.split) for r in split.stratified_split(df, hex_digits=1).collect()} == whole
+    rank, sizes = {}, {}
+    rows = df.selectExpr("id_student", "target", "md5(concat_ws('|', '42', 'M', 'P', CAST(id_student AS STRING))) AS h").collect()
+    for r in sorted(rows, key=lambda r: (r.h, r.id_student)):
+        rank[r.id_student] = (r.target, sizes.get(r.target, 0))
+        sizes[r.target] = sizes.get(r.target, 0) + 1
+    want = _expected(sizes)
+    for i, part in whole:
+        c, k = rank[i]
+        assert part == ("train" if k < want[c][0] else "validation" if k < want[c][0] + want[c][1] else "test")
+
+
+def test_split_of_few_or_no_rows(spark):
+    schema = "code_module string, code_presentation string, id_student long, target int"
+    assert split.stratified_split(spark.createDataFrame([], schema)).collect() == []
+    got = split.stratified_split(spark.createDataFrame([("M", "P", 1, 2), ("M", "P", 2, 2)], schema)).collect()
+    assert sorted(r.split for r in got) == ["test", "validation"]
+
+
 def test_other_seed_moves_rows_not_sizes(spark):
     df = _frame(spark, {0: 200, 1: 100})
     a = {(r.id_student, r.split) for r in split.stratified_split(df, seed=42).collect()}

@@ -37,8 +37,8 @@ def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def fill_median(df: DataFrame, column: str) -> DataFrame:
     """Fill missing values with the exact median of the non-missing ones.
 
-    The median is a scalar subquery: computed once by a distributed job and
-    inlined as a literal, so the big table is neither joined nor collected.
+    The median is selected by a distributed job when this is called, and
+    inlined as a literal: the big table is neither joined nor collected.
     """
     med = median_of(df, column)
     return df.withColumn(column, F.coalesce(F.col(column), med.cast(df.schema[column].dataType)))

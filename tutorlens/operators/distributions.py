@@ -8,8 +8,8 @@
 * :func:`box_stats`: quartiles, 1.5-IQR whiskers and outlier counts per group.
 
 Each works on counts and sums that combine before the shuffle, never on rows
-gathered in one place; global parameters (min, max, n, std) are scalar subqueries
-inlined as literals.
+gathered in one place; global parameters (min, max, n, std) are scalar subqueries,
+or the one row of a first pass, inlined as literals.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tutorlens.operators.quantiles import quantiles_from_counts, value_counts_of
-from tutorlens.operators.selection import MAX_GROUPS, selected_quantiles
+from tutorlens.operators.selection import selected_quantiles
 
 #: Width of a density cell and how far it reaches, in bandwidths; terms of its series.
 CELL, REACH, TERMS = 0.25, 9, 12
@@ -92,19 +92,19 @@ def density_curve(df: DataFrame, value: str, grid: int = 200, bins: int = 30, di
     the passes is cells x grid, whatever the number of distinct values.
     """
     x = df.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
-    st = x.agg(
-        F.struct(F.count("_v").alias("n"), F.stddev_samp("_v").alias("sd"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("s")
-    ).scalar()
-    n, lo, hi = st["n"].cast("double"), st["lo"], st["hi"]
-    bw = F.nullif(st["sd"] * F.pow(n, F.lit(-0.2)), F.lit(0.0))  # none where there is no spread
-    step = (hi - lo) / F.lit(float(grid - 1))
-
-    cells = x.select("_v", F.floor((F.col("_v") - lo) / (bw * CELL)).alias("_cell"), bw.alias("_bw"), lo.alias("_lo"), step.alias("_step"))
-    cells = cells.where("_bw > 0").withColumn("_mid", F.expr(f"_lo + (_cell + 0.5D) * {CELL}D * _bw")).withColumn("_t", F.expr("(_v - _mid) / _bw"))
-    powers = ["1D"]
-    for _ in range(TERMS - 1):
-        powers.append(f"{powers[-1]} * _t" if len(powers) > 1 else "_t")
-    sums = cells.groupBy("_mid", "_bw", "_lo", "_step").agg(*[F.expr(f"SUM({p}) AS _s{k}") for k, p in enumerate(powers)])
+    spark = df.sparkSession
+    st = x.agg(F.count("_v").alias("n"), F.stddev_samp("_v").alias("sd"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
+    n, lo, hi = st["n"], st["lo"], st["hi"]
+    if n < 2 or not st["sd"]:
+        return spark.createDataFrame([], "point int, x double, density double, scaled double")
+    bw, step = st["sd"] * n**-0.2, (hi - lo) / (grid - 1)
+
+    cells = x.selectExpr("_v", f"floor((_v - {lo!r}D) / {bw * CELL!r}D) AS _cell").selectExpr("_v", f"{lo!r}D + (_cell + 0.5D) * {CELL * bw!r}D AS _mid")
+    cells = cells.selectExpr("_mid", f"(_v - _mid) / {bw!r}D AS _t")
+    powers = ["1D", "_t"]
+    for _ in range(TERMS - 2):
+        powers.append(f"{powers[-1]} * _t")
+    sums = cells.groupBy("_mid").agg(*[F.expr(f"SUM({p})").alias(f"_s{k}") for k, p in enumerate(powers)])
     # the series as one polynomial in z: its coefficients, lowest power first
     hermite = _hermite(TERMS)
     power = [
@@ -112,25 +112,23 @@ def density_curve(df: DataFrame, value: str, grid: int = 200, bins: int = 30, di
         for j in range(TERMS)
     ]
     near = (
-        f"greatest(0, ceil((_mid - {REACH}D * _bw - _lo) / _step))",
-        f"least({grid - 1}, floor((_mid + {REACH}D * _bw - _lo) / _step))",
+        f"greatest(0, ceil((_mid - {REACH * bw!r}D - {lo!r}D) / {step!r}D))",
+        f"least({grid - 1}, floor((_mid + {REACH * bw!r}D - {lo!r}D) / {step!r}D))",
     )
-    points = sums.selectExpr("_mid", "_bw", "_lo", "_step", *[f"{p} AS _c{j}" for j, p in enumerate(power)], f"{near[0]} AS _from", f"{near[1]} AS _to")
+    points = sums.selectExpr("_mid", *[f"{p} AS _c{j}" for j, p in enumerate(power)], f"{near[0]} AS _from", f"{near[1]} AS _to")
     points = points.where("_from <= _to").selectExpr("*", "explode(sequence(_from, _to)) AS point")
-    points = points.withColumn("_z", F.expr("(_lo + point * _step - _mid) / _bw"))
+    points = points.withColumn("_z", F.expr(f"({lo!r}D + point * {step!r}D - _mid) / {bw!r}D"))
     series = f"_c{TERMS - 1}"
     for j in range(TERMS - 2, -1, -1):
         series = f"({series}) * _z + _c{j}"
     found = points.groupBy(F.col("point").cast("int").alias("point")).agg(F.expr(f"SUM(exp(-0.5D * _z * _z) * ({series})) AS _s"))
 
-    j = F.col("point")
-    gx = F.when(j == F.lit(grid - 1), hi).otherwise(j.cast("double") * step + lo)
-    density = F.coalesce("_s", F.lit(0.0)) / (n * bw * F.lit(math.sqrt(2.0 * math.pi)))
-    scaled = density * n * ((hi - lo) / F.lit(float(bins)))
-    every = df.sparkSession.range(grid).select(F.col("id").cast("int").alias("point"))
+    density = F.coalesce("_s", F.lit(0.0)) / (n * bw * math.sqrt(2.0 * math.pi))
+    gx = f"IF(point = {grid - 1}, {hi!r}D, point * {step!r}D + {lo!r}D) AS x"
+    every = spark.range(grid).selectExpr("CAST(id AS INT) AS point")
     # both sides have at most ``grid`` rows
-    out = every.join(F.broadcast(found), "point", "left").where((st["n"] >= 2) & (bw > 0))
-    out = out.select("point", gx.alias("x"), density.alias("density"), scaled.alias("scaled"))
+    out = every.join(F.broadcast(found), "point", "left").select("point", F.expr(gx), density.alias("density"))
+    out = out.withColumn("scaled", F.col("density") * n * ((hi - lo) / bins))
     if digits is not None:
         out = out.select("point", *[F.round(c, digits).alias(c) for c in ["x", "density", "scaled"]])
     return out
@@ -174,10 +172,7 @@ def box_stats(
         (F.col("q3") + F.lit(whis) * iqr).alias("_hi_fence"),
     )
     if not many_groups:
-        # a row for each group, of which there are at most MAX_GROUPS
-        many = f"raise_error('more than {MAX_GROUPS} groups: use many_groups=True')"
-        fences = fences.limit(MAX_GROUPS + 1).selectExpr("*", "COUNT(1) OVER () AS _groups").where(f"IF(_groups > {MAX_GROUPS}, {many}, TRUE)").drop("_groups")
-        fences = F.broadcast(fences)
+        fences = F.broadcast(fences)  # local: a row for each group, MAX_GROUPS at most
     v, c = F.col("_v"), F.col("_c")
     # The fence columns are constant per group: grouping on them carries them.
     carried = ["n", "mean", "q1", "median", "q3", "min", "max", "iqr", "_lo_fence", "_hi_fence"]

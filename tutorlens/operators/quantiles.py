@@ -2,9 +2,9 @@
 
 ``F.percentile`` keeps a value -> count map of the whole group in one task, which
 is unbounded for wide-ranged columns (ids, clicks).  ``quantiles`` selects by rank
-with counts only (:mod:`tutorlens.operators.selection`).  That broadcasts a few
-rows for each group, so the number of groups is bounded there; for any number of
-groups (``many_groups=True``) the work is split without a broadcast:
+with counts only (:mod:`tutorlens.operators.selection`).  There the driver holds a
+few rows for each group, so the number of groups is bounded; for any number of
+groups (``many_groups=True``) the plan below is lazy and collects nothing:
 
 1. value counts ``(group, v, c)``: a distributed aggregate with map-side combine,
    so a hot group of a third of all rows is absorbed before the shuffle;
@@ -197,5 +197,6 @@ def quantiles(
 
 
 def median_of(df: DataFrame, value: str) -> Column:
-    """The exact median of a column as a scalar-subquery column."""
-    return quantiles(df, value, [0.5], names=["median"]).select("median").scalar()
+    """The exact median of a column (null without values), as a literal: the selection runs here."""
+    row = quantiles(df, value, [0.5], names=["median"]).first()
+    return F.lit(row["median"] if row else None).cast("double")

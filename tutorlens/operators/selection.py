@@ -1,37 +1,41 @@
 """Exact quantiles by rank selection: bounds around each wanted rank are narrowed with counts only.
 
-A double has an order-preserving 64-bit form (sign, exponent, mantissa).  Three
-passes over the rows look at it from the top: the first counts rows by group and
-the first 24 bits, the second counts only the rows whose 24 bits hold a wanted
-rank by the next 20, the third by all 64.  Counts combine before each shuffle,
-so what is shuffled is bounded by groups x buckets and never carries distinct
-values, however many there are.
-
-A bucket that holds a single value needs no further pass.  The buckets still
-open are a few rows for each group and are broadcast; when there are none, the
-adaptive planner drops the later passes (their join is with an empty table).
-The number of groups is therefore bounded: by the caller, or by ``MAX_GROUPS``,
-beyond which the job fails; ``quantiles(many_groups=True)`` has no such bound.
+A double has an order-preserving 64-bit form (sign, exponent, mantissa).  A first
+job counts rows by group and the first 24 bits (whole numbers below 2^17 have a
+bucket each) and says which buckets hold the wanted ranks.  A bucket with a
+single value is an answer.  Where others are left, a second job counts only their
+rows by the next bits, and a third, if need be, by all 64.  Counts combine before
+each shuffle, so what is shuffled is bounded by groups x buckets and never carries
+distinct values, however many there are.
+
+The jobs run when the quantiles are asked for, as a model's ``fit`` does: the
+driver receives the few buckets that hold a wanted rank, for each group, and the
+result is a small local table.  The number of groups is therefore bounded: by the
+caller, or by ``MAX_GROUPS``, beyond which it raises; ``many_groups=True`` of
+:mod:`tutorlens.operators.quantiles` has no such bound and collects nothing.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tutorlens.functions.sqltext import ident
 
-#: Groups whose open buckets may be broadcast (a few hundred bytes each).
+#: Groups whose ranks the driver may hold (a few hundred bytes each).
 MAX_GROUPS = 10_000
-#: Bits of the order form below those of the first and of the second pass.
-FIRST, SECOND = 40, 20
+#: Bits of the order form below those of the first and of the second pass; whole numbers below 2^UNITS are told apart by the first.
+FIRST, SECOND, UNITS = 40, 20, 17
 _TWO_52 = "4503599627370496"
 
 
 def with_order_bits(rows: DataFrame, moments: bool = False) -> DataFrame:
-    """Adds ``_k``, the order-preserving integer of the double ``_v``, and with ``moments`` ``_o``, the value its first bits stand for.
+    """Adds ``_k``, the order-preserving integer of the double ``_v``, ``_b1``, the smallest ``_k`` of its first
+    bucket, and with ``moments`` ``_o``, a value that the bucket's values have in common.
 
     Arithmetic on powers of two is exact, so this is the bit form itself: the
     exponent's estimate by the logarithm is put right by comparison.  NaN comes
@@ -41,12 +45,15 @@ def with_order_bits(rows: DataFrame, moments: bool = False) -> DataFrame:
     x = x.withColumn("_e", F.expr("CAST(IF(_a > 0 AND _a < double('Infinity'), floor(log2(_a)), -1022) AS INT)"))
     x = x.withColumn("_e", F.expr("greatest(-1022, _e + IF(_a >= pow(2D, _e + 1), 1, 0) - IF(_a < pow(2D, _e), 1, 0))"))
     x = x.withColumn("_p", F.expr("pow(2D, _e)")).withColumn("_m", F.expr(f"_a / _p * {_TWO_52}D"))
+    # from 2^(52 - FIRST) on, a bucket for each unit; from 2^UNITS on again as many for each power of two
+    x = x.withColumn("_low", F.expr(f"IF(_e >= {UNITS}, {FIRST}, least({FIRST}, 52 - _e))"))
     size = f"IF(_a < double('Infinity'), (CAST(_e AS BIGINT) + 1022) * {_TWO_52} + CAST(_m AS BIGINT), 2047 * {_TWO_52} + IF(isnan(_v), 1, 0))"
     x = x.withColumn("_k", F.expr(f"CASE WHEN _v < 0 THEN -({size}) - 1 WHEN _v IS NOT NULL THEN {size} END"))
+    x = x.withColumn("_b1", F.expr("shiftleft(shiftright(_k, _low), _low)"))
     if moments:
-        cut = f"{1 << FIRST}"
-        x = x.withColumn("_o", F.expr(f"IF(_v < 0, -1D, 1D) * (floor(_m / {cut}D) * {cut}D) * (_p / {_TWO_52}D)"))
-    return x.drop("_a", "_e", "_p", "_m")
+        cut = "CAST(shiftleft(1L, _low) AS DOUBLE)"
+        x = x.withColumn("_o", F.expr(f"IF(_v < 0, -1D, 1D) * (floor(_m / {cut}) * {cut}) * (_p / {_TWO_52}D)"))
+    return x.drop("_a", "_e", "_p", "_m", "_low")
 
 
 def _source(df: DataFrame, value: str, by: Sequence[str], weight: str | None, keep_missing: bool) -> tuple[DataFrame, list[str]]:
@@ -56,8 +63,8 @@ def _source(df: DataFrame, value: str, by: Sequence[str], weight: str | None, ke
         f"CAST({ident(value)} AS DOUBLE) AS _v",
         f"CAST({ident(weight) if weight else 1} AS BIGINT) AS _w",
     )
-    if not by:  # one group, by a column that the optimizer does not fold: joins on it stay equi-joins
-        x = x.selectExpr("_v IS NOT NULL AS _g0", "_v", "_w")
+    if not by:
+        x = x.selectExpr("TRUE AS _g0", "_v", "_w")
     groups = [f"_g{i}" for i in range(max(1, len(by)))]
     keep = " AND ".join([f"{g} IS NOT NULL" for g in groups] + ([] if keep_missing else ["_v IS NOT NULL"]))
     return x.where(keep), groups
@@ -68,8 +75,7 @@ def first_counts(x: DataFrame, groups: Sequence[str], moments: bool) -> DataFram
     counts = {"_bn": "SUM(IF(_v IS NULL, 0, _w))", "_blo": "MIN(_v)", "_bhi": "MAX(_v)"}
     if moments:
         counts |= {"_bs": "SUM(_v * _w)", "_d1": "SUM((_v - _o) * _w)", "_d2": "SUM((_v - _o) * (_v - _o) * _w)", "_bo": "MIN(_o)"}
-    keyed = with_order_bits(x, moments).withColumn("_b1", F.expr(f"shiftright(_k, {FIRST})"))
-    return keyed.groupBy(*groups, "_b1").agg(*[F.expr(e).alias(name) for name, e in counts.items()])
+    return with_order_bits(x, moments).groupBy(*groups, "_b1").agg(*[F.expr(e).alias(name) for name, e in counts.items()])
 
 
 def selected_quantiles(
@@ -115,82 +121,89 @@ def selected_quantiles(
     )
     spread = f"SUM(_bm2 + _bn * (_bmean - try_divide(_sum, _n)) * (_bmean - try_divide(_sum, _n))) OVER (PARTITION BY {g})"
     running = running.withColumn("_m2", F.expr(spread if moments else "CAST(NULL AS DOUBLE)"))
-    # Every wanted order statistic: _which 0/1 is the floor/ceil of its position.
+    # Every wanted order statistic: which 0/1 is the floor/ceil of its position.
     wanted = []
     for i, p in enumerate(probs):
         pos = f"(CAST(_n - 1 AS DOUBLE) * CAST({float(p)!r} AS DOUBLE))"
         for which, k in ((0, f"FLOOR({pos})"), (1, f"CEIL({pos})")):
-            wanted.append(f"struct({i} AS pi, {which} AS which, CAST({k} AS BIGINT) AS k, {pos} - FLOOR({pos}) AS frac)")
-    stat = "_n AS n, _sum AS total, _m2 AS m2, _lo AS lo, _hi AS hi"
-    inside = f"filter(array({', '.join(wanted)}), t -> t.k >= _before AND t.k < _before + _bn)"
-    here = (
-        "struct(t.pi AS pi, t.which AS which, t.k AS k, t.frac AS frac, _b1 AS b1, CAST(NULL AS BIGINT) AS b2, "
-        f"_before AS before, IF(_blo = _bhi, _blo, CAST(NULL AS DOUBLE)) AS value, {stat})"
-    )
-    # the group itself, so that it keeps its moments (and its row) whatever the ranks
-    group = (
-        "struct(-1 AS pi, 0 AS which, CAST(NULL AS BIGINT) AS k, CAST(NULL AS DOUBLE) AS frac, CAST(NULL AS BIGINT) AS b1, "
-        f"CAST(NULL AS BIGINT) AS b2, CAST(NULL AS BIGINT) AS before, CAST(NULL AS DOUBLE) AS value, {stat})"
-    )
-    need = f"concat(transform({inside}, t -> {here}), IF(_head, array({group}), array()))"
-    one = running.selectExpr(*groups, f"{need} AS need").groupBy(*groups).agg(F.flatten(F.collect_list("need")).alias("need"))
-
-    # Second pass: the rows of the open buckets, by the next bits.
-    open1 = one.selectExpr(*groups, "filter(need, t -> t.pi >= 0 AND t.value IS NULL) AS need").where("size(need) > 0")
-    if max_groups is not None and by:
-        many = f"raise_error('more than {max_groups} groups: use many_groups=True')"
-        open1 = open1.limit(max_groups + 1).selectExpr("*", "COUNT(1) OVER () AS _c").where(f"IF(_c > {max_groups}, {many}, TRUE)").drop("_c")
-    keyed = with_order_bits(x).selectExpr(
-        *groups, "_v", "_w", "_k", f"shiftright(_k, {FIRST}) AS _b1", f"pmod(shiftright(_k, {SECOND}), {1 << (FIRST - SECOND)}) AS _b2"
-    )
-    two = keyed.join(F.broadcast(open1), groups).where("exists(need, t -> t.b1 = _b1)").groupBy(*groups, "_b1", "_b2")
-    two = _placed(_counted(two), groups, "_b1", "_b2").join(F.broadcast(open1), groups)
-    two = two.selectExpr(*groups, f"explode({_found('t.b1 = _b1')}) AS t")
-
-    # Third pass: what is still open, by the whole form.
-    open2 = two.where("t.value IS NULL").groupBy(*groups).agg(F.collect_list("t").alias("need"))
-    three = keyed.join(F.broadcast(open2), groups).where("exists(need, t -> t.b1 = _b1 AND t.b2 = _b2)").groupBy(*groups, "_b1", "_b2", "_k")
-    three = _placed(_counted(three), groups, "_b1, _b2", "_k").join(F.broadcast(open2), groups)
-    three = three.selectExpr(*groups, f"explode({_found('t.b1 = _b1 AND t.b2 = _b2')}) AS t")
-
-    closed = one.selectExpr(*groups, "explode(need) AS t").where("t.pi < 0 OR t.value IS NOT NULL")
-    closed = closed.unionAll(two.where("t.value IS NOT NULL")).unionAll(three)
-    aggs = ["MAX(IF(t.pi < 0, t.n, NULL)) AS _n"] + [f"MAX(IF(t.pi < 0, t.{c}, NULL)) AS _{c}" for c in ("total", "m2", "lo", "hi")]
-    for i in range(len(names)):
-        aggs += [f"MAX(IF(t.pi = {i} AND t.which = {w}, t.value, NULL)) AS _q{i}{w}" for w in (0, 1)]
-        aggs += [f"MAX(IF(t.pi = {i}, t.frac, NULL)) AS _f{i}"]
-    extra = (
-        [
-            "_n AS n",
-            "try_divide(_total, _n) AS mean",
-            "IF(_n > 1, SQRT(GREATEST(_m2, 0) / (_n - 1)), CAST(NULL AS DOUBLE)) AS std",
-            "_lo AS min",
-            "_hi AS max",
-        ]
-        if moments
-        else []
-    )
-    return closed.groupBy(*groups).agg(*[F.expr(a) for a in aggs]).where("TRUE" if keep_groups else "_n > 0").selectExpr(
-        *[f"_g{i} AS {ident(b)}" for i, b in enumerate(by)],
-        *[f"_q{i}0 + (_q{i}1 - _q{i}0) * _f{i} AS {ident(n)}" for i, n in enumerate(names)],
-        *extra,
-    )
-
-
-def _counted(grouped) -> DataFrame:
-    """Rows, and smallest and largest value, of each sub-bucket."""
-    return grouped.agg(F.sum("_w").alias("_bn"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi"))
-
-
-def _placed(counts: DataFrame, groups: Sequence[str], within: str, order: str) -> DataFrame:
-    """Adds how many rows of the same bucket stand before each sub-bucket."""
-    return counts.selectExpr("*", f"SUM(_bn) OVER (PARTITION BY {', '.join(groups)}, {within} ORDER BY {order}) - _bn AS _inner")
-
-
-def _found(same: str) -> str:
-    """The wanted ranks of a bucket that fall into a sub-bucket, with its value where it is a single one."""
-    here = f"{same} AND t.k >= t.before + _inner AND t.k < t.before + _inner + _bn"
-    return (
-        f"transform(filter(need, t -> {here}), t -> struct(t.pi AS pi, t.which AS which, t.k AS k, t.frac AS frac, t.b1 AS b1, _b2 AS b2, "
-        "t.before + _inner AS before, IF(_blo = _bhi, _blo, CAST(NULL AS DOUBLE)) AS value, t.n AS n, t.total AS total, t.m2 AS m2, t.lo AS lo, t.hi AS hi))"
+            wanted.append(f"struct({i} AS pi, {which} AS which, CAST({k} AS BIGINT) - _before AS rank, {pos} - FLOOR({pos}) AS frac)")
+    here = f"filter(array({', '.join(wanted)}), t -> t.rank >= 0 AND t.rank < _bn) AS hits"
+    # a row for each bucket that holds a rank, and one for each group at least, so that it keeps its moments
+    hits = running.selectExpr(*groups, "_b1", "_blo", "_bhi", "_n", "_sum", "_m2", "_lo", "_hi", "_head", here).where("_head OR size(hits) > 0")
+    bound = None if max_groups is None or not by else max_groups * (2 * len(probs) + 1)
+    rows = (hits if bound is None else hits.limit(bound + 1)).collect()
+    names_of_groups = {tuple(r[: len(groups)]) for r in rows}
+    if bound is not None and (len(rows) > bound or len(names_of_groups) > max_groups):
+        raise ValueError(f"more than {max_groups} groups: use many_groups=True")
+
+    found, still, stat = {}, [], {}
+    for r in rows:
+        group = tuple(r[: len(groups)])
+        if r["_head"]:
+            stat[group] = r
+        for t in r["hits"]:
+            # (a NaN is its own value, too)
+            if r["_blo"] == r["_bhi"] or r["_blo"] != r["_blo"]:
+                found[group, t["pi"], t["which"]] = r["_blo"], t["frac"]
+            else:
+                still.append((*group, r["_b1"], 0, t["pi"], t["which"], t["rank"], t["frac"]))
+    types = T.StructType([T.StructField(g, x.schema[g].dataType) for g in groups])
+    for number in (2, 3):
+        if still:
+            still = _narrowed(x, groups, types, still, number, found)
+    return _interpolated(df, by, probs, names, moments, keep_groups, found, stat)
+
+
+def _narrowed(x: DataFrame, groups: Sequence[str], types: T.StructType, still: list[tuple], number: int, found: dict) -> list[tuple]:
+    """One more pass over the rows of the buckets ``still`` open: adds to ``found``, and returns what is left open.
+
+    still: group, _b1, _b2, pi, which, rank within the bucket, frac.  The second
+    pass counts by the bits above ``SECOND``, the third by all.
+    """
+    spark = x.sparkSession
+    schema = T.StructType([*types.fields]).add("_b1", "long").add("_b2", "long")
+    asked = spark.createDataFrame(still, T.StructType([*schema.fields]).add("pi", "integer").add("which", "integer").add("rank", "long").add("frac", "double"))
+    # the open buckets, and the ranks in them: a few rows for each group
+    bucket = [*groups, "_b1"] if number == 2 else [*groups, "_b1", "_b2"]
+    fine = f"shiftright(_k - _b1, {SECOND})" if number == 2 else "_k"
+    open_groups = spark.createDataFrame([*{r[: len(groups)] for r in still}], types)
+    rows = with_order_bits(x.join(F.broadcast(open_groups), list(groups), "left_semi"))
+    rows = rows.selectExpr(*groups, "_v", "_w", "_b1", f"shiftright(_k - _b1, {SECOND}) AS _b2", f"{fine} AS _fine")
+    open_buckets = F.broadcast(asked.select(*bucket).distinct())
+    counts = rows.join(open_buckets, bucket, "left_semi").groupBy(*bucket, "_fine").agg(
+        F.sum("_w").alias("_bn"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")
     )
+    placed = counts.selectExpr("*", f"SUM(_bn) OVER (PARTITION BY {', '.join(bucket)} ORDER BY _fine) - _bn AS _before")
+    inside = placed.join(F.broadcast(asked if number == 3 else asked.drop("_b2")), bucket).where("rank >= _before AND rank < _before + _bn")
+    out = []
+    for r in inside.collect():
+        group = tuple(r[g] for g in groups)
+        if r["_blo"] == r["_bhi"] or number == 3:
+            found[group, r["pi"], r["which"]] = r["_blo"], r["frac"]
+        else:
+            out.append((*group, r["_b1"], r["_fine"], r["pi"], r["which"], r["rank"] - r["_before"], r["frac"]))
+    return out
+
+
+def _interpolated(df: DataFrame, by, probs, names, moments: bool, keep_groups: bool, found: dict, stat: dict) -> DataFrame:
+    """The result: a local table with a row for each group."""
+    rows = []
+    for group, r in stat.items():
+        n = int(r["_n"])
+        if not n and not keep_groups:
+            continue
+        row = list(group) if by else []
+        for i in range(len(probs)):
+            (low, frac), (high, _) = (found.get((group, i, which), (None, None)) for which in (0, 1))
+            row.append(None if low is None else low + (high - low) * frac)
+        if moments:
+            mean = r["_sum"] / n if n else None
+            std = math.sqrt(max(r["_m2"], 0.0) / (n - 1)) if n > 1 else None
+            row += [n, mean, std, r["_lo"], r["_hi"]]
+        rows.append(tuple(row))
+    schema = T.StructType([T.StructField(b, df.schema[b].dataType) for b in by])
+    for name in names:
+        schema = schema.add(name, "double")
+    if moments:
+        schema = schema.add("n", "long").add("mean", "double").add("std", "double").add("min", "double").add("max", "double")
+    return df.sparkSession.createDataFrame(rows, schema)

@@ -12,16 +12,19 @@ Sizes follow scikit-learn's ``train_test_split(..., stratify=y)`` applied twice
 Membership: inside each class rows are ordered by ``md5(seed|key)`` then key;
 the first train quota is train, the next validation quota validation, the rest
 test.  No row is ranked, sorted or shuffled for it: a part ends at one (hash, key)
-of each class, its threshold, and these are found by selection.  Counts by class
-and the first 16 bits of the hash (combined before their shuffle) say which
-bucket a threshold is in, counts of those few buckets by the next 20 bits which
-sub-bucket, and the handful of rows there which row.  Then every row is compared
-with the thresholds of its class where it stands.  No action runs; the input is
-read four times, so it should be a written table.
+of each class, its threshold, and these are found by selection when the split is
+asked for.  A job counts rows by class and the first ``hex_digits`` of the hash
+(combined before its shuffle); the driver receives classes x 16^hex_digits counts
+at most, and so the quotas and the buckets in which the thresholds are.  Further
+jobs count those few buckets by the next digits, until one holds a thousand rows
+or fewer; a last one fetches these.  Then every row is compared with the two
+thresholds of its class, which are literals, where it stands.  The input is read
+once for each job, so it should be a written table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -34,39 +37,28 @@ from tutorlens.keys import K3
 SPLITS = ("train", "validation", "test")
 
 
-def _largest_remainder(counts: DataFrame, label: str, count_col: str, draws: str, out: str) -> DataFrame:
-    """Allocate ``draws`` (an SQL expression) over classes in proportion to ``count_col``.
+#: Rows of a bucket that the driver fetches to find a threshold.
+CANDIDATES = 1000
 
-    ``counts`` has one row per class, so the global windows run on a tiny table.
-    """
-    cont = f"CAST({count_col} AS DOUBLE) / CAST(SUM({count_col}) OVER () AS DOUBLE) * CAST({draws} AS DOUBLE)"
-    step = counts.selectExpr("*", f"{cont} AS _cont").selectExpr("*", "FLOOR(_cont) AS _floor")
-    step = step.selectExpr(
-        "*",
-        f"CAST({draws} AS BIGINT) - SUM(_floor) OVER () AS _need",
-        f"ROW_NUMBER() OVER (ORDER BY _cont - _floor DESC, `{label}`) AS _order",
-    )
-    return step.selectExpr("*", f"CAST(_floor + IF(_order <= _need, 1, 0) AS BIGINT) AS {out}").drop(
-        "_cont", "_floor", "_need", "_order"
-    )
 
+def _largest_remainder(counts: dict, draws: int) -> dict:
+    """Allocate ``draws`` over the classes in proportion to ``counts``; ties to the lower class."""
+    total = float(sum(counts.values()))
+    share = {c: float(n) / total * float(draws) for c, n in counts.items()}
+    out = {c: math.floor(v) for c, v in share.items()}
+    for c in sorted(counts, key=lambda c: (-(share[c] - out[c]), c))[: draws - sum(out.values())]:
+        out[c] += 1
+    return out
 
-def class_quotas(class_counts: DataFrame, label: str, test_size: float, val_size: float) -> DataFrame:
-    """(label, n_class, n_train, n_validation, n_test) from (label, n_class).
 
-    ``class_counts`` has one row per class (a handful), so the global windows
-    here run over a tiny table.
-    """
+def class_quotas(counts: dict, test_size: float, val_size: float) -> dict:
+    """(train, validation, test) rows of each class from the rows of each class."""
+    total = sum(counts.values())
+    rest = _largest_remainder(counts, total - math.ceil(float(test_size) * float(total)))
+    left = sum(rest.values())
     val_ratio = float(val_size) / (1.0 - float(test_size))
-    c = class_counts.selectExpr(
-        "*", f"CEIL(CAST({float(test_size)!r} AS DOUBLE) * CAST(SUM(n_class) OVER () AS DOUBLE)) AS _n_test"
-    )
-    c = _largest_remainder(c, label, "n_class", "SUM(n_class) OVER () - _n_test", "_n_rest")
-    c = c.selectExpr("*", f"CEIL(CAST({val_ratio!r} AS DOUBLE) * CAST(SUM(_n_rest) OVER () AS DOUBLE)) AS _n_val")
-    c = _largest_remainder(c, label, "_n_rest", "SUM(_n_rest) OVER () - _n_val", "n_train")
-    return c.selectExpr(
-        f"`{label}`", "n_class", "n_train", "_n_rest - n_train AS n_validation", "n_class - _n_rest AS n_test"
-    )
+    train = _largest_remainder(rest, left - math.ceil(val_ratio * float(left))) if left else rest
+    return {c: (train[c], rest[c] - train[c], n - rest[c]) for c, n in counts.items()}
 
 
 def stratified_split(
@@ -77,15 +69,14 @@ def stratified_split(
     val_size: float = 0.15,
     seed: int = 42,
     classes: Sequence[int] = tuple(CLASS_LABELS),
-    hex_digits: int = 4,
+    hex_digits: int = 3,
     output: str = "split",
 ) -> DataFrame:
     """Add ``output`` in {'train', 'validation', 'test'} to every row.
 
     ``key`` must identify a row (split before dropping the id).  ``classes``
     is the label domain; a missing or unknown label fails the job, which also
-    bounds what is broadcast: two thresholds for each class.  ``hex_digits`` of
-    the hash make a bucket, five more a sub-bucket.
+    bounds what the driver receives.
     """
     lab = f"`{label}`"
     domain = ", ".join(repr(c) for c in classes)
@@ -98,39 +89,61 @@ def stratified_split(
         ),
     )
     keys = ", ".join(f"CAST(`{k}` AS STRING)" for k in key)
-    place = f"struct(md5(concat_ws('|', '{seed}', {keys})) AS h, {', '.join(f'`{k}`' for k in key)})"
-    bits = lambda start, n: f"CAST(conv(substring(_place.h, {start}, {n}), 16, 10) AS INT)"
-    # the label is never null here; saying so keeps all uses alike
-    x = checked.selectExpr(f"{lab} AS _y", f"{place} AS _place").where("_y IS NOT NULL")
-    x = x.selectExpr("_y", "_place", f"{bits(1, hex_digits)} AS _b1", f"{bits(hex_digits + 1, 5)} AS _b2")
-
-    # The class quotas, and the bucket in which the train part and the validation part of each class end.
-    per_bucket = x.groupBy("_y", "_b1").agg(F.count(F.lit(1)).alias("_bn"))
-    class_counts = per_bucket.groupBy("_y").agg(F.expr("SUM(_bn) AS n_class"))
-    quotas = class_quotas(class_counts, "_y", test_size, val_size)
-    ends = quotas.selectExpr("_y", "explode(array(struct(0 AS part, n_train AS rank), struct(1 AS part, n_train + n_validation AS rank))) AS e")
-    ends = ends.selectExpr("_y", "e.part", "e.rank")
-    inside = "rank >= _before AND rank < _before + _bn"
-    before = lambda counts, within, order: counts.selectExpr("*", f"SUM(_bn) OVER (PARTITION BY {within} ORDER BY {order}) - _bn AS _before")
-    in1 = before(per_bucket, "_y", "_b1").join(F.broadcast(ends), "_y").where(inside).selectExpr("_y", "_b1", "part", "rank - _before AS rank")
-    # The sub-bucket, by counting the rows of those buckets alone.
-    buckets = in1.select("_y", "_b1").distinct()
-    per_sub = x.join(F.broadcast(buckets), ["_y", "_b1"]).groupBy("_y", "_b1", "_b2").agg(F.count(F.lit(1)).alias("_bn"))
-    in2 = before(per_sub, "_y, _b1", "_b2").join(F.broadcast(in1), ["_y", "_b1"]).where(inside)
-    in2 = in2.selectExpr("_y", "_b1", "_b2", "part", "rank - _before AS rank")
-    # The row: a sub-bucket is one of 16^(hex_digits + 5) shares of a class.
-    subs = in2.select("_y", "_b1", "_b2").distinct()
-    rows = x.join(F.broadcast(subs), ["_y", "_b1", "_b2"]).groupBy("_y", "_b1", "_b2").agg(F.array_sort(F.collect_list("_place")).alias("_places"))
-    cut = rows.join(F.broadcast(in2), ["_y", "_b1", "_b2"]).selectExpr("_y", "part", "_places[CAST(rank AS INT)] AS _cut")
-    cuts = cut.groupBy("_y").agg(F.expr("MAX(IF(part = 0, _cut, NULL)) AS _train_end"), F.expr("MAX(IF(part = 1, _cut, NULL)) AS _validation_end"))
-
-    # A part without a threshold takes the rest of its class; a class may have none at all.
-    marked = checked.selectExpr("*", f"{lab} AS _y", f"{place} AS _place").join(F.broadcast(cuts), "_y", "left")
-    split = (
-        "CASE WHEN coalesce(_place < _train_end, TRUE) THEN 'train' "
-        f"WHEN coalesce(_place < _validation_end, TRUE) THEN 'validation' ELSE 'test' END AS `{output}`"
-    )
-    return marked.selectExpr(*[f"`{c}`" for c in df.columns], split)
+    hashed = f"md5(concat_ws('|', '{seed}', {keys}))"
+    # the label comes from ``checked``, so a wrong one fails here
+    x = checked.selectExpr(f"{lab} AS _y", f"{hashed} AS _h", *[f"`{k}` AS _k{i}" for i, k in enumerate(key)])
+
+    def counts(rows: DataFrame, digits: int) -> dict:
+        """{class: [(prefix, rows)]} in the order of the prefixes."""
+        found = rows.groupBy("_y", F.substring("_h", 1, digits).alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect()
+        out: dict = {}
+        for r in sorted(found, key=lambda r: r["_p"]):
+            out.setdefault(r["_y"], []).append((r["_p"], r["_n"]))
+        return out
+
+    first = counts(x, hex_digits)
+    quotas = class_quotas({c: sum(n for _, n in found) for c, found in first.items()}, test_size, val_size) if first else {}
+    # (class, part): the prefix of its threshold's bucket, the rows of the bucket and the threshold's rank among them
+    ends = {}
+    for c, (train, validation, _) in quotas.items():
+        for part, rank in enumerate((train, train + validation)):
+            if (end := _bucket_of(first[c], rank)) is not None:
+                ends[c, part] = end
+    digits = hex_digits
+    while digits < 32 and (large := {end[0] for end in ends.values() if end[1] > CANDIDATES}):
+        digits = min(32, digits + hex_digits)
+        inner = counts(x.where(F.substring("_h", 1, digits - hex_digits).isin(sorted(large))), digits)
+        for (c, part), (prefix, _, rank) in list(ends.items()):
+            if prefix in large:
+                ends[c, part] = _bucket_of([(p, n) for p, n in inner[c] if p.startswith(prefix)], rank)
+    thresholds = {}
+    if ends:
+        wanted = " OR ".join(f"(_y = {c!r} AND startswith(_h, '{prefix}'))" for c, prefix in sorted({(c, end[0]) for (c, _), end in ends.items()}))
+        rows = sorted(x.where(wanted).collect(), key=lambda r: (r["_h"], *r[2:]))
+        for (c, part), (prefix, _, rank) in ends.items():
+            thresholds[c, part] = [r for r in rows if r["_y"] == c and r["_h"].startswith(prefix)][rank]
+
+    place = F.struct(F.expr(hashed), *[F.col(f"`{k}`") for k in key])
+    split = F.lit(SPLITS[2])
+    for part in (1, 0):
+        # a class without this threshold has all its rows before it
+        before = F.lit(True)
+        for c in quotas:
+            if (c, part) in thresholds:
+                r = thresholds[c, part]
+                end = F.struct(F.lit(r["_h"]), *[F.lit(r[f"_k{i}"]).cast(df.schema[k].dataType) for i, k in enumerate(key)])
+                before = F.when(F.col(lab) == c, place < end).otherwise(before)
+        split = F.when(before, SPLITS[part]).otherwise(split)
+    return checked.select(*[f"`{c}`" for c in df.columns], split.alias(output))
+
+
+def _bucket_of(found: list[tuple[str, int]], rank: int) -> tuple[str, int, int] | None:
+    """The (prefix, rows) bucket that holds ``rank``, and the rank within it; None beyond the last row."""
+    for prefix, n in found:
+        if rank < n:
+            return prefix, n, rank
+        rank -= n
+    return None
 
 
 def split_sizes(split_df: DataFrame, output: str = "split") -> DataFrame:
