@@ -8,7 +8,8 @@
 (studentInfo, courses, assessments, studentAssessment, studentRegistration,
 studentVle, vle); every output is written as Parquet under ``--output``,
 intermediate tables under ``--output``/tables.  ``--levels`` is a JSON file with
-the categories of each encoded column.  On a
+the categories of each encoded column.  ``--bad-rows`` names a folder for the bad
+lines of CSV files, which else end the job; their counts are written and shown.  On a
 cluster the session comes from the platform; run
 locally, a local session is started.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import SparkSession
 
 from tutorlens.plans import flows
 from tutorlens.session import configure
-from tutorlens.sources import load_tables, write_table
+from tutorlens.sources import bad_row_report, load_tables, write_table
 
 
 def _session(local: bool) -> SparkSession:
@@ -44,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--seed", type=int, default=42)
     ap.add_argument("--na-token", action="append", default=[], help="extra text read as missing, e.g. '?'")
     ap.add_argument("--levels", help="JSON file: {column: [levels]} of the encoded columns")
+    ap.add_argument("--bad-rows", help="folder for the bad lines of CSV files")
     ap.add_argument("--local", action="store_true", help="start a local session (tests, laptops)")
     args = ap.parse_args(argv)
 
@@ -54,11 +56,15 @@ def main(argv: list[str] | None = None) -> None:
     if args.levels:
         with open(args.levels, encoding="utf-8") as f:
             levels = json.load(f)
-    tables = load_tables(spark, args.input, fmt=args.format, names=names, extra_na_tokens=tuple(args.na_token))
+    tables = load_tables(spark, args.input, fmt=args.format, names=names, bad_rows=args.bad_rows, extra_na_tokens=tuple(args.na_token))
 
     def out(name: str) -> str:
         return os.path.join(args.output, name)
 
+    if args.bad_rows and args.format == "csv":
+        bad = bad_row_report(spark, args.bad_rows, names)
+        write_table(bad, out("bad_rows"))
+        bad.show(100, truncate=False)
     if args.flow == "explore":
         for name, df in flows.explore(tables, out("tables/student_vle_small")).items():
             write_table(df, out(name))

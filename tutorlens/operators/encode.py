@@ -50,7 +50,7 @@ def _from_text(text: str, dtype: T.DataType):
     return text
 
 
-def _level_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def level_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct (i, v): the i-th column's non-missing values as text, in one distributed aggregate."""
     pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(ident(c)).cast("string").alias("v")) for i, c in enumerate(columns)])
     return df.select(F.explode(pairs).alias("p")).select("p.i", "p.v").where(F.col("v").isNotNull()).distinct()
@@ -64,7 +64,7 @@ def discover_levels(df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS) ->
     """
     cols = list(columns)
     out: dict[str, list] = {c: [] for c in cols}
-    for r in _level_pairs(df, cols).collect() if cols else []:
+    for r in level_pairs(df, cols).collect() if cols else []:
         out[cols[r["i"]]].append(_from_text(r["v"], df.schema[cols[r["i"]]].dataType))
     return {c: sorted(v) for c, v in out.items()}
 
@@ -95,7 +95,7 @@ def level_index(df: DataFrame, columns: Sequence[str] = CATEGORY_COLUMNS, drop_f
     The distinct levels are range-partitioned by (column, value) and written;
     ranks run within a part, and one row per part carries over what came before.
     """
-    levels = _level_pairs(df, columns)
+    levels = level_pairs(df, columns)
     if drop_first:
         first = levels.groupBy("i").agg(F.min("v").alias("v"))
         levels = levels.join(first, ["i", "v"], "left_anti")

@@ -20,6 +20,7 @@ from tutorlens.functions.sqltext import ident, literal, null_cells
 from tutorlens.keys import K3
 from tutorlens.operators import clean, distributions, encode, features, profile, split
 from tutorlens.session import materialize
+from tutorlens.sources.buckets import write_all_bucketed
 from tutorlens.sources.readers import read_table, write_table
 from tutorlens.sources.schemas import STUDENT_VLE_SMALL
 
@@ -173,6 +174,40 @@ def training_splits(
     return encode.one_hot(with_split.drop(*drop), lv)
 
 
+#: Columns of the enrolment key's tables that the whole-course master is joined from.
+STORED = ("info", "engagement", "assessment", "registration")
+
+
+def store_features(tables: Mapping[str, DataFrame], folder: str, prefix: str, buckets: int) -> dict[str, DataFrame]:
+    """The four tables of the whole-course master, stored bucketed by enrolment (``folder``/<name>, table <prefix>_<name>)."""
+    t = cleaned(tables, add_unregistered=True)
+    parts = {
+        "info": t["student_info"],
+        "engagement": features.engagement_features(t["student_vle"]),
+        "assessment": features.assessment_features(t["student_assessment"], t["assessments"]),
+        "registration": t["student_registration"],
+    }
+    return write_all_bucketed(parts, prefix, K3, buckets, folder)
+
+
+def master_of_stored(stored: Mapping[str, DataFrame]) -> DataFrame:
+    """C9 + P9 from stored tables: three joins by enrolment that shuffle nothing."""
+    return encode.encode_target(features.master_table(*[stored[name] for name in STORED]))
+
+
+def unfilled_master(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The whole-course master with its registration days as they are, for a preparation that is fitted."""
+    raw = tables["student_registration"].withColumn("unregistered", F.col("date_unregistration").isNotNull().cast("int"))
+    submissions = clean.clean_submissions(tables["student_assessment"])
+    assessments = clean.clean_assessments(tables["assessments"], tables["courses"])
+    return features.master_table(
+        clean.clean_student_info(tables["student_info"]),
+        features.engagement_features(tables["student_vle"]),
+        features.assessment_features(submissions, assessments),
+        raw,
+    )
+
+
 def registry(tables: Mapping[str, DataFrame], clicks: DataFrame) -> dict[str, DataFrame]:
     """The seven tables of the exploration under their published names; ``clicks`` stands for the click log."""
     return {

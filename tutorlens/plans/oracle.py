@@ -405,6 +405,27 @@ def _report_sql(master: str, master_cols: list[str], feature_cols: list[str], ex
     return _with(agg) + _stack_union(parts + list(extra))
 
 
+def _next_term_sql() -> str:
+    """The last presentation with the median and the levels of the ones before; the levels are those of the fixture."""
+    before, known, unseen = sorted(LEVELS["code_presentation"])[:-1], {}, []
+    dummies = []
+    for c in CATEGORIES:
+        known[c] = before if c == "code_presentation" else sorted(LEVELS[c])
+        dummies += [f"COALESCE({_q(c)} = {_lit(v)}, FALSE) AS {_q(f'{c}_{v}')}" for v in known[c]]
+        unseen.append(f"CASE WHEN {_q(c)} NOT IN (SELECT DISTINCT {_q(c)} FROM earlier WHERE {_q(c)} IS NOT NULL) THEN 1 ELSE 0 END")
+    kept = [c for c in MASTER_WHOLE_COLS if c not in CATEGORIES and c not in ("final_result", "target", "date_registration")]
+    return _with(
+        "m AS (SELECT w.* EXCLUDE (date_registration), r.date_registration FROM master_whole w "
+        f"LEFT JOIN student_registration r ON {K3_ON('w', 'r')})",
+        "earlier AS (SELECT * FROM m WHERE code_presentation < (SELECT MAX(code_presentation) FROM m))",
+        "later AS (SELECT * FROM m WHERE code_presentation = (SELECT MAX(code_presentation) FROM m))",
+    ) + (
+        f"SELECT {', '.join(_q(c) for c in kept)}, "
+        "COALESCE(date_registration, (SELECT quantile_cont(date_registration, 0.5) FROM earlier)) AS date_registration, "
+        f"{', '.join(dummies)}, CAST({' + '.join(unseen)} AS INTEGER) AS n_unseen, target FROM later"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     k3 = "code_module, code_presentation, id_student"
     target_info = f"{TARGET_CASE.format(c='final_result')} AS target"
@@ -538,5 +559,16 @@ def oracle_sql() -> dict[str, str]:
     qs |= {f"explored_{report}": qs[name] for report, name in EXPLORED.items()}
     qs["explore_clicks"] = qs["engagement_by_result"]
     qs["clicks_written"] = qs["clicks_per_student"]
+    qs["master_of_buckets"] = qs["master_whole_course"]
+    qs["clicks_incremental"] = qs["clicks_by_enrolment"]
+    qs["next_term_prepared"] = _next_term_sql()
+    qs["registrations_good"] = _with() + "SELECT * FROM student_registration"
+    fields = "code_module, code_presentation, CAST(id_student AS VARCHAR)"
+    qs["registrations_bad"] = _with() + (
+        f"SELECT CASE id_student % 3 WHEN 0 THEN concat_ws(',', {fields}) WHEN 1 THEN concat_ws(',', {fields}, '1', '2', '3') "
+        f"ELSE concat_ws(',', {fields}, 'soon', '') END AS line, "
+        "CASE WHEN id_student % 3 = 2 THEN 'date_registration: soon' ELSE 'number of fields' END AS reason "
+        "FROM student_registration WHERE id_student % 5 = 0"
+    )
     qs["registrations_through_csv"] = _with() + "SELECT * FROM student_registration"
     return qs

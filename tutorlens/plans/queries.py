@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from tutorlens.functions.lookup import CLASS_LABELS, CLASS_NAMES, map_lookup
 from tutorlens.functions.sqltext import ident
 from tutorlens.keys import K3
-from tutorlens.operators import clean, distributions, encode, features, profile, split
+from tutorlens.operators import clean, distributions, encode, features, increments, profile, split
+from tutorlens.operators.prepare import Preparation, PreparationModel
 from tutorlens.plans import flows
 from tutorlens.session import materialize, shared_folder
-from tutorlens.sources import read_table, write_table
+from tutorlens.sources import read_parted, read_table, write_table
 from tutorlens.sources.fixtures import CUTOFF_DAY, LEVELS, fixture_tables, read_raw
 from tutorlens.sources.schemas import STUDENT_REGISTRATION
 
@@ -330,6 +331,63 @@ def explore_clicks(spark, sf_dir):
     return profile.group_summary(flows.engaged(t["student_info"], flows.shrink_clicks(t["student_vle"])), "sum_click", "final_result")
 
 
+# --- stored, incremental and fitted forms -----------------------------------------
+
+def _folder(spark) -> str:
+    return f"{shared_folder(spark)}/tutorlens/{uuid.uuid4().hex}"
+
+
+def master_of_buckets(spark, sf_dir):
+    """C9 from feature tables stored bucketed by enrolment."""
+    stored = flows.store_features(_t(spark, sf_dir), _folder(spark), f"tutorlens_{uuid.uuid4().hex}", buckets=8)
+    return flows.master_of_stored(stored)
+
+
+def clicks_incremental(spark, sf_dir):
+    """C14: totals of clicks that came in four batches: late ones, out of order, some twice, with a compaction between."""
+    log, store = _t(spark, sf_dir)["student_vle"], _folder(spark)
+    batch = F.pmod(F.hash("id_student", "date", "id_site"), F.lit(4))
+    for number in (2, 0, 2, 3, None, 1, 0, 3):
+        if number is None:
+            increments.compact(spark, store)
+        else:
+            increments.add_batch(log.where(batch == number), store, f"day-{number}")
+    return increments.click_totals(spark, store)
+
+
+def next_term_prepared(spark, sf_dir):
+    """The last presentation, prepared as was learned from the ones before it; the model goes through its files."""
+    master = materialize(flows.unfilled_master(_t(spark, sf_dir)))
+    last = master.agg(F.max("code_presentation")).first()[0]
+    path = _folder(spark)
+    Preparation().fit(master.where(F.col("code_presentation") < F.lit(last))).write().overwrite().save(path)
+    return PreparationModel.load(path).transform(master.where(F.col("code_presentation") == F.lit(last)))
+
+
+def _parted_registrations(spark, sf_dir):
+    """The registrations as CSV, among them lines cut short, with a field too many, and with a day that is no number."""
+    table, path = _t(spark, sf_dir)["student_registration"], _folder(spark)
+    write_table(table, f"{path}/registrations", fmt="csv")
+    fields = "code_module, code_presentation, CAST(id_student AS STRING)"
+    bad = table.where("id_student % 5 = 0").selectExpr(
+        f"""CASE pmod(id_student, 3) WHEN 0 THEN concat_ws(',', {fields})
+        WHEN 1 THEN concat_ws(',', {fields}, '1', '2', '3') ELSE concat_ws(',', {fields}, 'soon', '') END AS value"""
+    )
+    header = spark.createDataFrame([(",".join(table.columns),)], "value string")
+    header.unionAll(bad).coalesce(1).write.mode("append").text(f"{path}/registrations")
+    return read_parted(spark, f"{path}/registrations", STUDENT_REGISTRATION, f"{path}/parted")
+
+
+def registrations_good(spark, sf_dir):
+    """The good rows of a CSV table with bad lines."""
+    return _parted_registrations(spark, sf_dir).good
+
+
+def registrations_bad(spark, sf_dir):
+    """The bad lines put aside, with their reasons."""
+    return _parted_registrations(spark, sf_dir).bad.select("line", "reason")
+
+
 def _explored(report: str) -> Query:
     """One report of the exploration flow, as the flow itself makes it (from the written click totals)."""
 
@@ -374,7 +432,8 @@ QUERIES: dict[str, Query] = {
         one_hot_vector, stratified_split, split_sizes, split_class_shares, report_whole_course,
         report_early, previews, describe_clicks, education_by_result, one_hot_tree_early, one_hot_linear_early,
         training_frame_whole, training_frame_early, training_part_early, encoded_null_columns, explore_clicks,
-        registrations_through_csv, clicks_written,
+        registrations_through_csv, clicks_written, master_of_buckets, clicks_incremental, next_term_prepared,
+        registrations_good, registrations_bad,
         *map(_explored, EXPLORED),
     ]
 }
