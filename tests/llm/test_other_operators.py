@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 
@@ -73,21 +75,57 @@ def test_license_scan(table_of):
     assert L.scan(table_of([])).collect() == []
 
 
+def plain_blocks(text, templates, threshold):
+    """{label: (containment, places)} by trying every window of every paragraph."""
+    out = {}
+    for label, notice in templates.items():
+        words, width = {*notice.split()}, int(len(notice.split()) / threshold + 1e-9)
+        best, places = 0, 0
+        for paragraph in re.split(r"\n(?:[^\S\n]*\n)+", text):
+            tokens, reach = paragraph.split(), -1
+            for i, w in enumerate(tokens):
+                common = {*tokens[i : i + width]} & words
+                if w in words and len(common) >= threshold * len(words) - 1e-9:
+                    best, places = max(best, len(common) / len(words)), places + (i > reach)
+                    reach = max(j for j in range(i, min(i + width, len(tokens))) if tokens[j] in words)
+        if best:
+            out[label] = best, places
+    return out
+
+
 def test_filters_lose_no_block(table_of):
     draw = np.random.default_rng(1)
     words = [f"w{k}" for k in range(30)]
     templates = {f"t{k}": " ".join(draw.choice(words, draw.integers(1, 12), replace=False)) for k in range(12)}
-    docs = [(i, "\n".join(" ".join(draw.choice(words, draw.integers(0, 25))) for _ in range(3))) for i in range(150)]
+    docs = [(i, "\n".join(" ".join(draw.choice(words, draw.integers(0, 25))) for _ in range(draw.integers(1, 7)))) for i in range(150)]
+    vocabulary = sorted({w for t in templates.values() for w in t.split()})
     for threshold in (0.5, 0.8, 1.0):
-        got = {(r["doc_id"], r["line"], r["label"]) for r in L.matches(table_of(docs), templates, threshold).collect()}
-        want = {
-            (i, k, label)
-            for i, text in docs
-            for k, line in enumerate(text.split("\n"))
-            for label, t in templates.items()
-            if len({*line.split()} & {*t.split()}) >= threshold * len({*t.split()}) - 1e-9
-        }
-        assert got == want
+        texts = L.folded_texts(table_of(docs), {"cc by": "x"}, templates, threshold)
+        for order in (L.word_order(texts, vocabulary), {w: k for k, w in enumerate(vocabulary)}):
+            got = {(r["doc_id"], r["label"]): (r["containment"], r["n_blocks"]) for r in L.blocks(texts, templates, threshold, order).collect()}
+            want = {(i, label): found for i, text in docs for label, found in plain_blocks(text, templates, threshold).items()}
+            assert got == want
+
+
+def test_words_far_apart_are_no_notice(table_of):
+    far = " ".join(f"{w} " + "x " * 40 for w in "released under the mit license".split())
+    near = "a b " * 1000 + "released under the new mit license " + "c " * 1000
+    docs = [(1, far), (2, near), (3, far * 300), (4, "released under the mit \n\n mit license released under")]
+    got = {r["doc_id"]: (r["labels"], r["score"], r["n_blocks"]) for r in L.scan(table_of(docs)).collect()}
+    assert got == {1: ("", 0.0, 0), 2: ("mit", 1.0, 1), 3: ("", 0.0, 0), 4: ("mit", 0.8, 2)}
+
+
+def test_folding(table_of):
+    texts = ["A-B  c\t\tD", "\x1c\x7fK Kelvin É İstanbul", "", " ", "a,b\n\nC , d\r\ne", "x" * 9 + " " * 5, "1·2", "ǅ ﬁ"]
+    rows = L.folded_texts(table_of(list(enumerate(texts))), L.BASE_PHRASES, L.TEMPLATES, 0.8).collect()
+    fold = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t))
+    assert {r["doc_id"]: r["n_words"] for r in rows} == {i: len(fold(t)) for i, t in enumerate(texts)}
+    df = table_of([(1, "cc by"), (2, "CC BY"), (3, "cc bY, ccİ by CC\nBY")])
+    got = {r["doc_id"]: (r["n_base"], r["first_word"], r["last_word"]) for r in L.scan(df).collect()}
+    assert got == {1: (1, 0, 0), 2: (1, 0, 0), 3: (2, 0, 4)}
+    kelvin = table_of([(1, "by Kelvin cc by \u212a"), (2, "wor\u212a licensed under")])
+    assert [r["labels"] for r in L.scan(kelvin).orderBy("doc_id").collect()] == ["cc-by", ""]
+
 
 
 def vectors(n=1500, size=12, seed=2):

@@ -1,14 +1,17 @@
 """Operator 5: licence scan by an exact set-similarity join (native).
 
-A text block is a line; a template is the word set of a licence notice.  A block
-meets a template when it contains at least ``threshold`` of its words.  Words are
-ordered by their frequency in the whole corpus, rarest first.  A match shares a
-word of the template's prefix (prefix filter), has enough words (length filter)
-and enough of them after the shared word (positional filter); what passes is
-verified.  All filters are lossless.
-
-Notices wrapped over several lines are found by windows: as many words of a
-paragraph as the notice has, divided by ``threshold``, from any of its words on.
+A text block is a window: as many consecutive words of a paragraph (lines with
+words, without a blank line between) as a notice has, divided by ``threshold``;
+a template is the word set of a licence notice.  A block meets a template when it
+contains at least ``threshold`` of its words.  Words are ordered by the number of
+texts of the whole corpus that hold them, rarest first.  A match holds enough of
+the template's words (length filter), and its rarest one stands early enough in
+the template's order (prefix and positional filter: from there on enough words
+are left); what passes is verified.  All filters are lossless.
+
+Every text is folded once, into a narrow staged table: the columns of the base
+phrases, the words of the vocabulary that it holds, and, only where these are
+enough for some template, its folded lines.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 import math
 import string
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tutorlens.llm.common import staged
@@ -38,36 +41,62 @@ TEMPLATES = {
 }
 
 THRESHOLD = 0.8
-_OTHER = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Characters outside words but for the blank and, in the second, the line end.
+_OTHER = r"\x00-\x1F\x21-\x2F\x3A-\x60\x7B-\x7F"
+_OTHER_IN_LINE = r"\x00-\x09\x0B-\x1F\x21-\x2F\x3A-\x60\x7B-\x7F"
 
 
-def folded(text):
-    """A-Z in lower case, and each run of characters outside words, but for line ends, as one space."""
-    lower = F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_replace(lower, _OTHER, " ")
+def lowered(text: Column) -> Column:
+    """A-Z in lower case.
+
+    ``lower`` is many times faster than a translation; beyond A-Z it changes no
+    letter into one of a-z but the Kelvin sign and the dotted capital I.
+    """
+    plain = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    return F.when(F.contains(text, F.lit("K")) | F.contains(text, F.lit("İ")), plain).otherwise(F.lower(text))
+
+
+def folded(text: Column, other: str = _OTHER) -> Column:
+    """The text in lower case, each run of blanks and ``other`` characters as one blank (single blanks are left as they are)."""
+    return F.regexp_replace(lowered(text), f" *[{other}][ {other}]*| {{2,}}", " ")
+
+
+def least_words(templates: dict[str, str], threshold: float) -> dict[str, int]:
+    return {label: math.ceil(round(threshold * len({*notice.split()}), 9)) for label, notice in templates.items()}
 
 
-def one_line(lines):
-    """The words with one space before, between and after them ('  ' without words)."""
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.col(lines), r"[ \n]+", " ")), F.lit(" "))
+def windows_of(templates: dict[str, str], threshold: float) -> dict[str, int]:
+    """Words of a block of each template."""
+    return {label: math.floor(round(len(notice.split()) / threshold, 9)) for label, notice in templates.items()}
 
 
 def _spaces(text: str) -> str:
     return f"(octet_length({text}) - octet_length(replace({text}, ' ', '')))"
 
 
-def base_scan(docs: DataFrame, phrases: dict[str, str]) -> DataFrame:
-    """doc_id, digest, n_words, n_base, first_word, last_word, found (labels of the phrases)."""
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("digest"),
-        folded("text").alias("lines"),
-    )
-    rows = rows.select("doc_id", "digest", one_line("lines").alias("words"))
-    rows = rows.withColumn("n_words", F.expr(f"IF(words = '  ', 0, {_spaces('words')} - 1)"))
+def _words(words) -> str:
+    return f"array({', '.join(f'{w!r}' for w in words)})"
+
+
+def folded_texts(docs: DataFrame, phrases: dict[str, str], templates: dict[str, str], threshold: float) -> DataFrame:
+    """doc_id, digest, n_words, n_base, first_word, last_word, found (labels of the phrases), held, lines: a row for each row.
+
+    ``held`` are the vocabulary's words that the text holds; ``lines`` the folded
+    text with its line ends, null where no template has enough of its words there.
+    """
+    vocabulary = sorted({w for text in [*phrases, *templates.values()] for w in text.split()})
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("doc_id", "text", F.concat(F.lit(" "), F.trim(folded(F.col("text"))), F.lit(" ")).alias("words"))
+    rows = rows.withColumn("tokens", F.split("words", " "))
+    # (a blank before, between and after the words: two empty tokens beside them)
+    rows = rows.select(
+        "doc_id", "text", "words",
+        F.expr("IF(words = '  ', 0, size(tokens) - 2)").alias("n_words"),
+        F.expr(f"array_intersect({_words(vocabulary)}, tokens)").alias("held"),
+    )
     columns = {}
     for k, phrase in enumerate(phrases):
-        here = f"contains(words, ' {phrase} ')"
+        here = " AND ".join([f"array_contains(held, {w!r})" for w in phrase.split()] + [f"contains(words, ' {phrase} ')"])
         first = f"substring(words, 1, locate(' {phrase} ', words) - 1)"
         after = f"substring_index(words, ' {phrase} ', -1)"
         # the space between two places belongs to both
@@ -77,132 +106,82 @@ def base_scan(docs: DataFrame, phrases: dict[str, str]) -> DataFrame:
     rows = rows.withColumns(columns)
     every = range(len(phrases))
     labels = ", ".join(f"IF(n{k} > 0, '{label}', NULL)" for k, label in enumerate(phrases.values()))
+    least = least_words(templates, threshold)
+    enough = " OR ".join(f"size(array_intersect(held, {_words({*notice.split()})})) >= {least[label]}" for label, notice in templates.items())
     return rows.select(
-        "doc_id", "digest",
+        "doc_id",
+        F.xxhash64("text").alias("digest"),
         F.col("n_words").cast("long").alias("n_words"),
         F.expr(" + ".join(f"n{k}" for k in every)).cast("long").alias("n_base"),
         F.least(*(f"first{k}" for k in every), F.lit(None)).cast("long").alias("first_word"),
         F.greatest(*(f"last{k}" for k in every), F.lit(None)).cast("long").alias("last_word"),
         F.expr(f"array_compact(array({labels}))").alias("found"),
-    )
+        "held",
+        F.when(F.expr(enough), folded(F.col("text"), _OTHER_IN_LINE)).alias("lines"),
+    )
 
 
-def word_order(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """Words of the templates by their frequency in the whole corpus, rarest first: their ranks."""
-    spark = docs.sparkSession
-    words = docs.select(F.explode(F.split(F.regexp_replace(folded("text"), "\n", " "), " ")).alias("word"))
-    wanted = spark.createDataFrame([(w,) for w in vocabulary], "word string")
-    counts = words.join(F.broadcast(wanted), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    n = {r["word"]: r["n"] for r in counts.collect()}  # a row for each word of the templates at most
+def word_order(texts: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+    """Words of the templates by the number of texts that hold them, rarest first: their ranks."""
+    counts = texts.select(F.explode("held").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    n = {r["word"]: r["n"] for r in counts.collect()}  # a row for each word of the vocabulary at most
     return {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (n.get(w, 0), w)))}
 
 
-def matches(docs: DataFrame, templates: dict[str, str], threshold: float, rank: dict[str, int] | None = None) -> DataFrame:
-    """doc_id, digest, line, label, containment of every line that meets a template."""
-    spark = docs.sparkSession
-    sets = {label: sorted({*notice.split()}) for label, notice in templates.items()}
-    rank = rank or word_order(docs, sorted({w for words in sets.values() for w in words}))
-    least = {label: math.ceil(round(threshold * len(words), 9)) for label, words in sets.items()}
-    ranked = {label: sorted(rank[w] for w in words) for label, words in sets.items()}
-    index = spark.createDataFrame(
-        [
-            (word, place, label, ranked[label], least[label])
-            for label in sets
-            for place, word in enumerate(ranked[label][: len(ranked[label]) - least[label] + 1])
-        ],
-        "word int, place int, label string, template array<int>, least int",
-    )
-    rare = sorted(w for w in rank if any(rank[w] in ranked[x][: len(ranked[x]) - least[x] + 1] for x in sets))
-    order = F.create_map(*(F.lit(x) for w, k in rank.items() for x in (w, k)))
-    # Prefix filter on whole texts first: without a prefix word there is no match.
-    held = " OR ".join(f"contains(lowered, '{w}')" for w in rare)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    near = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.lower(text).alias("lowered")).where(held)
-    lines = near.select("doc_id", F.xxhash64("text").alias("digest"), F.posexplode(F.split(folded("text"), "\n")).alias("line", "block"))
-    lines = lines.where(" OR ".join(f"contains(block, '{w}')" for w in rare))
-    known = F.transform(F.array_distinct(F.split(F.trim("block"), " ")), lambda w: F.element_at(order, w))
-    lines = lines.select("doc_id", "digest", "line", F.array_sort(F.array_compact(known)).alias("block"))
-    shared = lines.select("*", F.posexplode("block").alias("at", "word"))
-    met = shared.join(F.broadcast(index), "word").where(  # a few rows for each template
-        "size(block) >= least AND least(at, place) + 1 + least(size(block) - at, size(template) - place) - 1 >= least"
-    )
-    met = met.withColumn("common", F.size(F.array_intersect("block", "template"))).where("common >= least")
-    return met.select("doc_id", "digest", "line", "label", (F.col("common") / F.size("template")).alias("containment")).distinct()
-
+def blocks(texts: DataFrame, templates: dict[str, str], threshold: float, rank: dict[str, int]) -> DataFrame:
+    """doc_id, digest, label, containment, n_blocks: the templates that a text meets.
 
-def wrapped(docs: DataFrame, templates: dict[str, str], threshold: float, rank: dict[str, int]) -> DataFrame:
-    """doc_id, digest, line, last, label, containment of every window over line ends that meets a template.
-
-    A window begins and ends with words of the template, on the lines ``line``
-    and ``last``, and stays within a paragraph (lines with words).
+    containment is the largest of a block, n_blocks the number of places:
+    overlapping blocks of a template are one.
     """
     sets = {label: sorted({*notice.split()}, key=rank.get) for label, notice in templates.items()}
-    least = {label: math.ceil(round(threshold * len(words), 9)) for label, words in sets.items()}
-    width = {label: math.floor(round(len(notice.split()) / threshold, 9)) for label, notice in templates.items()}
-    index = docs.sparkSession.createDataFrame(
+    least, width = least_words(templates, threshold), windows_of(templates, threshold)
+    index = texts.sparkSession.createDataFrame(
         [(label, sets[label], least[label], width[label]) for label in sets], "label string, template array<string>, least int, width int"
     )
-    # Prefix filter and containment on whole texts first; of explode_outer no filter is inferred, which would fold again.
-    near = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("digest"),
-        folded("text").alias("lines"),
-    )
-    near = near.select("*", F.concat(F.lit(" "), F.translate("lines", "\n", " "), F.lit(" ")).alias("words"))
-    here = lambda w: f"contains(words, ' {w} ')"
-    held = {
-        label: f"({' OR '.join(map(here, words[: len(words) - least[label] + 1]))})"
-        f" AND {' + '.join(f'CAST({here(w)} AS INT)' for w in words)} >= {least[label]}"
+    # The templates of which a text holds enough words, with one of the rarest (the prefix) among them.
+    labels = ", ".join(
+        f"IF(size(array_intersect(held, {_words(words)})) >= {least[label]} AND arrays_overlap(held, {_words(words[: len(words) - least[label] + 1])}), '{label}', NULL)"
         for label, words in sets.items()
-    }
-    labels = ", ".join(f"IF({test}, '{label}', NULL)" for label, test in held.items())
-    near = near.select("doc_id", "digest", "lines", F.explode_outer(F.expr(f"array_compact(array({labels}))")).alias("label"))
-    near = near.where("label IS NOT NULL").join(F.broadcast(index), "label")
-    # Words with their line; a gap as wide as any window stands for blank lines.
-    rows = near.withColumn("lines", F.expr("transform(split(lines, '\n'), (x, i) -> struct(i AS line, filter(split(x, ' '), w -> w <> '') AS words))"))
-    rows = rows.withColumn("kept", F.expr("filter(lines, (x, i) -> size(x.words) > 0 OR i > 0 AND size(lines[i - 1].words) > 0)"))
-    gap = "array_repeat(struct(x.line AS line, CAST(NULL AS STRING) AS word), width)"
-    rows = rows.withColumn("tokens", F.expr(f"flatten(transform(kept, x -> IF(size(x.words) = 0, {gap}, transform(x.words, w -> struct(x.line AS line, w AS word)))))"))
-    rows = rows.withColumn("hits", F.expr("filter(transform(tokens, (t, i) -> struct(i AS at, t.line AS line, t.word AS word)), h -> array_contains(template, h.word))"))
-    rows = rows.withColumn("windows", F.expr("transform(hits, (h, a) -> filter(slice(hits, a + 1, width), y -> y.at < h.at + width))"))
-    met = F.expr("transform(windows, w -> struct(w[0].line AS line, element_at(w, -1).line AS last, size(array_distinct(w.word)) AS common))")
-    met = rows.select("doc_id", "digest", "label", "least", F.size("template").alias("size"), F.explode_outer(met).alias("w")).where("w.last > w.line AND w.common >= least")
-    return met.select("doc_id", "digest", "w.line", "w.last", "label", (F.col("w.common") / F.col("size")).alias("containment")).distinct()
-
-
-def wrapped_blocks(met: DataFrame, over: DataFrame) -> DataFrame:
-    """doc_id, digest, line, label, containment: overlapping windows as one block, without those on a line that meets the template itself."""
-    keys = ["doc_id", "digest", "label"]
-    m, w = met.select(*keys, "line").alias("m"), over.alias("w")
-    same = F.expr("w.doc_id <=> m.doc_id AND w.digest = m.digest AND w.label = m.label AND m.line BETWEEN w.line AND w.last")
-    left = w.join(m, same, "left_anti")
-    before = Window.partitionBy(*keys).orderBy("line", "last").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*keys).orderBy("line", "last").rowsBetween(Window.unboundedPreceding, 0)
-    left = left.withColumn("new", (F.col("line") > F.coalesce(F.max("last").over(before), F.lit(-1))).cast("int"))
-    blocks = left.withColumn("block", F.sum("new").over(upto)).groupBy(*keys, "block")
-    return blocks.agg(F.min("line").alias("line"), F.max("containment").alias("containment")).select("doc_id", "digest", "line", "label", "containment")
+    )
+    near = texts.where("lines IS NOT NULL").select("doc_id", "digest", "lines", F.explode(F.expr(f"array_compact(array({labels}))")).alias("label"))
+    near = near.dropDuplicates(["doc_id", "digest", "label"]).join(F.broadcast(index), "label")  # a row for each template
+    # Words with their place; a gap as wide as a block stands for blank lines.
+    rows = near.withColumn("lines", F.expr("transform(split(lines, '\n'), x -> filter(split(x, ' '), w -> w <> ''))"))
+    rows = rows.withColumn("kept", F.expr("filter(lines, (x, i) -> size(x) > 0 OR i > 0 AND size(lines[i - 1]) > 0)"))
+    rows = rows.withColumn("tokens", F.expr("flatten(transform(kept, x -> IF(size(x) = 0, array_repeat(CAST(NULL AS STRING), width), x)))"))
+    rows = rows.withColumn("hits", F.expr("filter(transform(tokens, (w, i) -> struct(i AS at, array_position(template, w) AS place)), h -> h.place > 0)"))
+    # A block begins at each of the template's words; places count from 1 in the template's order.
+    rows = rows.withColumn("blocks", F.expr("transform(hits, (h, a) -> filter(slice(hits, a + 1, width), y -> y.at < h.at + width))"))
+    rows = rows.withColumn("blocks", F.expr("filter(blocks, b -> size(b) >= least AND array_min(b.place) + least - 1 <= size(template))"))
+    met = "transform(blocks, b -> struct(b[0].at AS start, element_at(b, -1).at AS last, size(array_distinct(b.place)) AS common))"
+    rows = rows.withColumn("met", F.expr(f"filter({met}, m -> m.common >= least)")).where("size(met) > 0")
+    return rows.select(
+        "doc_id", "digest", "label",
+        (F.array_max("met.common") / F.size("template")).alias("containment"),
+        F.expr("size(filter(met, (m, i) -> i = 0 OR m.start > met[i - 1].last))").alias("n_blocks"),
+    )
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks.
 
     One row for each row of ``docs``.  score is the largest containment found, or
-    1 where a base phrase stands, else 0; n_blocks counts the lines on which a
-    block that meets a template begins: a line, or a notice over several lines of
-    a paragraph, none of which meets it alone.  A null text is empty: no words, no labels.  Rows that repeat
-    doc_id and text repeat their results; an empty table gives no rows; extra
-    columns are never read.
+    1 where a base phrase stands, else 0; n_blocks counts the places where a
+    block meets a template (overlapping blocks of a template are one place).  A
+    null text is empty: no words, no labels.  Rows that repeat doc_id and text
+    repeat their results; an empty table gives no rows; extra columns are never
+    read.
     """
-    base = base_scan(docs, phrases or BASE_PHRASES)
-    templates = templates or TEMPLATES
-    rank = word_order(docs, sorted({w for notice in templates.values() for w in notice.split()}))
-    met = staged(matches(docs, templates, threshold, rank), "license-lines")
-    over = staged(wrapped(docs, templates, threshold, rank), "license-windows")
-    found = met.unionByName(wrapped_blocks(met, over)).groupBy("doc_id", "digest").agg(
-        F.collect_set("label").alias("more"), F.max("containment").alias("containment"), F.count_distinct("line").alias("n_blocks")
+    phrases, templates = phrases or BASE_PHRASES, templates or TEMPLATES
+    texts = staged(folded_texts(docs, phrases, templates, threshold), "license-texts")
+    rank = word_order(texts, sorted({w for notice in templates.values() for w in notice.split()}))
+    met = staged(blocks(texts, templates, threshold, rank), "license-blocks")
+    found = met.groupBy("doc_id", "digest").agg(
+        F.collect_set("label").alias("more"), F.max("containment").alias("containment"), F.sum("n_blocks").alias("n_blocks")
     )
-    found = staged(found.withColumnsRenamed({"doc_id": "found_id", "digest": "found_digest"}), "license-blocks")
-    both = base.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("digest") == F.col("found_digest")), "left")
+    found = staged(found.withColumnsRenamed({"doc_id": "found_id", "digest": "found_digest"}), "license-found")
+    both = texts.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("digest") == F.col("found_digest")), "left")
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     return both.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",

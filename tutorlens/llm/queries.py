@@ -109,6 +109,9 @@ QUERIES = {
     )
 }
 
+_WIDTH = license_scan.windows_of(license_scan.TEMPLATES, license_scan.THRESHOLD)
+_LEAST = license_scan.least_words(license_scan.TEMPLATES, license_scan.THRESHOLD)
+
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
 WITH n AS (
@@ -139,38 +142,52 @@ FROM leaves
 """,
     "op5_license_scan": f"""
 WITH d AS (
-  SELECT doc_id, regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                '[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g') AS lines
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g') AS lines
   FROM documents
 ), w AS (
-  SELECT doc_id, list_filter(string_split_regex(lines, '[ \\n]+'), lambda x: x <> '') AS words FROM d
+  SELECT row_id, doc_id, list_filter(string_split_regex(lines, '[ \\n]+'), lambda x: x <> '') AS words FROM d
 ), phrases(phrase, label) AS (VALUES {", ".join(f"({p.split()!r}, '{v}')" for p, v in license_scan.BASE_PHRASES.items())}),
-templates(label, words) AS (VALUES {", ".join(f"('{k}', {sorted({*v.split()})!r})" for k, v in license_scan.TEMPLATES.items())}),
+templates(label, words, width, least) AS (VALUES {", ".join(f"('{k}', {sorted({*v.split()})!r}, {_WIDTH[k]}, {_LEAST[k]})" for k, v in license_scan.TEMPLATES.items())}),
 places AS (
-  SELECT doc_id, label, unnest(list_filter(range(0, len(words)), lambda i: words[i + 1:i + len(phrase)] = phrase)) AS place
+  SELECT row_id, label, unnest(list_filter(range(0, len(words)), lambda i: words[i + 1:i + len(phrase)] = phrase)) AS place
   FROM w, phrases
 ), base AS (
-  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+  SELECT row_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
-  FROM places GROUP BY doc_id
+  FROM places GROUP BY row_id
+), split_lines AS (
+  SELECT row_id, generate_subscripts(string_split(lines, chr(10)), 1) AS line,
+         list_filter(string_split(unnest(string_split(lines, chr(10))), ' '), lambda x: x <> '') AS words FROM d
+), paragraphs AS (
+  SELECT row_id, words, sum(CASE WHEN len(words) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY row_id ORDER BY line) AS paragraph,
+         sum(len(words)) OVER (PARTITION BY row_id ORDER BY line) - len(words) AS earlier
+  FROM split_lines
+), all_words AS (
+  SELECT row_id, paragraph, earlier + generate_subscripts(words, 1) AS place, unnest(words) AS word FROM paragraphs WHERE len(words) > 0
+), template_words AS (
+  SELECT label, unnest(words) AS word, len(words) AS size, width, least FROM templates
+), hits AS (
+  SELECT row_id, paragraph, place, word, label, size, width, least FROM all_words JOIN template_words USING (word)
+  QUALIFY len(list_distinct(list(word) OVER (PARTITION BY row_id, paragraph, label))) >= least
 ), blocks AS (
-  SELECT doc_id, generate_subscripts(string_split(lines, chr(10)), 1) AS line,
-         unnest(string_split(lines, chr(10))) AS block FROM d
+  SELECT a.row_id, a.paragraph, a.label, a.place AS start, max(z.place) AS last, count(DISTINCT z.word) / a.size AS containment
+  FROM hits a JOIN hits z ON a.row_id = z.row_id AND a.paragraph = z.paragraph AND a.label = z.label AND z.place BETWEEN a.place AND a.place + a.width - 1
+  GROUP BY a.row_id, a.paragraph, a.label, a.place, a.size, a.least HAVING count(DISTINCT z.word) >= a.least
 ), met AS (
-  SELECT doc_id, line, label,
-         len(list_intersect(string_split(trim(block), ' '), words)) / len(words) AS containment
-  FROM blocks, templates WHERE len(list_intersect(string_split(trim(block), ' '), words)) >= ceil(round({license_scan.THRESHOLD} * len(words), 9))
+  SELECT row_id, label, containment, start > coalesce(lag(last) OVER (PARTITION BY row_id, paragraph, label ORDER BY start), -1) AS new FROM blocks
 ), more AS (
-  SELECT doc_id, max(containment) AS containment, count(DISTINCT line) AS n_blocks FROM met GROUP BY doc_id
+  SELECT row_id, max(containment) AS containment, count(*) FILTER (new) AS n_blocks FROM met GROUP BY row_id
 ), every_label AS (
-  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
-  FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM met) GROUP BY doc_id
+  SELECT row_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT row_id, label FROM places UNION ALL SELECT row_id, label FROM met) GROUP BY row_id
 )
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
        greatest(coalesce(containment, 0.0), CASE WHEN coalesce(n_base, 0) > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS score,
        coalesce(n_blocks, 0) AS n_blocks
-FROM w LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id) LEFT JOIN every_label USING (doc_id)
+FROM w LEFT JOIN base USING (row_id) LEFT JOIN more USING (row_id) LEFT JOIN every_label USING (row_id)
 """,
     "op8_quotation_linking": r"""
 WITH m AS (
