@@ -144,23 +144,30 @@ def blocks(texts: DataFrame, templates: dict[str, str], threshold: float, rank:
         f"IF(size(array_intersect(held, {_words(words)})) >= {least[label]} AND arrays_overlap(held, {_words(words[: len(words) - least[label] + 1])}), '{label}', NULL)"
         for label, words in sets.items()
     )
-    near = texts.where("lines IS NOT NULL").select("doc_id", "digest", "lines", F.explode(F.expr(f"array_compact(array({labels}))")).alias("label"))
-    near = near.dropDuplicates(["doc_id", "digest", "label"]).join(F.broadcast(index), "label")  # a row for each template
-    # Words with their place; a gap as wide as a block stands for blank lines.
-    rows = near.withColumn("lines", F.expr("transform(split(lines, '\n'), x -> filter(split(x, ' '), w -> w <> ''))"))
-    rows = rows.withColumn("kept", F.expr("filter(lines, (x, i) -> size(x) > 0 OR i > 0 AND size(lines[i - 1]) > 0)"))
-    rows = rows.withColumn("tokens", F.expr("flatten(transform(kept, x -> IF(size(x) = 0, array_repeat(CAST(NULL AS STRING), width), x)))"))
-    rows = rows.withColumn("hits", F.expr("filter(transform(tokens, (w, i) -> struct(i AS at, array_position(template, w) AS place)), h -> h.place > 0)"))
+    near = texts.where("lines IS NOT NULL").select("doc_id", "digest", F.expr(f"array_compact(array({labels}))").alias("labels"), "lines")
+    # Words in their order; a gap as wide as any block stands for blank lines.
+    near = near.withColumn("lines", F.expr("transform(split(lines, '\n'), x -> filter(split(x, ' '), w -> w <> ''))"))
+    near = near.withColumn("kept", F.expr("filter(lines, (x, i) -> size(x) > 0 OR i > 0 AND size(lines[i - 1]) > 0)"))
+    gap = f"array_repeat(CAST(NULL AS STRING), {max(width.values())})"
+    near = near.select("doc_id", "digest", "labels", F.expr(f"flatten(transform(kept, x -> IF(size(x) = 0, {gap}, x)))").alias("tokens"))
+    rows = near.select("doc_id", "digest", "tokens", F.explode_outer("labels").alias("label")).join(F.broadcast(index), "label")  # a row for each template
+    # Every block stands whole in one of the overlapping stretches of twice its width: only stretches with enough words are walked.
+    stretch = "slice(tokens, CAST(c * width + 1 AS INT), {})"
+    rows = rows.withColumn(
+        "stretches", F.expr(f"filter(sequence(0, size(tokens) div width), c -> size(array_intersect({stretch.format('2 * width')}, template)) >= least)")
+    )
+    # (where the next stretch is walked too, the second half is left to it)
+    walked = stretch.format("IF(get(stretches, k + 1) <=> c + 1, width, 2 * width)")
+    words = f"filter(transform({walked}, (w, i) -> struct(c * width + i AS at, array_position(template, w) AS place)), h -> h.place > 0)"
+    rows = rows.withColumn("hits", F.expr(f"flatten(transform(stretches, (c, k) -> {words}))"))
     # A block begins at each of the template's words; places count from 1 in the template's order.
-    rows = rows.withColumn("blocks", F.expr("transform(hits, (h, a) -> filter(slice(hits, a + 1, width), y -> y.at < h.at + width))"))
-    rows = rows.withColumn("blocks", F.expr("filter(blocks, b -> size(b) >= least AND array_min(b.place) + least - 1 <= size(template))"))
-    met = "transform(blocks, b -> struct(b[0].at AS start, element_at(b, -1).at AS last, size(array_distinct(b.place)) AS common))"
-    rows = rows.withColumn("met", F.expr(f"filter({met}, m -> m.common >= least)")).where("size(met) > 0")
-    return rows.select(
-        "doc_id", "digest", "label",
-        (F.array_max("met.common") / F.size("template")).alias("containment"),
-        F.expr("size(filter(met, (m, i) -> i = 0 OR m.start > met[i - 1].last))").alias("n_blocks"),
-    )
+    found = "transform(hits, (h, a) -> filter(slice(hits, a + 1, width), y -> y.at < h.at + width))"
+    found = f"filter({found}, b -> size(b) >= least AND array_min(b.place) + least - 1 <= size(template))"
+    met = f"filter(transform({found}, b -> struct(b[0].at AS start, element_at(b, -1).at AS last, size(array_distinct(b.place)) AS common)), m -> m.common >= least)"
+    best = "struct(array_max(m.common) / size(template) AS containment, size(filter(m, (x, i) -> i = 0 OR x.start > m[i - 1].last)) AS n_blocks)"
+    # from an outer explode no condition is inferred that would walk the texts again
+    rows = rows.select("doc_id", "digest", "label", F.explode_outer(F.expr(f"transform(array({met}), m -> {best})")).alias("m")).where("m.n_blocks > 0")
+    return rows.select("doc_id", "digest", "label", "m.containment", F.col("m.n_blocks").cast("long").alias("n_blocks")).dropDuplicates(["doc_id", "digest", "label"])
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
