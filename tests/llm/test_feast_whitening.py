@@ -124,6 +124,20 @@ def test_exact_deviations_beyond_doubles(spark):
     check(spark, rows[:0] + [(i, v[:2]) for i, v in rows])
 
 
+def test_deviations_of_many_vectors():
+    # far from zero, close to the mean: only the differences need to fit, not the sums squared
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.integers(99_000, 101_000, size=(60, 16)), [[2**40] * 16], [[100_000] * 15 + [2**28]]])
+    sums = [60_000 * 100_000 + j for j in range(16)]
+    model = w.Whitening(60_000, sums, np.ones(1), np.ones((16, 1)), 1.0)
+    want = [sum((60_000 * v - s) ** 2 for v, s in zip(row, sums)) for row in x.tolist()]
+    assert model.deviations(x) == [v if v < 2**63 else None for v in want]
+    assert model.deviations(x)[60:] == [None, None] and None not in model.deviations(x[:60])
+    huge = w.Whitening(2**40, [2**57] * 2, np.ones(1), np.ones((2, 1)), 1.0)
+    assert huge.deviations(np.array([[2**17, 2**17], [2**17, 2**17 + 1], [2**40, 0]])) == [0, None, None]
+    assert model.deviations(np.empty((0, 16), dtype=np.int64)) == []
+
+
 def test_nothing_to_whiten(spark):
     schema = "vec_id long, embedding array<float>"
     assert w.whiten(spark.createDataFrame([], schema)).collect() == []

@@ -11,6 +11,7 @@ residuals vanish.  The inertia counts then say whether any was missed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
@@ -183,12 +184,18 @@ class Whitening:
 
     def deviations(self, x: np.ndarray) -> list[int | None]:
         """The exact sum of (n x - S)^2 of each row; null where it fits no long."""
-        largest = max(abs(s) for s in self.sums) + self.n * int(np.abs(x).max(initial=0))
-        if largest**2 * len(self.sums) <= LONG:
-            apart = self.n * x - np.array(self.sums, dtype=np.int64)
-            return (apart * apart).sum(axis=1).tolist()
-        sums = [sum((self.n * v - s) ** 2 for v, s in zip(row, self.sums)) for row in x.tolist()]
-        return [v if v <= LONG else None for v in sums]
+        sums, size = self.sums, len(self.sums)
+        if max(map(abs, sums)) + self.n * int(np.abs(x).max(initial=0)) <= LONG:
+            apart = self.n * x - np.array(sums, dtype=np.int64)
+            narrow = np.abs(apart).max(axis=1, initial=0) <= math.isqrt(LONG // size)
+            out = (np.where(narrow[:, None], apart, 0) ** 2).sum(axis=1).tolist()
+        else:  # the differences themselves need more than 64 bits
+            apart = [[self.n * v - s for v, s in zip(row, sums)] for row in x.tolist()]
+            narrow, out = np.zeros(len(x), dtype=bool), [None] * len(x)
+        for i in np.flatnonzero(~narrow):
+            exact = sum(int(v) ** 2 for v in apart[i])
+            out[i] = exact if exact <= LONG else None
+        return out
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
@@ -206,8 +213,8 @@ def matrix_of(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
-def summed(rows: DataFrame, size: int, partial, kind: str) -> dict[tuple[int, int], object]:
-    """Entry by entry sums of the small matrices that ``partial`` makes of each batch; a row for each entry and task.
+def summed(rows: DataFrame, size: int, partial, kind: str) -> pa.Table:
+    """i, j, v: entry by entry sums of the small matrices that ``partial`` makes of each batch; a row for each entry and task.
 
     ``partial`` maps integers (rows x size) to a matrix of ``kind`` numbers.
     """
@@ -225,12 +232,14 @@ def summed(rows: DataFrame, size: int, partial, kind: str) -> dict[tuple[int, in
             yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), values], ["i", "j", "v"])
 
     parts = rows.select("x").mapInArrow(run, f"i int, j int, v {'string' if text else kind}")
-    sums = parts.groupBy("i", "j").agg(F.sum(F.col("v").cast(kind)).alias("v"))
-    return {(r["i"], r["j"]): r["v"] for r in sums.collect()}  # as many rows as the matrix has entries
+    # as many rows as the matrix has entries, of 16 bytes each
+    return parts.groupBy("i", "j").agg(F.sum(F.col("v").cast(kind)).alias("v")).toArrow()
 
 
-def as_matrix(entries: dict, rows: int, columns: int) -> np.ndarray:
-    return np.array([[float(entries[i, j]) for j in range(columns)] for i in range(rows)])
+def as_matrix(entries: pa.Table, rows: int, columns: int) -> np.ndarray:
+    out = np.zeros((rows, columns))
+    out[entries["i"].to_numpy(), entries["j"].to_numpy()] = entries["v"].to_numpy()
+    return out
 
 
 def fit(rows: DataFrame, size: int, components: int = COMPONENTS) -> Whitening | None:
@@ -240,9 +249,9 @@ def fit(rows: DataFrame, size: int, components: int = COMPONENTS) -> Whitening |
         return np.concatenate([[len(x)], x.astype(object).sum(axis=0) if np.abs(x).max() > 2**40 else x.sum(axis=0)]).astype(object)[None, :]
 
     got = summed(rows, size, first, "decimal(38,0)")
-    if not got:
+    if not len(got):
         return None
-    n, sums = int(got[0, 0]), [int(got[0, j + 1]) for j in range(size)]
+    n, *sums = (int(v) for _, v in sorted(zip(got["j"].to_pylist(), got["v"].to_pylist())))
     mean = np.array([float(Fraction(s, n)) for s in sums])
 
     def second(x):  # centred before multiplying
