@@ -142,4 +142,7 @@ def test_nothing_to_whiten(spark):
     schema = "vec_id long, embedding array<float>"
     assert w.whiten(spark.createDataFrame([], schema)).collect() == []
     assert w.whiten(spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], schema)).collect() == []
+    # a length of which no vector takes part, beside one of which some do
+    rows = [(1, [math.nan, 1.0, 2.0]), (2, [math.inf] * 3), (3, [None] * 3), *((i, [float(i), float(i % 3)]) for i in range(4, 12))]
+    assert {r["n"] for r in check(spark, rows)} == {8}
     assert w.whiten(spark.createDataFrame([(1, None)], schema)).columns[:3] == ["vec_id", "component", "n"]

@@ -198,19 +198,21 @@ class Whitening:
         return out
 
 
-def usable(embeddings: DataFrame) -> DataFrame:
-    """vec_id, x: the integer form of the vectors that take part.
-
-    Vectors that are null or empty, or hold a null or non-finite entry or one of
-    ``LARGEST`` or more, do not.
-    """
+def vectors_of(embeddings: DataFrame) -> DataFrame:
+    """vec_id, vec (doubles), of the rows whose vector is neither null nor empty."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec"))
-    rows = rows.where(f"vec IS NOT NULL AND size(vec) > 0 AND forall(vec, c -> c IS NOT NULL AND NOT isnan(c) AND abs(c) < {LARGEST!r}D)")
-    return rows.select("vec_id", F.expr(f"transform(vec, c -> floor({SCALE}D * c) + {SHIFT}L)").alias("x"))
+    return rows.where("vec IS NOT NULL AND size(vec) > 0")
 
 
-def matrix_of(column: pa.Array, size: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+def integers(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which vectors of ``size`` entries take part, and the integer form of those that do.
+
+    Vectors that hold a null or non-finite entry, or one of ``LARGEST`` or more,
+    do not.
+    """
+    c = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)  # nulls become NaN
+    good = (np.abs(c) < LARGEST).all(axis=1)
+    return good, np.floor(SCALE * c[good]).astype(np.int64) + SHIFT
 
 
 def summed(rows: DataFrame, size: int, partial, kind: str) -> pa.Table:
@@ -223,15 +225,16 @@ def summed(rows: DataFrame, size: int, partial, kind: str) -> pa.Table:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            if len(batch):
-                part = partial(matrix_of(batch.column(0), size))
+            _, x = integers(batch.column(0), size)
+            if len(x):
+                part = partial(x)
                 total = part if total is None else total + part
         if total is not None:
             i, j = (a.ravel() for a in np.indices(total.shape))
             values = pa.array([str(v) for v in total.ravel()] if text else total.ravel())
             yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), values], ["i", "j", "v"])
 
-    parts = rows.select("x").mapInArrow(run, f"i int, j int, v {'string' if text else kind}")
+    parts = rows.select("vec").mapInArrow(run, f"i int, j int, v {'string' if text else kind}")
     # as many rows as the matrix has entries, of 16 bytes each
     return parts.groupBy("i", "j").agg(F.sum(F.col("v").cast(kind)).alias("v")).toArrow()
 
@@ -243,7 +246,7 @@ def as_matrix(entries: pa.Table, rows: int, columns: int) -> np.ndarray:
 
 
 def fit(rows: DataFrame, size: int, components: int = COMPONENTS) -> Whitening | None:
-    """Fit on all rows (vec_id, x) of vectors of ``size`` entries; None without any."""
+    """Fit on all rows (vec_id, vec) of vectors of ``size`` entries; None where none takes part."""
 
     def first(x):  # exact whatever the number of rows: integers without bound
         return np.concatenate([[len(x)], x.astype(object).sum(axis=0) if np.abs(x).max() > 2**40 else x.sum(axis=0)]).astype(object)[None, :]
@@ -289,21 +292,21 @@ def whiten(embeddings: DataFrame, components: int = COMPONENTS) -> DataFrame:
     spark, out = embeddings.sparkSession, None
     schema = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
     names = [f.strip().split()[0] for f in schema.split(",")]
-    rows = usable(embeddings)
-    for size in sorted(r["size"] for r in rows.select(F.size("x").alias("size")).distinct().collect()):
-        same = rows.where(F.size("x") == size)
+    rows = vectors_of(embeddings)
+    for size in sorted(r["size"] for r in rows.select(F.size("vec").alias("size")).distinct().collect()):
+        same = rows.where(F.size("vec") == size)
         model = fit(same, size, components)
-        k = len(model.values)
+        k = len(model.values) if model else 0
         if not k:
             continue
         error, explained = identity_error(same, size, model), model.values / model.trace
 
         def score(batches, size=size, model=model, k=k, error=error, explained=explained):
             for batch in batches:
-                x = matrix_of(batch.column(1), size)
+                good, x = integers(batch.column(1), size)
                 each = np.repeat(np.arange(len(x)), k)
                 columns = [
-                    batch.column(0).take(pa.array(each)),
+                    batch.column(0).filter(pa.array(good)).take(pa.array(each)),
                     pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), len(x))),
                     pa.array(np.full(len(each), model.n)),
                     pa.array(model.deviations(x), pa.int64()).take(pa.array(each)),
