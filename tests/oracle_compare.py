@@ -39,6 +39,15 @@ def _norm(v):
     return v
 
 
+def spark_pandas(df):
+    """``toPandas``, with whole numbers kept whole where some are missing."""
+    pdf = df.toPandas()
+    for field in df.schema:
+        if field.dataType.typeName() in ("integer", "long") and pdf[field.name].dtype == float:
+            pdf[field.name] = pdf[field.name].astype("Int64")
+    return pdf
+
+
 def rows_of(pdf):
     cols = sorted(pdf.columns)
     pdf = pdf[cols]
@@ -95,7 +104,7 @@ def main(argv):
     for name in names or list(qs):
         t0 = time.time()
         try:
-            spdf = qs[name](spark, sf_dir).toPandas()
+            spdf = spark_pandas(qs[name](spark, sf_dir))
         except Exception as exc:  # noqa: BLE001
             print(f"FAIL {name}: spark error {type(exc).__name__}: {str(exc)[:400]}")
             failures += 1

@@ -136,3 +136,21 @@ def test_explore_reads_the_click_log_once(spark, sf001):
     assert any(folder in f for f in reports["histogram_clicks"].inputFiles())
     # (the summaries are small local tables by now)
     assert {r["table_name"] for r in reports["describe"].collect()} == {"studentInfo", "studentAssessment", "studentVle_small"}
+
+
+def test_explore_builds_only_the_reports_asked_for(spark, sf001, tmp_path):
+    import pytest
+
+    from tutorlens.plans import flows, queries
+    from tutorlens.sources.fixtures import fixture_tables
+
+    tables, folder = fixture_tables(spark, sf001), str(tmp_path / "small")
+    assert list(flows.REPORTS) == list(queries.EXPLORED)
+    got = flows.explore(tables, folder, ["value_counts", "category_by_result"])
+    # neither reads clicks: no totals are written
+    assert list(got) == ["value_counts", "category_by_result"] and not os.path.exists(folder)
+    got = flows.explore(tables, folder, ["engagement_by_result"])
+    assert list(got) == ["engagement_by_result"] and os.path.exists(folder)
+    assert flows.explore(tables, folder, []) == {}
+    with pytest.raises(ValueError, match="no such report: scores"):
+        flows.explore(tables, folder, ["scores"])

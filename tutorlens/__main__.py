@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--na-token", action="append", default=[], help="extra text read as missing, e.g. '?'")
     ap.add_argument("--levels", help="JSON file: {column: [levels]} of the encoded columns")
     ap.add_argument("--bad-rows", help="folder for the bad lines of CSV files")
+    ap.add_argument("--report", action="append", choices=list(flows.REPORTS), help="explore: only this report (may be repeated)")
     ap.add_argument("--local", action="store_true", help="start a local session (tests, laptops)")
     args = ap.parse_args(argv)
 
@@ -66,7 +67,7 @@ def main(argv: list[str] | None = None) -> None:
         write_table(bad, out("bad_rows"))
         bad.show(100, truncate=False)
     if args.flow == "explore":
-        for name, df in flows.explore(tables, out("tables/student_vle_small")).items():
+        for name, df in flows.explore(tables, out("tables/student_vle_small"), args.report).items():
             write_table(df, out(name))
         return
 

@@ -10,7 +10,8 @@ encodings; without them they are listed from the written table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -226,35 +227,62 @@ def engaged(info: DataFrame, clicks: DataFrame) -> DataFrame:
     return info.join(clicks, "id_student", "left").fillna(0, subset=["sum_click"])
 
 
-def explore(tables: Mapping[str, DataFrame], path: str | None = None) -> dict[str, DataFrame]:
-    """The exploration reports (no charts; their data).
+class _Explored:
+    """What the exploration reports read; the click totals are written when the first report asks for them."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], path: str | None):
+        self.tables, self.path = tables, path
+        self.info, self.submissions = tables["student_info"], tables["student_assessment"]
+
+    @cached_property
+    def clicks(self) -> DataFrame:
+        return shrink_clicks(self.tables["student_vle"], self.path)
+
+    @cached_property
+    def registry(self) -> dict[str, DataFrame]:
+        return registry(self.tables, self.clicks)
+
+    @cached_property
+    def engaged(self) -> DataFrame:
+        return engaged(self.info, self.clicks)
+
+
+_DESCRIBED = ("studentInfo", "studentAssessment", "studentVle_small")
+_COUNTED = ["final_result", "age_band", "gender", "highest_education", "num_of_prev_attempts"]
+
+#: The exploration reports, in the order of the flow.
+REPORTS: dict[str, Callable[[_Explored], DataFrame]] = {
+    "profile": lambda x: profile.table_profile(x.registry),
+    "previews": lambda x: profile.previews(x.registry),
+    "null_counts": lambda x: profile.registry_null_counts(x.registry),
+    "describe": lambda x: profile.describe_tables({n: x.registry[n] for n in _DESCRIBED}),
+    "value_counts": lambda x: profile.multi_value_counts(x.info, _COUNTED),
+    "histogram_credits": lambda x: distributions.histogram(x.info, "studied_credits"),
+    "histogram_score": lambda x: distributions.histogram(x.submissions, "score"),
+    "histogram_clicks": lambda x: distributions.histogram(x.clicks, "sum_click"),
+    "density_score": lambda x: distributions.density_curve(x.submissions, "score"),
+    "density_clicks": lambda x: distributions.density_curve(x.clicks, "sum_click"),
+    "engagement_by_result": lambda x: profile.group_summary(x.engaged, "sum_click", "final_result"),
+    "box_clicks_by_result": lambda x: distributions.box_stats(x.engaged, "sum_click", ["final_result"]),
+    "score_by_result": lambda x: score_by_result(x.submissions, x.info),
+    "box_score_by_result": lambda x: box_score_by_result(x.submissions, x.info),
+    "category_by_result": lambda x: profile.multi_cross_counts(x.info, ["highest_education", "age_band"], "final_result"),
+}
+
+
+def explore(tables: Mapping[str, DataFrame], path: str | None = None, reports: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The exploration reports (no charts; their data), all of ``REPORTS`` or those named.
 
     The click log is read once: its totals by student are written (to ``path``)
-    and all reports read those.
+    and all reports read those.  Where no report named needs them, the log is not
+    read and nothing is written.
     """
-    clicks = shrink_clicks(tables["student_vle"], path)
-    info, sub = tables["student_info"], tables["student_assessment"]
-    tables_ = registry(tables, clicks)
-    with_clicks = engaged(info, clicks)
-    return {
-        "profile": profile.table_profile(tables_),
-        "previews": profile.previews(tables_),
-        "null_counts": profile.registry_null_counts(tables_),
-        "describe": profile.describe_tables({n: tables_[n] for n in ("studentInfo", "studentAssessment", "studentVle_small")}),
-        "value_counts": profile.multi_value_counts(
-            info, ["final_result", "age_band", "gender", "highest_education", "num_of_prev_attempts"]
-        ),
-        "histogram_credits": distributions.histogram(info, "studied_credits"),
-        "histogram_score": distributions.histogram(sub, "score"),
-        "histogram_clicks": distributions.histogram(clicks, "sum_click"),
-        "density_score": distributions.density_curve(sub, "score"),
-        "density_clicks": distributions.density_curve(clicks, "sum_click"),
-        "engagement_by_result": profile.group_summary(with_clicks, "sum_click", "final_result"),
-        "box_clicks_by_result": distributions.box_stats(with_clicks, "sum_click", ["final_result"]),
-        "score_by_result": score_by_result(sub, info),
-        "box_score_by_result": box_score_by_result(sub, info),
-        "category_by_result": profile.multi_cross_counts(info, ["highest_education", "age_band"], "final_result"),
-    }
+    names = list(REPORTS) if reports is None else list(reports)
+    unknown = [n for n in names if n not in REPORTS]
+    if unknown:
+        raise ValueError(f"no such report: {', '.join(unknown)}; there are {', '.join(REPORTS)}")
+    read = _Explored(tables, path)
+    return {n: REPORTS[n](read) for n in names}
 
 
 def _enrolments_per_student(info: DataFrame) -> DataFrame:

@@ -392,7 +392,7 @@ def _explored(report: str) -> Query:
     """One report of the exploration flow, as the flow itself makes it (from the written click totals)."""
 
     def query(spark, sf_dir):
-        return flows.explore(_t(spark, sf_dir))[report]
+        return flows.explore(_t(spark, sf_dir), reports=[report])[report]
 
     query.__name__ = f"explored_{report}"
     return query
