@@ -149,6 +149,29 @@ def test_distinct_ids_are_not_shuffled(spark, tmp_path, monkeypatch):
     assert shuffled(_nodes(old)) > n
 
 
+def test_later_passes_take_bits_of_open_buckets_only(spark, monkeypatch):
+    """With the bits as keys of a semi join, the optimizer put their whole expression, many times over, into every row's path."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rnd = random.Random(9)
+    rows = [("ids", float(400_000 + i * 7 % 5003)) for i in range(5003)]
+    rows += [("low", -(1.0 + rnd.randint(0, 900) * 2.0**-50)) for _ in range(700)]  # the third pass, below zero
+    rows += [("odd", v) for v in [math.inf] * 4 + [math.nan] * 3 + [0.0, -0.0, 5e-324]] + [("nan", math.nan)] * 3
+    plans, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), collect(df))[1])
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    probs = [0.0, 0.25, 0.5, 1.0]
+    got = {r.g: list(r)[1:5] for r in selection.selected_quantiles(df, "v", probs, by=["g"]).collect()}
+    for g in ("ids", "low"):
+        xs = np.sort(np.array([v for k, v in rows if k == g]))
+        assert got[g] == list(np.quantile(xs, probs))
+    assert got["odd"][:2] == [0.0, math.inf] or math.isnan(got["odd"][1])  # (infinity less infinity)
+    assert math.isnan(got["odd"][3]) and all(map(math.isnan, got["nan"]))
+    passes = [p for p in plans if "LOG2" in p.upper()]
+    assert len(passes) == 3
+    assert all(p.upper().count("LOG2") == 1 for p in passes)
+
+
 def test_few_values_need_one_pass(spark, tmp_path, monkeypatch):
     df = written(spark, tmp_path, "CAST(id % 321 AS DOUBLE) AS v", 5000)
     for by in ([], ["v"]):

@@ -4,7 +4,8 @@ A double has an order-preserving 64-bit form (sign, exponent, mantissa).  A firs
 job counts rows by group and the first 24 bits (whole numbers below 2^17 have a
 bucket each) and says which buckets hold the wanted ranks.  A bucket with a
 single value is an answer.  Where others are left, a second job counts only their
-rows by the next bits, and a third, if need be, by all 64.  Counts combine before
+rows, those between the bucket's smallest and largest value, by the next bits, and
+a third, if need be, by all 64.  Counts combine before
 each shuffle, so what is shuffled is bounded by groups x buckets and never carries
 distinct values, however many there are.
 
@@ -146,7 +147,7 @@ def selected_quantiles(
             if r["_blo"] == r["_bhi"] or r["_blo"] != r["_blo"]:
                 found[group, t["pi"], t["which"]] = r["_blo"], t["frac"]
             else:
-                still.append((*group, r["_b1"], 0, t["pi"], t["which"], t["rank"], t["frac"]))
+                still.append((group, r["_blo"], r["_bhi"], t["pi"], t["which"], t["rank"], t["frac"]))
     types = T.StructType([T.StructField(g, x.schema[g].dataType) for g in groups])
     for number in (2, 3):
         if still:
@@ -157,31 +158,36 @@ def selected_quantiles(
 def _narrowed(x: DataFrame, groups: Sequence[str], types: T.StructType, still: list[tuple], number: int, found: dict) -> list[tuple]:
     """One more pass over the rows of the buckets ``still`` open: adds to ``found``, and returns what is left open.
 
-    still: group, _b1, _b2, pi, which, rank within the bucket, frac.  The second
+    still: group, smallest and largest value of the bucket, pi, which, rank within the bucket, frac.  The second
     pass counts by the bits above ``SECOND``, the third by all.
+
+    A bucket is an interval, so its rows are found by its own bounds.  The bits are taken of those rows only; as
+    keys of the join they would be put into the join's condition, which every row then computes many times over.
     """
     spark = x.sparkSession
-    schema = T.StructType([*types.fields]).add("_b1", "long").add("_b2", "long")
-    asked = spark.createDataFrame(still, T.StructType([*schema.fields]).add("pi", "integer").add("which", "integer").add("rank", "long").add("frac", "double"))
     # the open buckets, and the ranks in them: a few rows for each group
-    bucket = [*groups, "_b1"] if number == 2 else [*groups, "_b1", "_b2"]
-    fine = f"shiftright(_k - _b1, {SECOND})" if number == 2 else "_k"
-    open_groups = spark.createDataFrame([*{r[: len(groups)] for r in still}], types)
-    rows = with_order_bits(x.join(F.broadcast(open_groups), list(groups), "left_semi"))
-    rows = rows.selectExpr(*groups, "_v", "_w", "_b1", f"shiftright(_k - _b1, {SECOND}) AS _b2", f"{fine} AS _fine")
-    open_buckets = F.broadcast(asked.select(*bucket).distinct())
-    counts = rows.join(open_buckets, bucket, "left_semi").groupBy(*bucket, "_fine").agg(
+    buckets: dict[tuple, tuple[int, float]] = {}  # by group and smallest value: number, largest value
+    asked = []
+    for group, lo, hi, *rank in still:
+        at, _ = buckets.setdefault((group, lo), (len(buckets), hi))
+        asked.append((at, *rank))
+    groups_of = [group for group, _ in buckets]
+    bounds = T.StructType([*types.fields]).add("_open", "integer").add("_lo", "double").add("_hi", "double")
+    open_buckets = F.broadcast(spark.createDataFrame([(*group, at, lo, hi) for (group, lo), (at, hi) in buckets.items()], bounds))
+    ranks = F.broadcast(spark.createDataFrame(asked, "_open int, pi int, which int, rank long, frac double"))
+    inside = x.join(open_buckets, list(groups)).where("_v >= _lo AND _v <= _hi").select("_open", "_v", "_w")
+    fine = f"shiftright(_k, {SECOND})" if number == 2 else "_k"
+    counts = with_order_bits(inside).selectExpr("_open", "_v", "_w", f"{fine} AS _fine").groupBy("_open", "_fine").agg(
         F.sum("_w").alias("_bn"), F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")
     )
-    placed = counts.selectExpr("*", f"SUM(_bn) OVER (PARTITION BY {', '.join(bucket)} ORDER BY _fine) - _bn AS _before")
-    inside = placed.join(F.broadcast(asked if number == 3 else asked.drop("_b2")), bucket).where("rank >= _before AND rank < _before + _bn")
+    placed = counts.selectExpr("*", "SUM(_bn) OVER (PARTITION BY _open ORDER BY _fine) - _bn AS _before")
     out = []
-    for r in inside.collect():
-        group = tuple(r[g] for g in groups)
-        if r["_blo"] == r["_bhi"] or number == 3:
+    for r in placed.join(ranks, "_open").where("rank >= _before AND rank < _before + _bn").collect():
+        group = groups_of[r["_open"]]
+        if r["_blo"] == r["_bhi"] or r["_blo"] != r["_blo"] or number == 3:
             found[group, r["pi"], r["which"]] = r["_blo"], r["frac"]
         else:
-            out.append((*group, r["_b1"], r["_fine"], r["pi"], r["which"], r["rank"] - r["_before"], r["frac"]))
+            out.append((group, r["_blo"], r["_bhi"], r["pi"], r["which"], r["rank"] - r["_before"], r["frac"]))
     return out
 
 
