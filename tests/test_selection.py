@@ -172,6 +172,28 @@ def test_later_passes_take_bits_of_open_buckets_only(spark, monkeypatch):
     assert all(p.upper().count("LOG2") == 1 for p in passes)
 
 
+def test_explored_describe_of_large_ids(spark, monkeypatch):
+    """Ids from 2^17 on need the second pass, which computes the bits once for each row of an open bucket."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from tutorlens.plans import flows
+
+    n = 3000
+    some = spark.range(n).selectExpr("id * 911 % 3001 + 500000 AS id_student", "CAST(id % 7 AS DOUBLE) AS score", "id % 5 AS sum_click")
+    names = ("student_info", "student_assessment", "assessments", "courses", "student_registration", "vle")
+    tables = {name: some.select("id_student", "score") for name in names} | {"student_vle": some.select("id_student", "sum_click")}
+    plans, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), collect(df))[1])
+    got = {(r.table_name, r.column_name): r for r in flows.explore(tables, reports=["describe"])["describe"].collect()}
+    ids = np.arange(n) * 911 % 3001 + 500000.0
+    for table in ("studentInfo", "studentAssessment", "studentVle_small"):
+        r = got[table, "id_student"]
+        assert (r["count"], r["min"], r["max"]) == (n, ids.min(), ids.max())
+        assert [r.p25, r.p50, r.p75] == list(np.quantile(ids, [0.25, 0.5, 0.75]))
+    assert len(got) == 6
+    passes = [p for p in plans if "LOG2" in p.upper()]
+    assert len(passes) == 2 and all(p.upper().count("LOG2") == 1 for p in passes)
+
+
 def test_few_values_need_one_pass(spark, tmp_path, monkeypatch):
     df = written(spark, tmp_path, "CAST(id % 321 AS DOUBLE) AS v", 5000)
     for by in ([], ["v"]):
